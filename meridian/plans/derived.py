@@ -75,3 +75,54 @@ def conversation_pack(spark: SparkSession, sf_dir: str, chunk: int = 8) -> DataF
     )
     path = F.concat(F.lit("/api/"), F.col("stem"), F.lit(".json"))
     return docs.select(path.alias("path"), "stem", "conv_id", "chunk", body.alias("body"))
+
+
+# Identifier template of catalog entries built by the fixtures.
+CATALOG_IDENTIFIER = "https://data.example.org/data-api/v1/dataset/{ds}/data-viewer"
+
+
+def _dist_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per dataset: the distribution list as JSON text, in partkey order (<= 100 per dataset).
+
+    ds mod 9 = 4: empty list; = 5: a leading non-object entry; = 6: first entry has no identifier.
+    """
+    from meridian.plans import fixtures
+
+    table(spark, sf_dir, "part").createOrReplaceTempView("part")
+    d = spark.sql(fixtures.part_distributions())
+    dist = F.struct(
+        F.col("identifier"), F.col("title"), F.col("media_type").alias("mediaType"), "format",
+        F.col("url").alias("downloadURL"), "temporal",
+    )
+    lists = d.groupBy("ds_num", "ds").agg(F.array_sort(F.collect_list(F.struct("p_partkey", dist.alias("d")))).alias("l"))
+    items = F.transform("l", lambda x, i: F.when(
+        (F.col("ds_num") % 9 == 6) & (i == 0), x["d"].withField("identifier", F.lit(None).cast("string"))
+    ).otherwise(x["d"]))
+    text = F.to_json(items)
+    text = (F.when(F.col("ds_num") % 9 == 4, F.lit("[]"))
+            .when(F.col("ds_num") % 9 == 5, F.concat(F.lit('["x",'), F.substring(text, 2, 1 << 30)))
+            .otherwise(text))
+    return lists.select("ds_num", "ds", text.alias("dist_json"))
+
+
+def metastore_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bare metastore documents ``(dataset_id, body)``, one per dataset."""
+    lists = _dist_lists(spark, sf_dir)
+    body = F.concat(F.lit('{"identifier":"'), F.col("ds"), F.lit('","title":"Dataset '), F.col("ds"),
+                    F.lit('","distribution":'), F.col("dist_json"), F.lit("}"))
+    return lists.select(F.col("ds").alias("dataset_id"), body.alias("body"))
+
+
+def catalog_docs(spark: SparkSession, sf_dir: str, per_doc: int = 10) -> DataFrame:
+    """DCAT catalog shards ``(doc_seq, body)``: ``per_doc`` datasets each (plus a junk scalar).
+
+    Catalog order is descending shard then ascending dataset, so ``1`` meets ``10``..``19`` first.
+    """
+    lists = _dist_lists(spark, sf_dir)
+    ident = F.concat(F.lit("https://data.example.org/data-api/v1/dataset/"), F.col("ds"), F.lit("/data-viewer"))
+    entry = F.concat(F.lit('{"identifier":"'), ident, F.lit('","title":"Dataset '), F.col("ds"),
+                     F.lit('","distribution":'), F.col("dist_json"), F.lit("}"))
+    shard = (F.col("ds_num") / per_doc).cast("bigint")
+    docs = lists.groupBy(shard.alias("doc")).agg(F.array_sort(F.collect_list(F.struct("ds_num", entry.alias("e")))).alias("es"))
+    body = F.concat(F.lit('{"dataset":['), F.array_join(F.transform("es", lambda x: x["e"]), ","), F.lit(",7]}"))
+    return docs.select((-F.col("doc")).alias("doc_seq"), body.alias("body"))

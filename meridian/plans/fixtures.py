@@ -149,3 +149,48 @@ def nullable_tax() -> str:
         "CASE WHEN l_linenumber = 5 THEN NULL ELSE l_discount END AS l_discount, "
         "CASE WHEN l_linenumber = 3 THEN NULL ELSE l_tax END AS l_tax FROM lineitem"
     )
+
+
+def part_distributions() -> str:
+    """One catalog distribution per part; dataset = partkey div 100 (as text)."""
+    ds = "CAST(floor(p_partkey / 100) AS BIGINT)"
+    year = _text("1995 + p_size % 30")
+    return (
+        f"SELECT p_partkey, {ds} AS ds_num, {_text(ds)} AS ds, "
+        f"concat('dist-', {_text('p_partkey')}) AS identifier, p_name AS title, "
+        "CASE p_partkey % 6 WHEN 0 THEN 'text/csv' WHEN 1 THEN 'text/csv' WHEN 2 THEN 'application/zip' "
+        "WHEN 3 THEN 'application/pdf' WHEN 4 THEN 'TEXT/CSV' ELSE 'application/x-zip-compressed' END AS media_type, "
+        "CASE p_partkey % 5 WHEN 0 THEN 'zip' WHEN 1 THEN 'Zip' WHEN 2 THEN 'pdf' WHEN 3 THEN 'csv' "
+        "ELSE NULL END AS format, "
+        "CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN '' "
+        f"ELSE concat('https://files.example.org/p/', {_text('p_partkey')}) END AS url, "
+        "CASE WHEN p_partkey % 13 = 0 THEN 'n/a' WHEN p_partkey % 17 = 0 THEN NULL "
+        f"ELSE concat({year}, '-01-01/', {year}, '-12-31') END AS temporal "
+        "FROM part"
+    )
+
+
+def specs() -> str:
+    """Dataset specs from supplier; ids are nation keys as text (prefix collisions 1, 10..19)."""
+    k = "s_suppkey"
+    return (
+        f"SELECT {k} AS pos, concat('ds_', {_text(k)}) AS key, "
+        f"CASE {k} % 8 WHEN 0 THEN 'socrata' WHEN 1 THEN 'healthcare_gov' WHEN 2 THEN 'dkan_provider_data' "
+        "WHEN 3 THEN 'dkan_data_api_bulk' WHEN 4 THEN 'dkan_medicaid_bulk' WHEN 5 THEN 'dkan_open_payments_bulk' "
+        "WHEN 6 THEN 'dkan_healthcare_gov_zip' ELSE 'ftp_mirror' END AS source, "
+        "concat('Dataset ', s_name) AS description, "
+        f"concat('grp_', {_text('s_nationkey % 3')}) AS group_name, "
+        f"CASE WHEN {k} % 5 = 1 THEN NULL WHEN {k} % 5 = 2 THEN '' ELSE {_text('s_nationkey')} END AS dataset_id, "
+        f"CASE WHEN {k} % 6 = 0 THEN 'data.medicaid.gov' ELSE NULL END AS domain, "
+        f"CASE WHEN {k} % 4 = 0 THEN concat('/api/items_', {_text('s_nationkey')}, '.json') ELSE NULL END AS path, "
+        f"CASE WHEN {k} % 3 = 0 THEN CAST(2020 + {k} % 5 AS INT) ELSE NULL END AS year "
+        "FROM supplier"
+    )
+
+
+def year_requests() -> str:
+    """Catalog lookups by dataset id and year, one per nation (ids collide as prefixes)."""
+    return (
+        f"SELECT concat('req_', {_text('n_nationkey')}) AS key, {_text('n_nationkey')} AS dataset_id, "
+        "CAST(1995 + (n_nationkey * 7) % 30 AS INT) AS year FROM nation"
+    )

@@ -313,3 +313,191 @@ def q_strict_page_errors(spark, sf_dir):
         part = bad.select(F.lit(env).alias("envelope"), "conv_id", "chunk", "page_error")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ---------------------------------------------------------------- catalog resolution
+
+from meridian.operators import catalog as cat  # noqa: E402
+
+_DISTS = f"WITH d AS ({fixtures.part_distributions()}),\n"
+_IDENT = "concat('https://data.example.org/data-api/v1/dataset/', ds, '/data-viewer')"
+_CSV = (
+    _DISTS + "c AS (SELECT ds, ds_num, p_partkey, url, try_cast(substr(temporal, 1, 4) AS INTEGER) AS year FROM d "
+    "WHERE ds_num % 9 <> 4 AND media_type = 'text/csv' AND length(url) > 0 "
+    "AND regexp_matches(temporal, '^[0-9]{4}'))"
+)
+
+
+def _catalog_csv(spark, sf_dir):
+    entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir))
+    return cat.csv_distributions(cat.distributions(entries, ["doc_seq", "pos", "identifier"]))
+
+
+@query(
+    "catalog_latest",
+    _CSV + ",\nr AS (SELECT *, row_number() OVER (PARTITION BY ds ORDER BY year DESC, p_partkey DESC) AS rn FROM c)\n"
+    f"SELECT {_IDENT} AS identifier, year, url FROM r WHERE rn = 1",
+)
+def q_catalog_latest(spark, sf_dir):
+    return cat.latest_csv(_catalog_csv(spark, sf_dir), ["doc_seq", "pos", "identifier"]).select(
+        "identifier", "year", "url")
+
+
+# first catalog entry (shard descending, then id ascending) whose id starts with the requested id
+_MATCH = (
+    "m AS (SELECT q.key, q.dataset_id, q.year, d2.ds, row_number() OVER (PARTITION BY q.key "
+    "ORDER BY CAST(floor(d2.ds_num / 10) AS BIGINT) DESC, d2.ds_num) AS rn FROM q "
+    "JOIN (SELECT DISTINCT ds, ds_num FROM d) d2 ON starts_with(d2.ds, q.dataset_id))"
+)
+
+
+def _year_matches(spark, sf_dir):
+    register(spark, sf_dir, "nation")
+    reqs = spark.sql(fixtures.year_requests())
+    entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir)).cache()
+    matched = cat.match_specs(reqs.select("key", "dataset_id"), entries)
+    csv = cat.csv_distributions(cat.distributions(entries, ["doc_seq", "pos", "identifier"]))
+    csv_k = csv.join(matched.select("key", "doc_seq", "pos"), ["doc_seq", "pos"])
+    req_k = reqs.join(matched.select("key"), "key", "left_semi").select("key", "year")
+    return reqs, matched, csv_k, req_k
+
+
+@query(
+    "catalog_by_year",
+    _CSV + f",\nq AS ({fixtures.year_requests()}),\n" + _MATCH + ",\n"
+    "h AS (SELECT m.key, c.year, c.url, row_number() OVER (PARTITION BY m.key ORDER BY c.p_partkey DESC) AS rn "
+    "FROM m JOIN c ON c.ds = m.ds AND c.year = m.year WHERE m.rn = 1)\n"
+    "SELECT key, year, url FROM h WHERE rn = 1",
+)
+def q_catalog_by_year(spark, sf_dir):
+    _, _, csv_k, req_k = _year_matches(spark, sf_dir)
+    return cat.csv_for_year(csv_k, req_k, ["key"]).select("key", "year", "url")
+
+
+@query(
+    "catalog_missing_year",
+    _CSV + f",\nq AS ({fixtures.year_requests()}),\n" + _MATCH + ",\n"
+    "mm AS (SELECT * FROM m WHERE rn = 1),\n"
+    "av AS (SELECT mm.key, array_to_string(list_sort(list_distinct(list(c.year))), ',') AS available "
+    "FROM mm JOIN c ON c.ds = mm.ds GROUP BY mm.key)\n"
+    "SELECT mm.key, mm.year, coalesce(av.available, '') AS available FROM mm LEFT JOIN av ON av.key = mm.key "
+    "WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.ds = mm.ds AND c.year = mm.year)",
+)
+def q_catalog_missing_year(spark, sf_dir):
+    _, _, csv_k, req_k = _year_matches(spark, sf_dir)
+    return cat.missing_years(csv_k, req_k, ["key"]).select("key", "year", "available")
+
+
+@query(
+    "spec_match",
+    f"WITH d AS ({fixtures.part_distributions()}),\n"
+    f"q AS (SELECT key, dataset_id, year FROM ({fixtures.specs()}) s WHERE length(dataset_id) > 0),\n" + _MATCH +
+    f"\nSELECT m.key, m.dataset_id, {_IDENT} AS identifier FROM m WHERE rn = 1",
+)
+def q_spec_match(spark, sf_dir):
+    """Specs matched to catalog entries by identifier substring, first match wins."""
+    register(spark, sf_dir, "supplier")
+    specs = spark.sql(fixtures.specs()).where(F.length("dataset_id") > 0).select("key", "dataset_id")
+    entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir))
+    return cat.match_specs(specs, entries).select("key", "dataset_id", "identifier")
+
+
+@query(
+    "catalog_first_url",
+    _DISTS + "e AS (SELECT * FROM d WHERE ds_num % 9 <> 4 AND length(url) > 0)\n"
+    "SELECT ds AS dataset_id, arg_min(url, p_partkey) AS url FROM e GROUP BY ds",
+)
+def q_catalog_first_url(spark, sf_dir):
+    return cat.first_url(derived.metastore_docs(spark, sf_dir))
+
+
+@query(
+    "catalog_first_zip",
+    _DISTS + "e AS (SELECT * FROM d WHERE ds_num % 9 <> 4 AND length(url) > 0 AND "
+    "(coalesce(lower(format) = 'zip', false) OR coalesce(contains(lower(media_type), 'zip'), false)))\n"
+    "SELECT ds AS dataset_id, arg_min(url, p_partkey) AS url FROM e GROUP BY ds",
+)
+def q_catalog_first_zip(spark, sf_dir):
+    return cat.first_zip(derived.metastore_docs(spark, sf_dir))
+
+
+@query(
+    "catalog_live_id",
+    _DISTS.replace(",\n", "\n") + "SELECT ds AS dataset_id, CASE WHEN ds_num % 9 IN (4, 5, 6) THEN NULL "
+    "ELSE concat('dist-', CAST(min(p_partkey) AS VARCHAR)) END AS live_id, CASE ds_num % 9 WHEN 4 THEN "
+    "'no_distributions' WHEN 5 THEN 'first_not_object' WHEN 6 THEN 'identifier_missing' ELSE 'ok' END AS status "
+    "FROM d GROUP BY ds, ds_num",
+)
+def q_catalog_live_id(spark, sf_dir):
+    return cat.live_ids(derived.metastore_docs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- dataset specs
+
+from meridian.operators import specs as sp  # noqa: E402
+
+
+def _specs(spark, sf_dir):
+    register(spark, sf_dir, "supplier")
+    return spark.sql(fixtures.specs())
+
+
+@query(
+    "spec_scan",
+    "SELECT pos, key, source, description, group_name, dataset_id, coalesce(domain, 'data.cms.gov') AS domain, "
+    f"path, year FROM ({fixtures.specs()}) s",
+)
+def q_spec_scan(spark, sf_dir):
+    return sp.scan_specs(_specs(spark, sf_dir))
+
+
+def _oracle_rules() -> str:
+    vals = [f"('{s}', '{f}', 'required')" for s, (req, _) in sp.FIELD_RULES.items() for f in req]
+    vals += [f"('{s}', '{f}', 'forbidden')" for s, (_, forb) in sp.FIELD_RULES.items() for f in forb]
+    return "rules(source, field, rule) AS (VALUES " + ", ".join(vals) + ")"
+
+
+_SRC_LIST = ", ".join(f"'{s}'" for s in sp.SOURCES)
+
+
+@query(
+    "spec_rule_violations",
+    f"WITH s AS ({fixtures.specs()}),\n"
+    "f AS (SELECT key, source, 'dataset_id' AS field, dataset_id IS NULL AS is_null, "
+    "(dataset_id IS NULL OR dataset_id = '') AS falsy FROM s "
+    "UNION ALL SELECT key, source, 'path', path IS NULL, (path IS NULL OR path = '') FROM s "
+    "UNION ALL SELECT key, source, 'year', year IS NULL, (year IS NULL OR year = 0) FROM s),\n"
+    + _oracle_rules() + "\n"
+    "SELECT f.key, f.source, f.field, r.rule AS kind FROM f JOIN rules r ON f.source = r.source AND f.field = r.field "
+    "WHERE (r.rule = 'required' AND f.falsy) OR (r.rule = 'forbidden' AND NOT f.is_null)\n"
+    f"UNION ALL SELECT key, source, 'source', 'unknown_source' FROM s WHERE source IS NULL OR source NOT IN ({_SRC_LIST})\n"
+    "UNION ALL SELECT key, source, 'key', 'duplicate_key' FROM s WHERE key IN "
+    "(SELECT key FROM s GROUP BY key HAVING count(*) > 1)",
+)
+def q_spec_rule_violations(spark, sf_dir):
+    return sp.rule_violations(_specs(spark, sf_dir))
+
+
+def _oracle_routes() -> str:
+    vals = ", ".join(
+        f"('{s}', '{loader}', {('NULL' if host is None else repr(host))})" for s, (loader, host) in sp.ROUTES.items()
+    )
+    return f"routes(source, loader, host) AS (VALUES {vals})"
+
+
+@query(
+    "route_specs",
+    f"WITH s AS ({fixtures.specs()}),\n" + _oracle_routes() + "\n"
+    "SELECT s.key, s.source, r.loader, coalesce(r.host, concat('https://', coalesce(s.domain, 'data.cms.gov'))) AS host "
+    "FROM s JOIN routes r ON s.source = r.source",
+)
+def q_route_specs(spark, sf_dir):
+    return sp.routed(_specs(spark, sf_dir)).select("key", "source", "loader", "host")
+
+
+@query(
+    "unrouted_specs",
+    f"WITH s AS ({fixtures.specs()})\nSELECT key, source FROM s WHERE source IS NULL OR source NOT IN ({_SRC_LIST})",
+)
+def q_unrouted_specs(spark, sf_dir):
+    return sp.unrouted(_specs(spark, sf_dir)).select("key", "source")
