@@ -63,7 +63,7 @@ def typed(records: DataFrame, record_col: str, schema: str, keep_extra: bool = T
     """Cast each record to ``schema``; missing members -> NULL, extras -> ``_extra`` JSON."""
     rec = F.col(record_col)
     cols = [c for c in records.columns if c != record_col]
-    out = records.select(*cols, F.try_cast(rec, schema).alias("_t"), *(
+    out = records.select(*cols, rec.try_cast(schema).alias("_t"), *(
         [with_extras(rec, schema).alias("_extra")] if keep_extra else []))
     return out.select(*cols, "_t.*", *(["_extra"] if keep_extra else []))
 

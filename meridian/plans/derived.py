@@ -126,3 +126,92 @@ def catalog_docs(spark: SparkSession, sf_dir: str, per_doc: int = 10) -> DataFra
     docs = lists.groupBy(shard.alias("doc")).agg(F.array_sort(F.collect_list(F.struct("ds_num", entry.alias("e")))).alias("es"))
     body = F.concat(F.lit('{"dataset":['), F.array_join(F.transform("es", lambda x: x["e"]), ","), F.lit(",7]}"))
     return docs.select((-F.col("doc")).alias("doc_seq"), body.alias("body"))
+
+
+def provider_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One provider JSON record per customer: ``(c_custkey, state, enumeration_type, body)``.
+
+    number = custkey zero-padded to 10 (missing when custkey mod 97 = 5); enumeration type
+    cycles NPI-1 / NPI-2 with an invalid value when custkey mod 31 = 2; two addresses
+    (location in the customer's nation, mailing in another); taxonomies from the market
+    segment (empty when custkey mod 10 = 0); an extra member ``other_names``.
+    """
+    from meridian.plans import fixtures
+
+    for t in ("customer", "nation"):
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
+    return spark.sql(fixtures.provider_rows()).select(
+        "c_custkey", "state", "enumeration_type",
+        F.to_json(F.struct(
+            F.col("number"), F.col("enumeration_type"),
+            F.struct("first_name", "last_name", "organization_name", "status").alias("basic"),
+            F.array(
+                F.struct(F.lit("LOCATION").alias("address_purpose"), F.col("address_1"), F.col("city"),
+                         F.col("state"), F.col("postal_code")),
+                F.struct(F.lit("MAILING").alias("address_purpose"), F.col("address_1"), F.col("mail_city").alias("city"),
+                         F.col("mail_state").alias("state"), F.col("postal_code")),
+            ).alias("addresses"),
+            F.when(F.col("c_custkey") % 10 == 0, F.array().cast("array<struct<code:string,desc:string,primary:boolean>>"))
+            .otherwise(F.array(F.struct(F.col("tax_code").alias("code"), F.col("c_mktsegment").alias("desc"),
+                                        F.lit(True).alias("primary")))).alias("taxonomies"),
+            F.array(F.struct(F.col("c_name").alias("name"))).alias("other_names"),
+        )).alias("body"),
+    )
+
+
+def provider_pages(spark: SparkSession, sf_dir: str, page_size: int = 200) -> DataFrame:
+    """Search responses of a state sweep restricted to NPI-2: ``(dataset=state, offset, body)``."""
+    recs = provider_records(spark, sf_dir).where(F.col("enumeration_type") == "NPI-2")
+    ranked = row_index(recs, ["state"], "c_custkey", "rk").withColumn(
+        "offset", (F.floor(F.col("rk") / page_size) * page_size).cast("bigint"))
+    pages = ranked.groupBy(F.col("state").alias("dataset"), "offset").agg(
+        F.array_sort(F.collect_list(F.struct("c_custkey", "body"))).alias("recs"))
+    body = F.concat(F.lit('{"result_count":'), F.size("recs").cast("string"), F.lit(',"results":['),
+                    F.array_join(F.transform("recs", lambda x: x["body"]), ","), F.lit("]}"))
+    return pages.select("dataset", "offset", body.alias("body"))
+
+
+def glossary_docs(spark: SparkSession, sf_dir: str, per_doc: int = 16) -> DataFrame:
+    """Static glossary documents ``(path, shard, body)`` from documents: ``per_doc`` terms each,
+    even shards bare arrays, odd shards wrapped under the path stem ``glossary``."""
+    d = table(spark, sf_dir, "documents")
+    term = F.struct(
+        F.concat(F.lit("Term "), F.col("doc_id").cast("string")).alias("title"),
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("slug"),
+        F.col("text").alias("content"), "lang", "source",
+    )
+    shard = (F.col("doc_id") / per_doc).cast("bigint")
+    docs = d.groupBy(shard.alias("shard")).agg(F.array_sort(F.collect_list(F.struct("doc_id", term.alias("t")))).alias("ts"))
+    arr = F.to_json(F.transform("ts", lambda x: x["t"]))
+    body = F.when(F.col("shard") % 2 == 0, arr).otherwise(F.concat(F.lit('{"glossary":'), arr, F.lit("}")))
+    return docs.select(F.lit("/api/glossary.json").alias("path"), "shard", body.alias("body"))
+
+
+def article_docs(spark: SparkSession, sf_dir: str, per_doc: int = 16) -> DataFrame:
+    """Static article documents from pages, wrapped under ``articles`` on odd shards."""
+    p = table(spark, sf_dir, "pages")
+    art = F.struct(
+        F.concat(F.lit("Page "), F.col("page_id").cast("string")).alias("title"),
+        F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("slug"),
+        "url", F.col("html").alias("content"),
+        F.concat(F.lit("2024-01-"), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")).alias("date"),
+        (F.col("page_id") % 100).alias("views"),
+    )
+    shard = (F.col("page_id") / per_doc).cast("bigint")
+    docs = p.groupBy(shard.alias("shard")).agg(F.array_sort(F.collect_list(F.struct("page_id", art.alias("a")))).alias("xs"))
+    arr = F.to_json(F.transform("xs", lambda x: x["a"]))
+    body = F.when(F.col("shard") % 2 == 0, arr).otherwise(F.concat(F.lit('{"articles":'), arr, F.lit("}")))
+    return docs.select(F.lit("/api/articles.json").alias("path"), "shard", body.alias("body"))
+
+
+def datastore_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Metastore documents per event type (live distribution first, a stale one second) and the
+    datastore pages of both distributions (``{"results": [...]}``)."""
+    types = table(spark, sf_dir, "events").select("event_type").distinct()
+    body = F.concat(F.lit('{"identifier":"'), F.col("event_type"), F.lit('","title":"Events '), F.col("event_type"),
+                    F.lit('","distribution":[{"identifier":"live-'), F.col("event_type"),
+                    F.lit('"},{"identifier":"old-'), F.col("event_type"), F.lit('"}]}'))
+    meta = types.select(F.col("event_type").alias("dataset_id"), body.alias("body"))
+    live = event_pages(spark, sf_dir, batch=50, drop_every=97, envelope="results", dataset_prefix="live-")
+    old = event_pages(spark, sf_dir, batch=50, drop_every=None, envelope="results", dataset_prefix="old-")
+    return meta, live.unionByName(old).select("dataset", "offset", "body")

@@ -194,3 +194,49 @@ def year_requests() -> str:
         f"SELECT concat('req_', {_text('n_nationkey')}) AS key, {_text('n_nationkey')} AS dataset_id, "
         "CAST(1995 + (n_nationkey * 7) % 30 AS INT) AS year FROM nation"
     )
+
+
+def provider_rows() -> str:
+    """B8 columns: customer x nation, with a second (mailing) nation."""
+    k = "c.c_custkey"
+    return (
+        f"SELECT {k} AS c_custkey, c.c_name, c.c_mktsegment, "
+        f"CASE WHEN {k} % 97 = 5 THEN NULL ELSE lpad({_text(k)}, 10, '0') END AS number, "
+        f"CASE WHEN {k} % 31 = 2 THEN 'NPI-9' WHEN {k} % 3 = 0 THEN 'NPI-1' ELSE 'NPI-2' END AS enumeration_type, "
+        f"concat('First', {_text(f'{k} % 50')}) AS first_name, c.c_name AS last_name, "
+        "concat(c.c_mktsegment, ' Org') AS organization_name, 'A' AS status, "
+        f"concat({_text(k)}, ' Main St') AS address_1, n.n_name AS city, "
+        f"concat('S', lpad({_text('n.n_nationkey')}, 2, '0')) AS state, "
+        f"lpad({_text(f'{k} % 100000')}, 5, '0') AS postal_code, "
+        f"concat('City', {_text(f'{k} % 25')}) AS mail_city, "
+        f"concat('S', lpad({_text(f'{k} % 25')}, 2, '0')) AS mail_state, "
+        "concat('T', substr(c.c_mktsegment, 1, 3)) AS tax_code "
+        "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"
+    )
+
+
+def declared_sources() -> str:
+    """A sources list that drifted from the specs: some missing, some stale, one extra."""
+    s = specs()
+    return (
+        f"SELECT concat('cms_', key) AS name, description FROM ({s}) s WHERE pos % 13 <> 0\n"
+        f"UNION ALL SELECT concat('cms_', key, '_old') AS name, description FROM ({s}) s WHERE pos % 17 = 0\n"
+        "UNION ALL SELECT 'cms_nppes_providers' AS name, 'Organizations swept state by state' AS description"
+    )
+
+
+def npi_requests() -> str:
+    """Lookup ids from orders: the customer key zero-padded to 10, some malformed."""
+    return (
+        "SELECT o_orderkey, CASE WHEN o_orderkey % 23 = 0 THEN concat('abc', "
+        f"{_text('o_custkey')}) WHEN o_orderkey % 29 = 0 THEN {_text('o_custkey % 100000')} "
+        f"ELSE lpad({_text('o_custkey')}, 10, '0') END AS npi FROM orders"
+    )
+
+
+def late_props() -> str:
+    """Event props as records; every 1000th event (id mod 1000 = 999) carries a late extra key."""
+    return (
+        "SELECT event_id, CASE WHEN event_id % 1000 = 999 THEN concat(substr(props, 1, length(props) - 1), "
+        f"', \"late\": \"v', {_text('event_id')}, '\"}}') ELSE props END AS body FROM events"
+    )

@@ -501,3 +501,221 @@ def q_route_specs(spark, sf_dir):
 )
 def q_unrouted_specs(spark, sf_dir):
     return sp.unrouted(_specs(spark, sf_dir)).select("key", "source")
+
+
+def _oracle_violation_keys() -> str:
+    sql = ORACLES["spec_rule_violations"]
+    return f"v AS (SELECT DISTINCT key FROM ({sql}) vv)"
+
+
+def _oracle_url() -> str:
+    out = "CASE s.source"
+    for source, tmpl in sp.URL_TEMPLATES.items():
+        parts, rest = [], tmpl
+        while rest:
+            i = rest.find("{")
+            if i < 0:
+                parts.append(f"'{rest}'")
+                break
+            if i:
+                parts.append(f"'{rest[:i]}'")
+            j = rest.index("}", i)
+            name = rest[i + 1:j]
+            parts.append("hh.host" if name == "host" else f"s.{name}")
+            rest = rest[j + 1:]
+        out += f" WHEN '{source}' THEN concat({', '.join(parts)})"
+    return out + " END"
+
+
+@query(
+    "load_plan",
+    f"WITH s AS ({fixtures.specs()}),\n" + _oracle_violation_keys() + ",\n" + _oracle_routes() + ",\n"
+    "hh AS (SELECT s.key, r.loader, coalesce(r.host, concat('https://', coalesce(s.domain, 'data.cms.gov'))) AS host "
+    "FROM s JOIN routes r ON s.source = r.source)\n"
+    "SELECT s.pos, s.key, concat('cms_', s.key) AS asset_name, s.group_name, s.description, s.source, hh.loader, "
+    + _oracle_url() + " AS entry_url FROM s JOIN hh ON s.key = hh.key WHERE s.key NOT IN (SELECT key FROM v)",
+)
+def q_load_plan(spark, sf_dir):
+    return sp.load_plan(_specs(spark, sf_dir))
+
+
+_NPPES_EXTRA = ("cms_nppes_providers", "Organizations swept state by state", "ds_1")
+
+
+@query(
+    "sources_in_sync",
+    f"WITH s AS ({fixtures.specs()}),\n"
+    "e AS (SELECT concat('cms_', key) AS name, description FROM s UNION ALL "
+    f"SELECT '{_NPPES_EXTRA[0]}', '{_NPPES_EXTRA[1]}' FROM s WHERE key = '{_NPPES_EXTRA[2]}'),\n"
+    f"dd AS ({fixtures.declared_sources()})\n"
+    "SELECT name, description, 'missing_from_sources' AS problem FROM "
+    "(SELECT name, description FROM e EXCEPT ALL SELECT name, description FROM dd) a\n"
+    "UNION ALL SELECT name, description, 'not_in_registry' AS problem FROM "
+    "(SELECT name, description FROM dd EXCEPT ALL SELECT name, description FROM e) b",
+)
+def q_sources_in_sync(spark, sf_dir):
+    """K10+V9: the registered source list against the registry projection, both directions."""
+    specs = _specs(spark, sf_dir)
+    extras = spark.createDataFrame([_NPPES_EXTRA], "name string, description string, after_key string")
+    expected = sp.source_table(specs, extras)
+    declared = spark.sql(fixtures.declared_sources())
+    return sp.sources_diff(declared, expected)
+
+
+# ---------------------------------------------------------------- providers
+
+from meridian.operators import providers as prov  # noqa: E402
+
+
+def _typed_providers(spark, sf_dir):
+    recs = derived.provider_records(spark, sf_dir).select("c_custkey", F.parse_json("body").alias("record"))
+    return rec.providers(recs, "record")
+
+
+_PROV = f"WITH p AS ({fixtures.provider_rows()})\n"
+
+
+@query(
+    "providers_nested",
+    _PROV + "SELECT c_custkey, number, enumeration_type, last_name, organization_name, 2 AS n_addresses, "
+    "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment END AS taxonomy, "
+    "concat('{\"other_names\":[{\"name\":\"', c_name, '\"}]}') AS _extra "
+    "FROM p WHERE enumeration_type = 'NPI-2' AND (state = 'S03' OR mail_state = 'S03')",
+)
+def q_providers_nested(spark, sf_dir):
+    found = prov.search_filter(_typed_providers(spark, sf_dir), state="S03", enumeration_type="NPI-2")
+    return found.select(
+        "c_custkey", "number", "enumeration_type", F.col("basic.last_name").alias("last_name"),
+        F.col("basic.organization_name").alias("organization_name"), F.size("addresses").alias("n_addresses"),
+        F.get(F.col("taxonomies"), 0)["desc"].alias("taxonomy"), "_extra",
+    )
+
+
+_SEARCH = (
+    _PROV.rstrip("\n") + ",\nf AS (SELECT *, row_number() OVER (PARTITION BY state ORDER BY c_custkey) - 1 AS rk "
+    "FROM p WHERE enumeration_type = 'NPI-2'),\nc AS (SELECT * FROM f WHERE rk < 1200)\n"
+)
+
+
+@query("provider_search", _SEARCH + "SELECT state, number, organization_name FROM c")
+def q_provider_search(spark, sf_dir):
+    found = prov.search_pages(derived.provider_pages(spark, sf_dir, page_size=50), page_size=50)
+    return found.select(F.col("dataset").alias("state"), "number", F.col("basic.organization_name").alias("organization_name"))
+
+
+@query("provider_sweep_counts", _SEARCH + "SELECT state, count(*) AS n_rows FROM c GROUP BY state")
+def q_provider_sweep_counts(spark, sf_dir):
+    found = prov.search_pages(derived.provider_pages(spark, sf_dir, page_size=50), page_size=50)
+    return prov.sweep_counts(found).withColumnRenamed("dataset", "state")
+
+
+@query(
+    "provider_lookup",
+    f"WITH r AS ({fixtures.npi_requests()}),\np AS ({fixtures.provider_rows()})\n"
+    "SELECT r.o_orderkey, r.npi, regexp_matches(r.npi, '^[0-9]{10}$') AS valid, "
+    "CASE WHEN regexp_matches(r.npi, '^[0-9]{10}$') THEN p.number IS NOT NULL END AS found, p.last_name "
+    "FROM r LEFT JOIN p ON r.npi = p.number AND regexp_matches(r.npi, '^[0-9]{10}$')",
+)
+def q_provider_lookup(spark, sf_dir):
+    register(spark, sf_dir, "orders")
+    ids = spark.sql(fixtures.npi_requests())
+    out = prov.lookup(ids, "npi", _typed_providers(spark, sf_dir), ["c_custkey"])
+    return out.select("o_orderkey", "npi", "valid", "found", F.col("p.basic.last_name").alias("last_name"))
+
+
+@query(
+    "provider_violations",
+    _PROV + "SELECT c_custkey, 'number_missing' AS violation FROM p WHERE number IS NULL\n"
+    "UNION ALL SELECT c_custkey, 'enumeration_type_invalid' AS violation FROM p "
+    "WHERE enumeration_type NOT IN ('NPI-1', 'NPI-2')",
+)
+def q_provider_violations(spark, sf_dir):
+    return rec.provider_violations(_typed_providers(spark, sf_dir), ["c_custkey"])
+
+
+# ---------------------------------------------------------------- records (D3 D4 I6a I6b) and I3
+
+
+def _late_records(spark, sf_dir):
+    register(spark, sf_dir, "events")
+    return spark.sql(fixtures.late_props()).select("event_id", F.parse_json("body").alias("record"))
+
+
+@query(
+    "union_schema",
+    "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, "
+    "CASE WHEN event_id % 1000 = 999 THEN concat('v', CAST(event_id AS VARCHAR)) END AS late FROM events",
+)
+def q_union_schema(spark, sf_dir):
+    return rec.to_table(_late_records(spark, sf_dir), "record", mode="union", keep=["event_id"])
+
+
+@query("first_schema", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def q_first_schema(spark, sf_dir):
+    return rec.to_table(_late_records(spark, sf_dir), "record", mode="first", order_cols=["event_id"],
+                        keep=["event_id"])
+
+
+def _static_records(docs: DataFrame) -> DataFrame:
+    pages = docs.select(F.col("path").alias("dataset"), F.col("shard").alias("offset"), "body", "path")
+    parsed = pg.parse_pages(pages, "static", stem=path_stem(F.col("path")))
+    return pg.flatten(pg.strict(parsed))
+
+
+@query(
+    "typed_glossary",
+    "SELECT concat('doc-', CAST(doc_id AS VARCHAR)) AS slug, concat('Term ', CAST(doc_id AS VARCHAR)) AS title, "
+    "text AS content, CAST(json_object('lang', lang, 'source', source) AS VARCHAR) AS _extra FROM documents",
+)
+def q_typed_glossary(spark, sf_dir):
+    typed = rec.typed(_static_records(derived.glossary_docs(spark, sf_dir)).select("record"), "record",
+                      rec.GLOSSARY_SCHEMA)
+    return typed.select("slug", "title", "content", "_extra")
+
+
+@query(
+    "typed_articles",
+    "SELECT concat('page-', CAST(page_id AS VARCHAR)) AS slug, concat('Page ', CAST(page_id AS VARCHAR)) AS title, "
+    "url, html AS content, concat('2024-01-', lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')) AS date, "
+    "CAST(json_object('views', page_id % 100) AS VARCHAR) AS _extra FROM pages",
+)
+def q_typed_articles(spark, sf_dir):
+    typed = rec.typed(_static_records(derived.article_docs(spark, sf_dir)).select("record"), "record",
+                      rec.ARTICLE_SCHEMA)
+    return typed.select("slug", "title", "url", "content", "date", "_extra")
+
+
+@query("dkan_dataset", _TRUNCATED + "SELECT event_type, page_offset, event_id, user_id FROM kept")
+def q_dkan_dataset(spark, sf_dir):
+    """Resolve each dataset's live distribution (R7), then page its datastore."""
+    meta, pages = derived.datastore_fixture(spark, sf_dir)
+    live = cat.live_ids(meta).where(F.col("status") == cat.LIVE_OK)
+    mine = pages.join(live.select(F.col("live_id").alias("dataset"), "dataset_id"), "dataset")
+    flat = pg.read_paged(mine, "results", batch=50, keep=["dataset_id"])
+    return _event_cols(flat.drop("dataset").withColumnRenamed("dataset_id", "dataset"))
+
+
+# ---------------------------------------------------------------- clause pass-through
+
+from meridian.operators import query as qop  # noqa: E402
+
+
+@query(
+    "record_project",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' "
+    "ORDER BY o_totalprice DESC, o_orderkey LIMIT 100 OFFSET 50",
+)
+def q_record_project(spark, sf_dir):
+    register(spark, sf_dir, "orders")
+    return qop.clauses(spark.table("orders"), select=["o_orderkey", "o_custkey", "o_totalprice"],
+                       where="o_orderstatus = 'F'", order="o_totalprice DESC, o_orderkey", limit=100, offset=50)
+
+
+@query(
+    "text_search",
+    "SELECT doc_id, lang, source FROM documents WHERE contains(lower(text), 'ouai') "
+    "OR contains(lower(lang), 'ouai') OR contains(lower(source), 'ouai')",
+)
+def q_text_search(spark, sf_dir):
+    register(spark, sf_dir, "documents")
+    return qop.clauses(spark.table("documents"), q="ouai").select("doc_id", "lang", "source")
