@@ -215,3 +215,107 @@ def datastore_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     live = event_pages(spark, sf_dir, batch=50, drop_every=97, envelope="results", dataset_prefix="live-")
     old = event_pages(spark, sf_dir, batch=50, drop_every=None, envelope="results", dataset_prefix="old-")
     return meta, live.unionByName(old).select("dataset", "offset", "body")
+
+
+# ---------------------------------------------------------------- spreadsheet archives
+
+_CT = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+    '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+    '<Default Extension="xml" ContentType="application/xml"/>'
+    '<Override PartName="/xl/workbook.xml" '
+    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+    '<Override PartName="/xl/worksheets/sheet1.xml" '
+    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>'
+)
+_RELS = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/'
+    'officeDocument" Target="xl/workbook.xml"/></Relationships>'
+)
+_WB = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
+    'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
+    '<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>'
+)
+_WB_RELS = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/'
+    'worksheet" Target="worksheets/sheet1.xml"/></Relationships>'
+)
+
+
+def xlsx_bytes(rows: list[tuple[int, list[str | None]]]) -> bytes:
+    """A minimal workbook (inline-string cells) holding ``(row_no, cells)`` rows."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    def ref(col: int, row: int) -> str:
+        letters = ""
+        while col:
+            col, rem = divmod(col - 1, 26)
+            letters = chr(65 + rem) + letters
+        return f"{letters}{row}"
+
+    body = []
+    for r, cells in rows:
+        cs = "".join(
+            f'<c r="{ref(j, r)}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
+            for j, v in enumerate(cells, start=1) if v is not None
+        )
+        body.append(f'<row r="{r}">{cs}</row>')
+    sheet = (
+        '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+        '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
+        + "".join(body) + "</sheetData></worksheet>"
+    )
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", _CT)
+        z.writestr("_rels/.rels", _RELS)
+        z.writestr("xl/workbook.xml", _WB)
+        z.writestr("xl/_rels/workbook.xml.rels", _WB_RELS)
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    return buf.getvalue()
+
+
+def zip_archive(members: dict[str, bytes]) -> bytes:
+    import io
+    import zipfile
+
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, data in members.items():
+            z.writestr(name, data)
+    return buf.getvalue()
+
+
+SHEET_HEADER = ["Nation Key", "Nation Name", "Region Key", "Region Name"]
+
+
+def _region_archive(pdf):
+    import pandas as pd
+
+    pdf = pdf.sort_values("n_nationkey")
+    region = str(pdf["r_name"].iloc[0])
+    rows = [(1, [f"{len(pdf)} nations in {region}"]), (2, list(SHEET_HEADER))]
+    for i, rec in enumerate(pdf.itertuples(index=False), start=3):
+        rows.append((i, [str(rec.n_nationkey), rec.n_name, str(rec.n_regionkey), rec.r_name]))
+    rows.append((len(rows) + 2, ["Source: derived from the nation table"]))  # after one empty row
+    content = zip_archive({f"landscape_{region.lower()}.XLSX": xlsx_bytes(rows), "readme.txt": b"fixture"})
+    return pd.DataFrame([(f"mem://sheets/region_{int(pdf['n_regionkey'].iloc[0])}.zip", content)],
+                        columns=["path", "content"])
+
+
+def sheet_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One zipped workbook per region (title row, header row, nations, empty row, footnote),
+    built by a Spark job as ``(path, content)`` rows."""
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return nations.select("n_nationkey", "n_name", "n_regionkey", "r_name").groupBy("n_regionkey").applyInPandas(
+        _region_archive, "path string, content binary")

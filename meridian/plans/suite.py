@@ -831,3 +831,22 @@ def q_bulk_csv_roundtrip(spark, sf_dir):
     root = fresh_path(spark, "raw")
     bulk_csv.bulk_load(spark, src, root, "cms_orders_csv", "run-1")
     return raw.read_runs(spark, root, "cms_orders_csv")
+
+
+# ---------------------------------------------------------------- zipped spreadsheets
+
+from meridian.sources import sheets  # noqa: E402
+
+
+@query(
+    "sheet_roundtrip",
+    'SELECT CAST(n_nationkey AS VARCHAR) AS "Nation Key", n_name AS "Nation Name", '
+    'CAST(n_regionkey AS VARCHAR) AS "Region Key", r_name AS "Region Name" '
+    "FROM nation JOIN region ON n_regionkey = r_regionkey",
+)
+def q_sheet_roundtrip(spark, sf_dir):
+    """Zipped workbooks -> text columns named by the header row -> landed run -> read back."""
+    table_df = sheets.read_sheets(spark, derived.sheet_archives(spark, sf_dir))
+    root = fresh_path(spark, "raw")
+    landing.land(table_df, root, "cms_nation_sheets", "run-1")
+    return raw.read_runs(spark, root, "cms_nation_sheets")
