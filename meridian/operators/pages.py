@@ -123,22 +123,32 @@ def first_missing(pages: DataFrame, batch: int) -> DataFrame:
     return starts.groupBy("dataset").agg(F.min("offset").alias("missing_at"))
 
 
-def truncate(parsed: DataFrame, batch: int) -> DataFrame:
-    """Keep pages in offset order up to and including the first short (or bad) page,
-    and before the first missing page. Later pages are never read.
+def stop_bounds(summary: DataFrame, batch: int) -> DataFrame:
+    """Per dataset: ``stop_at`` (first short or bad page) and ``missing_at`` (first absent page).
 
-    The stop point is a per-dataset ``min`` (partial aggregation, one row per dataset),
-    joined back to the pages; AQE turns that join into a broadcast at runtime when the
-    stop table is small and splits hot datasets otherwise.
+    ``summary`` has ``dataset, offset, n, page_error`` - one small row per page. Both are
+    aggregates (partial aggregation, one row per dataset), never windows over records.
     """
-    pages = parsed.where(F.col("offset") % batch == 0)
+    pages = summary.where(F.col("offset") % batch == 0)
     short = F.when((F.col("page_error").isNotNull()) | (F.col("n") < batch), F.col("offset"))
     stops = pages.groupBy("dataset").agg(F.min(short).alias("stop_at"))
-    bounds = stops.join(first_missing(pages, batch), "dataset", "full")
+    return stops.join(first_missing(pages, batch), "dataset", "left")
+
+
+def _kept(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Join the per-dataset bounds back; AQE turns this into a broadcast join at runtime when
+    the bounds table is small and splits hot datasets otherwise."""
     keep = (F.col("stop_at").isNull() | (F.col("offset") <= F.col("stop_at"))) & (
         F.col("missing_at").isNull() | (F.col("offset") < F.col("missing_at"))
     )
-    return pages.join(bounds, "dataset", "left").where(keep).drop("stop_at", "missing_at")
+    return df.join(bounds, "dataset", "left").where(keep).drop("stop_at", "missing_at")
+
+
+def truncate(parsed: DataFrame, batch: int) -> DataFrame:
+    """P1 on parsed pages: keep pages in offset order up to and including the first short
+    (or bad) page, and before the first missing page. Later pages are never read."""
+    pages = parsed.where(F.col("offset") % batch == 0)
+    return _kept(pages, stop_bounds(pages, batch))
 
 
 def strict(kept: DataFrame) -> DataFrame:
@@ -151,17 +161,29 @@ def strict(kept: DataFrame) -> DataFrame:
 
 
 def flatten(kept: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One row per record: ``dataset, offset, pos, record`` (+ any ``keep`` columns)."""
+    """One row per record: ``dataset, offset, pos, record`` (+ any ``keep`` columns).
+
+    ``posexplode_outer`` + a null filter instead of ``posexplode``: the optimizer infers a
+    ``size(rows) > 0`` filter from a plain explode and may push it (and with it the strict
+    page check) below the truncation join, which would fail on pages never read.
+    """
     extra = keep or []
-    return kept.select("dataset", "offset", *extra, F.posexplode("rows").alias("pos", "record"))
+    out = kept.select("dataset", "offset", *extra, F.posexplode_outer("rows").alias("pos", "record"))
+    return out.where(F.col("pos").isNotNull())
 
 
 def read_paged(pages: DataFrame, envelope: str, batch: int, max_skip: int | None = None,
                mode: str = "strict", stem: Column | None = None, keep: list[str] | None = None) -> DataFrame:
-    """A paged scan over stored pages: (P2) -> validate -> P1 -> strict check -> D1."""
+    """A paged scan over stored pages: (P2) -> validate -> P1 -> strict check -> D1.
+
+    Bodies are parsed once for the small per-page summary (count, error) and once more
+    only for the pages that survive truncation.
+    """
     if max_skip is not None:
         pages = cap_pages(pages, max_skip)
-    kept = truncate(parse_pages(pages, envelope, stem), batch)
+    pages = pages.where(F.col("offset") % batch == 0)
+    summary = parse_pages(pages, envelope, stem).select("dataset", "offset", "n", "page_error")
+    kept = parse_pages(_kept(pages, stop_bounds(summary, batch)), envelope, stem)
     if mode == "strict":
         kept = strict(kept)
     elif mode == "lenient":

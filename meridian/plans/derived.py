@@ -12,8 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.functions.ranking import row_index
+from meridian.session import fresh_path
 from meridian.sources.tables import table
 
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a fixture once to the shared folder and scan it back, as stored responses are
+    read in real use (and so that every branch of a plan reads the same files)."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 EVENT_FIELDS = ["event_id", "user_id", "event_type", "value", "props"]
 
 
@@ -48,7 +57,7 @@ def event_pages(
         recs.alias("recs")
     )
     body = F.to_json("recs") if envelope == "array" else F.to_json(F.struct(F.col("recs").alias("results")))
-    return pages.select("dataset", "offset", F.size("recs").alias("n"), body.alias("body"))
+    return stored(pages.select("dataset", "offset", F.size("recs").alias("n"), body.alias("body")), "event-pages")
 
 
 def conversation_pack(spark: SparkSession, sf_dir: str, chunk: int = 8) -> DataFrame:
@@ -74,7 +83,7 @@ def conversation_pack(spark: SparkSession, sf_dir: str, chunk: int = 8) -> DataF
         .otherwise(wrapped)
     )
     path = F.concat(F.lit("/api/"), F.col("stem"), F.lit(".json"))
-    return docs.select(path.alias("path"), "stem", "conv_id", "chunk", body.alias("body"))
+    return stored(docs.select(path.alias("path"), "stem", "conv_id", "chunk", body.alias("body")), "conv-docs")
 
 
 # Identifier template of catalog entries built by the fixtures.
@@ -168,7 +177,7 @@ def provider_pages(spark: SparkSession, sf_dir: str, page_size: int = 200) -> Da
         F.array_sort(F.collect_list(F.struct("c_custkey", "body"))).alias("recs"))
     body = F.concat(F.lit('{"result_count":'), F.size("recs").cast("string"), F.lit(',"results":['),
                     F.array_join(F.transform("recs", lambda x: x["body"]), ","), F.lit("]}"))
-    return pages.select("dataset", "offset", body.alias("body"))
+    return stored(pages.select("dataset", "offset", body.alias("body")), "provider-pages")
 
 
 def glossary_docs(spark: SparkSession, sf_dir: str, per_doc: int = 16) -> DataFrame:
@@ -213,8 +222,11 @@ def datastore_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
                     F.lit('"},{"identifier":"old-'), F.col("event_type"), F.lit('"}]}'))
     meta = types.select(F.col("event_type").alias("dataset_id"), body.alias("body"))
     live = event_pages(spark, sf_dir, batch=50, drop_every=97, envelope="results", dataset_prefix="live-")
-    old = event_pages(spark, sf_dir, batch=50, drop_every=None, envelope="results", dataset_prefix="old-")
-    return meta, live.unionByName(old).select("dataset", "offset", "body")
+    # a stale distribution: the live pages' first page, plus one bad page, under the old id
+    old = live.where(F.col("offset") <= 50).select(
+        F.concat(F.lit("old-"), F.expr("substr(dataset, 6)")).alias("dataset"), "offset",
+        F.when(F.col("offset") == 0, F.col("body")).otherwise(F.lit("[1, 2]")).alias("body"))
+    return meta, live.select("dataset", "offset", "body").unionByName(old)
 
 
 # ---------------------------------------------------------------- spreadsheet archives
