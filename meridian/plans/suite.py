@@ -850,3 +850,35 @@ def q_sheet_roundtrip(spark, sf_dir):
     root = fresh_path(spark, "raw")
     landing.land(table_df, root, "cms_nation_sheets", "run-1")
     return raw.read_runs(spark, root, "cms_nation_sheets")
+
+
+@query(
+    "providers_landed",
+    _SEARCH + "SELECT state, number, 2 AS n_addresses, state AS location_state, "
+    "CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE 1 END AS n_taxonomies FROM c",
+)
+def q_providers_landed(spark, sf_dir):
+    """Nested provider rows landed as nested Parquet columns and read back."""
+    found = prov.search_pages(derived.provider_pages(spark, sf_dir, page_size=50), page_size=50)
+    root = fresh_path(spark, "raw")
+    landing.land(found.drop("record", "pos"), root, "cms_nppes_providers", "run-1")
+    back = raw.read_runs(spark, root, "cms_nppes_providers")
+    return back.select(
+        F.col("dataset").alias("state"), "number", F.size("addresses").alias("n_addresses"),
+        F.col("addresses")[0]["state"].alias("location_state"), F.size("taxonomies").alias("n_taxonomies"))
+
+
+@query("csv_stream_land", ORACLES["bulk_csv_roundtrip"])
+def q_csv_stream_land(spark, sf_dir):
+    """K2 as a stream: CSV files in a drop folder landed micro-batch by micro-batch."""
+    from meridian.streaming.drop_folder import land_csv_stream
+
+    src = fresh_path(spark, "drop")
+    driver_table(spark, sf_dir, "orders").select(
+        F.lpad(F.col("o_orderkey").cast("string"), 11, "0").alias("order_ref"), "o_custkey", "o_totalprice",
+        "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
+    ).repartition(4).write.option("header", True).csv(src)
+    root = fresh_path(spark, "raw")
+    land_csv_stream(spark, src, "order_ref string, o_custkey bigint, o_totalprice double, o_orderstatus string, "
+                    "order_date date", root, "cms_orders_stream", max_files_per_trigger=2)
+    return raw.read_runs(spark, root, "cms_orders_stream")
