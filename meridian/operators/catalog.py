@@ -131,18 +131,23 @@ def first_zip(metastore: DataFrame) -> DataFrame:
 
 
 def live_ids(metastore: DataFrame) -> DataFrame:
-    """``distribution[0].identifier`` with a status per dataset (no exceptions, one row each)."""
-    v = F.try_parse_json(F.col("body"))
-    dist = F.try_variant_get(v, "$.distribution", "variant")
-    arr = F.try_variant_get(dist, "$", "array<variant>")
-    first = F.element_at(arr, 1)
-    ident = str_member(first, "identifier")
-    status = (F.when(~_is_obj(v), F.lit(NOT_OBJECT))
+    """``distribution[0].identifier`` with a status per dataset (no exceptions, one row each).
+
+    Intermediate values are staged as columns so each is computed once per row (a single
+    nested expression would re-expand the parse for every reference).
+    """
+    v = metastore.select("dataset_id", F.try_parse_json(F.col("body")).alias("_v"))
+    v = v.select("dataset_id", "_v", F.try_variant_get(F.col("_v"), "$.distribution", "array<variant>").alias("_arr"))
+    v = v.select("dataset_id", "_v", "_arr", F.try_element_at(F.col("_arr"), F.lit(1)).alias("_first"))
+    v = v.select("dataset_id", "_v", "_arr", "_first", str_member(F.col("_first"), "identifier").alias("_ident"))
+    arr, first, ident = F.col("_arr"), F.col("_first"), F.col("_ident")
+    status = (F.when(~_is_obj(F.col("_v")), F.lit(NOT_OBJECT))
               .when(arr.isNull() | (F.size(arr) == 0), F.lit(NO_DISTRIBUTIONS))
               .when(~_is_obj(first), F.lit(FIRST_NOT_OBJECT))
               .when(ident.isNull() | (ident == ""), F.lit(IDENTIFIER_MISSING))
               .otherwise(F.lit(LIVE_OK)))
-    return metastore.select("dataset_id", F.when(status == LIVE_OK, ident).alias("live_id"), status.alias("status"))
+    out = v.select("dataset_id", "_ident", status.alias("status"))
+    return out.select("dataset_id", F.when(F.col("status") == LIVE_OK, F.col("_ident")).alias("live_id"), "status")
 
 
 def match_specs(specs: DataFrame, entries: DataFrame) -> DataFrame:

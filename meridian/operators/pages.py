@@ -51,49 +51,57 @@ def _only_objects(arr: Column) -> Column:
 def parse_pages(pages: DataFrame, envelope: str, stem: Column | None = None) -> DataFrame:
     """Adds ``rows`` (array<variant> of records), ``n`` (record count) and ``page_error``.
 
-    ``stem`` is the envelope key for the "static" envelope (E8, path stem).
+    ``stem`` is the envelope key for the "static" envelope (E8, path stem). Values are
+    staged as columns (parse once, extract the record array once); the page's JSON kind
+    comes from its first non-blank character, which is exact for valid JSON and avoids
+    walking the whole page for its type. Member checks only run on the error path.
     """
     if envelope not in ENVELOPES:
         raise ValueError(f"unknown envelope {envelope!r}")
-    v = F.try_parse_json(F.col("body"))
-    df = pages.withColumn("_v", v)
-    v = F.col("_v")
+    cols = pages.columns
+    df = pages.select(*cols, F.try_parse_json(F.col("body")).alias("_v"))
+    kind = (F.when(F.col("_v").isNull(), F.lit(None))
+            .when(F.col("body").rlike("\\A[ \\t\\r\\n]*\\{"), F.lit("object"))
+            .when(F.col("body").rlike("\\A[ \\t\\r\\n]*\\["), F.lit("array"))
+            .otherwise(F.lit("scalar")))
+    extra = []
+    if envelope == "static":
+        if stem is None:
+            raise ValueError("the static envelope needs the stem column")
+        extra = [F.concat(F.lit("$['"), stem, F.lit("']")).alias("_path")]
+    df = df.select(*cols, "_v", kind.alias("_kind"), *extra)
+    v, k = F.col("_v"), F.col("_kind")
     if envelope == "array":
-        arr = _as_array(v)
-        err = (
-            F.when(v.isNull(), F.lit(MALFORMED))
-            .when(~_is(v, "ARRAY"), F.lit(PAGE_NOT_ARRAY))
-            .when(_any_non_object(arr), F.lit(ROW_NOT_OBJECT))
-        )
+        df = df.select(*cols, "_v", "_kind", F.when(k == "array", _as_array(v)).alias("_arr"))
+        arr = F.col("_arr")
+        err = (F.when(v.isNull(), F.lit(MALFORMED))
+               .when(k != "array", F.lit(PAGE_NOT_ARRAY))
+               .when(_any_non_object(arr), F.lit(ROW_NOT_OBJECT)))
         rows = arr
     elif envelope == "results":
-        member = F.try_variant_get(v, "$.results", "variant")
-        arr = F.when(member.isNull(), F.array().cast("array<variant>")).otherwise(_as_array(member))
-        err = (
-            F.when(v.isNull(), F.lit(MALFORMED))
-            .when(~_is(v, "OBJECT"), F.lit(PAGE_NOT_OBJECT))
-            .when(member.isNotNull() & ~_is(member, "ARRAY"), F.lit(RESULTS_NOT_LIST))
-            .when(_any_non_object(arr), F.lit(ROW_NOT_OBJECT))
-        )
-        rows = arr
+        df = df.select(*cols, "_v", "_kind",
+                       F.when(k == "object", F.try_variant_get(v, "$.results", "array<variant>")).alias("_arr"))
+        arr = F.col("_arr")
+        present = F.try_variant_get(v, "$.results", "variant").isNotNull()
+        err = (F.when(v.isNull(), F.lit(MALFORMED))
+               .when(k != "object", F.lit(PAGE_NOT_OBJECT))
+               .when(arr.isNull() & present, F.lit(RESULTS_NOT_LIST))
+               .when(_any_non_object(F.coalesce(arr, F.array().cast("array<variant>"))), F.lit(ROW_NOT_OBJECT)))
+        rows = F.coalesce(arr, F.array().cast("array<variant>"))
     else:
-        if stem is None:
-            raise ValueError("the static envelope needs the stem column")
-        path = F.concat(F.lit("$['"), stem, F.lit("']"))
-        member = F.expr("try_variant_get(_v, _path, 'variant')")
-        df = df.withColumn("_path", path)
-        inner = F.when(member.isNull(), F.array().cast("array<variant>")).otherwise(_as_array(member))
-        err = (
-            F.when(v.isNull(), F.lit(MALFORMED))
-            .when(_is(v, "ARRAY"), F.lit(None))
-            .when(~_is(v, "OBJECT"), F.lit(NOT_LIST_OR_OBJECT))
-            .when(member.isNotNull() & ~_is(member, "ARRAY"), F.lit(INNER_NOT_LIST))
-        )
-        rows = _only_objects(F.when(_is(v, "ARRAY"), _as_array(v)).otherwise(inner))
-    out = df.withColumn("page_error", err.cast("string")).withColumn(
-        "rows", F.when(F.col("page_error").isNull(), rows)
-    )
-    return out.withColumn("n", F.size(F.col("rows"))).drop("_v", "_path")
+        member = F.expr("try_variant_get(_v, _path, 'array<variant>')")
+        df = df.select(*cols, "_v", "_kind", "_path",
+                       F.when(k == "array", _as_array(v)).when(k == "object", member).alias("_arr"))
+        arr = F.col("_arr")
+        present = F.expr("try_variant_get(_v, _path, 'variant')").isNotNull()
+        err = (F.when(v.isNull(), F.lit(MALFORMED))
+               .when(k == "array", F.lit(None))
+               .when(k != "object", F.lit(NOT_LIST_OR_OBJECT))
+               .when(arr.isNull() & present, F.lit(INNER_NOT_LIST)))
+        rows = _only_objects(F.coalesce(arr, F.array().cast("array<variant>")))
+    out = df.select(*cols, err.cast("string").alias("page_error"), "_arr")
+    out = out.select(*cols, "page_error", F.when(F.col("page_error").isNull(), rows).alias("rows"))
+    return out.withColumn("n", F.size(F.col("rows")))
 
 
 def validate_pages(pages: DataFrame, envelope: str, stem: Column | None = None) -> DataFrame:

@@ -119,7 +119,7 @@ def metastore_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = _dist_lists(spark, sf_dir)
     body = F.concat(F.lit('{"identifier":"'), F.col("ds"), F.lit('","title":"Dataset '), F.col("ds"),
                     F.lit('","distribution":'), F.col("dist_json"), F.lit("}"))
-    return lists.select(F.col("ds").alias("dataset_id"), body.alias("body"))
+    return stored(lists.select(F.col("ds").alias("dataset_id"), body.alias("body")), "metastore")
 
 
 def catalog_docs(spark: SparkSession, sf_dir: str, per_doc: int = 10) -> DataFrame:
@@ -134,7 +134,7 @@ def catalog_docs(spark: SparkSession, sf_dir: str, per_doc: int = 10) -> DataFra
     shard = (F.col("ds_num") / per_doc).cast("bigint")
     docs = lists.groupBy(shard.alias("doc")).agg(F.array_sort(F.collect_list(F.struct("ds_num", entry.alias("e")))).alias("es"))
     body = F.concat(F.lit('{"dataset":['), F.array_join(F.transform("es", lambda x: x["e"]), ","), F.lit(",7]}"))
-    return docs.select((-F.col("doc")).alias("doc_seq"), body.alias("body"))
+    return stored(docs.select((-F.col("doc")).alias("doc_seq"), body.alias("body")), "catalog")
 
 
 def provider_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +149,7 @@ def provider_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for t in ("customer", "nation"):
         table(spark, sf_dir, t).createOrReplaceTempView(t)
-    return spark.sql(fixtures.provider_rows()).select(
+    return stored(spark.sql(fixtures.provider_rows()).select(
         "c_custkey", "state", "enumeration_type",
         F.to_json(F.struct(
             F.col("number"), F.col("enumeration_type"),
@@ -165,7 +165,7 @@ def provider_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.lit(True).alias("primary")))).alias("taxonomies"),
             F.array(F.struct(F.col("c_name").alias("name"))).alias("other_names"),
         )).alias("body"),
-    )
+    ), "provider-records")
 
 
 def provider_pages(spark: SparkSession, sf_dir: str, page_size: int = 200) -> DataFrame:
@@ -193,7 +193,7 @@ def glossary_docs(spark: SparkSession, sf_dir: str, per_doc: int = 16) -> DataFr
     docs = d.groupBy(shard.alias("shard")).agg(F.array_sort(F.collect_list(F.struct("doc_id", term.alias("t")))).alias("ts"))
     arr = F.to_json(F.transform("ts", lambda x: x["t"]))
     body = F.when(F.col("shard") % 2 == 0, arr).otherwise(F.concat(F.lit('{"glossary":'), arr, F.lit("}")))
-    return docs.select(F.lit("/api/glossary.json").alias("path"), "shard", body.alias("body"))
+    return stored(docs.select(F.lit("/api/glossary.json").alias("path"), "shard", body.alias("body")), "glossary")
 
 
 def article_docs(spark: SparkSession, sf_dir: str, per_doc: int = 16) -> DataFrame:
@@ -210,7 +210,7 @@ def article_docs(spark: SparkSession, sf_dir: str, per_doc: int = 16) -> DataFra
     docs = p.groupBy(shard.alias("shard")).agg(F.array_sort(F.collect_list(F.struct("page_id", art.alias("a")))).alias("xs"))
     arr = F.to_json(F.transform("xs", lambda x: x["a"]))
     body = F.when(F.col("shard") % 2 == 0, arr).otherwise(F.concat(F.lit('{"articles":'), arr, F.lit("}")))
-    return docs.select(F.lit("/api/articles.json").alias("path"), "shard", body.alias("body"))
+    return stored(docs.select(F.lit("/api/articles.json").alias("path"), "shard", body.alias("body")), "articles")
 
 
 def datastore_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -220,7 +220,7 @@ def datastore_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     body = F.concat(F.lit('{"identifier":"'), F.col("event_type"), F.lit('","title":"Events '), F.col("event_type"),
                     F.lit('","distribution":[{"identifier":"live-'), F.col("event_type"),
                     F.lit('"},{"identifier":"old-'), F.col("event_type"), F.lit('"}]}'))
-    meta = types.select(F.col("event_type").alias("dataset_id"), body.alias("body"))
+    meta = stored(types.select(F.col("event_type").alias("dataset_id"), body.alias("body")), "metastore")
     live = event_pages(spark, sf_dir, batch=50, drop_every=97, envelope="results", dataset_prefix="live-")
     # a stale distribution: the live pages' first page, plus one bad page, under the old id
     old = live.where(F.col("offset") <= 50).select(
@@ -329,5 +329,5 @@ def sheet_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     built by a Spark job as ``(path, content)`` rows."""
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return nations.select("n_nationkey", "n_name", "n_regionkey", "r_name").groupBy("n_regionkey").applyInPandas(
-        _region_archive, "path string, content binary")
+    return stored(nations.select("n_nationkey", "n_name", "n_regionkey", "r_name").groupBy("n_regionkey").applyInPandas(
+        _region_archive, "path string, content binary"), "archives")
