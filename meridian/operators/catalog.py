@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.functions.ranking import broadcast_if_small
 from meridian.functions.text import year_prefix
 
 # Fixed values used by the resolvers.
@@ -168,7 +169,7 @@ def match_specs(specs: DataFrame, entries: DataFrame) -> DataFrame:
         F.explode(F.transform(F.sequence(F.lit(1), F.length("_tail")),
                               lambda i: F.substring(F.col("_tail"), 1, i))).alias("dataset_id"),
     ).where(F.length("dataset_id") > 0).distinct()
-    hits = specs.join(prefixes, "dataset_id")
+    hits = prefixes.join(broadcast_if_small(specs.select("key", "dataset_id")), "dataset_id")
     first = F.min_by(F.struct("doc_seq", "pos", "identifier"), F.struct("doc_seq", "pos"))
     return hits.groupBy("key", "dataset_id").agg(first.alias("_m")).select(
         "key", "dataset_id", F.col("_m.doc_seq").alias("doc_seq"), F.col("_m.pos").alias("pos"),

@@ -305,7 +305,7 @@ _DOCS = "WITH d AS (SELECT DISTINCT conv_id, CAST(floor(turn / 8) AS BIGINT) AS
 )
 def q_strict_page_errors(spark, sf_dir):
     """Page-shape violations per envelope, as a report instead of an exception."""
-    docs = _conv_docs(spark, sf_dir).cache()
+    docs = _conv_docs(spark, sf_dir)
     out = None
     for env in ("array", "results", "static"):
         stem = path_stem(F.col("path")) if env == "static" else None
@@ -354,7 +354,7 @@ _MATCH = (
 def _year_matches(spark, sf_dir):
     register(spark, sf_dir, "nation")
     reqs = spark.sql(fixtures.year_requests())
-    entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir)).cache()
+    entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir))
     matched = cat.match_specs(reqs.select("key", "dataset_id"), entries)
     csv = cat.csv_distributions(cat.distributions(entries, ["doc_seq", "pos", "identifier"]))
     csv_k = csv.join(matched.select("key", "doc_seq", "pos"), ["doc_seq", "pos"])

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridian.session import fresh_path
+
 HEADER_ROW = 2
 ROWS_SCHEMA = "path string, row_no int, cells array<string>, error string"
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -165,11 +167,15 @@ def read_sheets(spark: SparkSession, archives: DataFrame, fail_on_error: bool =
     All archives of one dataset must share the header; its names are collected once
     (one row, metadata only) to build the positional projection ``cells[i] AS header[i]``.
     """
-    rows = sheet_rows(archives).cache()
+    # the parsed rows are written once to the shared folder: later steps (error check,
+    # header, data) scan them instead of re-opening archives, and a lost executor costs
+    # a re-read of files, not a re-parse of every archive
+    path = fresh_path(spark, "sheet-rows")
+    sheet_rows(archives).write.parquet(path)
+    rows = spark.read.parquet(path)
     if fail_on_error:
         bad = archive_errors(rows).limit(1).collect()
         if bad:
-            rows.unpersist()
             raise RuntimeError(f"{bad[0]['path']}: {bad[0]['error']}")
     shape = _shape(rows.where(F.col("error").isNull()))
     headers = shape.select(F.slice("header", 1, F.col("width")).alias("h")).distinct().collect()
