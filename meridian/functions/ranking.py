@@ -8,6 +8,7 @@ small per-bucket summaries through the per-group step.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +28,13 @@ def row_index(
     """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = sorted(set(df.approxQuantile(order_col, [i / n for i in range(1, n)], 0.001))) if n > 1 else []
-    key = F.col(order_col)
-    bucket = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= key)) if bounds else F.lit(0)
-    keyed = df.withColumn("_bucket", bucket)
+    if bounds:
+        # binary search over the split points, JVM side: O(log buckets) per row
+        splits = [float("-inf"), *[float(b) for b in bounds], float("inf")]
+        keyed = Bucketizer(splits=splits, inputCol=order_col, outputCol="_b", handleInvalid="keep").transform(df)
+        keyed = keyed.withColumn("_bucket", F.col("_b").cast("int")).drop("_b")
+    else:
+        keyed = df.withColumn("_bucket", F.lit(0))
     counts = keyed.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(*group_cols, "_bucket", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_base"))

@@ -539,14 +539,14 @@ def q_load_plan(spark, sf_dir):
     return sp.load_plan(_specs(spark, sf_dir))
 
 
-_NPPES_EXTRA = ("cms_nppes_providers", "Organizations swept state by state", "ds_1")
+_SWEEP_EXTRA = ("cms_nppes_providers", "Organizations swept state by state", "ds_1")
 
 
 @query(
     "sources_in_sync",
     f"WITH s AS ({fixtures.specs()}),\n"
     "e AS (SELECT concat('cms_', key) AS name, description FROM s UNION ALL "
-    f"SELECT '{_NPPES_EXTRA[0]}', '{_NPPES_EXTRA[1]}' FROM s WHERE key = '{_NPPES_EXTRA[2]}'),\n"
+    f"SELECT '{_SWEEP_EXTRA[0]}', '{_SWEEP_EXTRA[1]}' FROM s WHERE key = '{_SWEEP_EXTRA[2]}'),\n"
     f"dd AS ({fixtures.declared_sources()})\n"
     "SELECT name, description, 'missing_from_sources' AS problem FROM "
     "(SELECT name, description FROM e EXCEPT ALL SELECT name, description FROM dd) a\n"
@@ -556,7 +556,7 @@ _NPPES_EXTRA = ("cms_nppes_providers", "Organizations swept state by state", "ds
 def q_sources_in_sync(spark, sf_dir):
     """K10+V9: the registered source list against the registry projection, both directions."""
     specs = _specs(spark, sf_dir)
-    extras = spark.createDataFrame([_NPPES_EXTRA], "name string, description string, after_key string")
+    extras = spark.createDataFrame([_SWEEP_EXTRA], "name string, description string, after_key string")
     expected = sp.source_table(specs, extras)
     declared = spark.sql(fixtures.declared_sources())
     return sp.sources_diff(declared, expected)
