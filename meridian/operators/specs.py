@@ -83,6 +83,22 @@ def specs_from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return scan_specs(spark.createDataFrame(data, SPEC_SCHEMA))
 
 
+def load_spec_file(spark: SparkSession, path: str) -> DataFrame:
+    """A TOML spec file (``[[dataset]]`` tables) -> specs in file order.
+
+    The file is a few dozen rows and is parsed on the driver with the standard library;
+    a missing ``dataset`` array gives zero rows, a non-array raises ``TypeError``.
+    """
+    import tomllib
+
+    with open(path, "rb") as fh:
+        loaded = tomllib.load(fh)
+    entries = loaded.get("dataset", [])
+    if not isinstance(entries, list):
+        raise TypeError(f"{path}: expected a [[dataset]] array, got {type(entries).__name__}")
+    return specs_from_rows(spark, entries)
+
+
 def _rules(spark: SparkSession) -> DataFrame:
     rows = [(src, f, "required") for src, (req, _) in FIELD_RULES.items() for f in req]
     rows += [(src, f, "forbidden") for src, (_, forb) in FIELD_RULES.items() for f in forb]

@@ -83,3 +83,24 @@ def test_sources_table_and_sync(spark):
                                      "name string, description string")
     diff = {(r.name, r.problem) for r in sp.sources_diff(declared, sp.source_table(df, extras)).collect()}
     assert diff == {("cms_b", "missing_from_sources"), ("cms_old", "not_in_registry")}
+
+
+def test_spec_file_variants(spark, tmp_root):
+    import os
+
+    d = tmp_root.replace("file:", "")
+    os.makedirs(d, exist_ok=True)
+    one = f"{d}/one.toml"
+    with open(one, "w") as fh:
+        fh.write('[[dataset]]\nkey = "a"\nsource = "socrata"\ndescription = "d"\ngroup = "g"\ndataset_id = "x"\nyear = 2024\n')
+    empty = f"{d}/empty.toml"
+    with open(empty, "w") as fh:
+        fh.write("")
+    bad = f"{d}/bad.toml"
+    with open(bad, "w") as fh:
+        fh.write('dataset = "nope"\n')
+    rows = sp.load_spec_file(spark, one).collect()
+    assert [(r.key, r.year, r.domain) for r in rows] == [("a", 2024, "data.cms.gov")]
+    assert sp.load_spec_file(spark, empty).count() == 0
+    with pytest.raises(TypeError):
+        sp.load_spec_file(spark, bad)
