@@ -62,10 +62,3 @@ def first_n(df: DataFrame, group_cols: list[str], order_cols: list[str], n: int,
         .where(F.col("_rn") <= n)
         .drop("_salt", "_r1")
     )
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only after checking the row count; otherwise leave the join to AQE."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.ranking import broadcast_if_small
+from meridian.functions.joins import broadcast_if_small
 from meridian.functions.text import year_prefix
 
 # Fixed values used by the resolvers.

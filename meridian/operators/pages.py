@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.functions.joins import salted_join
+
 # Envelopes: "array" = bare JSON array of objects (paged catalog API, strict);
 # "results" = object whose "results" member (default empty) is an array of objects
 # (datastore and provider search APIs, strict); "static" = bare array, or object whose
@@ -144,12 +146,14 @@ def stop_bounds(summary: DataFrame, batch: int) -> DataFrame:
 
 
 def _kept(df: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Join the per-dataset bounds back; AQE turns this into a broadcast join at runtime when
-    the bounds table is small and splits hot datasets otherwise."""
+    """Join the per-dataset bounds (one row per dataset) back to the pages. The join is
+    salted by page offset, so a dataset holding most pages still spreads over many tasks
+    (AQE may also turn it into a broadcast at runtime)."""
     keep = (F.col("stop_at").isNull() | (F.col("offset") <= F.col("stop_at"))) & (
         F.col("missing_at").isNull() | (F.col("offset") < F.col("missing_at"))
     )
-    return df.join(bounds, "dataset", "left").where(keep).drop("stop_at", "missing_at")
+    joined = salted_join(df, bounds, ["dataset"], "left", spread=F.col("offset"))
+    return joined.where(keep).drop("stop_at", "missing_at")
 
 
 def truncate(parsed: DataFrame, batch: int) -> DataFrame:

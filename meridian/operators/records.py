@@ -98,7 +98,7 @@ def infer_schema(records: DataFrame, record_col: str = "record", mode: str = "un
     if mode == "first":
         if not order_cols:
             raise ValueError("mode='first' needs order_cols")
-        first = objects.agg(F.min_by(F.to_json(rec), F.struct(*order_cols)).alias("j")).first()["j"]
+        first = objects.agg(F.to_json(F.min_by(rec, F.struct(*order_cols))).alias("j")).first()["j"]
         wanted = list(json.loads(first).keys())
         fields = [(n, t) for n, t in fields if n.strip("`") in wanted]
     body = ", ".join(f"{n}: {'STRING' if t.strip() == 'VARIANT' else t}" for n, t in fields)

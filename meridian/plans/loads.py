@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridian.functions.joins import salted_join
 from meridian.operators import catalog as cat
 from meridian.operators import pages as pg
 from meridian.operators import records as rec
@@ -36,7 +37,7 @@ def read_source(spark: SparkSession, row, store: str) -> DataFrame:
             meta = static_json.read_documents(spark, f"{base}/metastore.json").select(
                 F.lit(row["key"]).alias("dataset_id"), "body")
             live = cat.live_ids(meta).where(F.col("status") == cat.LIVE_OK).select(F.col("live_id").alias("dataset"))
-            pages = pages.join(live, "dataset", "left_semi")
+            pages = salted_join(pages, live, ["dataset"], "left_semi", spread=F.col("offset"))
         return rec.to_table(pg.read_paged(pages, envelope, batch), "record")
     if loader == "static_json":
         return rec.to_table(static_json.static_records(static_json.read_documents(spark, f"{base}/*.json")), "record")

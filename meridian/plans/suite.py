@@ -317,6 +317,7 @@ def q_strict_page_errors(spark, sf_dir):
 
 # ---------------------------------------------------------------- catalog resolution
 
+from meridian.functions.joins import salted_join  # noqa: E402
 from meridian.operators import catalog as cat  # noqa: E402
 
 _DISTS = f"WITH d AS ({fixtures.part_distributions()}),\n"
@@ -690,7 +691,8 @@ def q_dkan_dataset(spark, sf_dir):
     """Resolve each dataset's live distribution (R7), then page its datastore."""
     meta, pages = derived.datastore_fixture(spark, sf_dir)
     live = cat.live_ids(meta).where(F.col("status") == cat.LIVE_OK)
-    mine = pages.join(live.select(F.col("live_id").alias("dataset"), "dataset_id"), "dataset")
+    mine = salted_join(pages, live.select(F.col("live_id").alias("dataset"), "dataset_id"), ["dataset"], "inner",
+                       spread=F.col("offset"))
     flat = pg.read_paged(mine, "results", batch=50, keep=["dataset_id"])
     return _event_cols(flat.drop("dataset").withColumnRenamed("dataset_id", "dataset"))
 
