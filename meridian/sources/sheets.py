@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridian.functions.joins import salted_join
 from meridian.session import fresh_path
 
 HEADER_ROW = 2
@@ -154,7 +155,8 @@ def _shape(rows: DataFrame) -> DataFrame:
         F.when(F.array_position(F.transform("cells", _blank), True) == 0, F.size("cells"))
         .otherwise(F.array_position(F.transform("cells", _blank), True) - 1).cast("int").alias("width"),
     )
-    data = rows.where(F.col("row_no") > HEADER_ROW).join(header.select("path", "width"), "path")
+    data = salted_join(rows.where(F.col("row_no") > HEADER_ROW), header.select("path", "width"), ["path"], "inner",
+                       spread=F.col("row_no"))
     empty = F.when(F.forall(F.slice(F.concat(F.col("cells"), F.array_repeat(F.lit(None).cast("string"), 1)),
                                     1, F.greatest(F.col("width"), F.lit(1))), _blank), F.col("row_no"))
     stops = data.groupBy("path").agg(F.min(empty).alias("stop_at"))
@@ -182,8 +184,9 @@ def read_sheets(spark: SparkSession, archives: DataFrame, fail_on_error: bool =
     if len(headers) != 1:
         raise RuntimeError(f"archives disagree on the header: {[h['h'] for h in headers]}")
     names = headers[0]["h"]
-    data = rows.where(F.col("row_no") > HEADER_ROW).join(shape.select("path", "stop_at"), "path").where(
-        F.col("stop_at").isNull() | (F.col("row_no") < F.col("stop_at")))
+    # one archive can hold a million rows: the per-archive table is joined back salted
+    data = salted_join(rows.where(F.col("row_no") > HEADER_ROW), shape.select("path", "stop_at"), ["path"], "inner",
+                       spread=F.col("row_no")).where(F.col("stop_at").isNull() | (F.col("row_no") < F.col("stop_at")))
     return data.select(*[F.get(F.col("cells"), i).alias(name) for i, name in enumerate(names)])
 
 
