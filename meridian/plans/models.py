@@ -19,9 +19,13 @@ def ephemeral(df: DataFrame) -> DataFrame:
 
 
 def table(df: DataFrame, schema: str, name: str, location: str | None = None) -> DataFrame:
-    """K9: a materialized table in its own schema (database), stored under the shared dir."""
+    """K9: a materialized table in its own schema (database), stored under the shared dir.
+
+    The table is external (explicit path), so a rebuild overwrites its files even when the
+    catalog is a fresh session's (no persistent metastore) and the files already exist.
+    """
     spark: SparkSession = df.sparkSession
     where = location or f"{shared_dir(spark)}/warehouse/{schema}.db"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{where}'")
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"`{schema}`.`{name}`")
+    df.write.mode("overwrite").format("parquet").option("path", f"{where}/{name}").saveAsTable(f"`{schema}`.`{name}`")
     return spark.table(f"`{schema}`.`{name}`")

@@ -1,886 +1,7 @@
 """Registered queries (Spark) and their SQL oracles, keyed by the same names.
 
 Every query reads the driver tables at ``sf_dir`` (or data Spark derives from them)
-and runs over whole tables. Oracles are plain SQL over the same tables.
+and runs over whole tables. The queries live in ``meridian.plans.queries`` by area.
 """
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from meridian.functions.casts import blank_to_null, lenient_int, y_only, yes_no
-from meridian.operators import quality
-from meridian.operators.conform import HOSPITAL_COLUMNS, conform_hospitals
-from meridian.plans import fixtures
-from meridian.sources.tables import register
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, oracle: str | None = None):
-    def wrap(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return wrap
-
-
-# ---------------------------------------------------------------- staging model and data tests
-
-
-def _oracle_rule(rule: str, raw: str) -> str:
-    return {
-        "copy": raw,
-        "trim": f"trim({raw})",
-        "blank_to_null": f"nullif(trim({raw}), '')",
-        "int": f"try_cast({raw} AS INTEGER)",
-        "yes_no": f"CASE WHEN {raw} = 'Yes' THEN true WHEN {raw} = 'No' THEN false END",
-        "y_only": f"CASE WHEN {raw} = 'Y' THEN true END",
-    }[rule]
-
-
-def _oracle_staging(raw_sql: str) -> str:
-    cols = ",\n  ".join(f"{_oracle_rule(rule, raw)} AS {out}" for out, raw, rule in HOSPITAL_COLUMNS)
-    return f"WITH source AS ({raw_sql}),\nstaged AS (SELECT\n  {cols}\nFROM source)\n"
-
-
-def facilities(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    register(spark, sf_dir, "supplier", "nation")
-    return conform_hospitals(spark.sql(fixtures.raw_facilities(dirty)))
-
-
-@query("conform_facilities", _oracle_staging(fixtures.raw_facilities()) + "SELECT * FROM staged")
-def q_conform_facilities(spark, sf_dir):
-    return facilities(spark, sf_dir)
-
-
-@query(
-    "safe_int_cast",
-    f"SELECT l_orderkey, l_linenumber, v_text, try_cast(v_text AS INTEGER) AS v_int FROM ({fixtures.int_text()}) t",
-)
-def q_safe_int_cast(spark, sf_dir):
-    register(spark, sf_dir, "lineitem")
-    return spark.sql(fixtures.int_text()).withColumn("v_int", lenient_int("v_text"))
-
-
-@query(
-    "blank_to_null",
-    f"SELECT o_orderkey, priority_raw, nullif(trim(priority_raw), '') AS priority FROM ({fixtures.padded_priority()}) t",
-)
-def q_blank_to_null(spark, sf_dir):
-    register(spark, sf_dir, "orders")
-    return spark.sql(fixtures.padded_priority()).withColumn("priority", blank_to_null("priority_raw"))
-
-
-@query(
-    "flag_yes_no",
-    "SELECT o_orderkey, status_raw, CASE WHEN status_raw = 'Yes' THEN true WHEN status_raw = 'No' THEN false END"
-    f" AS is_flagged FROM ({fixtures.status_flags()}) t",
-)
-def q_flag_yes_no(spark, sf_dir):
-    register(spark, sf_dir, "orders")
-    return spark.sql(fixtures.status_flags()).withColumn("is_flagged", yes_no("status_raw"))
-
-
-@query(
-    "flag_y_only",
-    f"SELECT p_partkey, flag_raw, CASE WHEN flag_raw = 'Y' THEN true END AS is_flagged FROM ({fixtures.brand_flags()}) t",
-)
-def q_flag_y_only(spark, sf_dir):
-    register(spark, sf_dir, "part")
-    return spark.sql(fixtures.brand_flags()).withColumn("is_flagged", y_only("flag_raw"))
-
-
-@query(
-    "dq_not_null",
-    _oracle_staging(fixtures.raw_facilities(True))
-    + "SELECT 'not_null_facility_id' AS test_name, facility_id, city FROM staged WHERE facility_id IS NULL\n"
-    "UNION ALL SELECT 'not_null_zip5' AS test_name, facility_id, city FROM staged WHERE zip5 IS NULL",
-)
-def q_dq_not_null(spark, sf_dir):
-    staged = facilities(spark, sf_dir, dirty=True).select("facility_id", "zip5", "city")
-    a = quality.not_null(staged, "facility_id").select(F.lit("not_null_facility_id").alias("test_name"), "facility_id", "city")
-    b = quality.not_null(staged, "zip5").select(F.lit("not_null_zip5").alias("test_name"), "facility_id", "city")
-    return a.unionByName(b)
-
-
-@query(
-    "dq_unique",
-    "SELECT l_orderkey AS unique_field, count(*) AS n_records FROM lineitem "
-    "WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey HAVING count(*) > 1",
-)
-def q_dq_unique(spark, sf_dir):
-    register(spark, sf_dir, "lineitem")
-    return quality.unique(spark.table("lineitem"), "l_orderkey")
-
-
-@query(
-    "dq_regex",
-    f"SELECT c_custkey, zip5 FROM ({fixtures.zip_text()}) t WHERE NOT regexp_matches(zip5, '^\\d{{5}}$')",
-)
-def q_dq_regex(spark, sf_dir):
-    register(spark, sf_dir, "customer")
-    return quality.match_regex(spark.sql(fixtures.zip_text()), "zip5", "^\\d{5}$")
-
-
-@query("dq_range", "SELECT p_partkey, p_size FROM part WHERE NOT (p_size >= 1 AND p_size <= 40)")
-def q_dq_range(spark, sf_dir):
-    register(spark, sf_dir, "part")
-    return quality.accepted_range(spark.table("part"), "p_size", 1, 40).select("p_partkey", "p_size")
-
-
-_TAX_EXPR = "l_discount <= l_tax or l_discount is null or l_tax is null"
-
-
-@query(
-    "dq_expression",
-    f"SELECT l_orderkey, l_linenumber FROM ({fixtures.nullable_tax()}) t WHERE NOT ({_TAX_EXPR})",
-)
-def q_dq_expression(spark, sf_dir):
-    register(spark, sf_dir, "lineitem")
-    return quality.expression_is_true(spark.sql(fixtures.nullable_tax()), _TAX_EXPR).select(
-        "l_orderkey", "l_linenumber"
-    )
-
-
-def _oracle_report() -> str:
-    mort = quality.HOSPITAL_TESTS[-1].params["expression"]
-    return _oracle_staging(fixtures.raw_facilities(True)) + (
-        "SELECT 'not_null_facility_id' AS test_name, count(*) AS failures FROM staged WHERE facility_id IS NULL\n"
-        "UNION ALL SELECT 'unique_facility_id', count(*) FROM (SELECT facility_id FROM staged "
-        "WHERE facility_id IS NOT NULL GROUP BY facility_id HAVING count(*) > 1) u\n"
-        "UNION ALL SELECT 'not_null_zip5', count(*) FROM staged WHERE zip5 IS NULL\n"
-        "UNION ALL SELECT 'match_regex_zip5', count(*) FROM staged WHERE NOT regexp_matches(zip5, '^\\d{5}$')\n"
-        "UNION ALL SELECT 'accepted_range_hospital_overall_rating', count(*) FROM staged "
-        "WHERE NOT (hospital_overall_rating >= 1 AND hospital_overall_rating <= 5)\n"
-        f"UNION ALL SELECT 'expression_is_true_mort_counts', count(*) FROM staged WHERE NOT ({mort})"
-    )
-
-
-@query("dq_report", _oracle_report())
-def q_dq_report(spark, sf_dir):
-    return quality.run_tests(facilities(spark, sf_dir, dirty=True), quality.HOSPITAL_TESTS)
-
-
-# ---------------------------------------------------------------- flagship
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conform the raw hospital table, land it as a run, read all runs back, run the data tests."""
-    import uuid
-
-    from meridian.session import fresh_path
-    from meridian.sinks.landing import land
-    from meridian.sources.raw import read_runs
-
-    register(spark, sf_dir, "supplier", "nation")
-    root = fresh_path(spark, "raw")
-    raw = spark.sql(fixtures.raw_facilities(dirty=True))
-    land(raw, root, "cms_hospital_general_information", f"run-{uuid.uuid4().hex[:8]}")
-    staged = conform_hospitals(read_runs(spark, root, "cms_hospital_general_information"))
-    return quality.run_tests(staged, quality.HOSPITAL_TESTS)
-
-
-# ---------------------------------------------------------------- paged scans
-
-from meridian.functions.text import path_stem  # noqa: E402
-from meridian.operators import pages as pg  # noqa: E402
-from meridian.operators import records as rec  # noqa: E402
-from meridian.plans import derived  # noqa: E402
-
-
-def _event_cols(df: DataFrame) -> DataFrame:
-    r = F.col("record")
-    return df.select(
-        F.col("dataset").alias("event_type"),
-        F.col("offset").alias("page_offset"),
-        F.variant_get(r, "$.event_id", "bigint").alias("event_id"),
-        F.variant_get(r, "$.user_id", "bigint").alias("user_id"),
-    )
-
-
-_RANKED = (
-    "WITH r AS (SELECT event_id, event_type, user_id, value, props, "
-    "row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS rk FROM events)"
-)
-_TRUNCATED = (
-    _RANKED + ",\np AS (SELECT event_type, CAST(floor(rk / 50) AS BIGINT) * 50 AS page_offset, event_id, user_id, "
-    "value, props FROM r WHERE event_id % 97 <> 0),\n"
-    "n AS (SELECT event_type, page_offset, count(*) AS n FROM p GROUP BY event_type, page_offset),\n"
-    "s AS (SELECT event_type, min(page_offset) AS stop_at FROM n WHERE n < 50 GROUP BY event_type),\n"
-    "kept AS (SELECT p.* FROM p LEFT JOIN s ON p.event_type = s.event_type "
-    "WHERE s.stop_at IS NULL OR p.page_offset <= s.stop_at)\n"
-)
-
-
-@query("pages_truncate", _TRUNCATED + "SELECT event_type, page_offset, event_id, user_id FROM kept")
-def q_pages_truncate(spark, sf_dir):
-    pages = derived.event_pages(spark, sf_dir, batch=50, drop_every=97).select("dataset", "offset", "body")
-    return _event_cols(pg.read_paged(pages, "array", batch=50))
-
-
-_CAPPED = (
-    _RANKED + ",\nc AS (SELECT event_type, event_id FROM r WHERE rk < 1200)\n"
-)
-
-
-@query("pages_cap", _CAPPED + "SELECT event_type, event_id FROM c")
-def q_pages_cap(spark, sf_dir):
-    pages = derived.event_pages(spark, sf_dir, batch=200, drop_every=None).select("dataset", "offset", "body")
-    out = _event_cols(pg.read_paged(pages, "array", batch=200, max_skip=1000))
-    return out.select("event_type", "event_id")
-
-
-@query("sweep_counts", _CAPPED + "SELECT event_type, count(*) AS n_rows FROM c GROUP BY event_type")
-def q_sweep_counts(spark, sf_dir):
-    """Per-scan row counts of a capped sweep (one aggregate over the flattened rows)."""
-    return q_pages_cap(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-@query(
-    "page_holes",
-    _RANKED + ",\np AS (SELECT DISTINCT event_type, CAST(floor(rk / 50) AS BIGINT) AS pg FROM r),\n"
-    "present AS (SELECT event_type, pg FROM p WHERE pg % 13 <> 7),\n"
-    "lst AS (SELECT event_type, max(pg) AS last_pg FROM present GROUP BY event_type),\n"
-    "ex AS (SELECT event_type, unnest(generate_series(0, last_pg)) AS pg FROM lst)\n"
-    "SELECT ex.event_type, ex.pg * 50 AS missing_offset FROM ex WHERE NOT EXISTS "
-    "(SELECT 1 FROM present q WHERE q.event_type = ex.event_type AND q.pg = ex.pg)",
-)
-def q_page_holes(spark, sf_dir):
-    pages = derived.event_pages(spark, sf_dir, batch=50, drop_every=None, hole_every=13)
-    return pg.page_holes(pages, batch=50).select(F.col("dataset").alias("event_type"), "missing_offset")
-
-
-@query(
-    "socrata_dataset",
-    _TRUNCATED + "SELECT event_type, event_id, user_id, value, props FROM kept",
-)
-def q_socrata_dataset(spark, sf_dir):
-    """I2 end to end: bare-array pages -> validate -> truncate -> flatten -> inferred table."""
-    pages = derived.event_pages(spark, sf_dir, batch=50, drop_every=97).select("dataset", "offset", "body")
-    records = pg.read_paged(pages, "array", batch=50)
-    table = rec.to_table(records, "record")
-    return table.select("event_type", "event_id", "user_id", "value", "props")
-
-
-def _conv_docs(spark, sf_dir):
-    docs = derived.conversation_pack(spark, sf_dir)
-    return docs.select(F.col("path").alias("dataset"), F.lit(0).cast("bigint").alias("offset"), "body",
-                       "conv_id", "chunk", "path")
-
-
-@query(
-    "envelope_rows",
-    "SELECT conv_id, turn, role FROM conversations WHERE conv_id % 50 <> 0",
-)
-def q_envelope_rows(spark, sf_dir):
-    """Static documents, bare or wrapped under the path stem; junk dropped."""
-    parsed = pg.parse_pages(_conv_docs(spark, sf_dir), "static", stem=path_stem(F.col("path")))
-    good = parsed.where(F.col("page_error").isNull())
-    flat = pg.flatten(good, keep=["conv_id"])
-    r = F.col("record")
-    return flat.select("conv_id", F.variant_get(r, "$.turn", "bigint").alias("turn"),
-                       F.variant_get(r, "$.role", "string").alias("role"))
-
-
-_DOCS = "WITH d AS (SELECT DISTINCT conv_id, CAST(floor(turn / 8) AS BIGINT) AS chunk FROM conversations)\n"
-
-
-@query(
-    "strict_page_errors",
-    _DOCS + "SELECT * FROM (\n"
-    "SELECT 'array' AS envelope, conv_id, chunk, CASE WHEN conv_id % 50 = 0 OR conv_id % 2 = 1 "
-    "THEN 'page_not_array' WHEN conv_id % 5 = 0 THEN 'row_not_object' END AS page_error FROM d\n"
-    "UNION ALL SELECT 'results', conv_id, chunk, CASE WHEN conv_id % 2 = 0 AND conv_id % 50 <> 0 "
-    "THEN 'page_not_object' END FROM d\n"
-    "UNION ALL SELECT 'static', conv_id, chunk, CASE WHEN conv_id % 50 = 0 THEN 'inner_not_list' END FROM d\n"
-    ") x WHERE page_error IS NOT NULL",
-)
-def q_strict_page_errors(spark, sf_dir):
-    """Page-shape violations per envelope, as a report instead of an exception."""
-    docs = _conv_docs(spark, sf_dir)
-    out = None
-    for env in ("array", "results", "static"):
-        stem = path_stem(F.col("path")) if env == "static" else None
-        bad = pg.parse_pages(docs, env, stem).where(F.col("page_error").isNotNull())
-        part = bad.select(F.lit(env).alias("envelope"), "conv_id", "chunk", "page_error")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-# ---------------------------------------------------------------- catalog resolution
-
-from meridian.functions.joins import salted_join  # noqa: E402
-from meridian.operators import catalog as cat  # noqa: E402
-
-_DISTS = f"WITH d AS ({fixtures.part_distributions()}),\n"
-_IDENT = "concat('https://data.example.org/data-api/v1/dataset/', ds, '/data-viewer')"
-_CSV = (
-    _DISTS + "c AS (SELECT ds, ds_num, p_partkey, url, try_cast(substr(temporal, 1, 4) AS INTEGER) AS year FROM d "
-    "WHERE ds_num % 9 <> 4 AND media_type = 'text/csv' AND length(url) > 0 "
-    "AND regexp_matches(temporal, '^[0-9]{4}'))"
-)
-
-
-def _catalog_csv(spark, sf_dir):
-    entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir))
-    return cat.csv_distributions(cat.distributions(entries, ["doc_seq", "pos", "identifier"]))
-
-
-@query(
-    "catalog_latest",
-    _CSV + ",\nr AS (SELECT *, row_number() OVER (PARTITION BY ds ORDER BY year DESC, p_partkey DESC) AS rn FROM c)\n"
-    f"SELECT {_IDENT} AS identifier, year, url FROM r WHERE rn = 1",
-)
-def q_catalog_latest(spark, sf_dir):
-    return cat.latest_csv(_catalog_csv(spark, sf_dir), ["doc_seq", "pos", "identifier"]).select(
-        "identifier", "year", "url")
-
-
-# first catalog entry (shard descending, then id ascending) whose id starts with the requested id
-_MATCH = (
-    "m AS (SELECT q.key, q.dataset_id, q.year, d2.ds, row_number() OVER (PARTITION BY q.key "
-    "ORDER BY CAST(floor(d2.ds_num / 10) AS BIGINT) DESC, d2.ds_num) AS rn FROM q "
-    "JOIN (SELECT DISTINCT ds, ds_num FROM d) d2 ON starts_with(d2.ds, q.dataset_id))"
-)
-
-
-def _year_matches(spark, sf_dir):
-    register(spark, sf_dir, "nation")
-    reqs = spark.sql(fixtures.year_requests())
-    entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir))
-    matched = cat.match_specs(reqs.select("key", "dataset_id"), entries)
-    csv = cat.csv_distributions(cat.distributions(entries, ["doc_seq", "pos", "identifier"]))
-    csv_k = csv.join(matched.select("key", "doc_seq", "pos"), ["doc_seq", "pos"])
-    req_k = reqs.join(matched.select("key"), "key", "left_semi").select("key", "year")
-    return reqs, matched, csv_k, req_k
-
-
-@query(
-    "catalog_by_year",
-    _CSV + f",\nq AS ({fixtures.year_requests()}),\n" + _MATCH + ",\n"
-    "h AS (SELECT m.key, c.year, c.url, row_number() OVER (PARTITION BY m.key ORDER BY c.p_partkey DESC) AS rn "
-    "FROM m JOIN c ON c.ds = m.ds AND c.year = m.year WHERE m.rn = 1)\n"
-    "SELECT key, year, url FROM h WHERE rn = 1",
-)
-def q_catalog_by_year(spark, sf_dir):
-    _, _, csv_k, req_k = _year_matches(spark, sf_dir)
-    return cat.csv_for_year(csv_k, req_k, ["key"]).select("key", "year", "url")
-
-
-@query(
-    "catalog_missing_year",
-    _CSV + f",\nq AS ({fixtures.year_requests()}),\n" + _MATCH + ",\n"
-    "mm AS (SELECT * FROM m WHERE rn = 1),\n"
-    "av AS (SELECT mm.key, array_to_string(list_sort(list_distinct(list(c.year))), ',') AS available "
-    "FROM mm JOIN c ON c.ds = mm.ds GROUP BY mm.key)\n"
-    "SELECT mm.key, mm.year, coalesce(av.available, '') AS available FROM mm LEFT JOIN av ON av.key = mm.key "
-    "WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.ds = mm.ds AND c.year = mm.year)",
-)
-def q_catalog_missing_year(spark, sf_dir):
-    _, _, csv_k, req_k = _year_matches(spark, sf_dir)
-    return cat.missing_years(csv_k, req_k, ["key"]).select("key", "year", "available")
-
-
-@query(
-    "spec_match",
-    f"WITH d AS ({fixtures.part_distributions()}),\n"
-    f"q AS (SELECT key, dataset_id, year FROM ({fixtures.specs()}) s WHERE length(dataset_id) > 0),\n" + _MATCH +
-    f"\nSELECT m.key, m.dataset_id, {_IDENT} AS identifier FROM m WHERE rn = 1",
-)
-def q_spec_match(spark, sf_dir):
-    """Specs matched to catalog entries by identifier substring, first match wins."""
-    register(spark, sf_dir, "supplier")
-    specs = spark.sql(fixtures.specs()).where(F.length("dataset_id") > 0).select("key", "dataset_id")
-    entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir))
-    return cat.match_specs(specs, entries).select("key", "dataset_id", "identifier")
-
-
-@query(
-    "catalog_first_url",
-    _DISTS + "e AS (SELECT * FROM d WHERE ds_num % 9 <> 4 AND length(url) > 0)\n"
-    "SELECT ds AS dataset_id, arg_min(url, p_partkey) AS url FROM e GROUP BY ds",
-)
-def q_catalog_first_url(spark, sf_dir):
-    return cat.first_url(derived.metastore_docs(spark, sf_dir))
-
-
-@query(
-    "catalog_first_zip",
-    _DISTS + "e AS (SELECT * FROM d WHERE ds_num % 9 <> 4 AND length(url) > 0 AND "
-    "(coalesce(lower(format) = 'zip', false) OR coalesce(contains(lower(media_type), 'zip'), false)))\n"
-    "SELECT ds AS dataset_id, arg_min(url, p_partkey) AS url FROM e GROUP BY ds",
-)
-def q_catalog_first_zip(spark, sf_dir):
-    return cat.first_zip(derived.metastore_docs(spark, sf_dir))
-
-
-@query(
-    "catalog_live_id",
-    _DISTS.replace(",\n", "\n") + "SELECT ds AS dataset_id, CASE WHEN ds_num % 9 IN (4, 5, 6) THEN NULL "
-    "ELSE concat('dist-', CAST(min(p_partkey) AS VARCHAR)) END AS live_id, CASE ds_num % 9 WHEN 4 THEN "
-    "'no_distributions' WHEN 5 THEN 'first_not_object' WHEN 6 THEN 'identifier_missing' ELSE 'ok' END AS status "
-    "FROM d GROUP BY ds, ds_num",
-)
-def q_catalog_live_id(spark, sf_dir):
-    return cat.live_ids(derived.metastore_docs(spark, sf_dir))
-
-
-# ---------------------------------------------------------------- dataset specs
-
-from meridian.operators import specs as sp  # noqa: E402
-
-
-def _specs(spark, sf_dir):
-    register(spark, sf_dir, "supplier")
-    return spark.sql(fixtures.specs())
-
-
-@query(
-    "spec_scan",
-    "SELECT pos, key, source, description, group_name, dataset_id, coalesce(domain, 'data.cms.gov') AS domain, "
-    f"path, year FROM ({fixtures.specs()}) s",
-)
-def q_spec_scan(spark, sf_dir):
-    return sp.scan_specs(_specs(spark, sf_dir))
-
-
-def _oracle_rules() -> str:
-    vals = [f"('{s}', '{f}', 'required')" for s, (req, _) in sp.FIELD_RULES.items() for f in req]
-    vals += [f"('{s}', '{f}', 'forbidden')" for s, (_, forb) in sp.FIELD_RULES.items() for f in forb]
-    return "rules(source, field, rule) AS (VALUES " + ", ".join(vals) + ")"
-
-
-_SRC_LIST = ", ".join(f"'{s}'" for s in sp.SOURCES)
-
-
-@query(
-    "spec_rule_violations",
-    f"WITH s AS ({fixtures.specs()}),\n"
-    "f AS (SELECT key, source, 'dataset_id' AS field, dataset_id IS NULL AS is_null, "
-    "(dataset_id IS NULL OR dataset_id = '') AS falsy FROM s "
-    "UNION ALL SELECT key, source, 'path', path IS NULL, (path IS NULL OR path = '') FROM s "
-    "UNION ALL SELECT key, source, 'year', year IS NULL, (year IS NULL OR year = 0) FROM s),\n"
-    + _oracle_rules() + "\n"
-    "SELECT f.key, f.source, f.field, r.rule AS kind FROM f JOIN rules r ON f.source = r.source AND f.field = r.field "
-    "WHERE (r.rule = 'required' AND f.falsy) OR (r.rule = 'forbidden' AND NOT f.is_null)\n"
-    f"UNION ALL SELECT key, source, 'source', 'unknown_source' FROM s WHERE source IS NULL OR source NOT IN ({_SRC_LIST})\n"
-    "UNION ALL SELECT key, source, 'key', 'duplicate_key' FROM s WHERE key IN "
-    "(SELECT key FROM s GROUP BY key HAVING count(*) > 1)",
-)
-def q_spec_rule_violations(spark, sf_dir):
-    return sp.rule_violations(_specs(spark, sf_dir))
-
-
-def _oracle_routes() -> str:
-    vals = ", ".join(
-        f"('{s}', '{loader}', {('NULL' if host is None else repr(host))})" for s, (loader, host) in sp.ROUTES.items()
-    )
-    return f"routes(source, loader, host) AS (VALUES {vals})"
-
-
-@query(
-    "route_specs",
-    f"WITH s AS ({fixtures.specs()}),\n" + _oracle_routes() + "\n"
-    "SELECT s.key, s.source, r.loader, coalesce(r.host, concat('https://', coalesce(s.domain, 'data.cms.gov'))) AS host "
-    "FROM s JOIN routes r ON s.source = r.source",
-)
-def q_route_specs(spark, sf_dir):
-    return sp.routed(_specs(spark, sf_dir)).select("key", "source", "loader", "host")
-
-
-@query(
-    "unrouted_specs",
-    f"WITH s AS ({fixtures.specs()})\nSELECT key, source FROM s WHERE source IS NULL OR source NOT IN ({_SRC_LIST})",
-)
-def q_unrouted_specs(spark, sf_dir):
-    return sp.unrouted(_specs(spark, sf_dir)).select("key", "source")
-
-
-def _oracle_violation_keys() -> str:
-    sql = ORACLES["spec_rule_violations"]
-    return f"v AS (SELECT DISTINCT key FROM ({sql}) vv)"
-
-
-def _oracle_url() -> str:
-    out = "CASE s.source"
-    for source, tmpl in sp.URL_TEMPLATES.items():
-        parts, rest = [], tmpl
-        while rest:
-            i = rest.find("{")
-            if i < 0:
-                parts.append(f"'{rest}'")
-                break
-            if i:
-                parts.append(f"'{rest[:i]}'")
-            j = rest.index("}", i)
-            name = rest[i + 1:j]
-            parts.append("hh.host" if name == "host" else f"s.{name}")
-            rest = rest[j + 1:]
-        out += f" WHEN '{source}' THEN concat({', '.join(parts)})"
-    return out + " END"
-
-
-@query(
-    "load_plan",
-    f"WITH s AS ({fixtures.specs()}),\n" + _oracle_violation_keys() + ",\n" + _oracle_routes() + ",\n"
-    "hh AS (SELECT s.key, r.loader, coalesce(r.host, concat('https://', coalesce(s.domain, 'data.cms.gov'))) AS host "
-    "FROM s JOIN routes r ON s.source = r.source)\n"
-    "SELECT s.pos, s.key, concat('cms_', s.key) AS asset_name, s.group_name, s.description, s.source, hh.loader, "
-    + _oracle_url() + " AS entry_url FROM s JOIN hh ON s.key = hh.key WHERE s.key NOT IN (SELECT key FROM v)",
-)
-def q_load_plan(spark, sf_dir):
-    return sp.load_plan(_specs(spark, sf_dir))
-
-
-_SWEEP_EXTRA = ("cms_nppes_providers", "Organizations swept state by state", "ds_1")
-
-
-@query(
-    "sources_in_sync",
-    f"WITH s AS ({fixtures.specs()}),\n"
-    "e AS (SELECT concat('cms_', key) AS name, description FROM s UNION ALL "
-    f"SELECT '{_SWEEP_EXTRA[0]}', '{_SWEEP_EXTRA[1]}' FROM s WHERE key = '{_SWEEP_EXTRA[2]}'),\n"
-    f"dd AS ({fixtures.declared_sources()})\n"
-    "SELECT name, description, 'missing_from_sources' AS problem FROM "
-    "(SELECT name, description FROM e EXCEPT ALL SELECT name, description FROM dd) a\n"
-    "UNION ALL SELECT name, description, 'not_in_registry' AS problem FROM "
-    "(SELECT name, description FROM dd EXCEPT ALL SELECT name, description FROM e) b",
-)
-def q_sources_in_sync(spark, sf_dir):
-    """K10+V9: the registered source list against the registry projection, both directions."""
-    specs = _specs(spark, sf_dir)
-    extras = spark.createDataFrame([_SWEEP_EXTRA], "name string, description string, after_key string")
-    expected = sp.source_table(specs, extras)
-    declared = spark.sql(fixtures.declared_sources())
-    return sp.sources_diff(declared, expected)
-
-
-# ---------------------------------------------------------------- providers
-
-from meridian.operators import providers as prov  # noqa: E402
-
-
-def _typed_providers(spark, sf_dir):
-    recs = derived.provider_records(spark, sf_dir).select("c_custkey", F.parse_json("body").alias("record"))
-    return rec.providers(recs, "record")
-
-
-_PROV = f"WITH p AS ({fixtures.provider_rows()})\n"
-
-
-@query(
-    "providers_nested",
-    _PROV + "SELECT c_custkey, number, enumeration_type, last_name, organization_name, 2 AS n_addresses, "
-    "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment END AS taxonomy, "
-    "concat('{\"other_names\":[{\"name\":\"', c_name, '\"}]}') AS _extra "
-    "FROM p WHERE enumeration_type = 'NPI-2' AND (state = 'S03' OR mail_state = 'S03')",
-)
-def q_providers_nested(spark, sf_dir):
-    found = prov.search_filter(_typed_providers(spark, sf_dir), state="S03", enumeration_type="NPI-2")
-    return found.select(
-        "c_custkey", "number", "enumeration_type", F.col("basic.last_name").alias("last_name"),
-        F.col("basic.organization_name").alias("organization_name"), F.size("addresses").alias("n_addresses"),
-        F.get(F.col("taxonomies"), 0)["desc"].alias("taxonomy"), "_extra",
-    )
-
-
-_SEARCH = (
-    _PROV.rstrip("\n") + ",\nf AS (SELECT *, row_number() OVER (PARTITION BY state ORDER BY c_custkey) - 1 AS rk "
-    "FROM p WHERE enumeration_type = 'NPI-2'),\nc AS (SELECT * FROM f WHERE rk < 1200)\n"
-)
-
-
-@query("provider_search", _SEARCH + "SELECT state, number, organization_name FROM c")
-def q_provider_search(spark, sf_dir):
-    found = prov.search_pages(derived.provider_pages(spark, sf_dir, page_size=50), page_size=50)
-    return found.select(F.col("dataset").alias("state"), "number", F.col("basic.organization_name").alias("organization_name"))
-
-
-@query("provider_sweep_counts", _SEARCH + "SELECT state, count(*) AS n_rows FROM c GROUP BY state")
-def q_provider_sweep_counts(spark, sf_dir):
-    found = prov.search_pages(derived.provider_pages(spark, sf_dir, page_size=50), page_size=50)
-    return prov.sweep_counts(found).withColumnRenamed("dataset", "state")
-
-
-@query(
-    "provider_lookup",
-    f"WITH r AS ({fixtures.npi_requests()}),\np AS ({fixtures.provider_rows()})\n"
-    "SELECT r.o_orderkey, r.npi, regexp_matches(r.npi, '^[0-9]{10}$') AS valid, "
-    "CASE WHEN regexp_matches(r.npi, '^[0-9]{10}$') THEN p.number IS NOT NULL END AS found, p.last_name "
-    "FROM r LEFT JOIN p ON r.npi = p.number AND regexp_matches(r.npi, '^[0-9]{10}$')",
-)
-def q_provider_lookup(spark, sf_dir):
-    register(spark, sf_dir, "orders")
-    ids = spark.sql(fixtures.npi_requests())
-    out = prov.lookup(ids, "npi", _typed_providers(spark, sf_dir), ["c_custkey"])
-    return out.select("o_orderkey", "npi", "valid", "found", F.col("p.basic.last_name").alias("last_name"))
-
-
-@query(
-    "provider_violations",
-    _PROV + "SELECT c_custkey, 'number_missing' AS violation FROM p WHERE number IS NULL\n"
-    "UNION ALL SELECT c_custkey, 'enumeration_type_invalid' AS violation FROM p "
-    "WHERE enumeration_type NOT IN ('NPI-1', 'NPI-2')",
-)
-def q_provider_violations(spark, sf_dir):
-    return rec.provider_violations(_typed_providers(spark, sf_dir), ["c_custkey"])
-
-
-# ---------------------------------------------------------------- records (D3 D4 I6a I6b) and I3
-
-
-def _late_records(spark, sf_dir):
-    register(spark, sf_dir, "events")
-    return spark.sql(fixtures.late_props()).select("event_id", F.parse_json("body").alias("record"))
-
-
-@query(
-    "union_schema",
-    "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, "
-    "CASE WHEN event_id % 1000 = 999 THEN concat('v', CAST(event_id AS VARCHAR)) END AS late FROM events",
-)
-def q_union_schema(spark, sf_dir):
-    return rec.to_table(_late_records(spark, sf_dir), "record", mode="union", keep=["event_id"])
-
-
-@query("first_schema", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def q_first_schema(spark, sf_dir):
-    return rec.to_table(_late_records(spark, sf_dir), "record", mode="first", order_cols=["event_id"],
-                        keep=["event_id"])
-
-
-def _static_records(docs: DataFrame) -> DataFrame:
-    pages = docs.select(F.col("path").alias("dataset"), F.col("shard").alias("offset"), "body", "path")
-    parsed = pg.parse_pages(pages, "static", stem=path_stem(F.col("path")))
-    return pg.flatten(pg.strict(parsed))
-
-
-@query(
-    "typed_glossary",
-    "SELECT concat('doc-', CAST(doc_id AS VARCHAR)) AS slug, concat('Term ', CAST(doc_id AS VARCHAR)) AS title, "
-    "text AS content, CAST(json_object('lang', lang, 'source', source) AS VARCHAR) AS _extra FROM documents",
-)
-def q_typed_glossary(spark, sf_dir):
-    typed = rec.typed(_static_records(derived.glossary_docs(spark, sf_dir)).select("record"), "record",
-                      rec.GLOSSARY_SCHEMA)
-    return typed.select("slug", "title", "content", "_extra")
-
-
-@query(
-    "typed_articles",
-    "SELECT concat('page-', CAST(page_id AS VARCHAR)) AS slug, concat('Page ', CAST(page_id AS VARCHAR)) AS title, "
-    "url, html AS content, concat('2024-01-', lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')) AS date, "
-    "CAST(json_object('views', page_id % 100) AS VARCHAR) AS _extra FROM pages",
-)
-def q_typed_articles(spark, sf_dir):
-    typed = rec.typed(_static_records(derived.article_docs(spark, sf_dir)).select("record"), "record",
-                      rec.ARTICLE_SCHEMA)
-    return typed.select("slug", "title", "url", "content", "date", "_extra")
-
-
-@query("dkan_dataset", _TRUNCATED + "SELECT event_type, page_offset, event_id, user_id FROM kept")
-def q_dkan_dataset(spark, sf_dir):
-    """Resolve each dataset's live distribution (R7), then page its datastore."""
-    meta, pages = derived.datastore_fixture(spark, sf_dir)
-    live = cat.live_ids(meta).where(F.col("status") == cat.LIVE_OK)
-    mine = salted_join(pages, live.select(F.col("live_id").alias("dataset"), "dataset_id"), ["dataset"], "inner",
-                       spread=F.col("offset"))
-    flat = pg.read_paged(mine, "results", batch=50, keep=["dataset_id"])
-    return _event_cols(flat.drop("dataset").withColumnRenamed("dataset_id", "dataset"))
-
-
-# ---------------------------------------------------------------- clause pass-through
-
-from meridian.operators import query as qop  # noqa: E402
-
-
-@query(
-    "record_project",
-    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' "
-    "ORDER BY o_totalprice DESC, o_orderkey LIMIT 100 OFFSET 50",
-)
-def q_record_project(spark, sf_dir):
-    register(spark, sf_dir, "orders")
-    return qop.clauses(spark.table("orders"), select=["o_orderkey", "o_custkey", "o_totalprice"],
-                       where="o_orderstatus = 'F'", order="o_totalprice DESC, o_orderkey", limit=100, offset=50)
-
-
-@query(
-    "text_search",
-    "SELECT doc_id, lang, source FROM documents WHERE contains(lower(text), 'ouai') "
-    "OR contains(lower(lang), 'ouai') OR contains(lower(source), 'ouai')",
-)
-def q_text_search(spark, sf_dir):
-    register(spark, sf_dir, "documents")
-    return qop.clauses(spark.table("documents"), q="ouai").select("doc_id", "lang", "source")
-
-
-# ---------------------------------------------------------------- landing
-
-import uuid  # noqa: E402
-
-from meridian.plans import models  # noqa: E402
-from meridian.session import fresh_path  # noqa: E402
-from meridian.sinks import landing  # noqa: E402
-from meridian.sources import bulk_csv, raw  # noqa: E402
-from meridian.sources.tables import table as driver_table  # noqa: E402
-
-_CUST = "cms_customers"
-
-
-def _land_customer_runs(spark, sf_dir):
-    """Customer split by key parity into run-a / run-b, plus an empty run-c that the guard refuses."""
-    root = fresh_path(spark, "raw")
-    cust = driver_table(spark, sf_dir, "customer")
-    landing.land(cust.where(F.col("c_custkey") % 2 == 0), root, _CUST, "run-a")
-    landing.land(cust.where(F.col("c_custkey") % 2 == 1), root, _CUST, "run-b")
-    try:
-        landing.land(cust.where(F.lit(False)), root, _CUST, "run-c")
-    except landing.EmptyExtractError:
-        pass
-    return root
-
-
-@query("land_two_runs", "SELECT * FROM customer")
-def q_land_two_runs(spark, sf_dir):
-    root = _land_customer_runs(spark, sf_dir)
-    return raw.read_runs(spark, root, _CUST)
-
-
-@query(
-    "landing_metrics",
-    f"SELECT '{_CUST}' AS asset, 'run-a' AS run_id, count(*) AS row_count, 5 AS column_count "
-    "FROM customer WHERE c_custkey % 2 = 0\n"
-    f"UNION ALL SELECT '{_CUST}', 'run-b', count(*), 5 FROM customer WHERE c_custkey % 2 = 1",
-)
-def q_landing_metrics(spark, sf_dir):
-    root = _land_customer_runs(spark, sf_dir)
-    return landing.read_metrics(spark, root).select("asset", "run_id", "row_count", "column_count")
-
-
-@query(
-    "empty_guard",
-    "SELECT concat('seg-', lower(c_mktsegment)) AS run_id, count(*) AS row_count FROM customer GROUP BY c_mktsegment",
-)
-def q_empty_guard(spark, sf_dir):
-    """K4: one run per market segment plus one segment with no rows; only runs with rows remain."""
-    root = fresh_path(spark, "raw")
-    cust = driver_table(spark, sf_dir, "customer")
-    segments = [r[0] for r in cust.select("c_mktsegment").distinct().collect()] + ["NONE"]
-    for seg in segments:
-        try:
-            landing.land(cust.where(F.col("c_mktsegment") == seg), root, "cms_segments", f"seg-{seg.lower()}")
-        except landing.EmptyExtractError:
-            pass
-    runs = raw.read_runs(spark, root, "cms_segments", with_run_id=True)
-    return runs.groupBy(F.col("_run_id").alias("run_id")).agg(F.count(F.lit(1)).alias("row_count"))
-
-
-@query(
-    "external_views",
-    "SELECT c_mktsegment, count(*) AS n_customers, CAST(sum(c_nationkey) AS BIGINT) AS nation_sum "
-    "FROM customer GROUP BY c_mktsegment",
-)
-def q_external_views(spark, sf_dir):
-    """Landed runs registered as a named source and queried by name in SQL."""
-    root = _land_customer_runs(spark, sf_dir)
-    raw.register_source(spark, root, _CUST)
-    return spark.sql(
-        f"SELECT c_mktsegment, count(*) AS n_customers, CAST(sum(c_nationkey) AS BIGINT) AS nation_sum "
-        f"FROM {_CUST} GROUP BY c_mktsegment"
-    )
-
-
-@query(
-    "mart_table",
-    _oracle_staging(fixtures.raw_facilities()) + "SELECT state, count(*) AS n_facilities, "
-    "count(hospital_overall_rating) AS n_rated, count(*) FILTER (WHERE emergency_services) AS n_emergency "
-    "FROM staged GROUP BY state",
-)
-def q_mart_table(spark, sf_dir):
-    """K8/K9: staging (view) -> mart aggregate saved as a table in its own schema -> read back."""
-    staged = models.view(facilities(spark, sf_dir), "stg_hospital_general_information")
-    mart = models.ephemeral(staged).groupBy("state").agg(
-        F.count(F.lit(1)).alias("n_facilities"),
-        F.count("hospital_overall_rating").alias("n_rated"),
-        F.count_if(F.col("emergency_services")).alias("n_emergency"),
-    )
-    schema = f"marts_{uuid.uuid4().hex[:8]}"
-    return models.table(mart, schema, "facilities_by_state")
-
-
-@query(
-    "bulk_csv_roundtrip",
-    "SELECT lpad(CAST(o_orderkey AS VARCHAR), 11, '0') AS order_ref, o_custkey, o_totalprice, o_orderstatus, "
-    "CAST(o_orderdate AS DATE) AS order_date FROM orders",
-)
-def q_bulk_csv_roundtrip(spark, sf_dir):
-    """Orders written as CSV, loaded with type inference, landed, read back."""
-    src = fresh_path(spark, "csv")
-    orders = driver_table(spark, sf_dir, "orders")
-    orders.select(
-        F.lpad(F.col("o_orderkey").cast("string"), 11, "0").alias("order_ref"), "o_custkey", "o_totalprice",
-        "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
-    ).write.option("header", True).csv(src)
-    root = fresh_path(spark, "raw")
-    bulk_csv.bulk_load(spark, src, root, "cms_orders_csv", "run-1")
-    return raw.read_runs(spark, root, "cms_orders_csv")
-
-
-# ---------------------------------------------------------------- zipped spreadsheets
-
-from meridian.sources import sheets  # noqa: E402
-
-
-@query(
-    "sheet_roundtrip",
-    'SELECT CAST(n_nationkey AS VARCHAR) AS "Nation Key", n_name AS "Nation Name", '
-    'CAST(n_regionkey AS VARCHAR) AS "Region Key", r_name AS "Region Name" '
-    "FROM nation JOIN region ON n_regionkey = r_regionkey",
-)
-def q_sheet_roundtrip(spark, sf_dir):
-    """Zipped workbooks -> text columns named by the header row -> landed run -> read back."""
-    table_df = sheets.read_sheets(spark, derived.sheet_archives(spark, sf_dir))
-    root = fresh_path(spark, "raw")
-    landing.land(table_df, root, "cms_nation_sheets", "run-1")
-    return raw.read_runs(spark, root, "cms_nation_sheets")
-
-
-@query(
-    "providers_landed",
-    _SEARCH + "SELECT state, number, 2 AS n_addresses, state AS location_state, "
-    "CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE 1 END AS n_taxonomies FROM c",
-)
-def q_providers_landed(spark, sf_dir):
-    """Nested provider rows landed as nested Parquet columns and read back."""
-    found = prov.search_pages(derived.provider_pages(spark, sf_dir, page_size=50), page_size=50)
-    root = fresh_path(spark, "raw")
-    landing.land(found.drop("record", "pos"), root, "cms_nppes_providers", "run-1")
-    back = raw.read_runs(spark, root, "cms_nppes_providers")
-    return back.select(
-        F.col("dataset").alias("state"), "number", F.size("addresses").alias("n_addresses"),
-        F.col("addresses")[0]["state"].alias("location_state"), F.size("taxonomies").alias("n_taxonomies"))
-
-
-@query("csv_stream_land", ORACLES["bulk_csv_roundtrip"])
-def q_csv_stream_land(spark, sf_dir):
-    """K2 as a stream: CSV files in a drop folder landed micro-batch by micro-batch."""
-    from meridian.streaming.drop_folder import land_csv_stream
-
-    src = fresh_path(spark, "drop")
-    driver_table(spark, sf_dir, "orders").select(
-        F.lpad(F.col("o_orderkey").cast("string"), 11, "0").alias("order_ref"), "o_custkey", "o_totalprice",
-        "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
-    ).repartition(4).write.option("header", True).csv(src)
-    root = fresh_path(spark, "raw")
-    land_csv_stream(spark, src, "order_ref string, o_custkey bigint, o_totalprice double, o_orderstatus string, "
-                    "order_date date", root, "cms_orders_stream", max_files_per_trigger=2)
-    return raw.read_runs(spark, root, "cms_orders_stream")
+from meridian.plans.queries import ORACLES, QUERIES, flagship  # noqa: F401
