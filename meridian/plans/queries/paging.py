@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.joins import salted_join
+from meridian.functions.ranking import first_n
 from meridian.functions.text import path_stem
 from meridian.operators import catalog as cat
 from meridian.operators import pages as pg
 from meridian.operators import records as rec
 from meridian.plans import derived
 from meridian.plans.registry import query
+from meridian.sources.tables import table
 
 
 def _event_cols(df: DataFrame) -> DataFrame:
@@ -142,3 +144,10 @@ def q_dkan_dataset(spark, sf_dir):
                        spread=F.col("offset"))
     flat = pg.read_paged(mine, "results", batch=50, keep=["dataset_id"])
     return _event_cols(flat.drop("dataset").withColumnRenamed("dataset_id", "dataset"))
+
+
+@query("cap_rows", _CAPPED + "SELECT event_type, event_id FROM c")
+def q_cap_rows(spark, sf_dir):
+    """P2 in row form: the first 1,200 events per event_type by id (salted two-stage top-n)."""
+    ev = table(spark, sf_dir, "events").select("event_type", "event_id")
+    return first_n(ev, ["event_type"], ["event_id"], 1200).select("event_type", "event_id")
