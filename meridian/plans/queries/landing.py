@@ -20,15 +20,12 @@ _CUST = "cms_customers"
 
 
 def _land_customer_runs(spark, sf_dir):
-    """Customer split by key parity into run-a / run-b, plus an empty run-c that the guard refuses."""
+    """Customer split by key parity into run-a / run-b in one write job; run-c has no rows,
+    so the guard leaves nothing of it."""
     root = fresh_path(spark, "raw")
     cust = driver_table(spark, sf_dir, "customer")
-    landing.land(cust.where(F.col("c_custkey") % 2 == 0), root, _CUST, "run-a")
-    landing.land(cust.where(F.col("c_custkey") % 2 == 1), root, _CUST, "run-b")
-    try:
-        landing.land(cust.where(F.lit(False)), root, _CUST, "run-c")
-    except landing.EmptyExtractError:
-        pass
+    runs = cust.withColumn("_run", F.when(F.col("c_custkey") % 2 == 0, "run-a").otherwise("run-b"))
+    landing.land_runs(runs, root, _CUST, "_run", expected_runs=["run-a", "run-b", "run-c"])
     return root
 
 
@@ -54,17 +51,16 @@ def q_landing_metrics(spark, sf_dir):
     "SELECT concat('seg-', lower(c_mktsegment)) AS run_id, count(*) AS row_count FROM customer GROUP BY c_mktsegment",
 )
 def q_empty_guard(spark, sf_dir):
-    """K4: one run per market segment plus one segment with no rows; only runs with rows remain."""
+    """K4: one run per market segment plus a requested segment with no rows, landed in one
+    job; only runs with rows are published."""
     root = fresh_path(spark, "raw")
     cust = driver_table(spark, sf_dir, "customer")
-    segments = [r[0] for r in cust.select("c_mktsegment").distinct().collect()] + ["NONE"]
-    for seg in segments:
-        try:
-            landing.land(cust.where(F.col("c_mktsegment") == seg), root, "cms_segments", f"seg-{seg.lower()}")
-        except landing.EmptyExtractError:
-            pass
-    runs = raw.read_runs(spark, root, "cms_segments", with_run_id=True)
-    return runs.groupBy(F.col("_run_id").alias("run_id")).agg(F.count(F.lit(1)).alias("row_count"))
+    runs = cust.withColumn("_run", F.concat(F.lit("seg-"), F.lower("c_mktsegment")))
+    _, empty = landing.land_runs(runs, root, "cms_segments", "_run", expected_runs=["seg-none"])
+    if empty != ["seg-none"]:
+        raise RuntimeError(f"unexpected empty runs: {empty}")
+    back = raw.read_runs(spark, root, "cms_segments", with_run_id=True)
+    return back.groupBy(F.col("_run_id").alias("run_id")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query(

@@ -10,6 +10,7 @@ retries and lost executors are covered by Spark's output commit protocol.
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -99,3 +100,40 @@ def read_metrics(spark: SparkSession, root: str) -> DataFrame:
 def count_landed(spark: SparkSession, path: str) -> int:
     """Row count of a landed run read back (empty read schema, footer-only)."""
     return spark.read.parquet(path).count()
+
+
+def land_runs(
+    df: DataFrame,
+    root: str,
+    asset: str,
+    run_col: str,
+    expected_runs: list[str] | None = None,
+    source_url: str | None = None,
+) -> tuple[list[RunMetrics], list[str]]:
+    """K1+K4+K5 for many runs at once: one write job partitioned by ``run_col``.
+
+    Every run is written under one staging folder in a single pass; per-run row counts
+    come from a footer-only read of what was written; each non-empty run is published by
+    rename to ``<root>/<asset>/<run_id>.parquet``. Returns the metrics of the published
+    runs and the ``expected_runs`` that had no rows (nothing of them is left behind).
+    """
+    spark = df.sparkSession
+    staging = f"{root.rstrip('/')}/{STAGING}/{asset}/_batch-{abs(hash((asset, run_col, id(df)))) % 10**12}"
+    data_cols = [c for c in df.columns if c != run_col]
+    df.select(*data_cols, F.col(run_col).cast("string").alias("_run")).write.mode("overwrite").partitionBy(
+        "_run").parquet(staging)
+    schema = df.select(*data_cols).schema.add("_run", "string")
+    written = spark.read.schema(schema).option("basePath", staging).parquet(staging)
+    run_dir = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
+    counts = written.groupBy("_run", run_dir.alias("dir")).agg(F.count(F.lit(1)).alias("n")).collect()
+    metrics = []
+    for row in sorted(counts, key=lambda r: r["_run"]):
+        final = run_path(root, asset, row["_run"])
+        _publish(spark, unquote(row["dir"]), final)  # file paths are URIs; the folder name is decoded
+        metrics.append(RunMetrics(asset, row["_run"], final, int(row["n"]), len(data_cols), source_url))
+    _delete(spark, staging)
+    if metrics:
+        append_metrics(spark, root, metrics)
+    landed = {m.run_id for m in metrics}
+    empty = [r for r in (expected_runs or []) if r not in landed]
+    return metrics, empty

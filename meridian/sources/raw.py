@@ -13,7 +13,9 @@ def read_runs(spark: SparkSession, root: str, asset: str, with_run_id: bool = Fa
     """
     df = spark.read.parquet(f"{root.rstrip('/')}/{asset}/*.parquet")
     if with_run_id:
-        df = df.withColumn("_run_id", F.regexp_extract(F.input_file_name(), "/([^/]+)\\.parquet/[^/]*$", 1))
+        # file paths are URIs: percent-decode (keeping a literal '+', which url_decode reads as space)
+        name = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)\\.parquet/[^/]*$", 1)
+        df = df.withColumn("_run_id", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
     return df
 
 

@@ -57,3 +57,18 @@ def test_latest_run_only(spark, tmp_root):
     runs = raw.read_runs(spark, tmp_root, "cms_l", with_run_id=True)
     order = spark.createDataFrame([("r1", 1), ("r2", 2)], "_run_id string, run_seq int")
     assert [r.a for r in raw.latest_run_only(runs, order).collect()] == [2]
+
+
+def test_land_runs_one_job(spark, tmp_root):
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 100).select(F.col("id"), F.when(F.col("id") < 30, "run a").otherwise("run-b").alias("r"))
+    metrics, empty = landing.land_runs(df, tmp_root, "cms_multi", "r", expected_runs=["run a", "run-b", "run-c"])
+    assert [(m.run_id, m.row_count, m.column_count) for m in metrics] == [("run a", 30, 1), ("run-b", 70, 1)]
+    assert empty == ["run-c"]
+    back = raw.read_runs(spark, tmp_root, "cms_multi", with_run_id=True)
+    assert sorted((r._run_id, r.n) for r in back.groupBy("_run_id").agg(F.count("*").alias("n")).collect()) == [
+        ("run a", 30), ("run-b", 70)]
+    assert not os.path.exists(_local(f"{tmp_root}/_staging/cms_multi")) or not any(
+        n.startswith("_batch") for n in os.listdir(_local(f"{tmp_root}/_staging/cms_multi")))
+    assert sorted(r.run_id for r in landing.read_metrics(spark, tmp_root).collect()) == ["run a", "run-b"]
