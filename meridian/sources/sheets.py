@@ -34,11 +34,13 @@ _REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}
 _PKG_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 _CELL_REF = re.compile(r"([A-Z]+)([0-9]+)")
 
-# Error codes.
+# Widest supported sheet (columns A..ZZ) and error codes.
+MAX_WIDTH = 702
 NO_SHEET_MEMBER = "no_xlsx_member"
 MANY_SHEET_MEMBERS = "several_xlsx_members"
 BAD_ARCHIVE = "bad_archive"
 NO_HEADER = "no_header_row"
+TOO_WIDE = "too_many_columns"
 
 
 def _col_index(letters: str) -> int:
@@ -137,11 +139,13 @@ def sheet_rows(archives: DataFrame) -> DataFrame:
 
 
 def archive_errors(rows: DataFrame) -> DataFrame:
-    """I8a/I8b errors per archive: member count problems and a missing header row."""
+    """I8a/I8b errors per archive: member count problems, a missing header row, a header
+    wider than the supported 702 columns."""
     member = rows.where(F.col("error").isNotNull()).select("path", "error")
     shaped = _shape(rows.where(F.col("error").isNull()))
-    no_header = shaped.where(F.col("width") == 0).select("path", F.lit(NO_HEADER).alias("error"))
-    return member.unionByName(no_header)
+    shape_err = F.when(F.col("width") == 0, F.lit(NO_HEADER)).when(F.col("width") > MAX_WIDTH, F.lit(TOO_WIDE))
+    bad_shape = shaped.select("path", shape_err.alias("error")).where(F.col("error").isNotNull())
+    return member.unionByName(bad_shape)
 
 
 def _blank(x):
