@@ -14,14 +14,20 @@ from pyspark.sql import functions as F
 #   whitespace trimmed around numbers: tab, newline, vertical tab, form feed, carriage return, space
 #   a single "_" between two digits is a digit separator ("1_000" is 1000)
 #   fractions and exponents round half away from zero ("2.5" is 3, "-2.5" is -3, "1e2" is 100)
-#   "0x" / "0b" prefixes (either case) read hex / binary, with no surrounding whitespace
+#   "0x" / "0b" prefixes (either case) read hex / binary; leading whitespace allowed, trailing not
+#   an exponent must lie in -32768..32767; within it a zero mantissa is 0 ("0e999" is 0)
+#   one "." may follow the exponent digits ("1e2." is 100)
 #   anything else (other characters, non-ASCII digits, NaN, inf, overflow) is NULL
 _WS = "\\t\\n\\x0B\\f\\r "
 _ALLOWED_TEXT = f"\\A[{_WS}\\x21-\\x7E]*\\z"
-_HEX = "\\A0[xX][0-9a-fA-F]+(_[0-9a-fA-F]+)*\\z"
-_BIN = "\\A0[bB][01]+(_[01]+)*\\z"
+_HEX = f"\\A[{_WS}]*0[xX][0-9a-fA-F]+(_[0-9a-fA-F]+)*\\z"
+_BIN = f"\\A[{_WS}]*0[bB][01]+(_[01]+)*\\z"
 _DIGIT_SEPARATOR = "(?<=[0-9])_(?=[0-9])"
 _LEADING_ZEROS = "\\A([" + _WS + "]*[+-]?)0+(?=[0-9])"
+_ZERO_EXP = f"\\A[{_WS}]*[+-]?(0+\\.?0*|\\.0+)[eE][+-]?[0-9]+[{_WS}]*\\z"
+_EXP_DOT = f"([eE][+-]?[0-9]+)\\.([{_WS}]*)\\z"
+_EXPONENT = f"[eE]([+-]?[0-9]+)[{_WS}]*\\z"
+_EXP_MIN, _EXP_MAX = -32768, 32767
 
 
 def trimmed(col: Column | str) -> Column:
@@ -53,15 +59,22 @@ def lenient_int(col: Column | str) -> Column:
     """
     c = _c(col).cast("string")
     ascii_ok = c.rlike(_ALLOWED_TEXT)
-    no_sep = F.regexp_replace(c, "_", "")
-    hex_val = F.conv(F.substring(no_sep, 3, 1 << 20), 16, 10).try_cast("int")
-    bin_val = F.conv(F.substring(no_sep, 3, 1 << 20), 2, 10).try_cast("int")
+    digits = F.regexp_replace(F.regexp_replace(c, "_", ""), f"\\A[{_WS}]*0[xXbB]", "")
+    significant = F.regexp_replace(digits, "\\A0+(?=.)", "")
+    # conv raises on 64-bit overflow under ANSI; more than 8 hex / 32 binary digits is not an int
+    hex_val = F.when(F.length(significant) <= 8, F.conv(significant, 16, 10).try_cast("int"))
+    bin_val = F.when(F.length(significant) <= 32, F.conv(significant, 2, 10).try_cast("int"))
     decimal_text = F.regexp_replace(F.regexp_replace(c, _DIGIT_SEPARATOR, ""), _LEADING_ZEROS, "$1")
+    decimal_text = F.regexp_replace(decimal_text, _EXP_DOT, "$1$2")
+    exponent = F.regexp_extract(decimal_text, _EXPONENT, 1)
+    exponent_ok = F.coalesce(exponent.try_cast("int").between(_EXP_MIN, _EXP_MAX), F.lit(False))
     dec_val = F.round(decimal_text.try_cast("decimal(38,18)"), 0).try_cast("int")
     return (
         F.when(~ascii_ok, F.lit(None).cast("int"))
         .when(c.rlike(_HEX), hex_val)
         .when(c.rlike(_BIN), bin_val)
+        .when((exponent != "") & ~exponent_ok, F.lit(None).cast("int"))
+        .when(decimal_text.rlike(_ZERO_EXP), F.lit(0))
         .otherwise(dec_val)
     )
 

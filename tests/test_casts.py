@@ -11,7 +11,8 @@ PROBES = [
     "1_0.5", "1e1_0", "1e0_1", "0x", "0xG", "1.2.3", "--1", "+-1", "1e+2", "5 ", "\r9\r", "\x0b8", "\x1f5",
     "\x005", "1e", "e1", ".", "-", "+", "0x7FFFFFFF", "0x80000000", "-.5", "-0.49", "0_1", "00_1", "0x1_F",
     " 0x1F ", "0B11", "0b2", "1_e2", "1e_2", "0000000000000000000000000005", "99999999999999999999999", "5d",
-    "Infinity", "-inf",
+    "Infinity", "-inf", " 0x1F", "\t0b11", "0x1F\t", "0e73", "-0e999", "0e32767", "0e32768", "5e-32768",
+    "5e-32769", "45e4.", "1e2..", "1.e2.", "1e2. ", "1.5.", "0x1F.", "0x" + "F" * 40, "0b" + "1" * 80,
 ]
 
 
@@ -22,6 +23,18 @@ def test_lenient_int_matches_duckdb_try_cast(spark):
     assert [(p, w) for p, w, g in zip(PROBES, want, got) if w != g] == []
 
 
+def test_lenient_int_fuzz_matches_duckdb(spark):
+    import random
+
+    rng = random.Random(20261203)
+    alphabet = list("0123456789") * 4 + list("+-._eExXbB \t\n") + ["0x", "0b", "1e", ".5", "_0", "\u0663", "a", "f"]
+    probes = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(0, 16))) for _ in range(4000)})
+    con = duckdb.connect()
+    want = [con.execute("select try_cast(? as int)", [p]).fetchone()[0] for p in probes]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in probes], "v string").select(lenient_int("v")).collect()]
+    assert [(p, w, g) for p, w, g in zip(probes, want, got) if w != g] == []
+
+
 def test_lenient_int_null_input(spark):
     assert spark.sql("select cast(null as string) v").select(lenient_int("v")).first()[0] is None
 
