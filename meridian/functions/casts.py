@@ -30,14 +30,22 @@ _EXPONENT = f"[eE]([+-]?[0-9]+)[{_WS}]*\\z"
 _EXP_MIN, _EXP_MAX = -32768, 32767
 
 
+# Characters the staging engine's trim() removes - the Unicode space
+# separators (category Zs); tabs and newlines are not among them.
+SPACE_SEPARATORS = (
+    "\u0020\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u202f\u205f\u3000"
+)
+
+
 def trimmed(col: Column | str) -> Column:
-    """E1 ``trim(x)``: strips ASCII spaces only; tabs and newlines stay."""
-    return F.trim(_c(col))
+    """E1 ``trim(x)``: strips space separators from both ends; tabs and newlines stay."""
+    return F.trim(_c(col), F.lit(SPACE_SEPARATORS))
 
 
 def blank_to_null(col: Column | str) -> Column:
     """E2 ``nullif(trim(x), '')``."""
-    return F.nullif(F.trim(_c(col)), F.lit(""))
+    return F.nullif(trimmed(col), F.lit(""))
 
 
 def yes_no(col: Column | str) -> Column:

@@ -66,3 +66,16 @@ def test_year_prefix_and_path_stem(spark):
     rows = df.select(year_prefix(F.col("t")).alias("y"), path_stem(F.col("p")).alias("s")).collect()
     assert [r.y for r in rows] == [2023, None, None, None]
     assert [r.s for r in rows] == ["glossary", "articles", "a.b", "y.tar"]
+
+
+def test_trim_and_blank_match_duckdb(spark):
+    import random
+
+    rng = random.Random(5)
+    alphabet = list("ab1 ") + ["\t", "\n", "\r", " ", " ", "　", " ", "​", "\u0085", "﻿"]
+    probes = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(0, 6))) for _ in range(3000)})
+    con = duckdb.connect()
+    want = [con.execute("select trim(?), nullif(trim(?), '')", [p, p]).fetchone() for p in probes]
+    got = [tuple(r) for r in spark.createDataFrame([(p,) for p in probes], "v string").select(
+        trimmed("v"), blank_to_null("v")).collect()]
+    assert [(p, w, g) for p, w, g in zip(probes, want, got) if w != g] == []
