@@ -33,5 +33,10 @@ def year_prefix(col: Column) -> Column:
 
 
 def path_stem(col: Column) -> Column:
-    """Basename of a path without its last extension (``/api/glossary.json`` -> ``glossary``)."""
-    return F.regexp_extract(col, "([^/]*?)(\\.[^./]*)?$", 1)
+    """Last path component without its last suffix (``/api/glossary.json`` -> ``glossary``).
+
+    As for POSIX path objects: trailing slashes are ignored, a leading dot is not a suffix
+    (``.hidden`` stays), and a final ``.`` with nothing after it is kept.
+    """
+    name = F.regexp_extract(col, "([^/]*)/*$", 1)
+    return F.regexp_replace(name, "(?<=.)\\.[^.]+$", "")

@@ -79,3 +79,12 @@ def test_trim_and_blank_match_duckdb(spark):
     got = [tuple(r) for r in spark.createDataFrame([(p,) for p in probes], "v string").select(
         trimmed("v"), blank_to_null("v")).collect()]
     assert [(p, w, g) for p, w, g in zip(probes, want, got) if w != g] == []
+
+
+def test_path_stem_matches_posix_paths(spark):
+    from pathlib import PurePosixPath
+
+    cases = ["/api/glossary.json", "/api/articles", "a.b.json", "/x/y.tar.gz", "/api/.hidden", ".a.b", "..x",
+             "a.", "/api/x/", "/", "", "a..", "/p/q.r/s", "noext"]
+    got = [r[0] for r in spark.createDataFrame([(c,) for c in cases], "p string").select(path_stem(F.col("p"))).collect()]
+    assert got == [PurePosixPath(c).stem for c in cases]
