@@ -65,9 +65,3 @@ def conform(raw: DataFrame, columns: list[tuple[str, str, str]] | None = None) -
 def conform_hospitals(raw: DataFrame) -> DataFrame:
     """The hospital staging model (38 columns)."""
     return conform(raw, HOSPITAL_COLUMNS)
-
-
-def as_view(df: DataFrame, name: str) -> DataFrame:
-    """K7: register a model as a (lazy) temp view, like a view materialization."""
-    df.createOrReplaceTempView(name)
-    return df

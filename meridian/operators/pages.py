@@ -30,14 +30,6 @@ INNER_NOT_LIST = "inner_not_list"
 NOT_LIST_OR_OBJECT = "payload_not_list_or_object"
 
 
-def _ty(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
-
-def _is(v: Column, prefix: str) -> Column:
-    return F.startswith(_ty(v), F.lit(prefix))
-
-
 def _as_array(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
@@ -210,9 +202,9 @@ def page_holes(pages: DataFrame, batch: int, chunk: int = 4096) -> DataFrame:
     dataset with billions of pages still spreads across tasks.
     """
     present = pages.select("dataset", "offset").where(F.col("offset") % batch == 0)
-    last = present.groupBy("dataset").agg((F.max("offset") / batch).cast("bigint").alias("_last"))
+    last = present.groupBy("dataset").agg(F.expr(f"max(offset) div {batch}").alias("_last"))
     chunks = last.select("dataset", "_last", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                                   (F.col("_last") / chunk).cast("bigint"))).alias("_c"))
+                                                                   F.expr(f"_last div {chunk}"))).alias("_c"))
     lo = F.col("_c") * chunk
     hi = F.least(F.col("_last"), lo + chunk - 1)
     expected = chunks.repartition("dataset", "_c").select(
