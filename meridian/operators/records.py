@@ -34,22 +34,8 @@ ENUMERATION_TYPES = ("NPI-1", "NPI-2")
 
 
 def _top_fields(schema: str) -> list[str]:
-    """Top-level field names of a ``struct<...>`` type string (no nesting parsed)."""
-    inner = schema[len("struct<"):-1]
-    depth, cur, names = 0, "", []
-    for ch in inner:
-        if ch in "<(":
-            depth += 1
-        elif ch in ">)":
-            depth -= 1
-        if ch == "," and depth == 0:
-            names.append(cur.split(":")[0].strip())
-            cur = ""
-        else:
-            cur += ch
-    if cur.strip():
-        names.append(cur.split(":")[0].strip())
-    return names
+    """Top-level field names of a ``struct<...>`` type string."""
+    return [name.strip("`") for name, _ in _split_struct(schema)]
 
 
 def with_extras(record: Column, schema: str) -> Column:
@@ -106,7 +92,8 @@ def infer_schema(records: DataFrame, record_col: str = "record", mode: str = "un
 
 
 def _split_struct(ddl: str) -> list[tuple[str, str]]:
-    inner = ddl[len("STRUCT<"):-1]
+    """``struct<a: t1, b: struct<...>>`` -> ``[("`a`", "t1"), ("`b`", "struct<...>")]`` (top level only)."""
+    inner = ddl[ddl.index("<") + 1:-1]
     depth, cur, parts = 0, "", []
     for ch in inner:
         if ch in "<(":
@@ -137,16 +124,17 @@ def to_table(records: DataFrame, record_col: str = "record", schema: str | None
     extra = keep or []
     if ddl == "struct<>":
         return records.select(*extra)
-    fields = _split_struct("STRUCT<" + ddl[len("struct<"):-1] + ">")
+    fields = _split_struct(ddl)
     rec = F.col(record_col)
     cols = []
     for name, typ in fields:
         member = F.try_variant_get(rec, f"$['{name.strip('`')}']", "variant")
         if typ.upper() == "STRING":
-            # strings stay raw; numbers/objects in a text column render as JSON text
-            val = F.when(F.startswith(F.schema_of_variant(member), F.lit("STRING")),
-                         F.try_variant_get(member, "$", "string")).otherwise(F.to_json(member))
-            val = F.when(F.schema_of_variant(member) == "VOID", F.lit(None).cast("string")).otherwise(val)
+            # strings stay raw; JSON null is NULL; numbers/objects in a text column render as JSON
+            kind = F.schema_of_variant(member)
+            val = (F.when(kind == "VOID", F.lit(None).cast("string"))
+                   .when(kind == "STRING", F.try_variant_get(member, "$", "string"))
+                   .otherwise(F.to_json(member)))
         else:
             val = F.try_variant_get(member, "$", typ)
         cols.append(val.alias(name.strip("`")))
