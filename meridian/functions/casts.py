@@ -28,6 +28,7 @@ _ZERO_EXP = f"\\A[{_WS}]*[+-]?(0+\\.?0*|\\.0+)[eE][+-]?[0-9]+[{_WS}]*\\z"
 _EXP_DOT = f"([eE][+-]?[0-9]+)\\.([{_WS}]*)\\z"
 _EXPONENT = f"[eE]([+-]?[0-9]+)[{_WS}]*\\z"
 _EXP_MIN, _EXP_MAX = -32768, 32767
+_INT_TEXT = f"\\A[{_WS}]*[+-]?[0-9]+[{_WS}]*\\z"
 
 
 # Characters the staging engine's trim() removes - the Unicode space
@@ -75,13 +76,19 @@ def lenient_int(col: Column | str) -> Column:
     decimal_text = F.regexp_replace(F.regexp_replace(c, _DIGIT_SEPARATOR, ""), _LEADING_ZEROS, "$1")
     decimal_text = F.regexp_replace(decimal_text, _EXP_DOT, "$1$2")
     exponent = F.regexp_extract(decimal_text, _EXPONENT, 1)
-    exponent_ok = F.coalesce(exponent.try_cast("int").between(_EXP_MIN, _EXP_MAX), F.lit(False))
+    exponent_ok = F.when(exponent != "", exponent.try_cast("int").between(_EXP_MIN, _EXP_MAX))
     dec_val = F.round(decimal_text.try_cast("decimal(38,18)"), 0).try_cast("int")
+    # fast paths: integer-shaped text (the common case) goes to the native cast, which agrees
+    # with the rules above on such text (overflow is NULL in both); text without a digit
+    # (sentinels) is NULL at once. The native cast is only called on integer-shaped text:
+    # on other text it takes a slow error path.
     return (
         F.when(~ascii_ok, F.lit(None).cast("int"))
+        .when(c.rlike(_INT_TEXT), c.try_cast("int"))
+        .when(~c.rlike("[0-9]"), F.lit(None).cast("int"))
         .when(c.rlike(_HEX), hex_val)
         .when(c.rlike(_BIN), bin_val)
-        .when((exponent != "") & ~exponent_ok, F.lit(None).cast("int"))
+        .when((exponent != "") & ~F.coalesce(exponent_ok, F.lit(False)), F.lit(None).cast("int"))
         .when(decimal_text.rlike(_ZERO_EXP), F.lit(0))
         .otherwise(dec_val)
     )
