@@ -310,24 +310,47 @@ def zip_archive(members: dict[str, bytes]) -> bytes:
 SHEET_HEADER = ["Nation Key", "Nation Name", "Region Key", "Region Name"]
 
 
-def _region_archive(pdf):
-    import pandas as pd
-
-    pdf = pdf.sort_values("n_nationkey")
-    region = str(pdf["r_name"].iloc[0])
-    rows = [(1, [f"{len(pdf)} nations in {region}"]), (2, list(SHEET_HEADER))]
-    for i, rec in enumerate(pdf.itertuples(index=False), start=3):
-        rows.append((i, [str(rec.n_nationkey), rec.n_name, str(rec.n_regionkey), rec.r_name]))
-    rows.append((len(rows) + 2, ["Source: derived from the nation table"]))  # after one empty row
-    content = zip_archive({f"landscape_{region.lower()}.XLSX": xlsx_bytes(rows), "readme.txt": b"fixture"})
-    return pd.DataFrame([(f"mem://sheets/region_{int(pdf['n_regionkey'].iloc[0])}.zip", content)],
-                        columns=["path", "content"])
-
-
-def sheet_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _region_archive(broken: bool):
+    """Build one region's archive; with ``broken``, regions 0, 1 and 2 get a bad archive
+    (no sheet member, two sheet members, no header row)."""
+
+    def build(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values("n_nationkey")
+        region = str(pdf["r_name"].iloc[0])
+        key = int(pdf["n_regionkey"].iloc[0])
+        rows = [(1, [f"{len(pdf)} nations in {region}"]), (2, list(SHEET_HEADER))]
+        for i, rec in enumerate(pdf.itertuples(index=False), start=3):
+            rows.append((i, [str(rec.n_nationkey), rec.n_name, str(rec.n_regionkey), rec.r_name]))
+        rows.append((len(rows) + 2, ["Source: derived from the nation table"]))  # after one empty row
+        book = f"landscape_{region.lower()}.XLSX"
+        members = {book: xlsx_bytes(rows), "readme.txt": b"fixture"}
+        if broken and key == 0:
+            members = {"readme.txt": b"fixture"}
+        elif broken and key == 1:
+            members[f"copy_of_{book}"] = members[book]
+        elif broken and key == 2:
+            members[book] = xlsx_bytes([r for r in rows if r[0] != 2])
+        return pd.DataFrame([(f"mem://sheets/region_{key}.zip", zip_archive(members))], columns=["path", "content"])
+
+    return build
+
+
+def sheet_archives(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """One zipped workbook per region (title row, header row, nations, empty row, footnote),
     built by a Spark job as ``(path, content)`` rows."""
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return stored(nations.select("n_nationkey", "n_name", "n_regionkey", "r_name").groupBy("n_regionkey").applyInPandas(
-        _region_archive, "path string, content binary"), "archives")
+        _region_archive(broken), "path string, content binary"), "archives")
+
+
+def malformed_catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog shards with shape errors, one per 1,000 parts: shard mod 3 = 0 is an array payload,
+    = 1 has a non-list ``dataset``, = 2 is a well-formed empty catalog."""
+    shards = table(spark, sf_dir, "part").select(F.expr("p_partkey div 1000").alias("doc_seq")).distinct()
+    body = (F.when(F.col("doc_seq") % 3 == 0, F.lit('[{"dataset": []}]'))
+            .when(F.col("doc_seq") % 3 == 1, F.lit('{"dataset": {"identifier": "x"}}'))
+            .otherwise(F.lit('{"dataset": []}')))
+    return stored(shards.select("doc_seq", body.alias("body")), "catalog-bad")

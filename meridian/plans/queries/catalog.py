@@ -120,3 +120,13 @@ def q_catalog_first_zip(spark, sf_dir):
 )
 def q_catalog_live_id(spark, sf_dir):
     return cat.live_ids(derived.metastore_docs(spark, sf_dir))
+
+
+@query(
+    "catalog_shape_errors",
+    "SELECT DISTINCT p_partkey // 1000 AS doc_seq, CASE (p_partkey // 1000) % 3 WHEN 0 THEN 'catalog_not_object' "
+    "ELSE 'dataset_not_list' END AS error FROM part WHERE (p_partkey // 1000) % 3 IN (0, 1)",
+)
+def q_catalog_shape_errors(spark, sf_dir):
+    """R1 errors: catalog payloads that are not objects or whose ``dataset`` is not a list."""
+    return cat.catalog_errors(derived.malformed_catalogs(spark, sf_dir))

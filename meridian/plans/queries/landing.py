@@ -158,3 +158,14 @@ def q_csv_stream_land(spark, sf_dir):
     land_csv_stream(spark, src, "order_ref string, o_custkey bigint, o_totalprice double, o_orderstatus string, "
                     "order_date date", root, "cms_orders_stream", max_files_per_trigger=2)
     return raw.read_runs(spark, root, "cms_orders_stream")
+
+
+@query(
+    "sheet_archive_errors",
+    "SELECT concat('mem://sheets/region_', CAST(r AS VARCHAR), '.zip') AS path, "
+    "CASE r WHEN 0 THEN 'no_xlsx_member' WHEN 1 THEN 'several_xlsx_members' ELSE 'no_header_row' END AS error "
+    "FROM (SELECT DISTINCT n_regionkey AS r FROM nation JOIN region ON n_regionkey = r_regionkey) t WHERE r IN (0, 1, 2)",
+)
+def q_sheet_archive_errors(spark, sf_dir):
+    """Per-archive errors (member count, header row) as a report."""
+    return sheets.archive_errors(sheets.sheet_rows(derived.sheet_archives(spark, sf_dir, broken=True)))
