@@ -174,3 +174,8 @@ def match_specs(specs: DataFrame, entries: DataFrame) -> DataFrame:
     return hits.groupBy("key", "dataset_id").agg(first.alias("_m")).select(
         "key", "dataset_id", F.col("_m.doc_seq").alias("doc_seq"), F.col("_m.pos").alias("pos"),
         F.col("_m.identifier").alias("identifier"))
+
+
+def unmatched_specs(specs: DataFrame, matched: DataFrame) -> DataFrame:
+    """R2 errors: specs whose id matches no catalog entry (``key, dataset_id``)."""
+    return specs.select("key", "dataset_id").join(matched.select("key"), "key", "left_anti")

@@ -59,8 +59,10 @@ def test_spec_match_prefix_collision_first_in_order(spark):
         {"identifier": NEEDLE.format("2")},
     ]))
     specs = spark.createDataFrame([("k1", "1"), ("k2", "2"), ("k3", "3")], "key string, dataset_id string")
-    got = {r.key: r.identifier for r in cat.match_specs(specs, entries).collect()}
+    matched = cat.match_specs(specs, entries)
+    got = {r.key: r.identifier for r in matched.collect()}
     assert got == {"k1": NEEDLE.format("10"), "k2": NEEDLE.format("2")}
+    assert [(r.key, r.dataset_id) for r in cat.unmatched_specs(specs, matched).collect()] == [("k3", "3")]
 
 
 def _meta(spark, docs):
