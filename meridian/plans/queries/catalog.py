@@ -130,3 +130,17 @@ def q_catalog_live_id(spark, sf_dir):
 def q_catalog_shape_errors(spark, sf_dir):
     """R1 errors: catalog payloads that are not objects or whose ``dataset`` is not a list."""
     return cat.catalog_errors(derived.malformed_catalogs(spark, sf_dir))
+
+
+@query(
+    "spec_unmatched",
+    f"WITH d AS ({fixtures.part_distributions()}),\n"
+    f"q AS (SELECT key, dataset_id FROM ({fixtures.specs()}) s WHERE length(dataset_id) > 0)\n"
+    "SELECT key, dataset_id FROM q WHERE NOT EXISTS (SELECT 1 FROM d WHERE starts_with(d.ds, q.dataset_id))",
+)
+def q_spec_unmatched(spark, sf_dir):
+    """R2 errors: specs whose dataset id matches no catalog entry."""
+    register(spark, sf_dir, "supplier")
+    specs = spark.sql(fixtures.specs()).where(F.length("dataset_id") > 0).select("key", "dataset_id")
+    entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir))
+    return cat.unmatched_specs(specs, cat.match_specs(specs, entries))
