@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from meridian.functions.joins import broadcast_if_small
 from meridian.functions.text import year_prefix
+from meridian.functions.variants import is_object as _is_obj
+from meridian.functions.variants import json_kind, str_member
 
 # Fixed values used by the resolvers.
 CSV_MEDIA_TYPE = "text/csv"
@@ -26,20 +28,6 @@ IDENTIFIER_MISSING = "identifier_missing"
 NOT_OBJECT = "metastore_not_object"
 
 
-def _ty(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
-
-def _is_obj(v: Column) -> Column:
-    return F.coalesce(F.startswith(_ty(v), F.lit("OBJECT")), F.lit(False))
-
-
-def str_member(v: Column, name: str) -> Column:
-    """A member only when it is a JSON string (numbers are not coerced), else NULL."""
-    m = F.try_variant_get(v, f"$['{name}']", "variant")
-    return F.when(_ty(m) == "STRING", F.try_variant_get(m, "$", "string"))
-
-
 def _array_member(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f"$['{name}']", "array<variant>")
 
@@ -49,21 +37,24 @@ def catalog_entries(catalog_docs: DataFrame) -> DataFrame:
     is ``(doc_seq, pos)``. Non-object entries are skipped; a missing ``dataset`` is empty.
     Shape errors go to ``catalog_errors``.
     """
-    v = F.try_parse_json(F.col("body"))
-    docs = catalog_docs.select("doc_seq", v.alias("_v"))
+    docs = catalog_docs.select("doc_seq", "body", F.try_parse_json(F.col("body")).alias("_v"))
     arr = F.coalesce(_array_member(F.col("_v"), "dataset"), F.array().cast("array<variant>"))
-    ex = docs.where(_is_obj(F.col("_v"))).select("doc_seq", F.posexplode(arr).alias("pos", "entry"))
+    is_doc = json_kind(F.col("body"), F.col("_v")) == "object"
+    ex = docs.where(is_doc).select("doc_seq", F.posexplode(arr).alias("pos", "entry"))
     return ex.where(_is_obj(F.col("entry"))).select(
         "doc_seq", "pos", str_member(F.col("entry"), "identifier").alias("identifier"), "entry")
 
 
 def catalog_errors(catalog_docs: DataFrame) -> DataFrame:
     """R1 errors: payload not an object, or ``dataset`` present but not a list."""
-    v = F.try_parse_json(F.col("body"))
-    member = F.try_variant_get(v, "$.dataset", "variant")
-    err = (F.when(~_is_obj(v), F.lit("catalog_not_object"))
-           .when(member.isNotNull() & ~F.startswith(_ty(member), F.lit("ARRAY")), F.lit("dataset_not_list")))
-    return catalog_docs.select("doc_seq", err.alias("error")).where(F.col("error").isNotNull())
+    docs = catalog_docs.select("doc_seq", "body", F.try_parse_json(F.col("body")).alias("_v"))
+    v = F.col("_v")
+    is_doc = F.coalesce(json_kind(F.col("body"), v) == "object", F.lit(False))
+    not_list = (_array_member(v, "dataset").isNull()
+                & F.try_variant_get(v, "$.dataset", "variant").isNotNull())
+    err = (F.when(~is_doc, F.lit("catalog_not_object"))
+           .when(not_list, F.lit("dataset_not_list")))
+    return docs.select("doc_seq", err.alias("error")).where(F.col("error").isNotNull())
 
 
 def distributions(entries: DataFrame, keys: list[str]) -> DataFrame:
@@ -114,8 +105,8 @@ def is_zip(media_type: Column, fmt: Column) -> Column:
 
 def metastore_distributions(metastore: DataFrame) -> DataFrame:
     """Bare metastore documents ``(dataset_id, body)`` -> object distributions with ``dpos``."""
-    v = F.try_parse_json(F.col("body"))
-    entries = metastore.select("dataset_id", v.alias("entry")).where(_is_obj(F.col("entry")))
+    docs = metastore.select("dataset_id", "body", F.try_parse_json(F.col("body")).alias("entry"))
+    entries = docs.where(json_kind(F.col("body"), F.col("entry")) == "object").select("dataset_id", "entry")
     return distributions(entries, ["dataset_id"])
 
 
@@ -137,12 +128,13 @@ def live_ids(metastore: DataFrame) -> DataFrame:
     Intermediate values are staged as columns so each is computed once per row (a single
     nested expression would re-expand the parse for every reference).
     """
-    v = metastore.select("dataset_id", F.try_parse_json(F.col("body")).alias("_v"))
-    v = v.select("dataset_id", "_v", F.try_variant_get(F.col("_v"), "$.distribution", "array<variant>").alias("_arr"))
-    v = v.select("dataset_id", "_v", "_arr", F.try_element_at(F.col("_arr"), F.lit(1)).alias("_first"))
-    v = v.select("dataset_id", "_v", "_arr", "_first", str_member(F.col("_first"), "identifier").alias("_ident"))
+    v = metastore.select("dataset_id", "body", F.try_parse_json(F.col("body")).alias("_v"))
+    v = v.select("dataset_id", "_v", json_kind(F.col("body"), F.col("_v")).alias("_kind"),
+                 F.try_variant_get(F.col("_v"), "$.distribution", "array<variant>").alias("_arr"))
+    v = v.select("dataset_id", "_kind", "_arr", F.try_element_at(F.col("_arr"), F.lit(1)).alias("_first"))
+    v = v.select("dataset_id", "_kind", "_arr", "_first", str_member(F.col("_first"), "identifier").alias("_ident"))
     arr, first, ident = F.col("_arr"), F.col("_first"), F.col("_ident")
-    status = (F.when(~_is_obj(F.col("_v")), F.lit(NOT_OBJECT))
+    status = (F.when(F.coalesce(F.col("_kind") != "object", F.lit(True)), F.lit(NOT_OBJECT))
               .when(arr.isNull() | (F.size(arr) == 0), F.lit(NO_DISTRIBUTIONS))
               .when(~_is_obj(first), F.lit(FIRST_NOT_OBJECT))
               .when(ident.isNull() | (ident == ""), F.lit(IDENTIFIER_MISSING))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.joins import salted_join
+from meridian.functions.variants import json_kind
 
 # Envelopes: "array" = bare JSON array of objects (paged catalog API, strict);
 # "results" = object whose "results" member (default empty) is an array of objects
@@ -54,10 +55,7 @@ def parse_pages(pages: DataFrame, envelope: str, stem: Column | None = None) ->
         raise ValueError(f"unknown envelope {envelope!r}")
     cols = pages.columns
     df = pages.select(*cols, F.try_parse_json(F.col("body")).alias("_v"))
-    kind = (F.when(F.col("_v").isNull(), F.lit(None))
-            .when(F.col("body").rlike("\\A[ \\t\\r\\n]*\\{"), F.lit("object"))
-            .when(F.col("body").rlike("\\A[ \\t\\r\\n]*\\["), F.lit("array"))
-            .otherwise(F.lit("scalar")))
+    kind = json_kind(F.col("body"), F.col("_v"))
     extra = []
     if envelope == "static":
         if stem is None:
