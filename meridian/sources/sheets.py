@@ -149,7 +149,8 @@ def archive_errors(rows: DataFrame) -> DataFrame:
 
 
 def _blank(x):
-    return x.isNull() | (F.trim(x) == "")
+    """An empty cell: no value (absent cells are NULL); text of spaces is a value."""
+    return x.isNull() | (x == "")
 
 
 def _shape(rows: DataFrame) -> DataFrame:
