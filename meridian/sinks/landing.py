@@ -9,6 +9,7 @@ retries and lost executors are covered by Spark's output commit protocol.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import asdict, dataclass
 from urllib.parse import unquote
 
@@ -118,7 +119,7 @@ def land_runs(
     runs and the ``expected_runs`` that had no rows (nothing of them is left behind).
     """
     spark = df.sparkSession
-    staging = f"{root.rstrip('/')}/{STAGING}/{asset}/_batch-{abs(hash((asset, run_col, id(df)))) % 10**12}"
+    staging = f"{root.rstrip('/')}/{STAGING}/{asset}/_batch-{uuid.uuid4().hex}"
     data_cols = [c for c in df.columns if c != run_col]
     df.select(*data_cols, F.col(run_col).cast("string").alias("_run")).write.mode("overwrite").partitionBy(
         "_run").parquet(staging)
