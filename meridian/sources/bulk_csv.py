@@ -23,8 +23,26 @@ _TS = "\\A[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\\.[0-9]+)?\\
 TYPE_ORDER = ("boolean", "bigint", "double", "date", "timestamp")
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """I7 scan: header row, RFC 4180 quotes, every column as text."""
+def spans_lines(spark: SparkSession, path: str) -> bool:
+    """True when some quoted value holds a line break.
+
+    With RFC 4180 quoting (a quote inside a value is doubled) a record continues on the
+    next line exactly when a physical line has an odd number of quote characters. One
+    splittable text scan that stops at the first such line.
+    """
+    lines = spark.read.text(path)
+    odd = (F.size(F.split(F.col("value"), '"', -1)) % 2) == 0
+    return lines.where(odd).limit(1).count() > 0
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """I7 scan: header row, RFC 4180 quotes, every column as text.
+
+    ``multi_line=None`` decides from the data: files are split across tasks unless a quoted
+    value spans lines (then each file is read whole, which is what multi-line needs).
+    """
+    if multi_line is None:
+        multi_line = spans_lines(spark, path)
     return (spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
             .option("inferSchema", False).csv(path))
 
@@ -69,7 +87,7 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(*cols)
 
 
-def read_typed_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_typed_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     raw = read_csv_text(spark, path, multi_line)
     return apply_types(raw, infer_types(raw))
 

@@ -44,3 +44,12 @@ def test_header_only_is_refused(spark, tmp_root):
     with pytest.raises(landing.EmptyExtractError):
         bulk_csv.bulk_load(spark, p, tmp_root, "cms_empty", "run-1")
     assert not os.path.exists(tmp_root.replace("file:", "") + "/cms_empty/run-1.parquet")
+
+
+def test_quoted_line_breaks_are_detected(spark, tmp_root):
+    plain = _write(tmp_root, "src/p.csv", 'id,note\n1,"a ""q"" b"\n2,x\n')
+    broken = _write(tmp_root, "src/m.csv", 'id,note,n\n1,"x\ny,z,w",2\n3,plain,4\n')
+    assert not bulk_csv.spans_lines(spark, plain)
+    assert bulk_csv.spans_lines(spark, broken)
+    rows = bulk_csv.read_typed_csv(spark, broken).orderBy("id").collect()
+    assert [(r.id, r.note, r.n) for r in rows] == [(1, "x\ny,z,w", 2), (3, "plain", 4)]
