@@ -71,6 +71,8 @@ def land(
     record_metrics: bool = True,
 ) -> RunMetrics:
     """K1+K4+K5: write one run, guard against empty extracts, record metrics."""
+    if not isinstance(df, DataFrame):
+        raise TypeError(f"land() takes a DataFrame, got {type(df).__name__}")
     spark = df.sparkSession
     staging = run_path(f"{root.rstrip('/')}/{STAGING}", asset, run_id)
     final = run_path(root, asset, run_id)

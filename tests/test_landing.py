@@ -72,3 +72,8 @@ def test_land_runs_one_job(spark, tmp_root):
     assert not os.path.exists(_local(f"{tmp_root}/_staging/cms_multi")) or not any(
         n.startswith("_batch") for n in os.listdir(_local(f"{tmp_root}/_staging/cms_multi")))
     assert sorted(r.run_id for r in landing.read_metrics(spark, tmp_root).collect()) == ["run a", "run-b"]
+
+
+def test_non_table_is_rejected(tmp_root):
+    with pytest.raises(TypeError):
+        landing.land([{"a": 1}], tmp_root, "cms_t", "run-1")
