@@ -35,16 +35,33 @@ def spans_lines(spark: SparkSession, path: str) -> bool:
     return lines.where(odd).limit(1).count() > 0
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+# Delimiters tried when none is given, in order of preference on ties.
+DELIMITERS = (",", "\t", ";", "|")
+
+
+def sniff_delimiter(spark: SparkSession, path: str) -> str:
+    """The candidate delimiter that occurs most often (outside quotes) in the header line."""
+    first = spark.read.text(path).limit(1).collect()
+    if not first:
+        return ","
+    header = first[0][0] or ""
+    unquoted = "".join(part for i, part in enumerate(header.split('"')) if i % 2 == 0)
+    counts = [(unquoted.count(d), -i, d) for i, d in enumerate(DELIMITERS)]
+    best = max(counts)
+    return best[2] if best[0] > 0 else ","
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool | None = None, sep: str | None = None) -> DataFrame:
     """I7 scan: header row, RFC 4180 quotes, every column as text.
 
     ``multi_line=None`` decides from the data: files are split across tasks unless a quoted
     value spans lines (then each file is read whole, which is what multi-line needs).
+    ``sep=None`` sniffs the delimiter from the header line.
     """
     if multi_line is None:
         multi_line = spans_lines(spark, path)
     return (spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-            .option("inferSchema", False).csv(path))
+            .option("sep", sep or sniff_delimiter(spark, path)).option("inferSchema", False).csv(path))
 
 
 def _checks(c: Column) -> dict[str, Column]:
@@ -87,8 +104,8 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(*cols)
 
 
-def read_typed_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
-    raw = read_csv_text(spark, path, multi_line)
+def read_typed_csv(spark: SparkSession, path: str, multi_line: bool | None = None, sep: str | None = None) -> DataFrame:
+    raw = read_csv_text(spark, path, multi_line, sep)
     return apply_types(raw, infer_types(raw))
 
 

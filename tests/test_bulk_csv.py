@@ -53,3 +53,12 @@ def test_quoted_line_breaks_are_detected(spark, tmp_root):
     assert bulk_csv.spans_lines(spark, broken)
     rows = bulk_csv.read_typed_csv(spark, broken).orderBy("id").collect()
     assert [(r.id, r.note, r.n) for r in rows] == [(1, "x\ny,z,w", 2), (3, "plain", 4)]
+
+
+def test_delimiter_sniffing(spark, tmp_root):
+    tab = _write(tmp_root, "src/t.tsv", "npi\tname\tn\n0123456789\tA, B\t5\n")
+    semi = _write(tmp_root, "src/s.csv", '"a;b";c\n1;2\n')
+    assert bulk_csv.sniff_delimiter(spark, tab) == "\t"
+    assert bulk_csv.sniff_delimiter(spark, semi) == ";"
+    rows = bulk_csv.read_typed_csv(spark, tab).collect()
+    assert [(r.npi, r.name, r.n) for r in rows] == [("0123456789", "A, B", 5)]
