@@ -4,8 +4,9 @@ The CSV is read as text (splittable: ``multiLine`` stays off unless asked for),
 aggregate over all columns decides each column's type, and ``try_cast`` applies it.
 Inference rules (fixed values): a column is BOOLEAN if every non-empty value is
 true/false, BIGINT if every value is an integer without a leading zero, DOUBLE if every
-value is a decimal or exponent number without a leading zero, DATE for yyyy-MM-dd,
-TIMESTAMP for yyyy-MM-dd HH:mm:ss[.f], else text. Leading zeros keep identifiers text.
+value is a decimal or exponent number without a leading zero, DATE for yyyy-MM-dd or
+month-first M/d/yyyy, TIMESTAMP for yyyy-MM-dd HH:mm:ss[.f], else text. Leading zeros
+keep identifiers text.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ _INT = "\\A[+-]?(0|[1-9][0-9]*)\\z"
 _DOUBLE = "\\A[+-]?(0|[1-9][0-9]*)?(\\.[0-9]*)?([eE][+-]?[0-9]+)?\\z"
 _DATE = "\\A[0-9]{4}-[0-9]{2}-[0-9]{2}\\z"
 _TS = "\\A[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\\.[0-9]+)?\\z"
-TYPE_ORDER = ("boolean", "bigint", "double", "date", "timestamp")
+_DATE_US = "\\A[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\\z"
+US_DATE_FORMAT = "M/d/yyyy"
+TYPE_ORDER = ("boolean", "bigint", "double", "date", "date_us", "timestamp")
 
 
 def spans_lines(spark: SparkSession, path: str) -> bool:
@@ -70,10 +73,15 @@ def _checks(c: Column) -> dict[str, Column]:
         "bigint": c.rlike(_INT) & c.try_cast("bigint").isNotNull(),
         "double": c.rlike(_DOUBLE) & c.rlike("[0-9]") & c.try_cast("double").isNotNull(),
         "date": c.rlike(_DATE) & c.try_cast("date").isNotNull(),
+        "date_us": c.rlike(_DATE_US) & _us_date(c).isNotNull(),
         "timestamp": c.rlike(_TS) & c.try_cast("timestamp").isNotNull(),
     }
 
 
+def _us_date(c: Column) -> Column:
+    return F.call_function("try_to_date", c, F.lit(US_DATE_FORMAT))
+
+
 def infer_types(df: DataFrame) -> dict[str, str]:
     """One aggregate pass: per column and candidate type, do all non-empty values fit?"""
     aggs = []
@@ -100,7 +108,13 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     for name in df.columns:
         c = F.col(f"`{name}`")
         t = types.get(name, "string")
-        cols.append((c if t == "string" else F.nullif(c, F.lit("")).try_cast(t)).alias(name))
+        if t == "string":
+            val = c
+        elif t == "date_us":
+            val = _us_date(F.nullif(c, F.lit("")))
+        else:
+            val = F.nullif(c, F.lit("")).try_cast(t)
+        cols.append(val.alias(name))
     return df.select(*cols)
 
 

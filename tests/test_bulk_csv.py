@@ -26,11 +26,17 @@ def test_provider_summary_csv(spark, tmp_root):
 
 
 def test_drug_and_payment_types(spark, tmp_root):
-    p = _write(tmp_root, "src/b.csv", "state,ndc,units_reimbursed,Total_Amount_of_Payment_USDollars,flag,day\n"
-               "CA,00000000001,10,12.5,true,2024-01-02\nTX,00000000002,3,1e2,false,2024-02-03\n")
+    p = _write(tmp_root, "src/b.csv", "state,ndc,units_reimbursed,Total_Amount_of_Payment_USDollars,flag,day,paid,dm\n"
+               "CA,00000000001,10,12.5,true,2024-01-02,01/15/2024,13/01/2024\n"
+               "TX,00000000002,3,1e2,false,2024-02-03,1/5/2024,01/02/2024\n")
     types = bulk_csv.infer_types(bulk_csv.read_csv_text(spark, p))
     assert types == {"state": "string", "ndc": "string", "units_reimbursed": "bigint",
-                     "Total_Amount_of_Payment_USDollars": "double", "flag": "boolean", "day": "date"}
+                     "Total_Amount_of_Payment_USDollars": "double", "flag": "boolean", "day": "date",
+                     "paid": "date_us", "dm": "string"}
+    import datetime
+
+    rows = bulk_csv.read_typed_csv(spark, p).orderBy("state").collect()
+    assert [r.paid for r in rows] == [datetime.date(2024, 1, 15), datetime.date(2024, 1, 5)]
 
 
 def test_late_value_keeps_text(spark, tmp_root):
