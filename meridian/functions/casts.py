@@ -29,6 +29,8 @@ _EXP_DOT = f"([eE][+-]?[0-9]+)\\.([{_WS}]*)\\z"
 _EXPONENT = f"[eE]([+-]?[0-9]+)[{_WS}]*\\z"
 _EXP_MIN, _EXP_MAX = -32768, 32767
 _INT_TEXT = f"\\A[{_WS}]*[+-]?[0-9]+[{_WS}]*\\z"
+# beyond 18 fraction digits, truncation (not rounding) keeps the half-way decision exact
+_LONG_FRACTION = f"(\\.[0-9]{{18}})[0-9]+(?=[{_WS}]*\\z)"
 
 
 # Characters the staging engine's trim() removes - the Unicode space
@@ -75,6 +77,7 @@ def lenient_int(col: Column | str) -> Column:
     bin_val = F.when(F.length(significant) <= 32, F.conv(significant, 2, 10).try_cast("int"))
     decimal_text = F.regexp_replace(F.regexp_replace(c, _DIGIT_SEPARATOR, ""), _LEADING_ZEROS, "$1")
     decimal_text = F.regexp_replace(decimal_text, _EXP_DOT, "$1$2")
+    decimal_text = F.regexp_replace(decimal_text, _LONG_FRACTION, "$1")
     exponent = F.regexp_extract(decimal_text, _EXPONENT, 1)
     exponent_ok = F.when(exponent != "", exponent.try_cast("int").between(_EXP_MIN, _EXP_MAX))
     dec_val = F.round(decimal_text.try_cast("decimal(38,18)"), 0).try_cast("int")

@@ -13,6 +13,8 @@ PROBES = [
     " 0x1F ", "0B11", "0b2", "1_e2", "1e_2", "0000000000000000000000000005", "99999999999999999999999", "5d",
     "Infinity", "-inf", " 0x1F", "\t0b11", "0x1F\t", "0e73", "-0e999", "0e32767", "0e32768", "5e-32768",
     "5e-32769", "45e4.", "1e2..", "1.e2.", "1e2. ", "1.5.", "0x1F.", "0x" + "F" * 40, "0b" + "1" * 80,
+    "0.4999999999999999999999", "-0.4999999999999999999999 ", "0.5000000000000000000001",
+    "1.4999999999999999999999999999999999999999999", "2.49999999999999999999",
 ]
 
 
