@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import decontaminate as decontam
+from meridian.llm import jaccard_join
 from meridian.llm import warc
 from meridian.sources.tables import table
 
@@ -31,6 +32,28 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "refers_to")
 
 
+_JACCARD_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + least(5, len(w)) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b USING (g)
+      WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT c.u, c.v FROM c JOIN n nu ON nu.doc_id = c.u JOIN n nv ON nv.doc_id = c.v
+      WHERE 100 * c.c >= 75 * (nu.n + nv.n - c.c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.v FROM reach r JOIN e ON r.y = e.u)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.y AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT x, min(y) AS y FROM reach GROUP BY x) r ON r.x = d.doc_id
+"""
+
+
+@_query("op4_jaccard_join", _JACCARD_SQL)
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(spark, table(spark, sf_dir, "documents")).drop("sid")
+
+
 _DECONTAM_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
