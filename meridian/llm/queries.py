@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import decontaminate as decontam
-from meridian.llm import jaccard_join
+from meridian.llm import chat_tools, jaccard_join, language_id, packing
 from meridian.llm import warc
 from meridian.sources.tables import table
 
@@ -32,6 +32,50 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "refers_to")
 
 
+#: the argument schema of the tool that exchanges are read as
+REPLY_SCHEMA = {"type": "object", "required": ["prompt", "turn"], "additionalProperties": False,
+                "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 400},
+                               "turn": {"type": "integer", "minimum": 0}}}
+
+_CHAT_SQL = r"""
+WITH m AS (SELECT conv_id, turn, role, text, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS key,
+             CAST(conv_id AS VARCHAR) || '-' || CAST(turn - 1 AS VARCHAR) AS before FROM conversations),
+r AS (SELECT conv_id, turn, role, text, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+        CASE role WHEN 'user' THEN key WHEN 'assistant' THEN before END AS id FROM m),
+c AS (SELECT id, min(turn) AS call_turn FROM r WHERE kind = 'call' GROUP BY id),
+s AS (SELECT id, min(turn) AS result_turn FROM r WHERE kind = 'result' GROUP BY id)
+SELECT r.conv_id, r.turn, r.kind, r.id,
+  CASE WHEN kind = 'message' THEN NULL WHEN call_turn IS NULL THEN 'unlinked'
+       WHEN turn <> CASE kind WHEN 'call' THEN call_turn ELSE result_turn END THEN 'duplicate'
+       WHEN result_turn IS NULL THEN 'unlinked' ELSE 'linked' END AS status,
+  CASE WHEN kind = 'call' THEN coalesce(length(text) BETWEEN 1 AND 400, FALSE) END AS valid,
+  r.turn AS order_turn,
+  CASE kind
+    WHEN 'call' THEN '{"role":' || to_json(role) || ',"tool_call":{"arguments":{"prompt":' || to_json(text) || ',"turn":' || turn
+      || '},"id":' || to_json(r.id) || ',"name":"reply"}}'
+    WHEN 'result' THEN '{"content":' || to_json(text) || ',"role":' || to_json(role) || ',"tool_call_id":' || to_json(r.id) || '}'
+    ELSE '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' END AS json
+FROM r LEFT JOIN c ON c.id = r.id LEFT JOIN s ON s.id = r.id
+"""
+
+
+@_query("op2_chat_tools", _CHAT_SQL)
+def op2_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = chat_tools.from_exchanges(table(spark, sf_dir, "conversations"))
+    linked = chat_tools.link_tools(spark, messages, {"reply": REPLY_SCHEMA})
+    return linked.select("conv_id", "turn", "kind", "id", "status", "valid", "order_turn", "json")
+
+
+@_query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(spark, table(spark, sf_dir, "documents"))
+
+
+@_query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents"))
+
+
 _JACCARD_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
