@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import decontaminate as decontam
-from meridian.llm import chat_tools, jaccard_join, language_id, packing
+from meridian.llm import chat_tools, html_diff, jaccard_join, language_id, packing
 from meridian.llm import warc
 from meridian.sources.tables import table
 
@@ -124,3 +124,8 @@ FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@_query("op8_html_diff")
+def op8_html_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_diff.extract(spark, table(spark, sf_dir, "pages"))
