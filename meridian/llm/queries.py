@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import decontaminate as decontam
-from meridian.llm import chat_tools, html_diff, jaccard_join, language_id, packing
+from meridian.llm import chat_tools, html_diff, jaccard_join, language_id, packing, quality_rules
 from meridian.llm import warc
 from meridian.sources.tables import table
 
@@ -129,3 +129,53 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_html_diff")
 def op8_html_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_diff.extract(spark, table(spark, sf_dir, "pages"))
+
+
+_RULES_SQL = r"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+b AS (SELECT doc_id, lang, text, w, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        length(text) - length(regexp_replace(text, '\p{Lu}', '', 'g')) AS up,
+        length(text) - length(regexp_replace(text, '\p{L}', '', 'g')) AS le,
+        length(text) - length(regexp_replace(text, '[0-9]', '', 'g')) AS di FROM d),
+li AS (SELECT doc_id, l, count(*) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d)
+       WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id, l),
+dl AS (SELECT doc_id, CAST(sum(c - 1) AS BIGINT) AS n_dup_lines FROM li GROUP BY doc_id),
+tri AS (SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) > 2)),
+rep AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
+rw AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words
+       FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM rep) GROUP BY doc_id),
+wl AS (SELECT doc_id, lang, unnest(w) AS word FROM d),
+vocab AS (SELECT lang, word, count(*) AS c FROM wl WHERE length(word) <= 4 GROUP BY lang, word),
+top AS (SELECT lang, word, c FROM vocab QUALIFY row_number() OVER (PARTITION BY lang ORDER BY c DESC, word) <= 16),
+ch AS (SELECT doc_id, lang, unnest([le - up, up, di, length(text) - word_chars, word_chars - le - di]) AS v,
+         unnest([0, 1, 2, 3, 4]) AS k, length(text) AS n FROM b),
+rc AS (SELECT lang, k, sum(v) AS v, sum(sum(v)) OVER (PARTITION BY lang) AS n FROM ch GROUP BY lang, k),
+cd AS (SELECT doc_id, any_value(p.n) AS n_chars, sum(CASE WHEN p.v > 0 THEN p.v / p.n * log2((p.v / p.n) / ((p.v / p.n + q.v / q.n) / 2)) ELSE 0 END
+             + CASE WHEN q.v > 0 THEN q.v / q.n * log2((q.v / q.n) / ((p.v / p.n + q.v / q.n) / 2)) ELSE 0 END) / 2 AS j
+       FROM ch p JOIN rc q ON p.lang IS NOT DISTINCT FROM q.lang AND p.k = q.k WHERE p.n > 0 GROUP BY doc_id),
+hit AS (SELECT wl.doc_id, wl.word, count(*) AS v FROM wl JOIN top ON wl.lang IS NOT DISTINCT FROM top.lang AND wl.word = top.word
+        GROUP BY wl.doc_id, wl.word),
+lw AS (SELECT lang, sum(n_words) AS n FROM b GROUP BY lang),
+hw AS (SELECT b.doc_id, coalesce(hit.v, 0) AS v, b.n_words AS n, top.c AS qv, lw.n AS qn
+       FROM b JOIN top ON b.lang IS NOT DISTINCT FROM top.lang JOIN lw ON b.lang IS NOT DISTINCT FROM lw.lang
+       LEFT JOIN hit ON hit.doc_id = b.doc_id AND hit.word = top.word WHERE b.n_words > 0),
+hx AS (SELECT * FROM hw UNION ALL SELECT doc_id, any_value(n) - sum(v), any_value(n), any_value(qn) - sum(qv), any_value(qn) FROM hw GROUP BY doc_id),
+wd AS (SELECT doc_id, sum(CASE WHEN v > 0 THEN v / n * log2((v / n) / ((v / n + qv / qn) / 2)) ELSE 0 END
+             + CASE WHEN qv > 0 THEN qv / qn * log2((qv / qn) / ((v / n + qv / qn) / 2)) ELSE 0 END) / 2 AS j FROM hx GROUP BY doc_id),
+r AS (SELECT b.doc_id, n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(n_chars >= 400 AND sqrt(greatest(cd.j, 0)) > 0.30, FALSE)
+        OR coalesce(n_words >= 100 AND sqrt(greatest(wd.j, 0)) > 0.30, FALSE) AS diverges
+      FROM b LEFT JOIN dl ON dl.doc_id = b.doc_id LEFT JOIN rw ON rw.doc_id = b.doc_id
+      LEFT JOIN cd ON cd.doc_id = b.doc_id LEFT JOIN wd ON wd.doc_id = b.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR diverges) AS kept FROM r
+"""
+
+
+@_query("op9_quality_rules", _RULES_SQL)
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
