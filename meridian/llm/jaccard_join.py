@@ -12,11 +12,13 @@ counts over the whole corpus, so two linked sets share at least ``l`` of the fir
 
 The boundary minimises subsets enumerated plus list entries scanned over the size histogram.
 
-Groups are never expanded into all pairs: a first round verifies for every set only its
-best candidate (the list's first member and its predecessor by size, most shared entries
-wins) and links those; a second, completing round takes the lists that still hold several
-components and verifies every remaining pair across components that the size and position
-bounds allow, so no link that could join two components is missed.
+Groups are never expanded into all pairs. In each star round every list names one set of
+its lowest and one of its highest component (a pre-aggregated minimum and maximum), every
+set is verified against the one of another component that it shares most entries with, and
+what links becomes one component. The completing round takes the lists that still hold
+several components, counts the entries that every pair across components shares and
+verifies all pairs that the size and count bounds allow, so no link that could join two
+components is missed.
 
 Sets are compared as 64-bit shingle hashes, equal sets found by a 64-bit digest.
 
@@ -47,6 +49,8 @@ SUBLIST = 50_000
 #: boundaries tried by the cost model, and the cost of scanning against that of emitting an entry
 BOUNDARIES = range(4, 65)
 SCAN_COST = 0.5
+#: star rounds at most; a star round tries a pair that shares this fraction (one over) of a prefix
+ROUNDS, LIKELY = 4, 4
 #: bits of the bitmap of sets whose texts are needed (fixed: 4 MiB)
 NEEDED_BITS = 1 << 25
 
@@ -171,11 +175,11 @@ def _entries(docs: DataFrame, order, x: int) -> DataFrame:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries of lists with several sets, each with the list's first set and its predecessor.
+    """Entries of lists that hold several sets, each set once; of a dealt list (``salt > 0``) all.
 
     The input is sorted by ``h, salt, n, sid``; a list may span batches and is never held.
     """
-    last = None  # the previous row (h, salt, sid, n, pos), its list's first set, whether it was sent
+    last = None  # the previous row and whether it was sent
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -186,37 +190,28 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         same_list = np.r_[False, (h[1:] == h[:-1]) & (salt[1:] == salt[:-1])]
         keep = ~(same_list & np.r_[False, sid[1:] == sid[:-1]])
         cols, same_list = [c[keep] for c in cols], same_list[keep]
-        h, salt, sid = cols[:3]
-        group = np.cumsum(~same_list) - 1
         starts = np.flatnonzero(~same_list)
-        first = sid[starts][group]
+        group = np.cumsum(~same_list) - 1
         sizes = np.bincount(group)
-        prev = np.r_[sid[:1], sid[:-1]]
-        alone = ~same_list
-        send = (sizes[group] > 1) | (salt > 0)
-        if last is not None:
-            first = np.where(group == 0, last[1], first)
-            send[0] &= not last[2]
-            alone[0] = last[1] == sid[0]
-            if last[2]:
-                send[1:] |= group[1:] == 0
-        if sizes[-1] == 1 and not (len(starts) == 1 and last is not None and last[2]):
-            sent = False
+        send = (sizes[group] > 1) | (cols[1] > 0)
+        was_sent = last is not None and last[1]
+        if was_sent:  # the list goes on: its first row here went with the batch before
+            send |= group == 0
+            send[0] = False
+        done = sizes[-1] > 1 or (len(starts) == 1 and was_sent)
+        if not done:  # a list of one so far: the next batch decides
             send[-1] = False
-        else:
-            sent = True
-        last = (tuple(c[-1] for c in cols), first[-1], sent)
+        last = tuple(c[-1] for c in cols), done
         if send.any():
-            yield _shared_batch(cols, first, np.where(alone, first, prev), send)
-    if last is not None and not last[2] and last[0][1] > 0:
-        cols = [np.array([v]) for v in last[0]]
-        yield _shared_batch(cols, np.array([last[1]]), np.array([last[1]]), np.array([True]))
+            yield _entry_batch([c[send] for c in cols])
+    if last is not None and not last[1] and last[0][1] > 0:
+        yield _entry_batch([np.array([v]) for v in last[0]])
 
 
-def _shared_batch(cols, first, prev, send) -> pa.RecordBatch:
+def _entry_batch(cols: list[np.ndarray]) -> pa.RecordBatch:
     h, _, sid, n, pos = cols
-    arrays = [h[send], sid[send], n[send].astype(np.int32), pos[send].astype(np.int32), first[send], prev[send]]
-    return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["h", "sid", "n", "pos", "first", "prev"])
+    return pa.RecordBatch.from_arrays([pa.array(h), pa.array(sid), pa.array(n.astype(np.int32)),
+                                       pa.array(pos.astype(np.int32))], names=["h", "sid", "n", "pos"])
 
 
 def _need(n: str, m: str) -> Column:
@@ -306,39 +301,54 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
     x = boundary(sizes, scan)
 
     lists = (_entries(docs, order, x).repartition("h", "salt").sortWithinPartitions("h", "salt", "n", "sid")
-             .mapInArrow(_shared, "h long, sid long, n int, pos int, first long, prev long"))
-    lists = written(spark, lists, "join-lists")
-
-    # first round: every set against its best candidate
-    tries = (lists.select("sid", F.explode(F.array_distinct(F.array("first", "prev"))).alias("other"))
-             .where("sid <> other").groupBy("sid", "other").count()
-             .groupBy("sid").agg(F.max_by("other", F.struct("count", "other")).alias("other"))
-             .select(F.least("sid", "other").alias("u"), F.greatest("sid", "other").alias("v")).distinct())
-    tries = written(spark, tries, "join-tries")
-    first = _checked(spark, docs, sets, tries, "join-first")
-    edges = first.where("linked").select("u", "v")
-    labels = components(spark, edges)
+             .mapInArrow(_shared, "h long, sid long, n int, pos int"))
+    rest = written(spark, lists.select("*", F.col("sid").alias("comp")), "join-lists")
+
+    # star rounds: every set against one candidate of another component
+    checked = spark.createDataFrame([], "u long, v long, linked boolean")
+    labels = spark.createDataFrame([], "node long, root long")
+    for _ in range(ROUNDS):
+        ends = (rest.groupBy("h").agg(F.min(F.struct("comp", "sid")).alias("lo"), F.max(F.struct("comp", "sid")).alias("hi"))
+                .where("lo.comp <> hi.comp"))
+        rest = written(spark, rest.join(ends, "h"), "join-rest")
+        other = F.when(F.col("comp") != F.col("lo.comp"), F.col("lo.sid")).otherwise(F.col("hi.sid"))
+        tries = (rest.select("sid", "n", (F.col("pos") < 0).alias("light"), other.alias("other"))
+                 .groupBy("sid", "other", "light").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+                 .where(F.expr(f"c * {LIKELY} >= case when light then (n div 4 + 2) * (n div 4 + 1) div 2 else n div 4 + 1 end"))
+                 .select("sid", "c", F.least("sid", "other").alias("u"), F.greatest("sid", "other").alias("v"))
+                 .join(checked, ["u", "v"], "left_anti")
+                 .groupBy("sid").agg(F.max_by(F.struct("u", "v"), F.struct("c", "u", "v")).alias("p"))
+                 .select("p.u", "p.v").distinct())
+        tries = written(spark, tries, "join-tries")
+        found = _checked(spark, docs, sets, tries, "join-found")
+        checked = written(spark, checked.union(found), "join-checked")
+        if not found.where("linked").limit(1).count():
+            break
+        labels = components(spark, checked.where("linked").select("u", "v"))
+        rest = (rest.select("h", "sid", "n", "pos").join(labels, rest.sid == labels.node, "left")
+                .select("h", "sid", "n", "pos", F.coalesce("root", "sid").alias("comp")))
+        rest = written(spark, rest, "join-lists")
 
     # completing round: pairs across components in the lists that still hold several
-    named = (lists.select("h", "sid", "n", "pos").join(labels, lists.sid == labels.node, "left")
-             .select("h", "sid", "n", "pos", F.coalesce("root", "sid").alias("comp")))
-    named = written(spark, named, "join-named")
-    mixed = named.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
-    rest = written(spark, named.join(mixed, "h", "left_semi"), "join-rest")
+    mixed = rest.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
+    rest = written(spark, rest.select("h", "sid", "n", "pos", "comp").join(mixed, "h", "left_semi"), "join-rest")
     a, b = rest.alias("a"), rest.alias("b")
-    at = "case when {0}.pos < 0 then -1 - {0}.pos else {0}.pos end"
-    left = f"least(a.n - 1 - ({at.format('a')}), b.n - 1 - ({at.format('b')}))"
-    bound = F.expr(f"case when a.pos < 0 then 2 else 1 end + {left}")
-    pairs = (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.comp") != F.col("b.comp"))
-                    & ((F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.sid") < F.col("b.sid"))))
-                    & F.expr("100L * a.n >= 75L * b.n") & (bound >= _need("a.n", "b.n")))
-             .select(F.least("a.sid", "b.sid").alias("u"), F.greatest("a.sid", "b.sid").alias("v")).distinct()
-             .join(first, ["u", "v"], "left_anti"))
+    met = (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.comp") != F.col("b.comp"))
+                  & ((F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.sid") < F.col("b.sid"))))
+                  & F.expr("100L * a.n >= 75L * b.n"))
+           .groupBy("a.sid", "b.sid", (F.col("a.pos") < 0).alias("light"))
+           .agg(F.count("*").alias("c"), F.max("a.n").alias("n"), F.max("b.n").alias("m"))
+           .toDF("u", "v", "light", "c", "n", "m"))
+    # what is common beyond both prefixes lies in the rest of the set whose prefix ends first
+    rests = [F.expr(f"{x} - least({x}, {x} div 4 + case when light then 2 else 1 end)") for x in ("n", "m")]
+    met = met.withColumn("least_common", _need("n", "m") - F.greatest(*rests))
+    enough = F.expr("c >= case when light then least_common * (least_common - 1) div 2 else least_common end")
+    pairs = (met.where(enough).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+             .join(checked, ["u", "v"], "left_anti"))
     pairs = written(spark, pairs, "join-pairs")
-    second = _checked(spark, docs, sets, pairs, "join-second")
-    extra = second.where("linked").select("u", "v")
-    if extra.limit(1).count():
-        labels = components(spark, edges.union(extra))
+    found = _checked(spark, docs, sets, pairs, "join-found")
+    if found.where("linked").limit(1).count():
+        labels = components(spark, checked.union(found).where("linked").select("u", "v"))
 
     # component ids: the smallest doc_id, pre-aggregated per set, then looked up
     members = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("low"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import decontaminate as decontam
-from meridian.llm import chat_tools, html_diff, jaccard_join, language_id, packing, quality_rules
+from meridian.llm import chat_tools, html_diff, jaccard_join, language_id, packing, pii, quality_rules
 from meridian.llm import warc
 from meridian.sources.tables import table
 
@@ -179,3 +179,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 @_query("op9_quality_rules", _RULES_SQL)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
+@_query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(spark, table(spark, sf_dir, "documents")).drop("text", "found")
