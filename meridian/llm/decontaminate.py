@@ -34,7 +34,7 @@ BLOOM_BITS = 1 << 22
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
                for b in range(256))
 
-_DOC_SCHEMA = "digest binary, n_words long, hits array<struct<fp: long, win: int, pos: long, ctx: binary>>"
+_DOC_SCHEMA = "key long, digest binary, n_words long, hits array<struct<fp: long, win: int, pos: long, ctx: binary>>"
 _HIT = pa.struct([("fp", pa.int64()), ("win", pa.int32()), ("pos", pa.int64()), ("ctx", pa.binary())])
 
 
@@ -122,7 +122,7 @@ def _doc_rows(docs: DataFrame, bitmap, lengths: list[int]) -> DataFrame:
         bits = bitmap.value
         for batch in batches:
             digests, counts, hits = [], [], []
-            for text in utf8_values(batch.column(1)):
+            for text in utf8_values(batch.column(2)):
                 tokens = words(text or b"")
                 hashes = word_hashes(tokens)
                 rows: list[dict] = []
@@ -141,11 +141,11 @@ def _doc_rows(docs: DataFrame, bitmap, lengths: list[int]) -> DataFrame:
                 counts.append(len(tokens))
                 hits.append(rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()),
-                 pa.array(hits, pa.list_(_HIT))], names=["doc_id", "digest", "n_words", "hits"])
+                [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()),
+                 pa.array(hits, pa.list_(_HIT))], names=["doc_id", "key", "digest", "n_words", "hits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {_DOC_SCHEMA}")
+    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, f"doc_id {kind}, {_DOC_SCHEMA}")
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,9 +173,9 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document: ``doc_id, digest, n_words, n_hit, n_items, items_sha256, contaminated, spans``.
+    """Per document: ``doc_id, key, n_words, n_hit, n_items, items_sha256, contaminated, spans``.
 
-    ``spans`` are the merged word ranges (end exclusive) covered by benchmark windows.
+    ``key`` is the text's xxhash64, ``spans`` are the merged word ranges (end exclusive) covered by benchmark windows.
     """
     items = written(spark, item_fingerprints(benchmark), "decontam-items")
     lengths = sorted(r.win for r in items.select("win").distinct().collect() if r.win < WINDOW)
@@ -210,9 +210,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     n_hit = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]),
                        F.lit(0).cast("long"))
     items_list = F.coalesce("items", F.expr("cast(array() as array<string>)"))
-    return (rows.select("doc_id", "digest", "n_words").join(result, "digest", "left")
-            .select("doc_id", "digest", "n_words", n_hit.alias("n_hit"), items_list.alias("items"), "spans")
-            .select("doc_id", "digest", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+    return (rows.select("doc_id", "key", "digest", "n_words").join(result, "digest", "left")
+            .select("doc_id", "key", "n_words", n_hit.alias("n_hit"), items_list.alias("items"), "spans")
+            .select("doc_id", "key", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                     ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
                     "spans"))

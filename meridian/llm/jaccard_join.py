@@ -285,7 +285,7 @@ def _checked(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataF
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per document: ``doc_id, n_shingles, component_id`` and the set's id ``sid``."""
+    """Per document: ``doc_id, n_shingles, component_id``, the set's id ``sid`` and the text's xxhash64 ``key``."""
     out = written(spark, _sets(docs), "join-sets")
     sets = out.where("h is null").select("doc_id", "key", "n", "sid")
     frequent = (out.where("h is not null").groupBy("h").agg(F.sum("c").alias("c"))
@@ -360,4 +360,4 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return (sets.join(named_sets, sets.sid == named_sets.s, "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    "sid"))
+                    "sid", "key"))

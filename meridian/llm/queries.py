@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import decontaminate as decontam
-from meridian.llm import chat_tools, html_diff, jaccard_join, language_id, packing, pii, quality_rules
+from meridian.llm import chat_tools, html_diff, jaccard_join, language_id, packing, pii, quality_cotrain, quality_rules
 from meridian.llm import warc
 from meridian.sources.tables import table
 
@@ -95,7 +95,7 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT x, min(y) AS y FROM reach
 
 @_query("op4_jaccard_join", _JACCARD_SQL)
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_join(spark, table(spark, sf_dir, "documents")).drop("sid")
+    return jaccard_join.jaccard_join(spark, table(spark, sf_dir, "documents")).drop("sid", "key")
 
 
 _DECONTAM_SQL = r"""
@@ -184,3 +184,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_pii")
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(spark, table(spark, sf_dir, "documents")).drop("text", "found")
+
+
+@_query("op10_quality_cotrain")
+def op10_quality_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cotrain.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
