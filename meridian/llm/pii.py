@@ -110,13 +110,18 @@ def _side(c: Column) -> Column:
             .when(c.rlike(r"\A\p{L}"), 2).otherwise(3))
 
 
+def _key(x: Column) -> Column:
+    """One long for a span, so that looking a span up among others stays cheap in texts with many."""
+    return x["s"].cast("long") * (1 << 31) + x["e"]
+
+
 def _candidates(kind: str) -> Column:
     def described(x: Column) -> Column:
         m, d = x["m"], _digits(x["m"])
         small = F.length(d) <= 19
         inside = F.exists(f"chain_{kind}", lambda c: (c["s"] <= x["s"]) & (x["e"] <= c["e"]) & ~valid(kind, c["m"])
                           & ((c["s"] != x["s"]) | (c["e"] != x["e"])))
-        equal = F.exists(f"base_{kind}", lambda c: (c["s"] == x["s"]) & (c["e"] == x["e"]))
+        equal = F.array_contains(f"keys_{kind}", _key(x))
         return F.struct(
             x["s"].alias("s"), x["e"].alias("e"), F.lit(KINDS.index(kind)).alias("kind"),
             F.least(F.length(d), F.lit(24)).alias("digits"), F.least(F.length(m), F.lit(40)).alias("chars"),
@@ -126,12 +131,12 @@ def _candidates(kind: str) -> Column:
             F.when(m.startswith("+"), 1).otherwise(0).alias("plus"), F.when(m.contains("("), 1).otherwise(0).alias("paren"),
             _side(F.when(x["s"] > 0, F.substring("text", x["s"], F.lit(1)))).alias("before"),
             _side(F.substring("text", x["e"] + 1, F.lit(1))).alias("after"),
-            F.coalesce(F.substring(d, 1, 1).cast("int"), F.lit(0)).alias("lead"),
+            F.coalesce(F.substring(d, 1, 1).try_cast("int"), F.lit(0)).alias("lead"),
             F.when(equal, 1.0).when(~inside, 0.0).alias("label"))
 
     # a candidate that overlaps a base span without being one is no candidate
-    return F.transform(F.filter(f"gen_{kind}", lambda x: ~F.exists(f"base_{kind}", lambda c: (
-        (c["s"] < x["e"]) & (x["s"] < c["e"]) & ((c["s"] != x["s"]) | (c["e"] != x["e"]))))), described)
+    return F.transform(F.filter(f"gen_{kind}", lambda x: F.array_contains(f"keys_{kind}", _key(x)) | ~F.exists(
+        f"base_{kind}", lambda c: (c["s"] < x["e"]) & (x["s"] < c["e"]))), described)
 
 
 def with_candidates(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -144,6 +149,7 @@ def with_candidates(docs: DataFrame, keep: list[str]) -> DataFrame:
     step = step.select(*keep, "text", *(spans_of(BASE[k], needs[k]).alias(f"chain_{k}") for k in KINDS),
                        *(spans_of(GENERATORS[k], needs[k] if k != "phone" else F.col("_digit")).alias(f"gen_{k}") for k in KINDS))
     step = step.select("*", *(_passing(k).alias(f"base_{k}") for k in KINDS))
+    step = step.select("*", *(F.transform(f"base_{k}", _key).alias(f"keys_{k}") for k in KINDS))
     return step.select(*keep, "text", *(f"base_{k}" for k in KINDS), F.concat(*(_candidates(k) for k in KINDS)).alias("candidates"))
 
 
