@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.session import fresh_path
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only after checking the row count; otherwise leave the join to AQE."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+
+def measured(df: DataFrame, label: str) -> DataFrame:
+    """Write a small per-key table to the shared folder and read it back: its size in bytes is
+    then known when the plan is made, so a join broadcasts it below Spark's threshold (the big
+    side stays where it is) and shuffles both sides above it."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, spread: Column,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.joins import salted_join
+from meridian.functions.joins import measured
 from meridian.functions.variants import json_kind
 
 # Envelopes: "array" = bare JSON array of objects (paged catalog API, strict);
@@ -30,6 +30,11 @@ ROW_NOT_OBJECT = "row_not_object"
 INNER_NOT_LIST = "inner_not_list"
 NOT_LIST_OR_OBJECT = "payload_not_list_or_object"
 
+# Sequence-level error kinds (a strict read fails on them).
+OFF_GRID = "off_grid_page"
+PAGE_MISSING = "page_missing"
+UNTERMINATED = "unterminated"
+
 
 def _as_array(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
@@ -123,34 +128,60 @@ def first_missing(pages: DataFrame, batch: int) -> DataFrame:
     return starts.groupBy("dataset").agg(F.min("offset").alias("missing_at"))
 
 
-def stop_bounds(summary: DataFrame, batch: int) -> DataFrame:
-    """Per dataset: ``stop_at`` (first short or bad page) and ``missing_at`` (first absent page).
+def stop_bounds(summary: DataFrame, batch: int, max_skip: int | None = None) -> DataFrame:
+    """Per dataset: ``stop_at`` (first short or bad page), ``missing_at`` (first absent page) and
+    ``sequence_error, error_at``: a page off the grid of offsets; a page that is absent while later
+    ones are stored; a sequence whose last stored page is full (its end was not stored), unless the
+    cap on offsets ends it.
 
-    ``summary`` has ``dataset, offset, n, page_error`` - one small row per page. Both are
+    ``summary`` has ``dataset, offset, n, page_error`` - one small row per page. All are
     aggregates (partial aggregation, one row per dataset), never windows over records.
     """
-    pages = summary.where(F.col("offset") % batch == 0)
-    short = F.when((F.col("page_error").isNotNull()) | (F.col("n") < batch), F.col("offset"))
-    stops = pages.groupBy("dataset").agg(F.min(short).alias("stop_at"))
-    return stops.join(first_missing(pages, batch), "dataset", "left")
+    on_grid = F.col("offset") % batch == 0
+    short = (F.col("page_error").isNotNull()) | (F.col("n") < batch)
+    stops = summary.groupBy("dataset").agg(
+        F.min(F.when(on_grid & short, F.col("offset"))).alias("stop_at"),
+        F.max(F.when(on_grid, F.col("offset"))).alias("_last"),
+        F.min(F.when(~on_grid, F.col("offset"))).alias("_off"))
+    bounds = stops.join(first_missing(summary, batch), "dataset", "left")
+    ended = F.col("stop_at").isNotNull() & (F.col("missing_at").isNull() | (F.col("stop_at") < F.col("missing_at")))
+    capped = F.lit(False) if max_skip is None else F.coalesce(F.col("missing_at") > max_skip, F.lit(False))
+    error = (F.when(F.col("_off").isNotNull(), F.lit(OFF_GRID)).when(ended, F.lit(None))
+             .when(F.col("_last") > F.col("missing_at"), F.lit(PAGE_MISSING)).when(capped, F.lit(None))
+             .otherwise(F.lit(UNTERMINATED)))
+    bounds = bounds.select("dataset", "stop_at", "missing_at", error.cast("string").alias("sequence_error"), "_off")
+    return bounds.select("dataset", "stop_at", "missing_at", "sequence_error",
+                         F.when(F.col("sequence_error").isNotNull(), F.coalesce("_off", "missing_at")).alias("error_at"))
+
+
+def sequence_errors(pages: DataFrame, envelope: str, batch: int, max_skip: int | None = None) -> DataFrame:
+    """Report of the datasets a strict read fails on: ``(dataset, sequence_error, error_at)``."""
+    if max_skip is not None:
+        pages = cap_pages(pages, max_skip)
+    summary = parse_pages(pages, envelope).select("dataset", "offset", "n", "page_error")
+    bounds = stop_bounds(summary, batch, max_skip)
+    return bounds.where(F.col("sequence_error").isNotNull()).select("dataset", "sequence_error", "error_at")
 
 
-def _kept(df: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Join the per-dataset bounds (one row per dataset) back to the pages. The join is
-    salted by page offset, so a dataset holding most pages still spreads over many tasks
-    (AQE may also turn it into a broadcast at runtime)."""
-    keep = (F.col("stop_at").isNull() | (F.col("offset") <= F.col("stop_at"))) & (
+def _kept(df: DataFrame, bounds: DataFrame, batch: int, fail: bool = False) -> DataFrame:
+    """Join the per-dataset bounds back to the pages and keep those that are read. The bounds are
+    one row per dataset, written first: while they are small the pages are filtered in place and
+    no body is moved. ``fail`` raises when a dataset's sequence is broken."""
+    keep = (F.col("offset") % batch == 0) & (F.col("stop_at").isNull() | (F.col("offset") <= F.col("stop_at"))) & (
         F.col("missing_at").isNull() | (F.col("offset") < F.col("missing_at"))
     )
-    joined = salted_join(df, bounds, ["dataset"], "left", spread=F.col("offset"))
-    return joined.where(keep).drop("stop_at", "missing_at")
+    joined = df.join(measured(bounds, "page-bounds"), "dataset", "left")
+    if fail:
+        message = F.concat(F.lit("broken page sequence: "), F.col("sequence_error"), F.lit(" in "), F.col("dataset"),
+                           F.lit(" at offset "), F.col("error_at").cast("string"))
+        keep = F.when(F.col("sequence_error").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(keep)
+    return joined.where(keep).drop("stop_at", "missing_at", "sequence_error", "error_at")
 
 
 def truncate(parsed: DataFrame, batch: int) -> DataFrame:
     """P1 on parsed pages: keep pages in offset order up to and including the first short
     (or bad) page, and before the first missing page. Later pages are never read."""
-    pages = parsed.where(F.col("offset") % batch == 0)
-    return _kept(pages, stop_bounds(pages, batch))
+    return _kept(parsed, stop_bounds(parsed.select("dataset", "offset", "n", "page_error"), batch), batch)
 
 
 def strict(kept: DataFrame) -> DataFrame:
@@ -178,14 +209,17 @@ def read_paged(pages: DataFrame, envelope: str, batch: int, max_skip: int | None
                mode: str = "strict", stem: Column | None = None, keep: list[str] | None = None) -> DataFrame:
     """A paged scan over stored pages: (P2) -> validate -> P1 -> strict check -> D1.
 
+    ``strict`` fails on bad pages that would be read and on broken sequences (see
+    ``stop_bounds``); the other modes read what the bounds allow.
+
     Bodies are parsed once for the small per-page summary (count, error) and once more
     only for the pages that survive truncation.
     """
     if max_skip is not None:
         pages = cap_pages(pages, max_skip)
-    pages = pages.where(F.col("offset") % batch == 0)
     summary = parse_pages(pages, envelope, stem).select("dataset", "offset", "n", "page_error")
-    kept = parse_pages(_kept(pages, stop_bounds(summary, batch)), envelope, stem)
+    bounds = stop_bounds(summary, batch, max_skip)
+    kept = parse_pages(_kept(pages, bounds, batch, fail=mode == "strict"), envelope, stem)
     if mode == "strict":
         kept = strict(kept)
     elif mode == "lenient":

@@ -57,7 +57,17 @@ def event_pages(
         recs.alias("recs")
     )
     body = F.to_json("recs") if envelope == "array" else F.to_json(F.struct(F.col("recs").alias("results")))
-    return stored(pages.select("dataset", "offset", F.size("recs").alias("n"), body.alias("body")), "event-pages")
+    pages = pages.select("dataset", "offset", F.size("recs").alias("n"), body.alias("body"))
+    if not drop_every and not hole_every:
+        pages = pages.unionByName(_closing_pages(pages, batch, "[]" if envelope == "array" else '{"results":[]}'))
+    return stored(pages, "event-pages")
+
+
+def _closing_pages(pages: DataFrame, batch: int, body: str) -> DataFrame:
+    """The empty page that ends a sequence whose last page is full."""
+    last = pages.groupBy("dataset").agg(F.max_by("n", "offset").alias("n"), F.max("offset").alias("offset"))
+    return last.where(F.col("n") == batch).select(
+        "dataset", (F.col("offset") + batch).alias("offset"), F.lit(0).alias("n"), F.lit(body).alias("body"))
 
 
 def conversation_pack(spark: SparkSession, sf_dir: str, chunk: int = 8) -> DataFrame:
@@ -109,7 +119,7 @@ def _dist_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(x["d"]))
     text = F.to_json(items)
     text = (F.when(F.col("ds_num") % 9 == 4, F.lit("[]"))
-            .when(F.col("ds_num") % 9 == 5, F.concat(F.lit('["x",'), F.substring(text, 2, 1 << 30)))
+            .when(F.col("ds_num") % 9 == 5, F.concat(F.lit('["x",'), F.substring(text, F.lit(2), F.length(text))))
             .otherwise(text))
     return lists.select("ds_num", "ds", text.alias("dist_json"))
 
@@ -177,7 +187,9 @@ def provider_pages(spark: SparkSession, sf_dir: str, page_size: int = 200) -> Da
         F.array_sort(F.collect_list(F.struct("c_custkey", "body"))).alias("recs"))
     body = F.concat(F.lit('{"result_count":'), F.size("recs").cast("string"), F.lit(',"results":['),
                     F.array_join(F.transform("recs", lambda x: x["body"]), ","), F.lit("]}"))
-    return stored(pages.select("dataset", "offset", body.alias("body")), "provider-pages")
+    pages = pages.select("dataset", "offset", F.size("recs").alias("n"), body.alias("body"))
+    closing = _closing_pages(pages, page_size, '{"result_count":0,"results":[]}')
+    return stored(pages.unionByName(closing).select("dataset", "offset", "body"), "provider-pages")
 
 
 def glossary_docs(spark: SparkSession, sf_dir: str, per_doc: int = 16) -> DataFrame:
@@ -221,7 +233,7 @@ def datastore_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
                     F.lit('","distribution":[{"identifier":"live-'), F.col("event_type"),
                     F.lit('"},{"identifier":"old-'), F.col("event_type"), F.lit('"}]}'))
     meta = stored(types.select(F.col("event_type").alias("dataset_id"), body.alias("body")), "metastore")
-    live = event_pages(spark, sf_dir, batch=50, drop_every=97, envelope="results", dataset_prefix="live-")
+    live = event_pages(spark, sf_dir, batch=50, drop_every=None, envelope="results", dataset_prefix="live-")
     # a stale distribution: the live pages' first page, plus one bad page, under the old id
     old = live.where(F.col("offset") <= 50).select(
         F.concat(F.lit("old-"), F.expr("substr(dataset, 6)")).alias("dataset"), "offset",
@@ -267,18 +279,11 @@ def xlsx_bytes(rows: list[tuple[int, list[str | None]]]) -> bytes:
     import zipfile
     from xml.sax.saxutils import escape
 
-    def ref(col: int, row: int) -> str:
-        letters = ""
-        while col:
-            col, rem = divmod(col - 1, 26)
-            letters = chr(65 + rem) + letters
-        return f"{letters}{row}"
-
     body = []
     for r, cells in rows:
         cs = "".join(
-            f'<c r="{ref(j, r)}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
-            for j, v in enumerate(cells, start=1) if v is not None
+            f'<c t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
+            if v is not None else "<c/>" for v in cells
         )
         body.append(f'<row r="{r}">{cs}</row>')
     sheet = (

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.functions.joins import salted_join
+from meridian.functions.joins import measured
 from meridian.operators import catalog as cat
 from meridian.operators import pages as pg
 from meridian.operators import records as rec
@@ -37,7 +37,7 @@ def read_source(spark: SparkSession, row, store: str) -> DataFrame:
             meta = static_json.read_documents(spark, f"{base}/metastore.json").select(
                 F.lit(row["key"]).alias("dataset_id"), "body")
             live = cat.live_ids(meta).where(F.col("status") == cat.LIVE_OK).select(F.col("live_id").alias("dataset"))
-            pages = salted_join(pages, live, ["dataset"], "left_semi", spread=F.col("offset"))
+            pages = pages.join(measured(live, "live-ids"), "dataset", "left_semi")
         return rec.to_table(pg.read_paged(pages, envelope, batch), "record")
     if loader == "static_json":
         return rec.to_table(static_json.static_records(static_json.read_documents(spark, f"{base}/*.json")), "record")
@@ -60,7 +60,7 @@ def run_all(spark: SparkSession, specs: DataFrame, store: str, root: str, run_id
                              source_url=row["entry_url"])
             out.append((row["asset_name"], "landed", m.row_count, m.column_count, None))
         except Exception as e:  # noqa: BLE001 - reported per dataset
-            out.append((row["asset_name"], "failed", None, None, f"{type(e).__name__}: {str(e)[:300]}"))
+            out.append((row["asset_name"], "failed", None, None, f"{type(e).__name__}: {e}"))
     schema = "asset_name string, status string, row_count bigint, column_count int, message string"
     return spark.createDataFrame(out, schema)
 

@@ -135,7 +135,7 @@ def q_sheet_roundtrip(spark, sf_dir):
 )
 def q_providers_landed(spark, sf_dir):
     """Nested provider rows landed as nested Parquet columns and read back."""
-    found = prov.search_pages(derived.provider_pages(spark, sf_dir, page_size=50), page_size=50)
+    found = prov.search_pages(derived.provider_pages(spark, sf_dir))
     root = fresh_path(spark, "raw")
     landing.land(found.drop("record", "pos"), root, "cms_nppes_providers", "run-1")
     back = raw.read_runs(spark, root, "cms_nppes_providers")

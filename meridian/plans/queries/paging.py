@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.joins import salted_join
+from meridian.functions.joins import measured
 from meridian.functions.ranking import first_n
 from meridian.functions.text import path_stem
 from meridian.operators import catalog as cat
@@ -78,13 +78,26 @@ def q_page_holes(spark, sf_dir):
     return pg.page_holes(pages, batch=50).select(F.col("dataset").alias("event_type"), "missing_offset")
 
 
+@query(
+    "page_sequence_errors",
+    "WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type),\n"
+    "e AS (SELECT event_type, CAST(floor((n - 1) / 50) AS BIGINT) AS last_pg, n FROM c)\n"
+    "SELECT event_type, CASE WHEN last_pg > 7 THEN 'page_missing' ELSE 'unterminated' END AS sequence_error, "
+    "CASE WHEN last_pg >= 7 THEN 350 ELSE n END AS error_at FROM e WHERE last_pg >= 7 OR n % 50 = 0",
+)
+def q_page_sequence_errors(spark, sf_dir):
+    """Datasets whose stored pages have a hole or no end, as a report instead of a failed read."""
+    pages = derived.event_pages(spark, sf_dir, batch=50, drop_every=None, hole_every=13)
+    return pg.sequence_errors(pages, "array", batch=50).withColumnRenamed("dataset", "event_type")
+
+
 @query(
     "socrata_dataset",
-    _TRUNCATED + "SELECT event_type, event_id, user_id, value, props FROM kept",
+    "SELECT event_type, event_id, user_id, value, props FROM events",
 )
 def q_socrata_dataset(spark, sf_dir):
     """I2 end to end: bare-array pages -> validate -> truncate -> flatten -> inferred table."""
-    pages = derived.event_pages(spark, sf_dir, batch=50, drop_every=97).select("dataset", "offset", "body")
+    pages = derived.event_pages(spark, sf_dir, batch=50, drop_every=None).select("dataset", "offset", "body")
     records = pg.read_paged(pages, "array", batch=50)
     table = rec.to_table(records, "record")
     return table.select("event_type", "event_id", "user_id", "value", "props")
@@ -135,13 +148,12 @@ def q_strict_page_errors(spark, sf_dir):
     return out
 
 
-@query("dkan_dataset", _TRUNCATED + "SELECT event_type, page_offset, event_id, user_id FROM kept")
+@query("dkan_dataset", _RANKED + " SELECT event_type, CAST(floor(rk / 50) AS BIGINT) * 50 AS page_offset, event_id, user_id FROM r")
 def q_dkan_dataset(spark, sf_dir):
     """Resolve each dataset's live distribution (R7), then page its datastore."""
     meta, pages = derived.datastore_fixture(spark, sf_dir)
     live = cat.live_ids(meta).where(F.col("status") == cat.LIVE_OK)
-    mine = salted_join(pages, live.select(F.col("live_id").alias("dataset"), "dataset_id"), ["dataset"], "inner",
-                       spread=F.col("offset"))
+    mine = pages.join(measured(live.select(F.col("live_id").alias("dataset"), "dataset_id"), "live-ids"), "dataset")
     flat = pg.read_paged(mine, "results", batch=50, keep=["dataset_id"])
     return _event_cols(flat.drop("dataset").withColumnRenamed("dataset_id", "dataset"))
 

@@ -43,13 +43,13 @@ _SEARCH = (
 
 @query("provider_search", _SEARCH + "SELECT state, number, organization_name FROM c")
 def q_provider_search(spark, sf_dir):
-    found = prov.search_pages(derived.provider_pages(spark, sf_dir, page_size=50), page_size=50)
+    found = prov.search_pages(derived.provider_pages(spark, sf_dir))
     return found.select(F.col("dataset").alias("state"), "number", F.col("basic.organization_name").alias("organization_name"))
 
 
 @query("provider_sweep_counts", _SEARCH + "SELECT state, count(*) AS n_rows FROM c GROUP BY state")
 def q_provider_sweep_counts(spark, sf_dir):
-    found = prov.search_pages(derived.provider_pages(spark, sf_dir, page_size=50), page_size=50)
+    found = prov.search_pages(derived.provider_pages(spark, sf_dir))
     return prov.sweep_counts(found).withColumnRenamed("dataset", "state")
 
 

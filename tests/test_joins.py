@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from meridian.functions.joins import broadcast_if_small, salted_join
+from meridian.functions.joins import measured, salted_join
 
 
 def test_salted_join_is_exact_for_each_join_type(spark):
@@ -27,7 +27,7 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert sum(sizes) == 4000 and max(sizes) < 4000
 
 
-def test_broadcast_if_small(spark):
-    small = spark.range(10)
-    assert broadcast_if_small(small, max_rows=100).count() == 10
-    assert broadcast_if_small(small, max_rows=5).count() == 10
+def test_measured_table_is_broadcast_while_small(spark):
+    small = measured(spark.range(10).toDF("k"), "test-measured")
+    plan = spark.range(1000).toDF("k").join(small, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and small.count() == 10

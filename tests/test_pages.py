@@ -69,7 +69,9 @@ def test_search_cap_reachable_rows(spark):
 
 def test_missing_page_stops_read_and_is_reported(spark):
     pages = _pages(spark, [("a", 0, [{"id": "1"}, {"id": "2"}]), ("a", 4, [{"id": "5"}, {"id": "6"}]), ("a", 6, [{"id": "7"}])])
-    assert _flat_ids(pg.read_paged(pages, "array", batch=2)) == ["1", "2"]
+    assert _flat_ids(pg.read_paged(pages, "array", batch=2, mode="lenient")) == ["1", "2"]
+    with pytest.raises(Exception, match="page_missing in a at offset 2"):
+        pg.read_paged(pages, "array", batch=2).collect()
     holes = pg.page_holes(pages, batch=2).collect()
     assert [(r.dataset, r.missing_offset) for r in holes] == [("a", 2)]
 
@@ -100,3 +102,19 @@ def test_static_envelopes(spark):
 def test_static_errors(spark):
     assert _static(spark, "/api/glossary.json", "\"a string\"").first().page_error == "payload_not_list_or_object"
     assert _static(spark, "/api/glossary.json", {"glossary": "nope"}).first().page_error == "inner_not_list"
+
+
+def test_broken_sequences_fail_a_strict_read(spark):
+    full, short = [{"id": "1"}, {"id": "2"}], [{"id": "3"}]
+    cases = {"off_grid_page in a at offset 3": [("a", 0, full), ("a", 2, short), ("a", 3, short)],
+             "unterminated in b at offset 4": [("b", 0, full), ("b", 2, full)],
+             "page_missing in c at offset 0": [("c", 2, full), ("c", 4, short)]}
+    for message, rows in cases.items():
+        with pytest.raises(Exception, match=message):
+            pg.read_paged(_pages(spark, rows), "array", batch=2).collect()
+    every = _pages(spark, [r for rows in cases.values() for r in rows] + [("d", 0, full), ("d", 2, short), ("d", 8, full)])
+    report = {tuple(r) for r in pg.sequence_errors(every, "array", batch=2).collect()}
+    assert report == {("a", "off_grid_page", 3), ("b", "unterminated", 4), ("c", "page_missing", 0)}
+    # pages after the first short one are never read
+    ended = _pages(spark, [("d", 0, full), ("d", 2, short), ("d", 8, full)])
+    assert _flat_ids(pg.read_paged(ended, "array", batch=2)) == ["1", "2", "3"]
