@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.joins import broadcast_if_small
 from meridian.functions.text import year_prefix
 from meridian.functions.variants import is_object as _is_obj
 from meridian.functions.variants import json_kind, str_member
@@ -150,18 +149,21 @@ def match_specs(specs: DataFrame, entries: DataFrame) -> DataFrame:
 
     Exact and without a theta join: a needle matches exactly when ``dataset_id``
     equals a prefix of the text after some occurrence of the marker, so each entry
-    emits the prefixes of that text (bounded by the identifier's length) and the match
-    is an equi-join on them.
+    emits the prefixes of that text whose length some spec id has, and the match is an
+    equi-join on them.
     """
-    segs = F.slice(F.split(F.col("identifier"), DATASET_ID_NEEDLE), 2, 1 << 16)
+    lengths = sorted(r.n for r in specs.select(F.length("dataset_id").alias("n")).where("n > 0").distinct().collect())
+    wanted = F.array(*(F.lit(n) for n in lengths)).cast("array<int>")
+    _parts = F.split(F.col("identifier"), DATASET_ID_NEEDLE)
+    segs = F.slice(_parts, F.lit(2), F.size(_parts))
     per_seg = entries.where(F.col("identifier").contains(DATASET_ID_NEEDLE)).select(
         "doc_seq", "pos", "identifier", F.explode(segs).alias("_tail"))
     prefixes = per_seg.select(
         "doc_seq", "pos", "identifier",
-        F.explode(F.transform(F.sequence(F.lit(1), F.length("_tail")),
-                              lambda i: F.substring(F.col("_tail"), 1, i))).alias("dataset_id"),
-    ).where(F.length("dataset_id") > 0).distinct()
-    hits = prefixes.join(broadcast_if_small(specs.select("key", "dataset_id")), "dataset_id")
+        F.explode(F.transform(F.filter(wanted, lambda n: n <= F.length("_tail")),
+                              lambda n: F.substring(F.col("_tail"), F.lit(1), n))).alias("dataset_id"),
+    ).distinct()
+    hits = prefixes.join(specs.select("key", "dataset_id"), "dataset_id")
     first = F.min_by(F.struct("doc_seq", "pos", "identifier"), F.struct("doc_seq", "pos"))
     return hits.groupBy("key", "dataset_id").agg(first.alias("_m")).select(
         "key", "dataset_id", F.col("_m.doc_seq").alias("doc_seq"), F.col("_m.pos").alias("pos"),

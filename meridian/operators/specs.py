@@ -7,7 +7,7 @@ lookups and are broadcast by construction.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SPEC_SCHEMA = (
@@ -91,12 +91,12 @@ def load_spec_file(spark: SparkSession, path: str) -> DataFrame:
     """
     import tomllib
 
-    with open(path, "rb") as fh:
-        loaded = tomllib.load(fh)
-    entries = loaded.get("dataset", [])
-    if not isinstance(entries, list):
-        raise TypeError(f"{path}: expected a [[dataset]] array, got {type(entries).__name__}")
-    return specs_from_rows(spark, entries)
+    # read by Spark, so that the file may lie in any store
+    text = "\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
+    tables = tomllib.loads(text).get("dataset") or []
+    if type(tables) is not list:
+        raise TypeError(f"dataset must be written as [[dataset]] tables in {path}")
+    return specs_from_rows(spark, tables)
 
 
 def _rules(spark: SparkSession) -> DataFrame:
@@ -179,12 +179,17 @@ def _template(tmpl: str):
 
 def source_table(specs: DataFrame, extras: DataFrame, prefix: str = ASSET_PREFIX) -> DataFrame:
     """Every spec as a named source ``(seq, name, description)`` in file order, with each
-    extra ``(name, description, after_key)`` placed right after its anchor spec."""
+    extra ``(name, description, after_key)`` placed right after its anchor spec; an extra
+    without an anchor fails."""
     base = specs.select(F.col("pos"), F.lit(0).alias("is_extra"),
                         F.concat(F.lit(prefix), F.col("key")).alias("name"), "description")
-    anchored = extras.join(specs.select(F.col("key").alias("after_key"), "pos"), "after_key").select(
-        "pos", F.lit(1).alias("is_extra"), "name", "description")
-    return base.unionByName(anchored)
+    anchored = extras.join(specs.select(F.col("key").alias("after_key"), F.col("pos").alias("_at")), "after_key", "left").select(
+        F.coalesce("_at", F.raise_error(F.concat(F.lit("no spec has the key "), "after_key")).cast("int")).alias("pos"),
+        F.lit(1).alias("is_extra"), "name", "description")
+    both = base.select(F.col("pos").cast("int").alias("pos"), "is_extra", "name", "description").unionByName(anchored)
+    # a spec table has a few dozen rows
+    seq = F.row_number().over(Window.orderBy("pos", "is_extra", "name")) - 1
+    return both.select(seq.alias("seq"), "pos", "is_extra", "name", "description")
 
 
 def unknown_anchors(specs: DataFrame, extras: DataFrame) -> DataFrame:

@@ -76,9 +76,12 @@ def test_sources_table_and_sync(spark):
     df = _specs(spark, [_row("a", "socrata", dataset_id="x"), _row("b", "healthcare_gov", path="/p")])
     extras = spark.createDataFrame([("cms_extra", "extra", "a"), ("cms_lost", "lost", "zz")],
                                    "name string, description string, after_key string")
-    table = sp.source_table(df, extras).orderBy("pos", "is_extra").collect()
-    assert [r.name for r in table] == ["cms_a", "cms_extra", "cms_b"]
+    with pytest.raises(Exception, match="no spec has the key zz"):
+        sp.source_table(df, extras).collect()
     assert [r.name for r in sp.unknown_anchors(df, extras).collect()] == ["cms_lost"]
+    extras = extras.where("after_key = 'a'")
+    table = sp.source_table(df, extras).orderBy("seq").collect()
+    assert [(r.seq, r.name) for r in table] == [(0, "cms_a"), (1, "cms_extra"), (2, "cms_b")]
     declared = spark.createDataFrame([("cms_a", "d a"), ("cms_extra", "extra"), ("cms_old", "x")],
                                      "name string, description string")
     diff = {(r.name, r.problem) for r in sp.sources_diff(declared, sp.source_table(df, extras)).collect()}
