@@ -33,8 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for written tables and checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set (local tests) is a folder of our own created and registered.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). When neither is
+    set, a session on one machine (``local[n]``, as in tests) gets a folder of its own and
+    any other session an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
@@ -43,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
             found = None
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="meridian-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

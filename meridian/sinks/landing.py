@@ -9,6 +9,7 @@ retries and lost executors are covered by Spark's output commit protocol.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import asdict, dataclass
 from urllib.parse import unquote
@@ -55,11 +56,18 @@ def _publish(spark: SparkSession, src: str, dst: str) -> None:
     jvm = spark.sparkContext._jvm
     fs, hsrc = _fs(spark, src)
     hdst = jvm.org.apache.hadoop.fs.Path(dst)
-    if fs.exists(hdst):
-        fs.delete(hdst, True)
     fs.mkdirs(hdst.getParent())
+    aside = None
+    if fs.exists(hdst):  # the old run goes last, so that a crash in between never loses both
+        aside = jvm.org.apache.hadoop.fs.Path(f"{dst}.old-{uuid.uuid4().hex}")
+        if not fs.rename(hdst, aside):
+            raise RuntimeError(f"could not move {dst} aside")
     if not fs.rename(hsrc, hdst):
+        if aside is not None:
+            fs.rename(aside, hdst)
         raise RuntimeError(f"could not publish {src} -> {dst}")
+    if aside is not None:
+        fs.delete(aside, True)
 
 
 def land(
@@ -74,14 +82,14 @@ def land(
     if not isinstance(df, DataFrame):
         raise TypeError(f"land() takes a DataFrame, got {type(df).__name__}")
     spark = df.sparkSession
-    staging = run_path(f"{root.rstrip('/')}/{STAGING}", asset, run_id)
+    staging = run_path(f"{root.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}", asset, run_id)
     final = run_path(root, asset, run_id)
     obs = Observation(f"land_{asset}_{run_id}".replace("-", "_"))
     df.observe(obs, F.count(F.lit(1)).alias("row_count")).write.mode("overwrite").parquet(staging)
     rows = int(obs.get.get("row_count", 0) or 0)
     if rows == 0:
         _delete(spark, staging)
-        raise EmptyExtractError(f"{asset} produced zero rows; refusing to land empty Parquet")
+        raise EmptyExtractError(f"run {run_id} of {asset} holds no rows and is not landed")
     _publish(spark, staging, final)
     metrics = RunMetrics(asset, run_id, final, rows, len(df.columns), source_url)
     if record_metrics:
@@ -91,13 +99,18 @@ def land(
 
 def append_metrics(spark: SparkSession, root: str, metrics: list[RunMetrics]) -> None:
     """K5: append run metrics to ``<root>/_metrics`` (one small Parquet file per call)."""
-    schema = "asset string, run_id string, path string, row_count bigint, column_count int, source_url string"
-    rows = [asdict(m) for m in metrics]
+    schema = ("asset string, run_id string, path string, row_count bigint, column_count int, source_url string, "
+              "recorded_at double")
+    rows = [asdict(m) | {"recorded_at": time.time()} for m in metrics]
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{METRICS}")
 
 
 def read_metrics(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{METRICS}")
+    """One row per landed run: of a run landed again, the latest record."""
+    latest = spark.read.parquet(f"{root.rstrip('/')}/{METRICS}")
+    values = [c for c in latest.columns if c not in ("asset", "run_id", "recorded_at")]
+    kept = latest.groupBy("asset", "run_id").agg(F.max_by(F.struct(*values), "recorded_at").alias("m"))
+    return kept.select("asset", "run_id", "m.*")
 
 
 def count_landed(spark: SparkSession, path: str) -> int:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def read_runs(spark: SparkSession, root: str, asset: str, with_run_id: bool = False) -> DataFrame:
-    """Every run of ``asset`` read together by glob. No run -> PATH_NOT_FOUND error.
+    """Every run of ``asset`` read together by glob, with the union of their columns
+    (absent ones are NULL; one column with two types fails). No run -> PATH_NOT_FOUND error.
 
     ``with_run_id`` adds the run id taken from the file path (our extension).
     """
-    df = spark.read.parquet(f"{root.rstrip('/')}/{asset}/*.parquet")
+    df = spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/{asset}/*.parquet")
     if with_run_id:
         # file paths are URIs: percent-decode (keeping a literal '+', which url_decode reads as space)
         name = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)\\.parquet/[^/]*$", 1)

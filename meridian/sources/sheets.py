@@ -34,13 +34,11 @@ _REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}
 _PKG_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 _CELL_REF = re.compile(r"([A-Z]+)([0-9]+)")
 
-# Widest supported sheet (columns A..ZZ) and error codes.
-MAX_WIDTH = 702
+# Error codes.
 NO_SHEET_MEMBER = "no_xlsx_member"
 MANY_SHEET_MEMBERS = "several_xlsx_members"
 BAD_ARCHIVE = "bad_archive"
 NO_HEADER = "no_header_row"
-TOO_WIDE = "too_many_columns"
 
 
 def _col_index(letters: str) -> int:
@@ -139,11 +137,10 @@ def sheet_rows(archives: DataFrame) -> DataFrame:
 
 
 def archive_errors(rows: DataFrame) -> DataFrame:
-    """I8a/I8b errors per archive: member count problems, a missing header row, a header
-    wider than the supported 702 columns."""
+    """I8a/I8b errors per archive: member count problems, a missing header row."""
     member = rows.where(F.col("error").isNotNull()).select("path", "error")
     shaped = _shape(rows.where(F.col("error").isNull()))
-    shape_err = F.when(F.col("width") == 0, F.lit(NO_HEADER)).when(F.col("width") > MAX_WIDTH, F.lit(TOO_WIDE))
+    shape_err = F.when(F.col("width") == 0, F.lit(NO_HEADER))
     bad_shape = shaped.select("path", shape_err.alias("error")).where(F.col("error").isNotNull())
     return member.unionByName(bad_shape)
 
@@ -168,6 +165,20 @@ def _shape(rows: DataFrame) -> DataFrame:
     return header.join(stops, "path", "left")
 
 
+def _unique(names: list[str]) -> list[str]:
+    """Header names as column names: a name that repeats (letter case aside) gets ``_2``, ``_3``, ..."""
+    taken, out = {n.lower() for n in names}, []
+    seen: set[str] = set()
+    for name in names:
+        unique, k = name, 1
+        while unique.lower() in seen or (k > 1 and unique.lower() in taken):
+            k += 1
+            unique = f"{name}_{k}"
+        seen.add(unique.lower())
+        out.append(unique)
+    return out
+
+
 def read_sheets(spark: SparkSession, archives: DataFrame, fail_on_error: bool = True) -> DataFrame:
     """Data rows of every archive as text columns named by the header row.
 
@@ -185,10 +196,10 @@ def read_sheets(spark: SparkSession, archives: DataFrame, fail_on_error: bool =
         if bad:
             raise RuntimeError(f"{bad[0]['path']}: {bad[0]['error']}")
     shape = _shape(rows.where(F.col("error").isNull()))
-    headers = shape.select(F.slice("header", 1, F.col("width")).alias("h")).distinct().collect()
+    headers = shape.select(F.slice("header", 1, F.col("width")).alias("h")).distinct().limit(2).collect()
     if len(headers) != 1:
         raise RuntimeError(f"archives disagree on the header: {[h['h'] for h in headers]}")
-    names = headers[0]["h"]
+    names = _unique(headers[0]["h"])
     # one archive can hold a million rows: the per-archive table is joined back salted
     data = salted_join(rows.where(F.col("row_no") > HEADER_ROW), shape.select("path", "stop_at"), ["path"], "inner",
                        spread=F.col("row_no")).where(F.col("stop_at").isNull() | (F.col("row_no") < F.col("stop_at")))

@@ -15,8 +15,9 @@ from meridian.operators import pages as pg
 
 def read_documents(spark: SparkSession, pattern: str) -> DataFrame:
     """``(path, body)`` per file via the text source in whole-file mode."""
-    return spark.read.option("wholetext", True).text(pattern).select(
-        F.input_file_name().alias("path"), F.col("value").alias("body"))
+    # file paths are URIs: percent-decode (keeping a literal '+', which url_decode reads as space)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return spark.read.option("wholetext", True).text(pattern).select(path.alias("path"), F.col("value").alias("body"))
 
 
 def static_records(docs: DataFrame, mode: str = "strict") -> DataFrame:

@@ -77,3 +77,17 @@ def test_land_runs_one_job(spark, tmp_root):
 def test_non_table_is_rejected(tmp_root):
     with pytest.raises(TypeError):
         landing.land([{"a": 1}], tmp_root, "cms_t", "run-1")
+
+
+def test_runs_with_different_columns_read_as_their_union(spark, tmp_root):
+    landing.land(spark.createDataFrame([(1, "x")], "a int, b string"), tmp_root, "drift", "r1")
+    landing.land(spark.createDataFrame([(2, "y", 3.5)], "a int, b string, c double"), tmp_root, "drift", "r2")
+    rows = raw.read_runs(spark, tmp_root, "drift").orderBy("a").collect()
+    assert [(r.a, r.b, r.c) for r in rows] == [(1, "x", None), (2, "y", 3.5)]
+
+
+def test_landing_a_run_again_replaces_it_and_its_metrics(spark, tmp_root):
+    for n in (3, 5):
+        landing.land(spark.range(n), tmp_root, "again", "r1")
+    assert raw.read_runs(spark, tmp_root, "again").count() == 5
+    assert [(r.run_id, r.row_count) for r in landing.read_metrics(spark, tmp_root).where("asset = 'again'").collect()] == [("r1", 5)]

@@ -55,3 +55,11 @@ def test_csv_stream_lands_each_batch_once(spark, tmp_root):
     assert runs.count() == 12
     assert runs.select("_run_id").distinct().count() == 3
     assert runs.where(F.col("k") == "01").first().v == 1
+
+
+def test_static_documents_with_odd_file_names(spark, tmp_path):
+    from meridian.sources import static_json
+
+    (tmp_path / "my glossary+1.json").write_text('{"my glossary+1": [{"title": "a"}]}')
+    docs = static_json.read_documents(spark, f"{tmp_path}/*.json")
+    assert static_json.static_records(docs).count() == 1
