@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from meridian.plans import suite
 from meridian.sources.tables import TABLES
 from tests.conftest import SMALL
 
@@ -47,7 +48,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(suite.ORACLES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SMALL)
     got = _bag(df.columns, [tuple(r) for r in df.collect()])

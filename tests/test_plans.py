@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from meridian.plans import suite
 from tests.conftest import SMALL
 
 PYTHON_OK = {"sheet_roundtrip", "sheet_archive_errors"}
@@ -16,7 +17,7 @@ def _plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(suite.QUERIES))
 def test_no_cross_join_no_row_python(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan
