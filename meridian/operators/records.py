@@ -24,10 +24,10 @@ BASIC_FIELDS = [
     "first_name", "last_name", "organization_name", "credential", "sole_proprietor", "gender",
     "enumeration_date", "last_updated", "status",
 ]
+BASIC_SCHEMA = f"struct<{', '.join(f + ':string' for f in BASIC_FIELDS)}>"
+ADDRESS_SCHEMA = f"struct<{', '.join(f + ':string' for f in ADDRESS_FIELDS)}>"
 PROVIDER_SCHEMA = (
-    "struct<number:string, enumeration_type:string, "
-    f"basic:struct<{', '.join(f + ':string' for f in BASIC_FIELDS)}>, "
-    f"addresses:array<struct<{', '.join(f + ':string' for f in ADDRESS_FIELDS)}>>, "
+    f"struct<number:string, enumeration_type:string, basic:{BASIC_SCHEMA}, addresses:array<{ADDRESS_SCHEMA}>, "
     f"taxonomies:array<{TAXONOMY_SCHEMA}>>"
 )
 ENUMERATION_TYPES = ("NPI-1", "NPI-2")
@@ -141,18 +141,79 @@ def to_table(records: DataFrame, record_col: str = "record", schema: str | None
     return records.select(*extra, *cols)
 
 
+def _nested_extra(parent: Column, schema: str) -> Column:
+    """Extras of one nested member; a member that is no object has none."""
+    return F.when(F.startswith(F.schema_of_variant(parent), F.lit("OBJECT")), with_extras(parent, schema))
+
+
 def providers(records: DataFrame, record_col: str = "record") -> DataFrame:
-    """D4 for provider records: nested struct, empty-list defaults, extras in ``_extra``."""
-    t = typed(records, record_col, PROVIDER_SCHEMA)
-    return t.withColumn("addresses", F.coalesce("addresses", F.array().cast(
-        f"array<struct<{', '.join(f + ':string' for f in ADDRESS_FIELDS)}>>"))).withColumn(
-        "taxonomies", F.coalesce("taxonomies", F.array().cast(f"array<{TAXONOMY_SCHEMA}>")))
-
-
-def provider_violations(typed_providers: DataFrame, key_cols: list[str]) -> DataFrame:
-    """V7: ``number`` required; ``enumeration_type`` one of two values (NULL allowed)."""
-    num = F.when(F.col("number").isNull(), F.lit("number_missing"))
-    enum = F.when(F.col("enumeration_type").isNotNull() & ~F.col("enumeration_type").isin(*ENUMERATION_TYPES),
-                  F.lit("enumeration_type_invalid"))
-    out = typed_providers.select(*key_cols, F.array_compact(F.array(num, enum)).alias("_v"))
+    """D4 for provider records: nested struct, empty-list defaults, extras of every level in an
+    ``_extra`` member of that level (JSON text)."""
+    rec = F.col(record_col)
+    cols = [c for c in records.columns if c != record_col]
+    lists = {"addresses": ADDRESS_SCHEMA, "taxonomies": TAXONOMY_SCHEMA}
+    staged = records.select(
+        *cols, rec.try_cast(PROVIDER_SCHEMA).alias("_t"), with_extras(rec, PROVIDER_SCHEMA).alias("_extra"),
+        F.try_variant_get(rec, "$.basic", "variant").alias("_b"),
+        *(F.try_variant_get(rec, f"$.{n}", "array<variant>").alias(f"_{n}") for n in lists))
+
+    def listed(name: str, schema: str) -> Column:
+        return F.coalesce(F.transform(f"_{name}", lambda v: v.try_cast(schema).withField("_extra", _nested_extra(v, schema))),
+                          F.array().cast(f"array<{schema[:-1]}, _extra:string>>"))
+
+    basic = F.when(F.col("_t.basic").isNotNull(), F.col("_t.basic").withField("_extra", _nested_extra(F.col("_b"), BASIC_SCHEMA)))
+    return staged.select(*cols, "_t.number", "_t.enumeration_type", basic.alias("basic"),
+                         *(listed(n, schema).alias(n) for n, schema in lists.items()), "_extra")
+
+
+def _is(v: Column, *kinds: str) -> Column:
+    """Whether a member is absent, JSON null or of one of the kinds."""
+    kind = F.schema_of_variant(v)
+    ok = v.isNull() | (kind == "VOID")
+    for k in kinds:
+        ok = ok | F.startswith(kind, F.lit(k))
+    return F.coalesce(ok, F.lit(True))
+
+
+def _texts_are_strings(parent: Column, names: list[str]) -> Column:
+    out = F.lit(True)
+    for name in names:
+        out = out & _is(F.try_variant_get(parent, f"$.{name}", "variant"), "STRING")
+    return out
+
+
+def record_violations(record: Column) -> Column:
+    """V7 on the record itself (array of codes): ``number`` is a required text, ``enumeration_type``
+    one of two values, every declared member of its type; nothing is coerced."""
+    def member(name: str) -> Column:
+        return F.try_variant_get(record, f"$.{name}", "variant")
+
+    def elements(name: str) -> Column:
+        return F.coalesce(F.try_variant_get(record, f"$.{name}", "array<variant>"), F.array().cast("array<variant>"))
+
+    number, kind, basic = member("number"), member("enumeration_type"), member("basic")
+    objects = {n: F.forall(elements(n), lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))) & _is(member(n), "ARRAY")
+               for n in ("addresses", "taxonomies")}
+    flags = F.forall(elements("taxonomies"), lambda v: _is(F.try_variant_get(v, "$.primary", "variant"), "BOOLEAN"))
+    texts = (_texts_are_strings(basic, BASIC_FIELDS) & F.forall(elements("addresses"), lambda v: _texts_are_strings(v, ADDRESS_FIELDS))
+             & F.forall(elements("taxonomies"), lambda v: _texts_are_strings(v, ["code", "desc", "state", "license"])))
+    value = F.try_variant_get(record, "$.enumeration_type", "string")
+    return F.array_compact(F.array(
+        F.when(number.isNull() | (F.schema_of_variant(number) == "VOID"), "number_missing").when(~_is(number, "STRING"), "number_type"),
+        F.when(~_is(kind, "STRING") | (value.isNotNull() & ~value.isin(*ENUMERATION_TYPES)), "enumeration_type_invalid"),
+        F.when(~_is(basic, "OBJECT"), "basic_type"), F.when(~objects["addresses"], "addresses_type"),
+        F.when(~objects["taxonomies"], "taxonomies_type"), F.when(~flags, "primary_type"), F.when(~texts, "text_type")))
+
+
+def provider_violations(records: DataFrame, key_cols: list[str], record_col: str = "record") -> DataFrame:
+    """V7 as a report: one row per violation."""
+    out = records.select(*key_cols, record_violations(F.col(record_col)).alias("_v"))
     return out.select(*key_cols, F.explode("_v").alias("violation"))
+
+
+def valid_providers(records: DataFrame, record_col: str = "record") -> DataFrame:
+    """V7 as a check: a record with a violation fails the job."""
+    found = record_violations(F.col(record_col))
+    message = F.concat(F.lit("invalid provider: "), F.array_join(found, ", "), F.lit(" in "), F.to_json(F.col(record_col)))
+    checked = F.when(F.size(found) == 0, F.col(record_col)).otherwise(F.raise_error(message).cast("variant"))
+    return records.withColumn(record_col, checked)

@@ -160,19 +160,23 @@ def provider_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     for t in ("customer", "nation"):
         table(spark, sf_dir, t).createOrReplaceTempView(t)
     return stored(spark.sql(fixtures.provider_rows()).select(
-        "c_custkey", "state", "enumeration_type",
+        "c_custkey", "state", "enumeration_type", F.col("number").isNotNull().alias("has_number"),
         F.to_json(F.struct(
             F.col("number"), F.col("enumeration_type"),
-            F.struct("first_name", "last_name", "organization_name", "status").alias("basic"),
+            F.struct("first_name", "last_name", "organization_name", "status",
+                     F.col("last_name").alias("authorized_official_last_name")).alias("basic"),
             F.array(
                 F.struct(F.lit("LOCATION").alias("address_purpose"), F.col("address_1"), F.col("city"),
-                         F.col("state"), F.col("postal_code")),
+                         F.col("state"), F.col("postal_code"), F.col("postal_code").alias("fax_number")),
                 F.struct(F.lit("MAILING").alias("address_purpose"), F.col("address_1"), F.col("mail_city").alias("city"),
-                         F.col("mail_state").alias("state"), F.col("postal_code")),
+                         F.col("mail_state").alias("state"), F.col("postal_code"),
+                         F.lit(None).cast("string").alias("fax_number")),
             ).alias("addresses"),
-            F.when(F.col("c_custkey") % 10 == 0, F.array().cast("array<struct<code:string,desc:string,primary:boolean>>"))
+            F.when(F.col("c_custkey") % 10 == 0, F.array().cast("array<struct<code:string,desc:string,primary:boolean,taxonomy_group:string>>"))
             .otherwise(F.array(F.struct(F.col("tax_code").alias("code"), F.col("c_mktsegment").alias("desc"),
-                                        F.lit(True).alias("primary")))).alias("taxonomies"),
+                                        F.lit(True).alias("primary"),
+                                        F.concat(F.lit("g"), (F.col("c_custkey") % 3).cast("string")).alias("taxonomy_group")
+                                        ))).alias("taxonomies"),
             F.array(F.struct(F.col("c_name").alias("name"))).alias("other_names"),
         )).alias("body"),
     ), "provider-records")
@@ -180,7 +184,7 @@ def provider_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def provider_pages(spark: SparkSession, sf_dir: str, page_size: int = 200) -> DataFrame:
     """Search responses of a state sweep restricted to NPI-2: ``(dataset=state, offset, body)``."""
-    recs = provider_records(spark, sf_dir).where(F.col("enumeration_type") == "NPI-2")
+    recs = provider_records(spark, sf_dir).where((F.col("enumeration_type") == "NPI-2") & F.col("has_number"))
     ranked = row_index(recs, ["state"], "c_custkey", "rk").withColumn(
         "offset", (F.floor(F.col("rk") / page_size) * page_size).cast("bigint"))
     pages = ranked.groupBy(F.col("state").alias("dataset"), "offset").agg(

@@ -11,9 +11,12 @@ from meridian.plans.registry import query
 from meridian.sources.tables import register
 
 
+def _provider_variants(spark, sf_dir):
+    return derived.provider_records(spark, sf_dir).select("c_custkey", F.parse_json("body").alias("record"))
+
+
 def _typed_providers(spark, sf_dir):
-    recs = derived.provider_records(spark, sf_dir).select("c_custkey", F.parse_json("body").alias("record"))
-    return rec.providers(recs, "record")
+    return rec.providers(_provider_variants(spark, sf_dir), "record")
 
 
 _PROV = f"WITH p AS ({fixtures.provider_rows()})\n"
@@ -37,7 +40,7 @@ def q_providers_nested(spark, sf_dir):
 
 _SEARCH = (
     _PROV.rstrip("\n") + ",\nf AS (SELECT *, row_number() OVER (PARTITION BY state ORDER BY c_custkey) - 1 AS rk "
-    "FROM p WHERE enumeration_type = 'NPI-2'),\nc AS (SELECT * FROM f WHERE rk < 1200)\n"
+    "FROM p WHERE enumeration_type = 'NPI-2' AND number IS NOT NULL),\nc AS (SELECT * FROM f WHERE rk < 1200)\n"
 )
 
 
@@ -74,4 +77,17 @@ def q_provider_lookup(spark, sf_dir):
     "WHERE enumeration_type NOT IN ('NPI-1', 'NPI-2')",
 )
 def q_provider_violations(spark, sf_dir):
-    return rec.provider_violations(_typed_providers(spark, sf_dir), ["c_custkey"])
+    return rec.provider_violations(_provider_variants(spark, sf_dir), ["c_custkey"])
+
+
+@query(
+    "providers_extras",
+    _PROV + "SELECT c_custkey, '{\"authorized_official_last_name\":\"' || last_name || '\"}' AS basic_extra, "
+    "'{\"fax_number\":\"' || postal_code || '\"}' AS address_extra, "
+    "CASE WHEN c_custkey % 10 <> 0 THEN '{\"taxonomy_group\":\"g' || c_custkey % 3 || '\"}' END AS taxonomy_extra FROM p",
+)
+def q_providers_extras(spark, sf_dir):
+    """Members no schema names survive on every level."""
+    p = _typed_providers(spark, sf_dir)
+    return p.select("c_custkey", F.col("basic._extra").alias("basic_extra"), F.get("addresses", F.lit(0))["_extra"].alias("address_extra"),
+                    F.get("taxonomies", F.lit(0))["_extra"].alias("taxonomy_extra"))

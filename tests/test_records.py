@@ -1,3 +1,4 @@
+import pytest
 import json
 
 from pyspark.sql import functions as F
@@ -43,5 +44,22 @@ def test_provider_nested_typing_and_violations(spark):
     assert rows[0].addresses[0].state == "OR" and rows[0].taxonomies[0].primary is True
     assert rows[0]._extra == '{"other":1}'
     assert rows[1].addresses == [] and rows[1].taxonomies == []
-    v = {(r.i, r.violation) for r in rec.provider_violations(p, ["i"]).collect()}
+    v = {(r.i, r.violation) for r in rec.provider_violations(_records(spark, [good, bare, nonum]), ["i"]).collect()}
     assert v == {(1, "enumeration_type_invalid"), (2, "number_missing")}
+
+
+def test_provider_extras_on_every_level_and_no_coercion(spark):
+    deep = {"number": "7", "basic": {"status": "A", "authorized_official_last_name": "Q"},
+            "addresses": [{"state": "OR", "fax_number": "9"}, {"state": "WA"}], "taxonomies": [{"code": "c", "taxonomy_group": "g"}]}
+    row = rec.providers(_records(spark, [deep])).first()
+    assert row.basic._extra == '{"authorized_official_last_name":"Q"}' and row._extra is None
+    assert [a._extra for a in row.addresses] == ['{"fax_number":"9"}', None] and row.taxonomies[0]._extra == '{"taxonomy_group":"g"}'
+    bad = [{"number": 123}, {"number": "1", "addresses": "x"}, {"number": "1", "taxonomies": [{"primary": "maybe"}]},
+           {"number": "1", "basic": {"status": 4}}, {"number": "1", "basic": []}, {"number": "1", "addresses": [3]}, {"number": None}]
+    found = {(r.i, r.violation) for r in rec.provider_violations(_records(spark, bad), ["i"]).collect()}
+    assert found == {(0, "number_type"), (1, "addresses_type"), (2, "primary_type"), (3, "text_type"), (4, "basic_type"),
+                     (5, "addresses_type"), (6, "number_missing")}
+    for one in bad:
+        with pytest.raises(Exception, match="invalid provider"):
+            rec.valid_providers(_records(spark, [one])).collect()
+    assert rec.valid_providers(_records(spark, [deep, {"number": "1", "enumeration_type": None}])).count() == 2
