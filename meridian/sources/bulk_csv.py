@@ -11,11 +11,15 @@ keep identifiers text.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.sinks.landing import RunMetrics, land
 
+MALFORMED = "_malformed_record"
+
 # Inference patterns, tried in this order.
 _INT = "\\A[+-]?(0|[1-9][0-9]*)\\z"
 _DOUBLE = "\\A[+-]?(0|[1-9][0-9]*)?(\\.[0-9]*)?([eE][+-]?[0-9]+)?\\z"
@@ -26,16 +30,17 @@ US_DATE_FORMAT = "M/d/yyyy"
 TYPE_ORDER = ("boolean", "bigint", "double", "date", "date_us", "timestamp")
 
 
-def spans_lines(spark: SparkSession, path: str) -> bool:
+def spans_lines(spark: SparkSession, path: str, sep: str = ",") -> bool:
     """True when some quoted value holds a line break.
 
-    With RFC 4180 quoting (a quote inside a value is doubled) a record continues on the
-    next line exactly when a physical line has an odd number of quote characters. One
-    splittable text scan that stops at the first such line.
+    A record continues on the next line exactly when a field that opens with a quote is not
+    closed on its line (a quote inside it is doubled; a quote inside an unquoted field, such
+    as an inch mark, opens nothing). One splittable text scan that stops at the first such line.
     """
-    lines = spark.read.text(path)
-    odd = (F.size(F.split(F.col("value"), '"', -1)) % 2) == 0
-    return lines.where(odd).limit(1).count() > 0
+    opens = f"(\\A|{re.escape(sep)})\""
+    closed = f'{opens}(?:[^"]|"")*+"(?={re.escape(sep)}|\\r?\\z)'
+    rest = F.regexp_replace("value", closed, "$1")
+    return spark.read.text(path).where(rest.rlike(opens)).limit(1).count() > 0
 
 
 # Delimiters tried when none is given, in order of preference on ties.
@@ -54,17 +59,37 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
     return best[2] if best[0] > 0 else ","
 
 
+def _scan(spark: SparkSession, path: str, multi_line: bool | None, sep: str | None) -> DataFrame:
+    """All columns as text and ``MALFORMED``: the record, where its number of fields is not the header's."""
+    sep = sep or sniff_delimiter(spark, path)
+    if multi_line is None:
+        multi_line = spans_lines(spark, path, sep)
+    reader = (spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+              .option("sep", sep).option("inferSchema", False))
+    schema = reader.csv(path).schema
+    # without pruning: a reader that parses only some fields cannot count them
+    reader = reader.option("columnPruning", False)
+    return reader.option("columnNameOfCorruptRecord", MALFORMED).schema(schema.add(MALFORMED, "string")).csv(path)
+
+
+def malformed_rows(spark: SparkSession, path: str, multi_line: bool | None = None, sep: str | None = None) -> DataFrame:
+    """Records with more or fewer fields than the header: ``path, record, first_field``."""
+    rows = _scan(spark, path, multi_line, sep)
+    return rows.where(F.col(MALFORMED).isNotNull()).select(
+        F.col("_metadata.file_path").alias("path"), F.col(MALFORMED).alias("record"), F.col(f"`{rows.columns[0]}`").alias("first_field"))
+
+
 def read_csv_text(spark: SparkSession, path: str, multi_line: bool | None = None, sep: str | None = None) -> DataFrame:
-    """I7 scan: header row, RFC 4180 quotes, every column as text.
+    """I7 scan: header row, RFC 4180 quotes, every column as text; a record with more or fewer
+    fields than the header fails the read (``malformed_rows`` lists them).
 
     ``multi_line=None`` decides from the data: files are split across tasks unless a quoted
     value spans lines (then each file is read whole, which is what multi-line needs).
     ``sep=None`` sniffs the delimiter from the header line.
     """
-    if multi_line is None:
-        multi_line = spans_lines(spark, path)
-    return (spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-            .option("sep", sep or sniff_delimiter(spark, path)).option("inferSchema", False).csv(path))
+    rows = _scan(spark, path, multi_line, sep)
+    fail = F.raise_error(F.concat(F.lit("malformed CSV record: "), F.col(MALFORMED))).cast("boolean")
+    return rows.where(F.when(F.col(MALFORMED).isNull(), F.lit(True)).otherwise(fail)).drop(MALFORMED)
 
 
 def _checks(c: Column) -> dict[str, Column]:

@@ -68,3 +68,17 @@ def test_delimiter_sniffing(spark, tmp_root):
     assert bulk_csv.sniff_delimiter(spark, semi) == ";"
     rows = bulk_csv.read_typed_csv(spark, tab).collect()
     assert [(r.npi, r.name, r.n) for r in rows] == [("0123456789", "A, B", 5)]
+
+
+def test_ragged_rows_fail_and_are_listed(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("a,b\n1,2\n3,4,5\n6\n7,8\n")
+    with pytest.raises(Exception, match="malformed CSV record"):
+        bulk_csv.read_csv_text(spark, str(tmp_path)).select("b").collect()
+    assert sorted(r.record for r in bulk_csv.malformed_rows(spark, str(tmp_path)).collect()) == ["3,4,5", "6"]
+
+
+def test_inch_marks_do_not_span_lines(spark, tmp_path):
+    (tmp_path / "i.csv").write_text('size,name\n5" pipe,"a ""b"" c"\n"x, y",6"\n')
+    assert not bulk_csv.spans_lines(spark, str(tmp_path))
+    (tmp_path / "j.csv").write_text('size,name\n1,"two\nlines"\n')
+    assert bulk_csv.spans_lines(spark, str(tmp_path))
