@@ -8,14 +8,16 @@ menus, headers, footers, sidebars, notices, adverts, forms or reader comments go
 Lines of an ``article`` or ``main`` element are never differenced: sites repeat whole
 passages in their articles, and those must stay.
 
-Pages move once (range exchange by host and path, so a hot host is dealt over many tasks)
-and are read as a stream with one page of memory on either side; pages at the ends of a
-task get their second neighbour from a small table of such pages.
+Only the lines outside articles move (range exchange by host and path, so a hot host is
+dealt over many tasks); they are read as a stream with one page of memory on either side,
+and pages at the ends of a task get their second neighbour from a small table of such
+pages. What is cut is written, one row per page that loses lines, and joined back to the
+pages, which are then read once more for their texts.
 
 Defined results: null or empty html gives empty text; a null url is the empty url; markup
 that never closes runs to the end of the page; a page without a neighbour on its host
 keeps its unmarked lines; repeated rows are each other's neighbours, so their unmarked
-lines go.
+lines go from all of them.
 """
 
 from __future__ import annotations
@@ -183,13 +185,21 @@ def common(a: list, b: list) -> set[int]:
     return kept
 
 
-def main_text(own: list[tuple[str, int]], other: list[tuple[str, int]] | None) -> str:
-    """The page's lines without marked ones and without those outside its article that ``other`` shares."""
-    outside = [i for i, (_, state) in enumerate(own) if state != MAIN]
-    shared = set()
-    if other is not None:
-        shared = {outside[i] for i in common([own[i][0] for i in outside], [t for t, s in other if s != MAIN])}
-    return "\n".join(t for i, (t, state) in enumerate(own) if state != MARKED and i not in shared)
+def shared_lines(own: list[tuple[str, int]], other: list[tuple[str, int]] | None) -> list[int]:
+    """Positions of the unmarked among a page's outside lines that align with the neighbour's."""
+    if other is None or all(state != PLAIN for _, state in own):
+        return []
+    return sorted(i for i in common([t for t, _ in own], [t for t, _ in other]) if own[i][1] == PLAIN)
+
+
+def main_text(page: list[tuple[str, int]], cut: list[int] | None) -> str:
+    """The page's lines without marked ones and without the ``cut`` of its outside lines."""
+    gone, kept, at = set(cut or ()), [], 0
+    for text, state in page:
+        if state == MAIN or (state == PLAIN and at not in gone):
+            kept.append(text)
+        at += state != MAIN
+    return "\n".join(kept)
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -208,104 +218,120 @@ def _pairs(value) -> list[tuple[str, int]] | None:
     return None if value is None else [(x["t"], x["s"]) for x in value]
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
+def _outside(pages: DataFrame) -> DataFrame:
+    """Per page its key and its lines outside articles; pages without any are left out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             urls = [split_url(u) for u in batch.column(1).to_pylist()]
-            found = [[{"t": t, "s": s} for t, s in lines(h)] for h in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([h for h, _ in urls], pa.string()),
-                 pa.array([p for _, p in urls], pa.string()), pa.array(found, _LINES)],
-                names=["page_id", "url", "host", "path", "own"])
+            found = [[{"t": t, "s": s} for t, s in lines(h) if s != MAIN] for h in batch.column(3).to_pylist()]
+            index = pa.array([i for i, own in enumerate(found) if own], pa.int64())
+            arrays = [*(batch.column(i) for i in range(3)), pa.array([h for h, _ in urls], pa.string()),
+                      pa.array([p for _, p in urls], pa.string()), pa.array(found, _LINES)]
+            yield pa.RecordBatch.from_arrays([x.take(index) for x in arrays],
+                                             names=["page_id", "url", "key", "host", "path", "own"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", F.col("url").cast("string").alias("url"), "html").mapInArrow(
-        run, f"page_id {kind}, url string, host string, path string, own {_LINES_SQL}")
+    return pages.mapInArrow(run, f"page_id {kind}, url string, key long, host string, path string, own {_LINES_SQL}")
+
+
+#: places of a page in its rows
+HOST, PATH, OWN = 3, 4, 5
 
 
 def _nearest(page: tuple, before: tuple | None, after: tuple | None) -> list[tuple[str, int]] | None:
     """Lines of the neighbour on the same host whose path shares the longer beginning (else the one before)."""
     best = None
     for other in (before, after):
-        if other is not None and other[2] == page[2]:
-            alike = len(os.path.commonprefix([other[3], page[3]]))
+        if other is not None and other[HOST] == page[HOST]:
+            alike = len(os.path.commonprefix([other[PATH], page[PATH]]))
             if best is None or alike > best[0]:
-                best = alike, other[4]
+                best = alike, other[OWN]
     return None if best is None else best[1]
 
 
 def _diffed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pages in, texts out; the first and last page come with their lines and inner
-    neighbour instead, and with their place (first, last, only) for the text."""
-    names = ["page_id", "url", "host", "path", "own", "text", "near"]
+    """Sorted pages in, the lines to cut out; the first and last page come with their lines and
+    inner neighbour instead, and with their place (first, last, only)."""
+    names = ["page_id", "url", "key", "host", "path", "own", "cut", "place", "near"]
     id_type = pa.int64()
 
     def rows() -> Iterator[tuple]:
         nonlocal id_type
         for batch in batches:
             id_type = batch.column(0).type
-            yield from zip(*(batch.column(i).to_pylist() for i in range(4)),
-                           map(_pairs, batch.column(4).to_pylist()), strict=True)
-
-    def batch_of(found: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*found, strict=True))
-        kinds = [id_type, pa.string(), pa.string(), pa.string(), _LINES, pa.string(), _NEAR]
-        own = [None if v is None else structs(v) for v in cols[4]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip((*cols[:4], own, *cols[5:]), kinds, strict=True)], names=names)
+            yield from zip(*(batch.column(i).to_pylist() for i in range(OWN)),
+                           map(_pairs, batch.column(OWN).to_pylist()), strict=True)
 
     def structs(found: list[tuple[str, int]]) -> list[dict]:
         return [{"t": t, "s": s} for t, s in found]
 
     def inner(page: tuple, other: tuple | None) -> dict | None:
-        return {"path": other[3], "own": structs(other[4])} if other is not None and other[2] == page[2] else None
+        return {"path": other[PATH], "own": structs(other[OWN])} if other is not None and other[HOST] == page[HOST] else None
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        kinds = [id_type, pa.string(), pa.int64(), pa.string(), pa.string(), _LINES, pa.list_(pa.int64()), pa.string(), _NEAR]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
 
     before, page, found = None, None, []
     for after in rows():
         if page is not None:
             if before is None:
-                found.append((*page, "first", inner(page, after)))
-            else:
-                found.append((*page[:4], None, main_text(page[4], _nearest(page, before, after)), None))
+                found.append((*page[:OWN], structs(page[OWN]), None, "first", inner(page, after)))
+            elif cut := shared_lines(page[OWN], _nearest(page, before, after)):
+                found.append((*page[:OWN], None, cut, None, None))
         before, page = page, after
         if len(found) >= 256:
             yield batch_of(found)
             found = []
     if page is not None:
-        found.append((*page, "only" if before is None else "last", inner(page, before)))
+        found.append((*page[:OWN], structs(page[OWN]), None, "only" if before is None else "last", inner(page, before)))
     if found:
         yield batch_of(found)
 
 
+def _ends_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines to cut from pages at the ends of tasks; the outer neighbour is the row before or after."""
+    for batch in batches:
+        cuts = []
+        for host, path, own, near, place, up, down in zip(*(batch.column(n).to_pylist() for n in (
+                "host", "path", "own", "near", "place", "up", "down")), strict=True):
+            page = (None, None, None, host, path, _pairs(own))
+            before, after = [None if x is None else (None, None, None, x["host"], x["path"], _pairs(x["own"])) for x in (up, down)]
+            if place != "only":
+                inside = None if near is None else (None, None, None, host, near["path"], _pairs(near["own"]))
+                before, after = (before, inside) if place == "first" else (inside, after)
+            cuts.append(shared_lines(page[OWN], _nearest(page, before, after)))
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("page_id", "url", "key")), pa.array(cuts, pa.list_(pa.int64()))],
+                                         names=["page_id", "url", "key", "cut"])
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [main_text(lines(h), cut) for h, cut in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+
 def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Per page: ``page_id, url, text, n_chars``."""
     kind = pages.schema["page_id"].dataType.simpleString()
-    parsed = _parsed(pages).repartitionByRange("host", "path", "page_id", "url").sortWithinPartitions(
-        "host", "path", "page_id", "url")
-    shape = f"page_id {kind}, url string, host string, path string, own {_LINES_SQL}, text string, near {_NEAR_SQL}"
-    done = written(spark, parsed.mapInArrow(_diffed, shape), "html-diff")
+    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.xxhash64("html").alias("key"), "html")
+    order = ["host", "path", "page_id", "url", "key"]
+    shape = (f"page_id {kind}, url string, key long, host string, path string, own {_LINES_SQL}, cut array<bigint>, "
+             f"place string, near {_NEAR_SQL}")
+    sorted_pages = _outside(rows).repartitionByRange(*order).sortWithinPartitions(*order)
+    done = written(spark, sorted_pages.mapInArrow(_diffed, shape), "html-diff")
 
     # two pages per task at most: their other neighbour is the next one in this table
-    window = Window.orderBy("host", "path", "page_id", "url")
-    ends = done.where("own is not null").select("page_id", "url", "host", "path", "own", "near", F.col("text").alias("place"))
+    window = Window.orderBy(*order)
+    ends = done.where("place is not null")
     ends = ends.select("*", *(fn(F.struct("host", "path", "own")).over(window).alias(n)
                               for n, fn in (("up", F.lag), ("down", F.lead))))
-
-    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for host, path, own, near, place, up, down in zip(*(batch.column(n).to_pylist() for n in (
-                    "host", "path", "own", "near", "place", "up", "down")), strict=True):
-                page = (None, None, host, path, _pairs(own))
-                before, after = [None if x is None else (None, None, x["host"], x["path"], _pairs(x["own"]))
-                                 for x in (up, down)]
-                if place != "only":
-                    own_side = None if near is None else (None, None, host, near["path"], _pairs(near["own"]))
-                    before, after = (before, own_side) if place == "first" else (own_side, after)
-                texts.append(main_text(page[4], _nearest(page, before, after)))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
-                                             names=["page_id", "url", "text"])
-
-    rest = ends.mapInArrow(last, f"page_id {kind}, url string, text string")
-    texts = done.where("own is null").select("page_id", "url", "text").unionByName(rest)
+    cuts = done.where("place is null").select("page_id", "url", "key", "cut").unionByName(
+        ends.mapInArrow(_ends_cut, f"page_id {kind}, url string, key long, cut array<bigint>").where("size(cut) > 0"))
+    cuts = (cuts.select("page_id", "url", "key", F.explode("cut").alias("i")).distinct().groupBy("page_id", "url", "key")
+            .agg(F.collect_list("i").alias("cut")).toDF("_id", "_url", "_key", "cut"))
+    cuts = written(spark, cuts, "html-cuts")  # its size is known to the plan: small, it is broadcast and no page moves
+    joined = rows.join(cuts, F.expr("page_id <=> _id and url <=> _url and key = _key"), "left").select("page_id", "url", "html", "cut")
+    texts = joined.mapInArrow(_texts, f"page_id {kind}, url string, text string")
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

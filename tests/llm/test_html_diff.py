@@ -65,11 +65,12 @@ def test_task_ends_do_not_change_the_result(spark, parts):
         lines = [f"line {rng.randrange(6)}" for _ in range(rng.randrange(6))]
         rows.append((i, f"http://h{rng.randrange(3)}/{rng.choice('ab')}/{rng.randrange(30)}", "".join(f"<p>{x}</p>" for x in lines)))
     pages = sorted(rows, key=lambda r: (*H.split_url(r[1]), r[0], r[1]))
-    keyed = [(None, None, *H.split_url(u), H.lines(h)) for _, u, h in pages]
-    want = {}
+    pages = [p for p in pages if p[2]]
+    keyed = [(None, None, None, *H.split_url(u), H.lines(h)) for _, u, h in pages]
+    want = {i: "" for i, _, _ in rows}
     for k, (i, _, _) in enumerate(pages):
         near = H._nearest(keyed[k], keyed[k - 1] if k else None, keyed[k + 1] if k + 1 < len(pages) else None)
-        want[i] = H.main_text(keyed[k][4], near)
+        want[i] = H.main_text(keyed[k][H.OWN], H.shared_lines(keyed[k][H.OWN], near))
     before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
     try:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
