@@ -19,7 +19,7 @@ _MIX1, _MIX2, _STEP = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E377
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` under the shared folder and read it back."""
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

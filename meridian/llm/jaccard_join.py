@@ -12,13 +12,14 @@ counts over the whole corpus, so two linked sets share at least ``l`` of the fir
 
 The boundary minimises subsets enumerated plus list entries scanned over the size histogram.
 
-Groups are never expanded into all pairs. In each star round every list names one set of
-its lowest and one of its highest component (a pre-aggregated minimum and maximum), every
-set is verified against the one of another component that it shares most entries with, and
-what links becomes one component. The completing round takes the lists that still hold
-several components, counts the entries that every pair across components shares and
-verifies all pairs that the size and count bounds allow, so no link that could join two
-components is missed.
+Groups are never expanded into all pairs. In each star round every list names its most
+central set (the one with most of its entries shared, a pre-aggregated maximum); every
+other set is verified against those of them that hold a fair part of its prefix (at most
+``LIKELY``), and what links becomes one component: copies meet the text they come from. The
+completing round takes the lists that still hold several components and drops the entries
+too far down a set to be the first that a linked pair has in common; it verifies every
+remaining pair across components that the bounds on sizes, positions and the number of
+shared entries allow, so no link that could join two components is missed.
 
 Sets are compared as 64-bit shingle hashes, equal sets found by a 64-bit digest.
 
@@ -44,13 +45,15 @@ SHINGLE = 5
 ORDERED = 1 << 16
 #: a shingle is reported by a task if it is in so large a share of the task's documents
 TASK_SHARE = 0.001
+#: documents whose sets a task holds at once
+TASK_DOCS = 500
 #: list entries of one shingle that one task scans; a longer list is dealt over several
 SUBLIST = 50_000
 #: boundaries tried by the cost model, and the cost of scanning against that of emitting an entry
 BOUNDARIES = range(4, 65)
 SCAN_COST = 0.5
-#: star rounds at most; a star round tries a pair that shares this fraction (one over) of a prefix
-ROUNDS, LIKELY = 4, 4
+#: star rounds; a star round tries a pair that shares this fraction (one over) of a prefix
+ROUNDS, LIKELY = 1, 4
 #: bits of the bitmap of sets whose texts are needed (fixed: 4 MiB)
 NEEDED_BITS = 1 << 25
 
@@ -76,7 +79,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "key", "n", "sid", "h", "c"]
         seen_h, seen_c, n_docs, id_type = np.empty(0, np.uint64), np.empty(0, np.int64), 0, None
-        for batch in batches:
+        for batch in (b.slice(i, TASK_DOCS) for b in batches for i in range(0, b.num_rows, TASK_DOCS)):
             id_type = batch.column(0).type
             sizes, sids, held = [], [], []
             for text in utf8_values(batch.column(2)):
@@ -219,6 +222,26 @@ def _need(n: str, m: str) -> Column:
     return F.expr(f"(3L * ({n} + {m}) + 6) div 7")
 
 
+def _sharing_enough(pairs: DataFrame, lists: DataFrame, x: int) -> DataFrame:
+    """The pairs whose prefixes share as many entries as a link needs.
+
+    What is common beyond both prefixes lies in the rest of the set whose prefix ends first.
+    """
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
+    entries = lists.join(wanted, "sid", "left_semi").groupBy("sid").agg(
+        F.max("n").alias("n"), F.collect_list(F.when(F.col("pos") >= 0, F.col("h"))).alias("one"),
+        F.collect_list(F.when(F.col("pos") < 0, F.col("h"))).alias("two"))
+    both = (pairs.join(entries.toDF("u", "n", "one_u", "two_u"), "u").join(entries.toDF("v", "m", "one_v", "two_v"), "v"))
+
+    def least_common(extra: int) -> Column:
+        return _need("n", "m") - F.greatest(*(F.expr(f"{y} - least({y}, {y} div 4 + {extra})") for y in ("n", "m")))
+
+    single, double = least_common(1), least_common(2)
+    enough = F.when(F.expr(f"4 * least(n, m) >= 3 * {x}"), F.size(F.array_intersect("one_u", "one_v")) >= single).otherwise(
+        2 * F.size(F.array_intersect("two_u", "two_v")) >= double * (double - 1))
+    return both.where(enough).select("u", "v")
+
+
 def _texts_of(spark: SparkSession, docs: DataFrame, sets: DataFrame, sids: DataFrame) -> DataFrame:
     """``sid, text`` for the wanted sets; one document speaks for each set."""
     keys = written(spark, sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"))
@@ -302,50 +325,51 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     lists = (_entries(docs, order, x).repartition("h", "salt").sortWithinPartitions("h", "salt", "n", "sid")
              .mapInArrow(_shared, "h long, sid long, n int, pos int"))
-    rest = written(spark, lists.select("*", F.col("sid").alias("comp")), "join-lists")
+    lists = lists_of_sets = written(spark, lists, "join-lists")
+    # a set all of whose entries are shared is likely what the others of its group were copied from
+    central = lists.groupBy("sid").agg(F.expr("count(*) * 1000 div (max(n) div 4 + 1)").alias("w"))
+    rest = lists.join(central, "sid").select("h", "sid", "n", "pos", F.col("sid").alias("comp"), "w")
 
-    # star rounds: every set against one candidate of another component
+    # star rounds: every set against the most central sets of other components that it meets in its lists
     checked = spark.createDataFrame([], "u long, v long, linked boolean")
     labels = spark.createDataFrame([], "node long, root long")
     for _ in range(ROUNDS):
-        ends = (rest.groupBy("h").agg(F.min(F.struct("comp", "sid")).alias("lo"), F.max(F.struct("comp", "sid")).alias("hi"))
-                .where("lo.comp <> hi.comp"))
-        rest = written(spark, rest.join(ends, "h"), "join-rest")
-        other = F.when(F.col("comp") != F.col("lo.comp"), F.col("lo.sid")).otherwise(F.col("hi.sid"))
-        tries = (rest.select("sid", "n", (F.col("pos") < 0).alias("light"), other.alias("other"))
+        rest = written(spark, rest, "join-rest")
+        leads = (rest.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("w", "sid", "comp")).alias("lead"))
+                 .where("lo <> hi").select("h", "lead"))
+        rest = written(spark, rest.join(leads, "h"), "join-mixed")
+        tries = (rest.where(F.col("comp") != F.col("lead.comp"))
+                 .select("sid", "n", (F.col("pos") < 0).alias("light"), F.col("lead.sid").alias("other"))
                  .groupBy("sid", "other", "light").agg(F.count("*").alias("c"), F.max("n").alias("n"))
                  .where(F.expr(f"c * {LIKELY} >= case when light then (n div 4 + 2) * (n div 4 + 1) div 2 else n div 4 + 1 end"))
-                 .select("sid", "c", F.least("sid", "other").alias("u"), F.greatest("sid", "other").alias("v"))
-                 .join(checked, ["u", "v"], "left_anti")
-                 .groupBy("sid").agg(F.max_by(F.struct("u", "v"), F.struct("c", "u", "v")).alias("p"))
-                 .select("p.u", "p.v").distinct())
+                 .select(F.least("sid", "other").alias("u"), F.greatest("sid", "other").alias("v")).distinct()
+                 .join(checked, ["u", "v"], "left_anti"))
         tries = written(spark, tries, "join-tries")
         found = _checked(spark, docs, sets, tries, "join-found")
         checked = written(spark, checked.union(found), "join-checked")
-        if not found.where("linked").limit(1).count():
-            break
-        labels = components(spark, checked.where("linked").select("u", "v"))
-        rest = (rest.select("h", "sid", "n", "pos").join(labels, rest.sid == labels.node, "left")
-                .select("h", "sid", "n", "pos", F.coalesce("root", "sid").alias("comp")))
-        rest = written(spark, rest, "join-lists")
-
-    # completing round: pairs across components in the lists that still hold several
-    mixed = rest.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
-    rest = written(spark, rest.select("h", "sid", "n", "pos", "comp").join(mixed, "h", "left_semi"), "join-rest")
+        if found.where("linked").limit(1).count():
+            labels = components(spark, checked.where("linked").select("u", "v"))
+        # who has led does not lead again
+        led = rest.select(F.col("lead.sid").alias("led")).distinct()
+        rest = (rest.join(labels, rest.sid == labels.node, "left").join(led, F.col("sid") == F.col("led"), "left")
+                .select("h", "sid", "n", "pos", F.coalesce("root", "sid").alias("comp"),
+                        F.when(F.col("led").isNull(), F.col("w")).otherwise(F.lit(-1)).cast("long").alias("w")))
+
+    # completing round: pairs across components. The first common entry of a linked pair leaves enough
+    # elements behind it in both sets; with the smallest partner of its list an entry must do so too
+    rest = written(spark, rest.select("h", "sid", "n", "comp", F.expr("case when pos < 0 then n + 2 + pos else n - pos end").alias("left")),
+                   "join-rest")
+    for _ in range(2):
+        lists = rest.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("m")).where("lo <> hi")
+        rest = rest.join(lists.select("h", F.col("m").alias("least")), "h").withColumn("least", F.greatest("least", F.expr("(3 * n + 3) div 4")))
+        rest = written(spark, rest.where(F.col("left") >= _need("n", "least")).drop("least"), "join-rest")
     a, b = rest.alias("a"), rest.alias("b")
-    met = (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.comp") != F.col("b.comp"))
-                  & ((F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.sid") < F.col("b.sid"))))
-                  & F.expr("100L * a.n >= 75L * b.n"))
-           .groupBy("a.sid", "b.sid", (F.col("a.pos") < 0).alias("light"))
-           .agg(F.count("*").alias("c"), F.max("a.n").alias("n"), F.max("b.n").alias("m"))
-           .toDF("u", "v", "light", "c", "n", "m"))
-    # what is common beyond both prefixes lies in the rest of the set whose prefix ends first
-    rests = [F.expr(f"{x} - least({x}, {x} div 4 + case when light then 2 else 1 end)") for x in ("n", "m")]
-    met = met.withColumn("least_common", _need("n", "m") - F.greatest(*rests))
-    enough = F.expr("c >= case when light then least_common * (least_common - 1) div 2 else least_common end")
-    pairs = (met.where(enough).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    pairs = (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.comp") != F.col("b.comp"))
+                    & ((F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.sid") < F.col("b.sid"))))
+                    & F.expr("100L * a.n >= 75L * b.n") & (F.least("a.left", "b.left") >= _need("a.n", "b.n")))
+             .select(F.least("a.sid", "b.sid").alias("u"), F.greatest("a.sid", "b.sid").alias("v")).distinct()
              .join(checked, ["u", "v"], "left_anti"))
-    pairs = written(spark, pairs, "join-pairs")
+    pairs = written(spark, _sharing_enough(written(spark, pairs, "join-near"), lists_of_sets, x), "join-pairs")
     found = _checked(spark, docs, sets, pairs, "join-found")
     if found.where("linked").limit(1).count():
         labels = components(spark, checked.union(found).where("linked").select("u", "v"))
