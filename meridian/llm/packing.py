@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.llm.common import written
+
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 SHARD_PIECES = 50_000
 FIXED = 16.0
@@ -76,7 +78,8 @@ def best_fit(docs: DataFrame, tokens: Column | None = None, capacities: Sequence
     """
     largest = max(capacities)
     count = word_count(F.col("text")) if tokens is None else tokens
-    sized = docs.select(*keep, F.coalesce(count, F.lit(0)).cast("long").alias("_n"))
+    # written: the texts are read and counted once, everything below works on the lengths
+    sized = written(docs.sparkSession, docs.select(*keep, F.coalesce(count, F.lit(0)).cast("long").alias("_n")), "pack-lengths")
     pieces = sized.where("_n > 0").select(
         *keep, "_n", F.posexplode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / largest) * largest,
                                              F.lit(largest).cast("long"))).alias("piece", "start"))
