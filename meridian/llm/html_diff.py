@@ -5,6 +5,12 @@ host and URL path, each is paired with the neighbour whose URL shares the longer
 and the lines outside the article element of both are aligned by their longest common
 subsequence; aligned lines are the site's and go. Lines in elements or classes that name
 menus, headers, footers, sidebars, notices, adverts, forms or reader comments go as well.
+A class or id names one if all parts of a whole token are such names or words of layout
+(``cookie-notice``, ``site-footer``; not ``has-sidebar`` or ``share-prices``). ``html``,
+``body``, ``main`` and ``article`` are never the site's, nor is an element around ``main`` or
+a form around an outermost article; any other element around outermost articles is the
+site's only if the page has a ``main`` or an article outside such elements (teasers in a
+sidebar).
 Lines of an ``article`` or ``main`` element are never differenced: sites repeat whole
 passages in their articles, and those must stay.
 
@@ -44,11 +50,12 @@ summary table tbody td tfoot th thead title tr ul""".split())
 _SITE = set("nav footer aside form menu dialog noscript template button select option label fieldset iframe svg canvas head title".split())
 _RAW = {"script", "style", "textarea", "xmp", "noembed", "noframes"}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_SITE_CLASS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|"
-    r"consent|cookie|cookies|disqus|footer|gdpr|masthead|menu|nav|navbar|navigation|newsletter|notice|popup|promo|"
-    r"related|reply|replies|respond|share|sharing|sidebar|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])",
-    re.IGNORECASE)
+_NAMES = ("ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|consent|cookie|cookies|"
+          "disqus|footer|gdpr|masthead|menu|nav|navbar|navigation|newsletter|notice|popup|promo|related|reply|replies|respond|"
+          "share|sharing|sidebar|social|sponsor|sponsored|subscribe|toolbar|widget")
+_LAYOUT = "area|bar|block|bottom|box|button|buttons|container|icons|left|links|list|main|page|panel|right|section|site|top"
+#: a whole token of site names and words of layout, one site name at least
+_SITE_CLASS = re.compile(rf"(?<!\S)(?:(?:{_LAYOUT})[_-]+)*(?:{_NAMES})(?:[_-]+(?:{_NAMES}|{_LAYOUT}))*(?!\S)", re.IGNORECASE)
 _SITE_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "menu", "menubar", "dialog", "alert"}
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""",
                     re.DOTALL)
@@ -70,21 +77,29 @@ def _site(tag: str, attributes: str, inside: bool) -> bool:
 def lines(page: str | None) -> list[tuple[str, int]]:
     """Text blocks of a page in order with their state: article, marked as the site's, or unmarked."""
     page = page or ""
-    out: list[tuple[str, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, inside an article, inside a site element
+    out: list[tuple[str, bool, int]] = []  # text, inside an article, innermost site element (-1: none)
+    stack: list[tuple[str, bool, int]] = []  # tag, inside an article, innermost site element
     held: list[str] = []
-    main = site = False
+    around: list[tuple[str, int]] = []  # site elements: tag, the one around it
+    opened: set[int] = set()  # site elements that are not the site's after all
+    articles: list[int] = []  # innermost site element around each outermost article
+    main, site, free = False, -1, False
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            out.append((text, MARKED if site else MAIN if main else PLAIN))
+            out.append((text, main, site))
 
     def close(depth: int) -> None:
         nonlocal main, site
         del stack[depth:]
-        main, site = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        main, site = (stack[-1][1], stack[-1][2]) if stack else (False, -1)
+
+    def unmark(mark: int) -> None:
+        while mark >= 0 and mark not in opened:
+            opened.add(mark)
+            mark = around[mark][1]
 
     at, end = 0, len(page)
     while at < end:
@@ -124,11 +139,39 @@ def lines(page: str | None) -> list[tuple[str, int]]:
                     break
         if tag in _VOID or found.group(3).endswith("/"):
             continue
-        inside = main or tag in ("article", "main") or bool(re.search(r"\brole\s*=\s*[\"']?main\b", found.group(3)))
-        stack.append((tag, inside, site or _site(tag, found.group(3), inside)))
-        main, site = stack[-1][1], stack[-1][2]
+        text = tag == "main" or bool(re.search(r"\brole\s*=\s*[\"']?main\b", found.group(3)))
+        inside = main or text or tag == "article"
+        mark = site
+        if text:
+            unmark(site)
+            free = True
+        elif tag == "article":
+            if not main:
+                articles.append(site)
+        elif tag not in ("html", "body") and _site(tag, found.group(3), inside):
+            around.append((tag, site))
+            mark = len(around) - 1
+        stack.append((tag, inside, mark))
+        main, site = inside, mark
     flush()
-    return out
+    holds: set[int] = set()  # site elements around outermost articles
+    for mark in articles:
+        while mark >= 0 and mark not in holds:
+            holds.add(mark)
+            mark = around[mark][1]
+
+    def still_marked() -> list[bool]:
+        marked: list[bool] = []
+        for i, (_, outer) in enumerate(around):
+            marked.append(i not in opened or (outer >= 0 and marked[outer]))
+        return marked
+
+    opened.update(i for i in holds if around[i][0] == "form")
+    marked = still_marked()
+    if not free and all(mark >= 0 and marked[mark] for mark in articles):
+        opened |= holds
+        marked = still_marked()
+    return [(t, MARKED if mark >= 0 and marked[mark] else MAIN if within else PLAIN) for t, within, mark in out]
 
 
 def _lengths(a: list, b: list) -> tuple[list[int], int]:

@@ -88,3 +88,22 @@ def test_repeated_rows_long_page_and_empty_table(spark):
     got = sorted((r.page_id, r.text) for r in H.extract(spark, _table(spark, rows)).collect())
     assert got == [(1, ""), (1, ""), (2, ""), (3, "end")]
     assert H.extract(spark, _table(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='single has-sidebar'><article>A</article></body>",
+    "<html id=page class='menu'><body class='widget nav'><article>A</article></body></html>",
+    "<article class='post comment-open'>A</article>", "<article class=notice>A</article>", "<main class=widget>A</main>",
+    "<form><article>A</article></form>", "<form><div class=widget><main>A</main></div></form>",
+    "<div class=sidebar><article>A</article></div>", "<div class=widget><form><article>A</article></form></div>",
+    "<article><section class='related-work'>A</section></article>", "<article><section id='share-prices'>A</section></article>"])
+def test_articles_are_never_marked_by_what_surrounds_or_names_them(page):
+    assert H.lines(page) == [("A", H.MAIN)]
+
+
+def test_site_elements_beside_or_inside_the_article_stay_marked():
+    for name in ("comment", "post related", "cookie-notice", "site-footer", "share_buttons", "Comment-List"):
+        assert H.lines(f"<article>A<div class='{name}'>S</div></article>") == [("A", H.MAIN), ("S", H.MARKED)]
+    page = "<aside>S<article>T</article></aside><form>F<article>A<div id=comments><article>C</article></div></article></form>"
+    assert H.lines(page) == [("S", H.MARKED), ("T", H.MARKED), ("F", H.PLAIN), ("A", H.MAIN), ("C", H.MARKED)]
+    assert H.lines("<form>F<main>A</main></form><form>G</form>") == [("F", H.PLAIN), ("A", H.MAIN), ("G", H.MARKED)]
