@@ -2,15 +2,19 @@
 
 Training counts character trigrams per language over all labelled training texts. A
 language contains a trigram if the trigram's relative frequency there is at least
-``MIN_SHARE`` of its highest among the languages (and it was seen ``MIN_COUNT`` times).
-All languages share one bit-sliced Bloom filter: each of ``SLOTS`` slots holds a bitmask of
-languages, and the conjunction of a trigram's ``PROBES`` slots is the set of languages that
-contain it. A text's popcount per language is corrected for that language's false-positive
-rate; the highest decides.
+``MIN_SHARE`` of its highest among the languages (and it was seen ``MIN_COUNT`` times and
+is at least ``MIN_RATE`` of the language's trigrams, so that a language contains 1 / ``MIN_RATE``
+at most, however long its texts).
+All languages share one bit-sliced Bloom filter: each slot holds a bitmask of languages (63
+to a word, as many words as needed), and the conjunction of a trigram's ``PROBES`` slots is
+the set of languages that contain it. The filter has ``PROBES`` slots for each trigram of the
+largest language at least (a false-positive rate of 0.16 at most), never less than ``SLOTS``.
+A text's popcount per language is corrected for that language's false-positive rate; the
+highest decides.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; with
-letters but no known trigram the language with most training trigrams is given with score
-0; without any training language everything is ``und``; ties go to the smaller language
+letters but no trigram known beyond chance the language with most training trigrams is given
+with score 0; without any training language everything is ``und``; ties go to the smaller language
 value; a null id is neither held out nor learned from.
 """
 
@@ -27,14 +31,16 @@ from pyspark.sql import functions as F
 from meridian.llm.common import mix64, signed, written
 
 GRAM = 3
+#: slots of the filter at least
 SLOTS = 1 << 20
 PROBES = 4
 MIN_COUNT = 3
 MIN_SHARE = 0.3
+MIN_RATE = 2.0 ** -22
 #: trigrams a task holds per language before it passes its counts on
 TASK_GRAMS = 1 << 18
-#: languages of one slot's mask
-MAX_LANGUAGES = 63
+#: languages of one word of a slot's mask
+WORD_LANGUAGES = 63
 
 
 @cache
@@ -56,12 +62,12 @@ def trigrams(points: np.ndarray) -> np.ndarray:
     return points[:-2] << np.uint64(42) | points[1:-1] << np.uint64(21) | points[2:]
 
 
-def slots(grams: np.ndarray) -> Iterator[np.ndarray]:
-    """The ``PROBES`` slots of each trigram (double hashing)."""
+def slots(grams: np.ndarray, size: int = SLOTS) -> Iterator[np.ndarray]:
+    """The ``PROBES`` slots of each trigram (double hashing) in a filter of ``size`` slots, a power of two."""
     h = mix64(grams + np.uint64(1))
     step = h >> np.uint64(32) | np.uint64(1)
     for j in range(PROBES):
-        yield (h + np.uint64(j) * step) & np.uint64(SLOTS - 1)
+        yield (h + np.uint64(j) * step) & np.uint64(size - 1)
 
 
 def _counts(train: DataFrame) -> DataFrame:
@@ -93,46 +99,57 @@ def _counts(train: DataFrame) -> DataFrame:
     return partial.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
-def fit(spark: SparkSession, train: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages (in order), the bit-sliced filter and the false-positive rate per language.
+def fit(spark: SparkSession, train: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, int]:
+    """Languages (in order), the bit-sliced filter (slots by words), the false-positive rate per
+    language and the place of the language with most trigrams.
 
-    The driver receives one row per language and at most ``SLOTS`` slot masks.
+    The driver receives one row per language and at most one mask for each slot and word.
     """
     counts = written(spark, _counts(train), "lang-counts")
     totals = counts.groupBy("lang").agg(F.sum("c").alias("total")).orderBy("lang").collect()
     langs = [r.lang for r in totals]
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; one filter holds {MAX_LANGUAGES}")
-    table = np.zeros(SLOTS, dtype=np.uint64)
     if not langs:
-        return langs, table, np.zeros(0)
-    bit = F.element_at(F.create_map(*[F.lit(v) for i, r in enumerate(totals) for v in (r.lang, 1 << i)]), F.col("lang"))
+        return langs, np.zeros((SLOTS, 1), dtype=np.uint64), np.zeros(0), 0
+    place = F.element_at(F.create_map(*[F.lit(v) for i, r in enumerate(totals) for v in (r.lang, i)]), F.col("lang"))
     total = F.element_at(F.create_map(*[F.lit(v) for r in totals for v in (r.lang, float(r.total))]), F.col("lang"))
-    rated = counts.select("gram", "c", bit.cast("long").alias("bit"), (F.col("c") / total).alias("rate"))
+    rated = counts.select("gram", "c", place.alias("place"), (F.col("c") / total).alias("rate"))
     high = rated.groupBy("gram").agg(F.max("rate").alias("high"))
-    masks = (rated.join(high, "gram").where((F.col("c") >= MIN_COUNT) & (F.col("rate") >= MIN_SHARE * F.col("high")))
-             .groupBy("gram").agg(F.bit_or("bit").alias("mask")))
+    admitted = written(spark, rated.join(high, "gram").where(
+        (F.col("c") >= MIN_COUNT) & (F.col("rate") >= MIN_RATE) & (F.col("rate") >= MIN_SHARE * F.col("high")))
+        .select("gram", "place"), "lang-grams")
+    most = admitted.groupBy("place").count().agg(F.max("count")).first()[0] or 0
+    size = max(SLOTS, 1 << (PROBES * most - 1).bit_length() if most else 1)
+    masks = (admitted.groupBy("gram", F.expr(f"place div {WORD_LANGUAGES}").cast("int").alias("word"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, place % {WORD_LANGUAGES})")).alias("mask")))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in slots(grams):
-                yield pa.RecordBatch.from_arrays([pa.array(signed(at)), batch.column(1)], names=["slot", "mask"])
+            for at in slots(grams, size):
+                yield pa.RecordBatch.from_arrays([pa.array(signed(at)), batch.column(1), batch.column(2)],
+                                                 names=["slot", "word", "mask"])
 
-    cells = masks.mapInArrow(spread, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
+    cells = masks.mapInArrow(spread, "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
     got = cells.toArrow()
-    table[got.column("slot").to_numpy()] = got.column("mask").to_numpy().view(np.uint64)
-    fill = np.array([float(((table >> np.uint64(i)) & np.uint64(1)).mean()) for i in range(len(langs))])
-    return langs, table, fill ** PROBES
+    table = np.zeros((size, -(-len(langs) // WORD_LANGUAGES)), dtype=np.uint64)
+    table[got.column("slot").to_numpy(), got.column("word").to_numpy()] = got.column("mask").to_numpy().view(np.uint64)
+    fill = np.array([float(_bits(table, i).mean()) for i in range(len(langs))])
+    return langs, table, fill ** PROBES, max(range(len(langs)), key=lambda i: totals[i].total)
+
+
+def _bits(masks: np.ndarray, place: int) -> np.ndarray:
+    """The bit of one language in masks of one or more words."""
+    return masks[:, place // WORD_LANGUAGES] >> np.uint64(place % WORD_LANGUAGES) & np.uint64(1)
 
 
 def classify(points: np.ndarray, table: np.ndarray, miss: np.ndarray) -> np.ndarray:
     """Corrected popcount per language of one folded text."""
+    table = table.reshape(len(table), -1)
     grams = trigrams(points)
-    mask = np.full(len(grams), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for at in slots(grams):
+    mask = np.full((len(grams), table.shape[1]), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for at in slots(grams, len(table)):
         mask &= table[at]
-    hits = np.array([int(((mask >> np.uint64(i)) & np.uint64(1)).sum()) for i in range(len(miss))], dtype=float)
+    hits = np.array([int(_bits(mask, i).sum()) for i in range(len(miss))], dtype=float)
     return np.maximum(0.0, (hits - len(grams) * miss) / (1 - np.minimum(miss, 0.999999)))
 
 
@@ -140,11 +157,10 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document: ``doc_id, held_out, lang_pred, score``; held-out rows and labels are never learned from."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     train = docs.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs, table, miss = fit(spark, train.select("lang", "text"))
-    model = spark.sparkContext.broadcast((langs, table, miss))
+    model = spark.sparkContext.broadcast(fit(spark, train.select("lang", "text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, slots_, rates = model.value
+        names, slots_, rates, most = model.value
         for batch in batches:
             preds, scores = [], []
             for text in batch.column(2).to_pylist():
@@ -155,7 +171,7 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
                     continue
                 found = classify(points, slots_, rates)
                 total = found.sum()
-                best = int(found.argmax()) if total else 0
+                best = int(found.argmax()) if total else most
                 preds.append(names[best])
                 scores.append(float(found[best] / total) if total else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(preds, pa.string()),

@@ -70,3 +70,28 @@ def test_driver_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = L.identify(spark, docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got) > 0
+
+
+def test_more_languages_than_one_mask_word_holds(spark, docs_of):
+    word = lambda k: chr(0x4E00 + 3 * k) + chr(0x4E01 + 3 * k) + chr(0x4E02 + 3 * k)
+    docs = [(100 * k + j, " ".join([word(k)] * 5), f"l{k:03}", "s", 1) for k in range(130) for j in range(8)]
+    got = L.identify(spark, docs_of(docs)).collect()
+    assert len(got) == len(docs) and all(r.lang_pred == f"l{r.doc_id // 100:03}" and r.score == 1 for r in got)
+
+
+def test_text_without_known_trigrams_gets_the_language_with_most(spark, docs_of):
+    docs = [(i, "bala bolo", "aa", "s", 1) for i in range(8)] + [(i, "pfchtz grunds " * 9, "bb", "s", 1) for i in range(20, 28)]
+    got = {r.doc_id: r for r in L.identify(spark, docs_of([*docs, (50, "ŵŷẑ", None, "s", 1)])).collect()}
+    assert (got[50].lang_pred, got[50].score) == ("bb", 0.0)
+
+
+def test_filter_grows_with_the_trigrams_of_a_language(spark):
+    # a language of 1.2 million trigrams, each seen three times
+    points = np.random.default_rng(5).integers(0x4E00, 0x9F00, 1_200_000)
+    wide, narrow = "".join(map(chr, points)), "bala bolo kala kolo mala molo"
+    train = spark.createDataFrame([("zh", wide)] * 3 + [("aa", narrow)] * 3, "lang string, text string")
+    langs, table, miss = L.fit(spark, train)[:3]
+    assert langs == ["aa", "zh"] and miss.max() < 0.2
+    found = L.classify(L.folded(wide[5000:5200]), table, miss)
+    assert found[1] > 190 and found[0] == 0
+    assert L.classify(L.folded(narrow), table, miss).argmax() == 0
