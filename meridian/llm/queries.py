@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import decontaminate as decontam
-from meridian.llm import chat_tools, html_diff, jaccard_join, language_id, packing, pii, quality_cotrain, quality_rules
-from meridian.llm import warc
+from meridian.llm import chat_tools, fill_middle, html_diff, jaccard_join, language_id, packing, pii, quality_cotrain
+from meridian.llm import quality_rules, toxicity, vector_codes, warc
 from meridian.sources.tables import table
 
 QUERIES: dict = {}
@@ -189,3 +189,62 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_quality_cotrain")
 def op10_quality_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cotrain.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op11_toxicity")
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _codes_sql() -> str:
+    """The rounds as a chain of tables: ``b<i>`` the codebooks before round i, ``a<i>`` the entry of every part."""
+    steps = []
+    for i in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""n{i} AS MATERIALIZED (SELECT x.r, x.part, b.entry, CAST(sum((x.v - b.v) * (x.v - b.v)) AS BIGINT) AS d
+  FROM x JOIN b{i} b USING (part, pos) GROUP BY ALL),
+a{i} AS MATERIALIZED (SELECT r, part, arg_min(entry, d * 16 + entry) AS entry, min(d) AS d FROM n{i} GROUP BY ALL)""")
+        if i < vector_codes.ROUNDS:
+            steps.append(f"""m{i} AS MATERIALIZED (SELECT part, entry, pos, CAST(sum(v) AS BIGINT) AS s, count(*) AS c
+  FROM x JOIN a{i} USING (r, part) GROUP BY ALL),
+b{i + 1} AS MATERIALIZED (SELECT b.part, b.entry, b.pos, coalesce((s - ((s % c) + c) % c) // c, b.v) AS v
+  FROM b{i} b LEFT JOIN m{i} USING (part, entry, pos))""")
+    last = vector_codes.ROUNDS
+    return """
+WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label, embedding AS e
+  FROM embeddings WHERE len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+x AS MATERIALIZED (SELECT r, (p - 1) // (len(e) // 8) AS part, (p - 1) % (len(e) // 8) AS pos,
+  CAST(floor(4096 * CAST(e[p] AS DOUBLE)) AS BIGINT) AS v FROM (SELECT r, e, unnest(range(1, len(e) + 1)) AS p FROM k)),
+b0 AS MATERIALIZED (SELECT part, r AS entry, pos, v FROM x WHERE r < 16),
+""" + ",\n".join(steps) + f""",
+o AS (SELECT k.vec_id, k.label, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a{last} JOIN k USING (r) GROUP BY r, vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b{last}) AS codebooks_sha256 FROM o
+"""
+
+
+@_query("op12_vector_codes", _codes_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(spark, table(spark, sf_dir, "embeddings")).drop("label")
+
+
+_MIDDLE_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS s FROM documents),
+h AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || s[1:8] AS BIGINT) % (length(t) + 1) AS c1, CAST('0x' || s[9:16] AS BIGINT) % (length(t) + 1) AS c2,
+        CAST('0x' || s[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || s[25:32] AS BIGINT) % 100 AS h4 FROM d),
+f AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+             WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || t[1:a] || '<S>' || t[b + 1:] || '<M>' || substring(t, a + 1, b - a)
+    ELSE '<S>' || t[b + 1:] || '<P>' || t[1:a] || '<M>' || substring(t, a + 1, b - a) END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM f
+"""
+
+
+@_query("op13_fill_middle", _MIDDLE_SQL)
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_middle(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
