@@ -1,4 +1,7 @@
 import random
+import re
+import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -52,7 +55,7 @@ def test_unmarked_pages_lose_what_the_nearest_page_shares(spark):
             (4, "http://alone/x", page("four")), (5, None, None), (6, "", ""), (7, "http://h/c", "<article>Menu A</article>")]
     got = {r.page_id: r for r in H.extract(spark, _table(spark, rows)).collect()}
     assert [got[i].text for i in (1, 2, 3)] == ["one", "two", "three"]
-    assert got[4].text == "Menu A\nMenu B\nfour\nAll rights"
+    assert got[4].text == "Menu A\n\nMenu B\n\nfour\n\nAll rights"
     assert got[5].text == got[6].text == "" and got[5].n_chars == 0
     assert got[7].text == "Menu A" and got[7].url == "http://h/c" and got[7].n_chars == 6
 
@@ -64,13 +67,19 @@ def test_task_ends_do_not_change_the_result(spark, parts):
     for i in range(60):
         lines = [f"line {rng.randrange(6)}" for _ in range(rng.randrange(6))]
         rows.append((i, f"http://h{rng.randrange(3)}/{rng.choice('ab')}/{rng.randrange(30)}", "".join(f"<p>{x}</p>" for x in lines)))
-    pages = sorted(rows, key=lambda r: (*H.split_url(r[1]), r[0], r[1]))
-    pages = [p for p in pages if p[2]]
-    keyed = [(None, None, None, *H.split_url(u), H.lines(h)) for _, u, h in pages]
-    want = {i: "" for i, _, _ in rows}
-    for k, (i, _, _) in enumerate(pages):
-        near = H._nearest(keyed[k], keyed[k - 1] if k else None, keyed[k + 1] if k + 1 < len(pages) else None)
-        want[i] = H.main_text(keyed[k][H.OWN], H.shared_lines(keyed[k][H.OWN], near))
+    outside, first = {}, {}
+    for i, url, html in rows:
+        host, path = H.split_url(url)
+        outside[i] = host, H._digest(H.lines(html)), H.lines(html)
+        if html:
+            key = outside[i][:2]
+            first[key] = min(first.get(key, (path, None)), (path, None))[0], outside[i][2]
+    pages = sorted((host, path, digest, own) for (host, digest), (path, own) in first.items())
+    cuts = {}
+    for k, page in enumerate(pages):
+        near = H._nearest(page, pages[k - 1] if k else None, pages[k + 1] if k + 1 < len(pages) else None)
+        cuts[page[H.HOST], page[H.DIGEST]] = H.shared_lines(page[H.OWN], near)
+    want = {i: H.main_text(own, cuts.get((host, digest))) for i, (host, digest, own) in outside.items()}
     before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
     try:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
@@ -86,7 +95,8 @@ def test_repeated_rows_long_page_and_empty_table(spark):
     long = "<p>" + "</p><p>".join(f"l{i % 700}" for i in range(20_000)) + "</p>"
     rows = [(1, "http://h/1", "<p>x</p>")] * 2 + [(2, "http://g/1", long), (3, "http://g/2", long + "<p>end</p>")]
     got = sorted((r.page_id, r.text) for r in H.extract(spark, _table(spark, rows)).collect())
-    assert got == [(1, ""), (1, ""), (2, ""), (3, "end")]
+    whole = "\n\n".join(f"l{i % 700}" for i in range(20_000))
+    assert got == [(1, "x"), (1, "x"), (2, whole), (3, whole + "\n\nend")]
     assert H.extract(spark, _table(spark, [])).count() == 0
 
 
@@ -107,3 +117,80 @@ def test_site_elements_beside_or_inside_the_article_stay_marked():
     page = "<aside>S<article>T</article></aside><form>F<article>A<div id=comments><article>C</article></div></article></form>"
     assert H.lines(page) == [("S", H.MARKED), ("T", H.MARKED), ("F", H.PLAIN), ("A", H.MAIN), ("C", H.MARKED)]
     assert H.lines("<form>F<main>A</main></form><form>G</form>") == [("F", H.PLAIN), ("A", H.MAIN), ("G", H.MARKED)]
+
+
+class _Plain(HTMLParser):
+    """An independent reading of the given pages: the blocks of the article, by their markup alone."""
+
+    def __init__(self):
+        super().__init__()
+        self.depth, self.skip, self.blocks, self.held = 0, [], [], []
+
+    def cut(self):
+        text = " ".join("".join(self.held).split())
+        self.held = []
+        if text:
+            self.blocks.append(text)
+
+    def handle_starttag(self, tag, attrs):
+        names = f"{dict(attrs).get('class') or ''} {dict(attrs).get('id') or ''}"
+        if tag not in ("b", "i", "em", "strong", "a", "span", "code", "br", "img"):
+            self.cut()
+        if self.skip or tag in ("aside", "nav", "form", "script", "style") or re.search(r"\b(ad|advert|share|related|comments?)\b", names):
+            if tag not in ("br", "img", "input", "hr", "meta", "link"):
+                self.skip.append(tag)
+        self.depth += tag == "article"
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "i", "em", "strong", "a", "span", "code"):
+            self.cut()
+        if self.skip:
+            while self.skip and self.skip.pop() != tag:
+                pass
+        self.depth -= tag == "article"
+
+    def handle_data(self, data):
+        if self.depth > 0 and not self.skip:
+            self.held.append(data)
+
+
+def test_given_pages_against_an_independent_parse(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r for r in H.extract(spark, pages).collect()}
+    for p in pages.collect():
+        parser = _Plain()
+        parser.feed(p.html or "")
+        parser.close()
+        parser.cut()
+        want = "\n\n".join(parser.blocks)
+        assert (got[p.page_id].text, got[p.page_id].n_chars) == (want, len(want)), p.page_id
+
+
+def test_copies_keep_their_texts_and_still_lose_the_site(spark):
+    def page(*own):
+        return "<div>Menu A</div>" + "".join(f"<p>{x}</p>" for x in own) + "<div>All rights</div>"
+
+    body = ["a first block of this article that goes on for a while", "and a second one that is as long as the first"]
+    near = [*body, "plus one word"]
+    rows = [(i, f"http://h/copy/{i}", page(*body)) for i in range(8)] + [(20, "http://h/other", page("something else entirely, at some length"))]
+    rows += [(30, "http://g/1", page(*body * 4)), (31, "http://g/2", page(*body * 4, "x"))]
+    rows += [(40, "http://f/1", page(*near)), (41, "http://f/2", page("a quite different text, and none of theirs"))]
+    got = {r.page_id: r.text for r in H.extract(spark, _table(spark, rows)).collect()}
+    assert {got[i] for i in range(8)} == {"\n\n".join(body)} and got[20] == "something else entirely, at some length"
+    assert got[30].startswith("Menu A") and body[1] in got[30] and got[31].count(body[0]) == 4  # near copies alone on a host
+    assert got[40] == "\n\n".join(near)
+
+
+@pytest.mark.parametrize("page", ["<a x" * 250_000, "<a \"" * 250_000 + ">", "<b>" * 200_000 + "</i>" * 200_000, "<b>" * 200_000 + "<hr>" * 200_000,
+                                  "</p>" * 300_000, "<!--" * 250_000, "<p><b>" * 150_000, "<div class='" * 80_000, "<" * 1_000_000])
+def test_broken_pages_take_linear_time(page):
+    start = time.process_time()
+    H.lines(page)
+    assert time.process_time() - start < 4
+
+
+def test_tags_that_never_end():
+    assert H.lines("<p>a <b and more") == [("a <b and more", H.PLAIN)]
+    assert H.lines('<p title="x>a</p><p>b</p>') == [("a", H.PLAIN), ("b", H.PLAIN)]
+    assert H.lines("<p>a</p><!-- never closed <p>b</p>") == [("a", H.PLAIN)]
+    assert H.lines("<article>A<div class='ad-slot'>S</div></article>") == [("A", H.MAIN), ("S", H.MARKED)]
