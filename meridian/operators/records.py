@@ -1,7 +1,7 @@
 """Records to tables: D3 (inferred schema), D4 (typed nested struct with extras), D5, V7.
 
-Records arrive as a VARIANT column. Inference is one aggregate
-(``schema_of_variant_agg``, partially aggregated per task); typing is a per-row cast.
+Records arrive as a VARIANT column. Inference is one aggregate over (member path, kind) pairs for
+each level of nesting, joined by the lattice of ``functions/lattice.py``; typing is a per-row cast.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from meridian.functions import lattice
 
 # Typed record schemas (field name and type, in declaration order).
 GLOSSARY_SCHEMA = "struct<title:string, slug:string, content:string>"
@@ -35,7 +38,7 @@ ENUMERATION_TYPES = ("NPI-1", "NPI-2")
 
 def _top_fields(schema: str) -> list[str]:
     """Top-level field names of a ``struct<...>`` type string."""
-    return [name.strip("`") for name, _ in _split_struct(schema)]
+    return T.DataType.fromDDL(schema).names
 
 
 def with_extras(record: Column, schema: str) -> Column:
@@ -54,91 +57,63 @@ def typed(records: DataFrame, record_col: str, schema: str, keep_extra: bool = T
     return out.select(*cols, "_t.*", *(["_extra"] if keep_extra else []))
 
 
-_DECIMAL = re.compile(r"DECIMAL\(\d+,\s*\d+\)")
-
-
-def _variant_type_to_ddl(t: str) -> str:
-    """``OBJECT<a: BIGINT>`` -> ``STRUCT<a: BIGINT>``; JSON fractions are doubles; all-null -> string."""
-    t = t.replace("OBJECT<", "STRUCT<")
-    t = _DECIMAL.sub("DOUBLE", t)
-    t = re.sub(r"\bVOID\b", "STRING", t)
-    return t
+def infer_type(records: DataFrame, record_col: str = "record", mode: str = "union",
+               order_cols: list[str] | None = None) -> T.StructType:
+    """D3: the table type of a set of records (non-objects do not count), see ``infer_schema``."""
+    rec = F.col(record_col)
+    objects = records.where(F.startswith(F.schema_of_variant(rec), F.lit("OBJECT")))
+    whole = lattice.type_at(lattice.places(objects, rec))
+    fields = [T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.VariantType) else f.dataType) for f in whole.fields]
+    if mode == "first":
+        if not order_cols:
+            raise ValueError("mode='first' needs order_cols")
+        first = objects.agg(F.to_json(F.min_by(rec, F.struct(*order_cols))).alias("j")).first()["j"]
+        wanted = set(json.loads(first or "{}"))
+        fields = [f for f in fields if f.name in wanted]
+    return T.StructType(fields)
 
 
 def infer_schema(records: DataFrame, record_col: str = "record", mode: str = "union",
                  order_cols: list[str] | None = None) -> str:
-    """D3: the table schema of a set of records.
+    """D3: the table schema of a set of records as DDL text.
 
     ``union``: every member seen in any record (our default). ``first``: only the
     members of the first record in ``order_cols`` order, as columnar libraries do when
     they take the column set from the first row (nested members are still unioned).
+    Mixed top-level types are text; members may have any name.
     """
-    rec = F.col(record_col)
-    objects = records.where(F.startswith(F.schema_of_variant(rec), F.lit("OBJECT")))
-    row = objects.agg(F.schema_of_variant_agg(rec).alias("s")).first()
-    if row is None or row["s"] is None or not row["s"].startswith("OBJECT"):
-        return "struct<>"
-    ddl = _variant_type_to_ddl(row["s"])
-    # Mixed top-level types come back as VARIANT; keep them as text.
-    fields = _split_struct(ddl)
-    if mode == "first":
-        if not order_cols:
-            raise ValueError("mode='first' needs order_cols")
-        first = objects.agg(F.to_json(F.min_by(rec, F.struct(*order_cols))).alias("j")).first()["j"]
-        wanted = list(json.loads(first).keys())
-        fields = [(n, t) for n, t in fields if n.strip("`") in wanted]
-    body = ", ".join(f"{n}: {'STRING' if t.strip() == 'VARIANT' else t}" for n, t in fields)
-    return f"struct<{body}>"
-
-
-def _split_struct(ddl: str) -> list[tuple[str, str]]:
-    """``struct<a: t1, b: struct<...>>`` -> ``[("`a`", "t1"), ("`b`", "struct<...>")]`` (top level only)."""
-    inner = ddl[ddl.index("<") + 1:-1]
-    depth, cur, parts = 0, "", []
-    for ch in inner:
-        if ch in "<(":
-            depth += 1
-        elif ch in ">)":
-            depth -= 1
-        if ch == "," and depth == 0:
-            parts.append(cur)
-            cur = ""
-        else:
-            cur += ch
-    if cur.strip():
-        parts.append(cur)
-    out = []
-    for p in parts:
-        name, _, typ = p.strip().partition(":")
-        name = name.strip()
-        if not name.startswith("`"):
-            name = f"`{name}`"
-        out.append((name, typ.strip()))
-    return out
+    return lattice.ddl(infer_type(records, record_col, mode, order_cols))
 
 
 def to_table(records: DataFrame, record_col: str = "record", schema: str | None = None,
              mode: str = "union", order_cols: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
     """D3: records -> columns. Top-level mixed types are kept as JSON text."""
-    ddl = schema or infer_schema(records, record_col, mode, order_cols)
-    extra = keep or []
-    if ddl == "struct<>":
-        return records.select(*extra)
-    fields = _split_struct(ddl)
+    found = T.DataType.fromDDL(schema) if schema else infer_type(records, record_col, mode, order_cols)
     rec = F.col(record_col)
     cols = []
-    for name, typ in fields:
-        member = F.try_variant_get(rec, f"$['{name.strip('`')}']", "variant")
-        if typ.upper() == "STRING":
+    for field in found.fields:
+        member = _member(rec, field.name)
+        if isinstance(field.dataType, T.StringType):
             # strings stay raw; JSON null is NULL; numbers/objects in a text column render as JSON
             kind = F.schema_of_variant(member)
             val = (F.when(kind == "VOID", F.lit(None).cast("string"))
                    .when(kind == "STRING", F.try_variant_get(member, "$", "string"))
                    .otherwise(F.to_json(member)))
         else:
-            val = F.try_variant_get(member, "$", typ)
-        cols.append(val.alias(name.strip("`")))
-    return records.select(*extra, *cols)
+            val = F.try_variant_get(member, "$", lattice.ddl(field.dataType))
+        cols.append(val.alias(field.name))
+    return records.select(*(keep or []), *cols)
+
+
+#: characters that a path step cannot quote
+_UNQUOTABLE = re.compile(r"['\"?\\\[\]]")
+
+
+def _member(record: Column, name: str) -> Column:
+    """One member of a record: by path, or through a map of its members where a path cannot spell the name."""
+    if name and not _UNQUOTABLE.search(name):
+        return F.try_variant_get(record, f"$['{name}']", "variant")
+    return F.try_element_at(record.cast("map<string,variant>"), F.lit(name))
 
 
 def _nested_extra(parent: Column, schema: str) -> Column:

@@ -240,3 +240,14 @@ def late_props() -> str:
         "SELECT event_id, CASE WHEN event_id % 1000 = 999 THEN concat(substr(props, 1, length(props) - 1), "
         f"', \"late\": \"v', {_text('event_id')}, '\"}}') ELSE props END AS body FROM events"
     )
+
+
+def odd_records() -> str:
+    """Customer records whose member names are no identifiers, some nested; ``VOID`` is null or a flag, ``mixed`` number or text."""
+    k = _text("c_custkey")
+    return (
+        f"SELECT c_custkey, concat('{{\":@id\": ', {k}, ', \"rate, pct\": ', {_text('c_custkey % 7')}, '.5, \"it''s <b>: x\": \"v', "
+        f"{_text('c_custkey % 3')}, '\", \"VOID\": ', CASE WHEN c_custkey % 5 = 0 THEN 'true' ELSE 'null' END, "
+        f"', \"mixed?\": ', CASE WHEN c_custkey % 2 = 0 THEN {k} ELSE '\"text\"' END, "
+        f"', \"a`b\": {{\"x: y\": ', {k}, ', \"q, r\": [1, ', {_text('c_custkey % 11')}, ']}}}}') AS body FROM customer"
+    )

@@ -34,6 +34,22 @@ def q_first_schema(spark, sf_dir):
                         keep=["event_id"])
 
 
+@query(
+    "odd_member_names",
+    "SELECT c_custkey AS id, c_custkey % 7 + 0.5::DOUBLE AS rate, concat('v', CAST(c_custkey % 3 AS VARCHAR)) AS its, "
+    "CASE WHEN c_custkey % 5 = 0 THEN true END AS flag, "
+    "CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE 'text' END AS mixed, c_custkey AS nested_id, "
+    "CAST(c_custkey % 11 AS BIGINT) AS second FROM customer",
+)
+def q_odd_member_names(spark, sf_dir):
+    """D3: inferred tables of records whose member names hold colons, commas, quotes, backticks and type names."""
+    register(spark, sf_dir, "customer")
+    records = spark.sql(fixtures.odd_records()).select(F.parse_json("body").alias("record"))
+    found = rec.to_table(records, "record")
+    return found.selectExpr("`:@id` AS id", "`rate, pct` AS rate", "`it's <b>: x` AS its", "`VOID` AS flag", "`mixed?` AS mixed",
+                            "`a``b`.`x: y` AS nested_id", "`a``b`.`q, r`[1] AS second")
+
+
 def _static_records(docs: DataFrame) -> DataFrame:
     pages = docs.select(F.col("path").alias("dataset"), F.col("shard").alias("offset"), "body", "path")
     parsed = pg.parse_pages(pages, "static", stem=path_stem(F.col("path")))

@@ -63,3 +63,38 @@ def test_provider_extras_on_every_level_and_no_coercion(spark):
         with pytest.raises(Exception, match="invalid provider"):
             rec.valid_providers(_records(spark, [one])).collect()
     assert rec.valid_providers(_records(spark, [deep, {"number": "1", "enumeration_type": None}])).count() == 2
+
+
+def test_member_names_are_data(spark):
+    items = [{":@x": 1, "rate, pct": 1.5, "it's": "a", "VOID": None, "STRING": True, "a\"b'c": 3, "q?": [1, 2.5], "x[0]": {"in: ner": {"y`z": 1}}, "": 7},
+             {":@x": 2, "VOID": None, "x[0]": {"in: ner": {"y`z": None, "OBJECT<a: BIGINT>": [{"p, q": "t"}]}}, "back\\slash": "b", "dot.ted": 4}]
+    df = _records(spark, items)
+    out = rec.to_table(df, "record", keep=["i"]).orderBy("i")
+    assert set(out.columns) == {"i", *items[0], *items[1]}
+    one, two = (r.asDict(recursive=True) for r in out.collect())
+    assert one[":@x"] == 1 and one["rate, pct"] == 1.5 and one["it's"] == "a" and one["VOID"] is None and one["STRING"] is True
+    assert one["a\"b'c"] == 3 and one["q?"] == [1.0, 2.5] and one[""] == 7 and two["back\\slash"] == "b" and two["dot.ted"] == 4
+    assert one["x[0]"]["in: ner"]["y`z"] == 1 and two["x[0]"]["in: ner"]["OBJECT<a: BIGINT>"] == [{"p, q": "t"}]
+    again = rec.to_table(df, "record", schema=rec.infer_schema(df))
+    assert sorted(again.columns) == sorted([*{**items[0], **items[1]}])
+
+
+def test_lattice_joins(spark):
+    cases = [([1, None], "bigint"), ([1, 2.5], "double"), ([None], "string"), ([True, None], "boolean"), ([1, "x"], "string"),
+             ([[1], [2.5]], "array<double>"), ([[], [None]], "array<string>"), ([[]], "array<string>"), ([{}], "string"),
+             ([{"a": 1}, [1]], "string"), ([[{"a": 1}], [{"b": "t"}]], "array<struct<`a`: bigint, `b`: string>>"),
+             ([{"a": [[1], [2]]}], "struct<`a`: array<array<bigint>>>"), ([{"m": 1}, {"m": "x"}], "struct<`m`: variant>"),
+             ([2 ** 70, 1], "double")]
+    for values, want in cases:
+        assert rec.infer_schema(_records(spark, [{"v": v} for v in values])) == f"struct<`v`: {want}>", values
+    assert rec.infer_schema(_records(spark, [5, "x", [1]])) == "struct<>"
+    assert rec.to_table(_records(spark, [5]), "record", keep=["i"]).columns == ["i"]
+
+
+def test_widening_of_landed_types():
+    from meridian.functions.lattice import widened
+
+    pairs = {("int", "bigint"): "bigint", ("bigint", "double"): "double", ("float", "bigint"): "double", ("date", "timestamp"): "timestamp",
+             ("string", "int"): "string", ("boolean", "int"): "string", ("decimal(10,2)", "decimal(12,4)"): "decimal(12,4)",
+             ("decimal(10,2)", "int"): "double", ("void", "date"): "date", ("date", "int"): "string"}
+    assert all(widened(a, b) == t and widened(b, a) == t for (a, b), t in pairs.items())
