@@ -251,3 +251,12 @@ def odd_records() -> str:
         f"', \"mixed?\": ', CASE WHEN c_custkey % 2 = 0 THEN {k} ELSE '\"text\"' END, "
         f"', \"a`b\": {{\"x: y\": ', {k}, ', \"q, r\": [1, ', {_text('c_custkey % 11')}, ']}}}}') AS body FROM customer"
     )
+
+
+def noted_parts() -> str:
+    """Parts with a note that holds line breaks, quotes and delimiters."""
+    return (
+        "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN concat('line one of ', p_name, chr(10), 'line two, ', p_brand) "
+        "WHEN 1 THEN concat('5\" ', p_name) WHEN 2 THEN concat('\"', p_name, '\"', chr(10), chr(10), '\"') "
+        "WHEN 3 THEN p_name ELSE concat(p_brand, ',', chr(10)) END AS note, p_size FROM part"
+    )

@@ -14,6 +14,7 @@ from meridian.plans.registry import ORACLES, query
 from meridian.session import fresh_path
 from meridian.sinks import landing
 from meridian.sources import bulk_csv, raw, sheets
+from meridian.sources.tables import register
 from meridian.sources.tables import table as driver_table
 
 _CUST = "cms_customers"
@@ -114,6 +115,16 @@ def q_bulk_csv_roundtrip(spark, sf_dir):
     return raw.read_runs(spark, root, "cms_orders_csv")
 
 
+@query("csv_multiline", fixtures.noted_parts())
+def q_csv_multiline(spark, sf_dir):
+    """Values that span lines, written as CSV and read back by tasks that each cut a part of a file."""
+    src = fresh_path(spark, "csv")
+    register(spark, sf_dir, "part")
+    # the writer trims values unless told not to
+    spark.sql(fixtures.noted_parts()).write.option("header", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False).csv(src)
+    return bulk_csv.read_typed_csv(spark, src)
+
+
 @query(
     "sheet_roundtrip",
     'SELECT CAST(n_nationkey AS VARCHAR) AS "Nation Key", n_name AS "Nation Name", '

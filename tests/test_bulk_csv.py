@@ -1,9 +1,12 @@
+import csv
 import os
+import random
+import time
 
 import pytest
 
 from meridian.sinks import landing
-from meridian.sources import bulk_csv, raw
+from meridian.sources import bulk_csv, csv_records, raw
 
 
 def _write(tmp_root, name, text):
@@ -55,8 +58,7 @@ def test_header_only_is_refused(spark, tmp_root):
 def test_quoted_line_breaks_are_detected(spark, tmp_root):
     plain = _write(tmp_root, "src/p.csv", 'id,note\n1,"a ""q"" b"\n2,x\n')
     broken = _write(tmp_root, "src/m.csv", 'id,note,n\n1,"x\ny,z,w",2\n3,plain,4\n')
-    assert not bulk_csv.spans_lines(spark, plain)
-    assert bulk_csv.spans_lines(spark, broken)
+    assert csv_records.records(spark, plain, ",").count() == csv_records.records(spark, broken, ",").count() == 3
     rows = bulk_csv.read_typed_csv(spark, broken).orderBy("id").collect()
     assert [(r.id, r.note, r.n) for r in rows] == [(1, "x\ny,z,w", 2), (3, "plain", 4)]
 
@@ -79,6 +81,67 @@ def test_ragged_rows_fail_and_are_listed(spark, tmp_path):
 
 def test_inch_marks_do_not_span_lines(spark, tmp_path):
     (tmp_path / "i.csv").write_text('size,name\n5" pipe,"a ""b"" c"\n"x, y",6"\n')
-    assert not bulk_csv.spans_lines(spark, str(tmp_path))
-    (tmp_path / "j.csv").write_text('size,name\n1,"two\nlines"\n')
-    assert bulk_csv.spans_lines(spark, str(tmp_path))
+    assert sorted(map(tuple, bulk_csv.read_csv_text(spark, str(tmp_path)).collect())) == [('5" pipe', 'a "b" c'), ("x, y", '6"')]
+
+
+@pytest.fixture()
+def tiny_splits(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "64"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def _random_csv(rng, rows):
+    pieces = ["a", "b c", "", '"', '""', ",", "\n", "\n\n", "\r\n", "é", "0", "x" * 70]
+    values = [[f"{i}", *("".join(rng.choice(pieces) for _ in range(rng.randrange(6))) for _ in range(2))] for i in range(rows)]
+    return values
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_are_cut_the_same_at_any_split(spark, tmp_path, tiny_splits, seed):
+    rng = random.Random(seed)
+    want = []
+    for f in range(3):
+        values = _random_csv(rng, 60)
+        with open(tmp_path / f"f{f}.csv", "w", newline="") as fh:
+            out = csv.writer(fh, quoting=csv.QUOTE_ALL if seed % 2 else csv.QUOTE_MINIMAL, lineterminator="\r\n" if f else "\n")
+            out.writerow(["id", "one", "two"])
+            out.writerows(values)
+        want += values
+    lines = spark.read.option("lineSep", "\n").text(str(tmp_path))
+    assert lines.rdd.getNumPartitions() > 20
+    got = [tuple(x or "" for x in r) for r in bulk_csv.read_csv_text(spark, str(tmp_path), sep=",").collect()]
+    assert sorted(got) == sorted(map(tuple, want))
+
+
+def test_values_that_span_many_splits_or_never_close(spark, tmp_path, tiny_splits):
+    long = "line\n" * 200
+    (tmp_path / "a.csv").write_text(f'id,v\n1,"{long}"\n\n2,b\n3,"""{long}"""\n')
+    (tmp_path / "b.csv").write_text("id,v\n4,d\n")
+    got = {r.id: r.v for r in bulk_csv.read_csv_text(spark, str(tmp_path)).collect()}
+    assert got == {"1": long, "2": "b", "3": f'"{long}"', "4": "d"}
+    (tmp_path / "b.csv").write_text('id,v\n4,"never closed\n5,e\n' + "6,f\n" * 30)
+    records = {r.record for r in csv_records.records(spark, str(tmp_path), ",").collect()}
+    assert '4,"never closed\n5,e\n' + "\n".join(["6,f"] * 30) in records and "2,b" in records
+
+
+def test_wide_tables_are_inferred_in_one_narrow_pass(spark, tmp_path):
+    kinds = ["7", "1.5", "true", "2024-01-02", "1/5/2024", "2024-01-02 03:04:05", "text", "", "007"]
+    types = ["bigint", "double", "boolean", "date", "date_us", "timestamp", "string", "string", "string"]
+    header = ",".join(f"c{i}" for i in range(91))
+    (tmp_path / "w.csv").write_text(header + "\n" + (",".join(kinds[i % 9] for i in range(91)) + "\n") * 200)
+    raw = bulk_csv.read_csv_text(spark, str(tmp_path))
+    assert bulk_csv.infer_types(raw) == {f"c{i}": types[i % 9] for i in range(91)}
+    start = time.perf_counter()
+    assert bulk_csv.read_typed_csv(spark, str(tmp_path)).count() == 200
+    assert time.perf_counter() - start < 5
+
+
+def test_header_names_of_any_kind(spark, tmp_path):
+    (tmp_path / "h.csv").write_text('"a.b","x`y","sp ace",a\n1,2,3,4\n')
+    row = bulk_csv.read_typed_csv(spark, str(tmp_path)).first()
+    assert row.asDict() == {"a.b": 1, "x`y": 2, "sp ace": 3, "a": 4}
