@@ -93,7 +93,7 @@ def load_spec_file(spark: SparkSession, path: str) -> DataFrame:
 
     # read by Spark, so that the file may lie in any store
     text = "\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
-    tables = tomllib.loads(text).get("dataset") or []
+    tables = tomllib.loads(text).get("dataset", [])
     if type(tables) is not list:
         raise TypeError(f"dataset must be written as [[dataset]] tables in {path}")
     return specs_from_rows(spark, tables)

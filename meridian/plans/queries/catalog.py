@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meridian.operators import catalog as cat
+from meridian.operators import resolution as res
 from meridian.plans import derived, fixtures
 from meridian.plans.registry import query
 from meridian.sources.tables import register
@@ -144,3 +145,77 @@ def q_spec_unmatched(spark, sf_dir):
     specs = spark.sql(fixtures.specs()).where(F.length("dataset_id") > 0).select("key", "dataset_id")
     entries = cat.catalog_entries(derived.catalog_docs(spark, sf_dir))
     return cat.unmatched_specs(specs, cat.match_specs(specs, entries))
+
+
+@query(
+    "catalog_statuses",
+    _CSV + f",\nq AS ({fixtures.year_requests()}),\n" + _MATCH + ",\n"
+    "mm AS (SELECT * FROM m WHERE rn = 1),\n"
+    "av AS (SELECT mm.key, array_to_string(list_sort(list_distinct(list(c.year))), ',') AS available "
+    "FROM mm JOIN c ON c.ds = mm.ds GROUP BY mm.key),\n"
+    "h AS (SELECT mm.key, arg_max(c.url, c.p_partkey) AS url FROM mm JOIN c ON c.ds = mm.ds AND c.year = mm.year GROUP BY mm.key)\n"
+    f"SELECT q.key, q.dataset_id, CASE WHEN mm.key IS NOT NULL THEN {_IDENT} END AS identifier, CASE WHEN h.key IS NOT NULL THEN q.year END AS year, h.url, "
+    "coalesce(av.available, '') AS available, CASE WHEN mm.key IS NULL THEN 'dataset_not_found' WHEN av.key IS NULL THEN 'no_csv' "
+    "WHEN h.key IS NULL THEN 'year_missing' ELSE 'ok' END AS status "
+    "FROM q LEFT JOIN mm ON mm.key = q.key LEFT JOIN av ON av.key = q.key LEFT JOIN h ON h.key = q.key",
+)
+def q_catalog_statuses(spark, sf_dir):
+    """One row per requested dataset and year: the CSV, or the first step that fails."""
+    register(spark, sf_dir, "nation")
+    return res.catalog_statuses(spark.sql(fixtures.year_requests()), derived.catalog_docs(spark, sf_dir))
+
+
+@query(
+    "metastore_statuses",
+    _DISTS + "u AS (SELECT ds, arg_min(url, p_partkey) AS url FROM d WHERE ds_num % 9 <> 4 AND length(url) > 0 GROUP BY ds),\n"
+    "z AS (SELECT ds, arg_min(url, p_partkey) AS url FROM d WHERE ds_num % 9 <> 4 AND length(url) > 0 AND "
+    "(coalesce(lower(format) = 'zip', false) OR coalesce(contains(lower(media_type), 'zip'), false)) GROUP BY ds)\n"
+    "SELECT a.ds AS dataset_id, u.url AS csv_url, CASE WHEN u.url IS NULL THEN 'no_url' ELSE 'ok' END AS csv_status, "
+    "z.url AS zip_url, CASE WHEN z.url IS NULL THEN 'no_zip' ELSE 'ok' END AS zip_status "
+    "FROM (SELECT DISTINCT ds FROM d) a LEFT JOIN u ON u.ds = a.ds LEFT JOIN z ON z.ds = a.ds",
+)
+def q_metastore_statuses(spark, sf_dir):
+    """One row per metastore document: its first URL and first ZIP, or why there is none."""
+    return res.metastore_statuses(derived.metastore_docs(spark, sf_dir)).drop("live_id", "live_status")
+
+
+# the rules of V1 written out: what each source needs and forbids
+_VALID = (
+    "CASE source WHEN 'healthcare_gov' THEN coalesce(path, '') <> '' AND dataset_id IS NULL AND year IS NULL "
+    "WHEN 'dkan_data_api_bulk' THEN coalesce(dataset_id, '') <> '' AND path IS NULL WHEN 'ftp_mirror' THEN false "
+    "ELSE coalesce(dataset_id, '') <> '' AND path IS NULL AND year IS NULL END"
+)
+
+
+@query(
+    "load_resolution",
+    _CSV + f",\ns AS (SELECT *, {_VALID} AS good FROM ({fixtures.specs()}) x),\n"
+    "q AS (SELECT key, dataset_id, year FROM s WHERE good AND source = 'dkan_data_api_bulk'),\n" + _MATCH + ",\n"
+    "mm AS (SELECT * FROM m WHERE rn = 1),\n"
+    "h AS (SELECT mm.key, arg_max(c.url, CAST(c.year AS BIGINT) * 10000000 + c.p_partkey) AS url, arg_max(c.year, CAST(c.year AS BIGINT) * 10000000 + c.p_partkey) AS year "
+    "FROM mm JOIN c ON c.ds = mm.ds AND (mm.year IS NULL OR c.year = mm.year) GROUP BY mm.key),\n"
+    "av AS (SELECT DISTINCT mm.key FROM mm JOIN c ON c.ds = mm.ds),\n"
+    "u AS (SELECT ds, arg_min(url, p_partkey) AS url FROM d WHERE ds_num % 9 <> 4 AND length(url) > 0 GROUP BY ds),\n"
+    "z AS (SELECT ds, arg_min(url, p_partkey) AS url FROM d WHERE ds_num % 9 <> 4 AND length(url) > 0 AND "
+    "(coalesce(lower(format) = 'zip', false) OR coalesce(contains(lower(media_type), 'zip'), false)) GROUP BY ds),\n"
+    "l AS (SELECT ds, ds_num, min(p_partkey) AS p FROM d GROUP BY ds, ds_num)\n"
+    "SELECT s.key, CASE WHEN NOT good THEN 'invalid' WHEN source = 'dkan_data_api_bulk' THEN CASE WHEN mm.key IS NULL THEN 'dataset_not_found' "
+    "WHEN av.key IS NULL THEN 'no_csv' WHEN h.key IS NULL THEN 'year_missing' ELSE 'ok' END "
+    "WHEN source IN ('socrata', 'healthcare_gov') THEN 'ok' WHEN l.ds IS NULL THEN 'metastore_missing' "
+    "WHEN source = 'dkan_provider_data' THEN CASE l.ds_num % 9 WHEN 4 THEN 'no_distributions' WHEN 5 THEN 'first_not_object' "
+    "WHEN 6 THEN 'identifier_missing' ELSE 'ok' END WHEN source = 'dkan_healthcare_gov_zip' THEN CASE WHEN z.url IS NULL THEN 'no_zip' ELSE 'ok' END "
+    "WHEN u.url IS NULL THEN 'no_url' ELSE 'ok' END AS status, "
+    "CASE WHEN NOT good THEN NULL WHEN source = 'socrata' THEN concat('https://', coalesce(domain, 'data.cms.gov'), '/resource/', s.dataset_id, '.json') "
+    "WHEN source = 'healthcare_gov' THEN concat('https://www.healthcare.gov', s.path) WHEN source = 'dkan_data_api_bulk' THEN h.url "
+    "WHEN source = 'dkan_provider_data' THEN CASE WHEN l.ds_num % 9 NOT IN (4, 5, 6) THEN "
+    "concat('https://data.cms.gov/provider-data/api/1/metastore/schemas/dataset/items/', s.dataset_id) END "
+    "WHEN source = 'dkan_healthcare_gov_zip' THEN z.url ELSE u.url END AS url, "
+    "CASE WHEN good AND source = 'dkan_provider_data' AND l.ds_num % 9 NOT IN (4, 5, 6) THEN concat('dist-', CAST(l.p AS VARCHAR)) END AS live_id, "
+    "h.year FROM s LEFT JOIN mm ON mm.key = s.key LEFT JOIN h ON h.key = s.key LEFT JOIN av ON av.key = s.key "
+    "LEFT JOIN l ON l.ds = s.dataset_id LEFT JOIN u ON u.ds = s.dataset_id LEFT JOIN z ON z.ds = s.dataset_id",
+)
+def q_load_resolution(spark, sf_dir):
+    """K6: every spec resolved to its address in one job, with a status each."""
+    register(spark, sf_dir, "supplier")
+    found = res.resolve(spark.sql(fixtures.specs()), derived.catalog_docs(spark, sf_dir), derived.metastore_docs(spark, sf_dir))
+    return found.select("key", "status", "url", "live_id", "year")

@@ -56,6 +56,18 @@ def q_provider_sweep_counts(spark, sf_dir):
     return prov.sweep_counts(found).withColumnRenamed("dataset", "state")
 
 
+@query(
+    "sweep_states",
+    _SEARCH + "SELECT t.state, count(c.number) AS n_rows FROM (SELECT concat('S', lpad(CAST(n_nationkey + 3 AS VARCHAR), 2, '0')) AS state "
+    "FROM nation) t LEFT JOIN c ON c.state = t.state GROUP BY t.state",
+)
+def q_sweep_states(spark, sf_dir):
+    """A sweep driven by a list of states, some of them without providers; providers of other states are not read."""
+    states = [f"S{i + 3:02d}" for i in range(25)]
+    found = prov.sweep(derived.provider_pages(spark, sf_dir), states)
+    return prov.sweep_counts(found, queries=prov.state_table(spark, states)).withColumnRenamed("dataset", "state")
+
+
 @query(
     "provider_lookup",
     f"WITH r AS ({fixtures.npi_requests()}),\np AS ({fixtures.provider_rows()})\n"

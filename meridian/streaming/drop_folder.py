@@ -17,18 +17,20 @@ from meridian.sinks import landing
 
 def land_micro_batch(root: str, asset: str):
     def _write(batch: DataFrame, batch_id: int) -> None:
-        try:
-            landing.land(batch, root, asset, f"batch-{batch_id:06d}")
-        except landing.EmptyExtractError:
-            pass  # an empty micro-batch is normal for a stream: nothing is landed
+        landing.land(batch, root, asset, f"batch-{batch_id:06d}")
 
     return _write
 
 
 def land_csv_stream(spark: SparkSession, src: str, schema: str, root: str, asset: str,
                     checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> None:
-    """Land every CSV file under ``src`` (declared ``schema``) as runs of ``asset`` and return."""
-    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
+    """Land every CSV file under ``src`` (declared ``schema``) as runs of ``asset`` and return.
+
+    As in a batch load, a value that does not fit its declared type, a record with another number of fields and
+    a micro-batch of files without rows fail the stream; nothing of that batch is landed and the checkpoint
+    stays before it.
+    """
+    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"').option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(src)

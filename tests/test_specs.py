@@ -107,3 +107,10 @@ def test_spec_file_variants(spark, tmp_root):
     assert sp.load_spec_file(spark, empty).count() == 0
     with pytest.raises(TypeError):
         sp.load_spec_file(spark, bad)
+
+
+@pytest.mark.parametrize("text", ['dataset = ""', "dataset = 0", "dataset = false", "[dataset]"])
+def test_spec_file_of_another_shape_fails(spark, tmp_path, text):
+    (tmp_path / "s.toml").write_text(text)
+    with pytest.raises(TypeError):
+        sp.load_spec_file(spark, str(tmp_path / "s.toml"))
