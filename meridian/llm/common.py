@@ -20,7 +20,16 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` under the shared folder and read it back."""
     path = fresh_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_path = path
+    return back
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove tables of ``written`` whose successors are written and that no later plan reads."""
+    for df in tables:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

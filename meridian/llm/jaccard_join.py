@@ -21,6 +21,10 @@ too far down a set to be the first that a linked pair has in common; it verifies
 remaining pair across components that the bounds on sizes, positions and the number of
 shared entries allow, so no link that could join two components is missed.
 
+Before any text or pair of the completing round moves, parity bitmaps rule pairs out: bit ``h mod b`` of
+a set's bitmap is the parity of its shingles there, so the set bits of two bitmaps' xor never exceed the
+number of shingles that only one of the sets has, of which linked sets have at most ``(n + m) / 7``.
+
 Sets are compared as 64-bit shingle hashes, equal sets found by a 64-bit digest.
 
 Defined results: texts without words have an empty set and link with nothing; null ids
@@ -37,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import digest16, gram_hashes, mix64, signed, utf8_values, word_hashes, written
+from meridian.llm.common import digest16, discard, gram_hashes, mix64, signed, utf8_values, word_hashes, written
 from meridian.llm.components import components
 
 SHINGLE = 5
@@ -54,6 +58,8 @@ BOUNDARIES = range(4, 65)
 SCAN_COST = 0.5
 #: star rounds; a star round tries a pair that shares this fraction (one over) of a prefix
 ROUNDS, LIKELY = 1, 4
+#: bits of a parity bitmap: the power of two from the set's size on, within these (larger sets are ruled out less often)
+PARITY_BITS = 64, 4096
 #: bits of the bitmap of sets whose texts are needed (fixed: 4 MiB)
 NEEDED_BITS = 1 << 25
 
@@ -68,6 +74,13 @@ def set_id(found: np.ndarray) -> int:
     return int.from_bytes(digest16(found.tobytes())[:8], "little", signed=True)
 
 
+def parity(found: np.ndarray) -> list[int]:
+    """The parity bitmap of a set as signed 64-bit words."""
+    bits = min(max(1 << (max(len(found), 1) - 1).bit_length(), PARITY_BITS[0]), PARITY_BITS[1])
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
 def prefix(n: int, common: int) -> int:
     """Length of the prefixes in which sets with a link share ``common`` elements."""
     return min(n, n // 4 + common)
@@ -77,14 +90,15 @@ def _sets(docs: DataFrame) -> DataFrame:
     """Pass 1. Rows of documents (``doc_id, n, sid, key``) and of shingles frequent in a task (``h, c``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "key", "n", "sid", "h", "c"]
+        names = ["doc_id", "key", "n", "sid", "bits", "h", "c"]
         seen_h, seen_c, n_docs, id_type = np.empty(0, np.uint64), np.empty(0, np.int64), 0, None
         for batch in (b.slice(i, TASK_DOCS) for b in batches for i in range(0, b.num_rows, TASK_DOCS)):
             id_type = batch.column(0).type
-            sizes, sids, held = [], [], []
+            sizes, sids, bits, held = [], [], [], []
             for text in utf8_values(batch.column(2)):
                 found = shingles(text)
                 sizes.append(len(found))
+                bits.append(parity(found) if len(found) > 2 else None)
                 sids.append(set_id(found) if len(found) else None)
                 held.append(found)
             n_docs += len(held)
@@ -96,17 +110,17 @@ def _sets(docs: DataFrame) -> DataFrame:
             nulls = pa.nulls(len(sizes), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()),
-                 nulls, nulls], names=names)
+                 pa.array(bits, pa.list_(pa.int64())), nulls, nulls], names=names)
         keep = seen_c >= max(3, TASK_SHARE * n_docs)
         if keep.any():
             m = int(keep.sum())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(m, id_type), *(pa.nulls(m, pa.int64()) for _ in range(3)),
+                [pa.nulls(m, id_type), *(pa.nulls(m, pa.int64()) for _ in range(3)), pa.nulls(m, pa.list_(pa.int64())),
                  pa.array(signed(seen_h[keep])), pa.array(seen_c[keep])], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-            .mapInArrow(run, f"doc_id {kind}, key long, n long, sid long, h long, c long"))
+            .mapInArrow(run, f"doc_id {kind}, key long, n long, sid long, bits array<long>, h long, c long"))
 
 
 def boundary(sizes: dict[int, int], scan: float) -> int:
@@ -222,6 +236,31 @@ def _need(n: str, m: str) -> Column:
     return F.expr(f"(3L * ({n} + {m}) + 6) div 7")
 
 
+def _with_halves(bits: DataFrame) -> DataFrame:
+    """Bitmaps and the same folded to half their length, for partners of the next smaller length."""
+    half = F.expr("zip_with(slice(bits, 1, size(bits) div 2), slice(bits, size(bits) div 2 + 1, size(bits) div 2), (x, y) -> x ^ y)")
+    return bits.withColumn("half", half)
+
+
+def _alike(a: str, b: str, n: str, m: str) -> Column:
+    """Whether the bitmaps of two sets (columns ``<a>bits, <a>half`` and ``<b>...``) let them be linked."""
+    def differing(x: str, y: str) -> str:
+        return f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
+
+    return F.expr(f"""case when size({a}bits) = size({b}bits) then {differing(a + 'bits', b + 'bits')}
+        when size({a}bits) = 2 * size({b}bits) then {differing(a + 'half', b + 'bits')}
+        when 2 * size({a}bits) = size({b}bits) then {differing(a + 'bits', b + 'half')} else 0 end
+        <= {n} + {m} - 2 * ((3L * ({n} + {m}) + 6) div 7)""")
+
+
+def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs ``u, v`` that their bitmaps do not rule out."""
+    for side in ("u", "v"):
+        pairs = pairs.join(bits.select(F.col("sid").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits"),
+                                       F.col("half").alias(f"{side}_half")), side)
+    return pairs.where(_alike("u_", "v_", "u_n", "v_n")).select("u", "v")
+
+
 def _sharing_enough(pairs: DataFrame, lists: DataFrame, x: int) -> DataFrame:
     """The pairs whose prefixes share as many entries as a link needs.
 
@@ -300,17 +339,22 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _checked(spark: SparkSession, docs: DataFrame, sets: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
     """``u, v, linked`` for every candidate pair."""
     sids = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
-    texts = written(spark, _texts_of(spark, docs, sets, sids), f"{label}-texts")
+    texts = _texts_of(spark, docs, sets, sids)
+    texts = written(spark, texts, f"{label}-texts")
     both = (pairs.join(texts.select(F.col("sid").alias("v"), F.col("text").alias("tv")), "v")
             .join(texts.select(F.col("sid").alias("u"), F.col("text").alias("tu")), "u")
             .select("u", "v", "tu", "tv"))
-    return written(spark, both.mapInArrow(_verify, "u long, v long, linked boolean"), label)
+    found = written(spark, both.mapInArrow(_verify, "u long, v long, linked boolean"), label)
+    discard(spark, texts)
+    return found
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id``, the set's id ``sid`` and the text's xxhash64 ``key``."""
     out = written(spark, _sets(docs), "join-sets")
     sets = out.where("h is null").select("doc_id", "key", "n", "sid")
+    bits = out.where("h is null and n > 2").groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    bits = written(spark, _with_halves(bits), "join-parity")
     frequent = (out.where("h is not null").groupBy("h").agg(F.sum("c").alias("c"))
                 .orderBy(F.desc("c"), "h").limit(ORDERED).collect())
     hashes = np.array([r.h for r in frequent], dtype=np.int64).view(np.uint64)
@@ -337,7 +381,9 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
         rest = written(spark, rest, "join-rest")
         leads = (rest.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("w", "sid", "comp")).alias("lead"))
                  .where("lo <> hi").select("h", "lead"))
-        rest = written(spark, rest.join(leads, "h"), "join-mixed")
+        mixed = written(spark, rest.join(leads, "h"), "join-mixed")
+        discard(spark, rest)
+        rest = mixed
         tries = (rest.where(F.col("comp") != F.col("lead.comp"))
                  .select("sid", "n", (F.col("pos") < 0).alias("light"), F.col("lead.sid").alias("other"))
                  .groupBy("sid", "other", "light").agg(F.count("*").alias("c"), F.max("n").alias("n"))
@@ -345,7 +391,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
                  .select(F.least("sid", "other").alias("u"), F.greatest("sid", "other").alias("v")).distinct()
                  .join(checked, ["u", "v"], "left_anti"))
         tries = written(spark, tries, "join-tries")
-        found = _checked(spark, docs, sets, tries, "join-found")
+        found = _checked(spark, docs, sets, written(spark, _possible(tries, bits), "join-possible"), "join-found")
         checked = written(spark, checked.union(found), "join-checked")
         if found.where("linked").limit(1).count():
             labels = components(spark, checked.where("linked").select("u", "v"))
@@ -359,14 +405,21 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # elements behind it in both sets; with the smallest partner of its list an entry must do so too
     rest = written(spark, rest.select("h", "sid", "n", "comp", F.expr("case when pos < 0 then n + 2 + pos else n - pos end").alias("left")),
                    "join-rest")
+    if ROUNDS:
+        discard(spark, mixed)
     for _ in range(2):
         lists = rest.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("m")).where("lo <> hi")
-        rest = rest.join(lists.select("h", F.col("m").alias("least")), "h").withColumn("least", F.greatest("least", F.expr("(3 * n + 3) div 4")))
-        rest = written(spark, rest.where(F.col("left") >= _need("n", "least")).drop("least"), "join-rest")
+        near = rest.join(lists.select("h", F.col("m").alias("least")), "h").withColumn("least", F.greatest("least", F.expr("(3 * n + 3) div 4")))
+        fewer = written(spark, near.where(F.col("left") >= _need("n", "least")).drop("least"), "join-rest")
+        discard(spark, rest)
+        rest = fewer
+    wanted = bits.join(rest.select("sid").distinct(), "sid", "left_semi").select("sid", "bits", "half")
+    rest = written(spark, rest.join(wanted, "sid"), "join-bits")
     a, b = rest.alias("a"), rest.alias("b")
     pairs = (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.comp") != F.col("b.comp"))
                     & ((F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.sid") < F.col("b.sid"))))
-                    & F.expr("100L * a.n >= 75L * b.n") & (F.least("a.left", "b.left") >= _need("a.n", "b.n")))
+                    & F.expr("100L * a.n >= 75L * b.n") & (F.least("a.left", "b.left") >= _need("a.n", "b.n"))
+                    & _alike("a.", "b.", "a.n", "b.n"))
              .select(F.least("a.sid", "b.sid").alias("u"), F.greatest("a.sid", "b.sid").alias("v")).distinct()
              .join(checked, ["u", "v"], "left_anti"))
     pairs = written(spark, _sharing_enough(written(spark, pairs, "join-near"), lists_of_sets, x), "join-pairs")

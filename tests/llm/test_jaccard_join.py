@@ -129,3 +129,23 @@ def test_cost_chooses_the_boundary():
     few = {10: 100, 40: 100}
     assert J.boundary(few, scan=0.0) == J.BOUNDARIES[0]
     assert J.boundary(few, scan=1000.0) > 40
+
+
+def test_bitmaps_never_rule_out_a_link(spark):
+    rng = np.random.default_rng(4)
+    rows, linked = [], {}
+    for k in range(300):
+        n = int(rng.integers(3, 700)) if k % 20 else 9000
+        a = rng.integers(0, 2 ** 63, n).astype(np.uint64)
+        lost, new = (int(rng.integers(0, n // 3 + 1)) for _ in range(2))
+        b = np.concatenate([a[lost:], rng.integers(0, 2 ** 63, new).astype(np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        common = len(np.intersect1d(a, b))
+        linked[2 * k] = 100 * common >= 75 * (len(a) + len(b) - common)
+        rows += [(2 * k, len(a), J.parity(a)), (2 * k + 1, len(b), J.parity(b))]
+    bits = J._with_halves(spark.createDataFrame(rows, "sid long, n long, bits array<long>"))
+    pairs = spark.createDataFrame([(u, u + 1) for u in linked], "u long, v long")
+    kept = {r.u for r in J._possible(pairs, bits).collect()}
+    assert all(u in kept for u, yes in linked.items() if yes)
+    apart = [u for u, yes in linked.items() if not yes]
+    assert len(apart) > 50 and len([u for u in apart if u in kept]) < len(apart)
