@@ -47,6 +47,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents that benchmark items contaminate go."""
     found = decontaminate.decontaminate(spark, docs, table(spark, sf_dir, "benchmark"))
     bad = found.where("contaminated").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    bad = written(spark, bad, "pipeline-bad")  # its size is known to the plan: small, it is broadcast and no text moves
     return docs.join(bad, F.expr("doc_id <=> _id and xxhash64(text) = _key"), "left_anti").select(*COLUMNS)
 
 
