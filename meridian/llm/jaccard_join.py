@@ -236,29 +236,25 @@ def _need(n: str, m: str) -> Column:
     return F.expr(f"(3L * ({n} + {m}) + 6) div 7")
 
 
-def _with_halves(bits: DataFrame) -> DataFrame:
-    """Bitmaps and the same folded to half their length, for partners of the next smaller length."""
-    half = F.expr("zip_with(slice(bits, 1, size(bits) div 2), slice(bits, size(bits) div 2 + 1, size(bits) div 2), (x, y) -> x ^ y)")
-    return bits.withColumn("half", half)
-
-
 def _alike(a: str, b: str, n: str, m: str) -> Column:
-    """Whether the bitmaps of two sets (columns ``<a>bits, <a>half`` and ``<b>...``) let them be linked."""
+    """Whether the bitmaps of two sets (columns ``a`` and ``b``) let them be linked; the longer one is folded."""
+    def half(x: str) -> str:
+        return f"zip_with(slice({x}, 1, size({x}) div 2), slice({x}, size({x}) div 2 + 1, size({x}) div 2), (p, q) -> p ^ q)"
+
     def differing(x: str, y: str) -> str:
         return f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
 
-    return F.expr(f"""case when size({a}bits) = size({b}bits) then {differing(a + 'bits', b + 'bits')}
-        when size({a}bits) = 2 * size({b}bits) then {differing(a + 'half', b + 'bits')}
-        when 2 * size({a}bits) = size({b}bits) then {differing(a + 'bits', b + 'half')} else 0 end
+    return F.expr(f"""case when size({a}) = size({b}) then {differing(a, b)}
+        when size({a}) = 2 * size({b}) then {differing(half(a), b)}
+        when 2 * size({a}) = size({b}) then {differing(a, half(b))} else 0 end
         <= {n} + {m} - 2 * ((3L * ({n} + {m}) + 6) div 7)""")
 
 
 def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     """The pairs ``u, v`` that their bitmaps do not rule out."""
     for side in ("u", "v"):
-        pairs = pairs.join(bits.select(F.col("sid").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits"),
-                                       F.col("half").alias(f"{side}_half")), side)
-    return pairs.where(_alike("u_", "v_", "u_n", "v_n")).select("u", "v")
+        pairs = pairs.join(bits.select(F.col("sid").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits")), side)
+    return pairs.where(_alike("u_bits", "v_bits", "u_n", "v_n")).select("u", "v")
 
 
 def _sharing_enough(pairs: DataFrame, lists: DataFrame, x: int) -> DataFrame:
@@ -354,7 +350,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
     out = written(spark, _sets(docs), "join-sets")
     sets = out.where("h is null").select("doc_id", "key", "n", "sid")
     bits = out.where("h is null and n > 2").groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-    bits = written(spark, _with_halves(bits), "join-parity")
+    bits = written(spark, bits, "join-parity")
     frequent = (out.where("h is not null").groupBy("h").agg(F.sum("c").alias("c"))
                 .orderBy(F.desc("c"), "h").limit(ORDERED).collect())
     hashes = np.array([r.h for r in frequent], dtype=np.int64).view(np.uint64)
@@ -413,13 +409,13 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
         fewer = written(spark, near.where(F.col("left") >= _need("n", "least")).drop("least"), "join-rest")
         discard(spark, rest)
         rest = fewer
-    wanted = bits.join(rest.select("sid").distinct(), "sid", "left_semi").select("sid", "bits", "half")
+    wanted = bits.join(rest.select("sid").distinct(), "sid", "left_semi").select("sid", "bits")
     rest = written(spark, rest.join(wanted, "sid"), "join-bits")
     a, b = rest.alias("a"), rest.alias("b")
     pairs = (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.comp") != F.col("b.comp"))
                     & ((F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.sid") < F.col("b.sid"))))
                     & F.expr("100L * a.n >= 75L * b.n") & (F.least("a.left", "b.left") >= _need("a.n", "b.n"))
-                    & _alike("a.", "b.", "a.n", "b.n"))
+                    & _alike("a.bits", "b.bits", "a.n", "b.n"))
              .select(F.least("a.sid", "b.sid").alias("u"), F.greatest("a.sid", "b.sid").alias("v")).distinct()
              .join(checked, ["u", "v"], "left_anti"))
     pairs = written(spark, _sharing_enough(written(spark, pairs, "join-near"), lists_of_sets, x), "join-pairs")

@@ -143,7 +143,7 @@ def test_bitmaps_never_rule_out_a_link(spark):
         common = len(np.intersect1d(a, b))
         linked[2 * k] = 100 * common >= 75 * (len(a) + len(b) - common)
         rows += [(2 * k, len(a), J.parity(a)), (2 * k + 1, len(b), J.parity(b))]
-    bits = J._with_halves(spark.createDataFrame(rows, "sid long, n long, bits array<long>"))
+    bits = spark.createDataFrame(rows, "sid long, n long, bits array<long>")
     pairs = spark.createDataFrame([(u, u + 1) for u in linked], "u long, v long")
     kept = {r.u for r in J._possible(pairs, bits).collect()}
     assert all(u in kept for u, yes in linked.items() if yes)
