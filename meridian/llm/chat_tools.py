@@ -12,7 +12,10 @@ in that graph. Rows stay rows: a conversation of any length is ordered by its so
 Defined results: a call or result without id, or whose partner is missing, is
 ``unlinked``; later rows with the same identifier are ``duplicate``; calls on a reference
 cycle, or that use an unknown call, are ``unordered`` and keep their own turn; arguments
-that are not a JSON object are invalid; null texts are JSON null; a null conversation id is
+that are not a JSON object, nest deeper than ``MAX_DEPTH`` or hold a number that is not finite or has
+over 4,300 digits are invalid and kept as text; lone surrogates stay escaped and a reference that
+holds one is unknown; a schema with an unsupported keyword or type fails by name before any row is
+read; null texts are JSON null; a null conversation id is
 a conversation of its own; repeated rows repeat (the repeated call is a duplicate only if
 its turn or place differs).
 """
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,11 +34,51 @@ from pyspark.sql import functions as F
 from meridian.llm.common import written
 
 CALLS = "array<struct<id: string, name: string, arguments: string>>"
+MAX_DEPTH = 200
 _KINDS = {"null": type(None), "boolean": bool, "string": str, "array": list, "object": dict}
+_KEYWORDS = {"type", "enum", "required", "properties", "additionalProperties", "items", "minimum", "maximum", "minLength",
+             "maxLength"}
+_NOTES = {"title", "description", "default", "examples", "$comment"}  # annotations say nothing about values
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+def _escaped(text: str) -> str:
+    """Lone surrogates, which no UTF-8 text can hold, as JSON escapes."""
+    return _SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def too_deep(value) -> bool:
+    """Whether arrays and objects nest deeper than ``MAX_DEPTH``, found level by level."""
+    level = [value]
+    for _ in range(MAX_DEPTH + 1):
+        level = [v for x in level if isinstance(x, list | dict) for v in (x.values() if isinstance(x, dict) else x)]
+        if not level:
+            return False
+    return any(isinstance(x, list | dict) for x in level)
+
+
+def check_schema(schema: dict, at: str) -> None:
+    """Fails on a keyword or type that ``violations`` would not test."""
+    unknown = sorted(set(schema) - _KEYWORDS - _NOTES)
+    if unknown:
+        raise ValueError(f"{at}: schema keyword {unknown[0]!r} is not supported")
+    kinds = schema.get("type", [])
+    for kind in [kinds] if isinstance(kinds, str) else kinds:
+        if kind not in {*_KINDS, "number", "integer"}:
+            raise ValueError(f"{at}: type {kind!r} is not supported")
+    parts = {f"{at}.{k}": v for k, v in schema.get("properties", {}).items()}
+    parts |= {f"{at}[]": schema["items"]} if "items" in schema else {}
+    extra = schema.get("additionalProperties", True)
+    parts |= {} if isinstance(extra, bool) else {f"{at}.*": extra}
+    for where, part in parts.items():
+        if not isinstance(part, dict):
+            raise ValueError(f"{where}: a schema has to be an object")
+        check_schema(part, where)
 
 
 def canonical(value) -> str:
-    """JSON with sorted keys, no white space, shortest numbers (1.0 is 1) and unescaped Unicode."""
+    """JSON with sorted keys, no white space, shortest numbers (1.0 is 1) and unescaped Unicode
+    (but for lone surrogates)."""
 
     def plain(x):
         if isinstance(x, float):
@@ -45,7 +89,7 @@ def canonical(value) -> str:
             return {k: plain(v) for k, v in x.items()}
         return [plain(v) for v in x] if isinstance(x, list) else x
 
-    return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return _escaped(json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
 
 
 def violations(value, schema: dict, at: str = "$") -> list[str]:
@@ -58,10 +102,11 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
     if kinds is not None:
         number = isinstance(value, int | float) and not isinstance(value, bool)
         fits = {k: isinstance(value, t) for k, t in _KINDS.items()}
-        fits |= {"number": number, "integer": number and float(value).is_integer()}
+        fits |= {"number": number, "integer": number and (isinstance(value, int) or value.is_integer())}
         if not any(fits.get(k, False) for k in ([kinds] if isinstance(kinds, str) else kinds)):
             return [f"{at}: type"]
-    if "enum" in schema and value not in schema["enum"]:
+    # compared as JSON: true is not 1, 1.0 is
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         found.append(f"{at}: enum")
     if isinstance(value, dict):
         known = schema.get("properties", {})
@@ -159,6 +204,8 @@ def _levels(spark: SparkSession, calls: DataFrame) -> DataFrame:
 def link_tools(spark: SparkSession, messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per message, call and result: ``conv_id, turn, item, role, kind, id, name, status,
     valid, errors, order_turn, level, kind_rank, json``. A call of a tool without schema is invalid."""
+    for tool, schema in schemas.items():
+        check_schema(schema, tool)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,10 +218,16 @@ def link_tools(spark: SparkSession, messages: DataFrame, schemas: dict[str, dict
                 if kind == "call":
                     try:
                         arguments = json.loads(raw)
-                        canonical(arguments)
+                        deep = too_deep(arguments)
+                        if not deep:
+                            canonical(arguments)
+                    except RecursionError:
+                        deep = True
                     except (TypeError, ValueError):
-                        arguments, wrong = raw, ["$: not JSON"]
-                    else:
+                        deep, arguments, wrong = False, raw, ["$: not JSON"]
+                    if deep:
+                        arguments, wrong = raw, ["$: nested too deeply"]
+                    elif not wrong:
                         used = _references(arguments)
                         if not isinstance(arguments, dict):
                             wrong = ["$: not an object"]
@@ -188,8 +241,9 @@ def link_tools(spark: SparkSession, messages: DataFrame, schemas: dict[str, dict
                 else:
                     body |= {"content": text}
                 texts.append(canonical(body))
-                errors.append(wrong if kind == "call" else None)
-                refs.append(sorted(used))
+                errors.append([_escaped(e) for e in wrong] if kind == "call" else None)
+                # an identifier is UTF-8 text, so a reference with a lone surrogate equals none
+                refs.append([None if _SURROGATE.search(r) else r for r in sorted(used)])
             keep = [batch.column(n) for n in ("conv_id", "turn", "item", "role", "kind", "id", "name")]
             yield pa.RecordBatch.from_arrays(
                 [*keep, pa.array(errors, pa.list_(pa.string())), pa.array(refs, pa.list_(pa.string())),

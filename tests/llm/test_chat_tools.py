@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from meridian.llm import chat_tools as C
 
 SCHEMAS = {"f": {"type": "object", "required": ["a"], "properties": {
@@ -84,3 +86,23 @@ def test_canonical_numbers_and_schema_keywords():
               "additionalProperties": {"type": "boolean"}}
     assert C.violations({"n": 4, "s": "x", "q": 1}, schema) == ["$.n: maximum", "$.q: type", "$.s: minLength"]
     assert C.violations({"n": True}, schema) == ["$.n: type"] and C.violations({"n": 2.5, "q": False}, schema) == []
+
+
+def test_hostile_arguments_have_a_defined_result(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    raws = [r'{"a":"\ud800"}', r'{"\udfff":1,"a":1}', r'{"a":{"$ref":"\ud800"}}', '{"a":1' + "0" * 400 + "}", '{"a":' + "9" * 5000 + "}",
+            '{"a":' + deep + "}", '{"a":' + "[" * 300 + "]" * 300 + "}", deep, '{"a":1e999}', '{"b":[true],"a":1}', '{"b":[1.0],"a":1}']
+    rows = [(1, i, "assistant", None, [_call(f"k{i}", raw)], None) for i, raw in enumerate(raws)]
+    got = {r.turn: r for r in _run(spark, rows)}
+    assert [got[i].errors for i in range(11)] == [
+        [], [r"$.\udfff: unknown"], [], [], ["$: not JSON"], *[["$: nested too deeply"]] * 3, ["$: not JSON"], ["$.b[0]: enum"], []]
+    assert r'{"a":"\ud800"}' in got[0].json and got[2].status == "unordered" and "1" + "0" * 400 in got[3].json
+    assert json.loads(got[7].json)["tool_call"]["arguments"] == deep
+    assert C.too_deep([[1]] * 3) is False
+
+
+@pytest.mark.parametrize("schema, word", [({"pattern": "a"}, "pattern"), ({"properties": {"q": {"oneOf": []}}}, "oneOf"),
+                                          ({"items": {"type": "decimal"}}, "decimal"), ({"items": [{}]}, "object")])
+def test_unsupported_schemas_are_refused_by_name(spark, schema, word):
+    with pytest.raises(ValueError, match=word):
+        C.link_tools(spark, _messages(spark, []), {"f": schema})
