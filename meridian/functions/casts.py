@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 #   fractions and exponents round half away from zero ("2.5" is 3, "-2.5" is -3, "1e2" is 100)
 #   "0x" / "0b" prefixes (either case) read hex / binary; leading whitespace allowed, trailing not
 #   an exponent must lie in -32768..32767; within it a zero mantissa is 0 ("0e999" is 0)
+#   before an exponent the whole digits must fit 64 bits ("9223372036854775808e-10" is NULL)
 #   one "." may follow the exponent digits ("1e2." is 100)
 #   anything else (other characters, non-ASCII digits, NaN, inf, overflow) is NULL
 _WS = "\\t\\n\\x0B\\f\\r "
@@ -23,14 +24,11 @@ _ALLOWED_TEXT = f"\\A[{_WS}\\x21-\\x7E]*\\z"
 _HEX = f"\\A[{_WS}]*0[xX][0-9a-fA-F]+(_[0-9a-fA-F]+)*\\z"
 _BIN = f"\\A[{_WS}]*0[bB][01]+(_[01]+)*\\z"
 _DIGIT_SEPARATOR = "(?<=[0-9])_(?=[0-9])"
-_LEADING_ZEROS = "\\A([" + _WS + "]*[+-]?)0+(?=[0-9])"
-_ZERO_EXP = f"\\A[{_WS}]*[+-]?(0+\\.?0*|\\.0+)[eE][+-]?[0-9]+[{_WS}]*\\z"
-_EXP_DOT = f"([eE][+-]?[0-9]+)\\.([{_WS}]*)\\z"
-_EXPONENT = f"[eE]([+-]?[0-9]+)[{_WS}]*\\z"
 _EXP_MIN, _EXP_MAX = -32768, 32767
+# sign, whole digits, fraction digits and exponent of decimal text
+_DECIMAL = f"\\A[{_WS}]*([+-]?)([0-9]*)(?:\\.([0-9]*))?(?:[eE]([+-]?[0-9]+)\\.?)?[{_WS}]*\\z"
+_SEP = "\x01"  # outside the allowed characters
 _INT_TEXT = f"\\A[{_WS}]*[+-]?[0-9]+[{_WS}]*\\z"
-# beyond 18 fraction digits, truncation (not rounding) keeps the half-way decision exact
-_LONG_FRACTION = f"(\\.[0-9]{{18}})[0-9]+(?=[{_WS}]*\\z)"
 
 
 # Characters the staging engine's trim() removes - the Unicode space
@@ -62,38 +60,48 @@ def y_only(col: Column | str) -> Column:
     return F.when(_c(col) == "Y", F.lit(True))
 
 
+def _rounded(text: Column) -> Column:
+    """The int nearest to decimal text, decided on its digits: only the first digit behind the (shifted)
+    point tells whether to round away from zero, so neither length nor exponent loses anything."""
+
+    def number(x: Column) -> Column:
+        sign, whole, fraction, exponent = (F.get(x, F.lit(i)) for i in range(4))
+        shift = F.when(exponent == "", 0).otherwise(exponent.try_cast("int"))
+        digits, point = F.concat(whole, fraction), F.length(whole) + shift
+        kept = F.concat(sign, F.rpad(F.substring(digits, F.lit(1), point), point, "0")).try_cast("bigint")
+        away = F.when(F.substring(digits, point + 1, F.lit(1)) < "5", 0).when(sign == "-", -1).otherwise(1)
+        fits = shift.between(_EXP_MIN, _EXP_MAX) & (
+            (exponent == "") | (whole == "") | F.concat(sign, whole).try_cast("bigint").isNotNull())
+        return F.when(fits & (digits != ""), F.when(point < 0, 0).otherwise(F.try_add(
+            F.when(point == 0, 0).otherwise(kept), F.when(point < F.length(digits), away).otherwise(0))).try_cast("int"))
+
+    # bound by transform, so that the text is taken apart once a row
+    parts = F.split(F.regexp_replace(text, _DECIMAL, _SEP.join(f"${i}" for i in range(1, 5))), _SEP)
+    return F.get(F.transform(F.array(parts), lambda x: F.when(F.size(x) == 4, number(x))), F.lit(0))
+
+
 def lenient_int(col: Column | str) -> Column:
     """E3 ``try_cast(x as int)`` with the staging engine's text rules (see fixed values above).
 
-    Decimal text goes through ``decimal(38,18)`` and ``round`` (half away from zero);
-    hex and binary go through ``conv``. Overflow of int gives NULL via ``try_cast``.
+    Decimal text is rounded half away from zero on its digits, at any length and exponent;
+    hex and binary go through ``conv``. Overflow of int gives NULL.
     """
     c = _c(col).cast("string")
-    ascii_ok = c.rlike(_ALLOWED_TEXT)
-    digits = F.regexp_replace(F.regexp_replace(c, "_", ""), f"\\A[{_WS}]*0[xXbB]", "")
-    significant = F.regexp_replace(digits, "\\A0+(?=.)", "")
+
+    digits = F.regexp_replace(F.regexp_replace(c, "_", ""), f"\\A[{_WS}]*0[xXbB]0*(?=.)", "")
     # conv raises on 64-bit overflow under ANSI; more than 8 hex / 32 binary digits is not an int
-    hex_val = F.when(F.length(significant) <= 8, F.conv(significant, 16, 10).try_cast("int"))
-    bin_val = F.when(F.length(significant) <= 32, F.conv(significant, 2, 10).try_cast("int"))
-    decimal_text = F.regexp_replace(F.regexp_replace(c, _DIGIT_SEPARATOR, ""), _LEADING_ZEROS, "$1")
-    decimal_text = F.regexp_replace(decimal_text, _EXP_DOT, "$1$2")
-    decimal_text = F.regexp_replace(decimal_text, _LONG_FRACTION, "$1")
-    exponent = F.regexp_extract(decimal_text, _EXPONENT, 1)
-    exponent_ok = F.when(exponent != "", exponent.try_cast("int").between(_EXP_MIN, _EXP_MAX))
-    dec_val = F.round(decimal_text.try_cast("decimal(38,18)"), 0).try_cast("int")
+    prefixed = F.when(c.rlike(_HEX) & (F.length(digits) <= 8), F.conv(digits, 16, 10).try_cast("int")).when(
+        c.rlike(_BIN) & (F.length(digits) <= 32), F.conv(digits, 2, 10).try_cast("int"))
+    plain = F.when(F.contains(c, F.lit("_")), F.regexp_replace(c, _DIGIT_SEPARATOR, "")).otherwise(c)
     # fast paths: integer-shaped text (the common case) goes to the native cast, which agrees
     # with the rules above on such text (overflow is NULL in both); text without a digit
     # (sentinels) is NULL at once. The native cast is only called on integer-shaped text:
     # on other text it takes a slow error path.
     return (
-        F.when(~ascii_ok, F.lit(None).cast("int"))
-        .when(c.rlike(_INT_TEXT), c.try_cast("int"))
-        .when(~c.rlike("[0-9]"), F.lit(None).cast("int"))
-        .when(c.rlike(_HEX), hex_val)
-        .when(c.rlike(_BIN), bin_val)
-        .when((exponent != "") & ~F.coalesce(exponent_ok, F.lit(False)), F.lit(None).cast("int"))
-        .when(decimal_text.rlike(_ZERO_EXP), F.lit(0))
-        .otherwise(dec_val)
+        F.when(c.rlike(_INT_TEXT), c.try_cast("int"))
+        .when(~c.rlike("[0-9]") | ~c.rlike(_ALLOWED_TEXT), F.lit(None).cast("int"))
+        .when(c.rlike("0[xXbB]"), prefixed)
+        .otherwise(_rounded(plain))
     )
 
 

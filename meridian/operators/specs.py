@@ -177,6 +177,10 @@ def _template(tmpl: str):
     return F.concat(*parts)
 
 
+#: positions numbered together by one task
+BLOCK = 4096
+
+
 def source_table(specs: DataFrame, extras: DataFrame, prefix: str = ASSET_PREFIX) -> DataFrame:
     """Every spec as a named source ``(seq, name, description)`` in file order, with each
     extra ``(name, description, after_key)`` placed right after its anchor spec; an extra
@@ -187,9 +191,15 @@ def source_table(specs: DataFrame, extras: DataFrame, prefix: str = ASSET_PREFIX
         F.coalesce("_at", F.raise_error(F.concat(F.lit("no spec has the key "), "after_key")).cast("int")).alias("pos"),
         F.lit(1).alias("is_extra"), "name", "description")
     both = base.select(F.col("pos").cast("int").alias("pos"), "is_extra", "name", "description").unionByName(anchored)
-    # a spec table has a few dozen rows
-    seq = F.row_number().over(Window.orderBy("pos", "is_extra", "name")) - 1
-    return both.select(seq.alias("seq"), "pos", "is_extra", "name", "description")
+    # numbered inside blocks of positions, which hold at most BLOCK specs and their extras, on top of
+    # the rows of the blocks before: only one row a block passes through an ordering without a key
+    both = both.withColumn("_block", F.floor(F.col("pos") / BLOCK))
+    before = F.sum("n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    bases = both.groupBy("_block").agg(F.count("*").alias("n")).select("_block", F.coalesce(before, F.lit(0)).alias("_base"))
+    local = F.row_number().over(Window.partitionBy("_block").orderBy("pos", "is_extra", "name"))
+    seq = (F.col("_base") + F.col("_local") - 1).cast("int")
+    return both.withColumn("_local", local).join(bases, "_block").select(
+        seq.alias("seq"), "pos", "is_extra", "name", "description")
 
 
 def unknown_anchors(specs: DataFrame, extras: DataFrame) -> DataFrame:

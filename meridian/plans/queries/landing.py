@@ -36,6 +36,28 @@ def q_land_two_runs(spark, sf_dir):
     return raw.read_runs(spark, root, _CUST)
 
 
+@query(
+    "runs_type_drift",
+    "SELECT CAST(c_custkey AS BIGINT) AS id, CASE WHEN c_custkey % 3 = 2 THEN NULL "
+    "WHEN c_custkey % 3 = 1 THEN c_nationkey + 0.5 ELSE CAST(c_nationkey AS DOUBLE) END AS amount, "
+    "CASE c_custkey % 3 WHEN 0 THEN CAST(c_nationkey AS VARCHAR) WHEN 1 THEN c_name "
+    "ELSE CASE WHEN c_nationkey > 9 THEN 'true' ELSE 'false' END END AS code FROM customer",
+)
+def q_runs_type_drift(spark, sf_dir):
+    """Three runs of one asset; every column changed its type between them, one was missing once."""
+    root = fresh_path(spark, "raw")
+    cust = driver_table(spark, sf_dir, "customer")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    runs = [cust.where(key % 3 == 0).select(key.cast("int").alias("id"), nation.cast("int").alias("amount"), nation.cast("int").alias("code")),
+            cust.where(key % 3 == 1).select(key.cast("bigint").alias("id"), (nation + F.lit(0.5)).cast("double").alias("amount"),
+                                            F.col("c_name").alias("code")),
+            cust.where(key % 3 == 2).select(key.cast("int").alias("id"),
+                                            (nation > 9).alias("code"))]
+    for i, run in enumerate(runs):
+        landing.land(run, root, _CUST, f"run-{i}", record_metrics=False)
+    return raw.read_runs(spark, root, _CUST)
+
+
 @query(
     "landing_metrics",
     f"SELECT '{_CUST}' AS asset, 'run-a' AS run_id, count(*) AS row_count, 5 AS column_count "

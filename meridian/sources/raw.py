@@ -2,22 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from meridian.sources.widening import merged, widened
 
 
 def read_runs(spark: SparkSession, root: str, asset: str, with_run_id: bool = False) -> DataFrame:
     """Every run of ``asset`` read together by glob, with the union of their columns
-    (absent ones are NULL; one column with two types fails). No run -> PATH_NOT_FOUND error.
+    (absent ones are NULL). No run -> PATH_NOT_FOUND error.
 
-    ``with_run_id`` adds the run id taken from the file path (our extension).
+    A column whose type changed between runs gets the wider type (``widening.wider``): runs of
+    equal schema are read together, so the plan grows with the schemas that ever occurred, not
+    with the runs. ``with_run_id`` adds the run id taken from the file path (our extension).
     """
-    df = spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/{asset}/*.parquet")
-    if with_run_id:
-        # file paths are URIs: percent-decode (keeping a literal '+', which url_decode reads as space)
-        name = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)\\.parquet/[^/]*$", 1)
-        df = df.withColumn("_run_id", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
-    return df
+    glob = f"{root.rstrip('/')}/{asset}/*.parquet"
+    try:
+        df = spark.read.option("mergeSchema", True).parquet(glob)
+    except Exception as e:  # noqa: BLE001 - only the one condition below is handled
+        if "CANNOT_MERGE" not in str(e):
+            raise
+    else:
+        return _with_run(df) if with_run_id else df
+    shapes: dict[str, tuple[StructType, list[str]]] = {}
+    for path in _runs(spark, glob):
+        schema = spark.read.option("mergeSchema", True).parquet(path).schema
+        shapes.setdefault(schema.json(), (schema, []))[1].append(path)
+    target = merged([schema for schema, _ in shapes.values()])
+    parts = []
+    for schema, paths in shapes.values():
+        have = {f.name: f.dataType for f in schema}
+        part = spark.read.schema(schema).parquet(*paths)
+        cols = [(widened(_named(f.name), have[f.name], f.dataType) if f.name in have
+                 else F.lit(None).cast(f.dataType)).alias(f.name) for f in target]
+        parts.append(part.select(*cols, *([_run_id()] if with_run_id else [])))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _run_id() -> Column:
+    # file paths are URIs: percent-decode (keeping a literal '+', which url_decode reads as space)
+    name = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)\\.parquet/[^/]*$", 1)
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("_run_id")
+
+
+def _with_run(df: DataFrame) -> DataFrame:
+    return df.withColumn("_run_id", _run_id())
+
+
+def _runs(spark: SparkSession, glob: str) -> list[str]:
+    """The folders of the runs, by name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found)
 
 
 def latest_run_only(df_with_run_id: DataFrame, run_order: DataFrame) -> DataFrame:

@@ -37,6 +37,23 @@ def test_lenient_int_fuzz_matches_duckdb(spark):
     assert [(p, w, g) for p, w, g in zip(probes, want, got) if w != g] == []
 
 
+def test_lenient_int_decides_halves_on_any_number_of_digits(spark):
+    import random
+
+    rng = random.Random(11)
+    probes = ["4." + "9" * 40 + "e-1", "49e-2", "45e-2", "5e-1", "-5e-1", "214748364.75e1", "-214748364.85e1", "-214748364.84e1",
+              "9223372036854775807e-10", "9223372036854775808e-10", "-9223372036854775808e-10", "0." + "0" * 37 + "5e38", ".e1"]
+    while len(probes) < 3000:
+        whole = "".join(rng.choice("0123456789") for _ in range(rng.choice([0, 1, 2, 5, 9, 10, 15])))
+        part = "".join(rng.choice("0459") for _ in range(rng.choice([0, 1, 3, 20, 40])))
+        probes.append(rng.choice(["", "-", "+"]) + whole + rng.choice(["." + part, ""]) + rng.choice(
+            ["", "", f"e{rng.randint(-25, 12)}", "e-1", "e1", "e+2."]))
+    con = duckdb.connect()
+    want = [con.execute("select try_cast(? as int)", [p]).fetchone()[0] for p in probes]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in probes], "v string").select(lenient_int("v")).collect()]
+    assert [(p, w, g) for p, w, g in zip(probes, want, got) if w != g] == []
+
+
 def test_lenient_int_null_input(spark):
     assert spark.sql("select cast(null as string) v").select(lenient_int("v")).first()[0] is None
 

@@ -91,3 +91,32 @@ def test_landing_a_run_again_replaces_it_and_its_metrics(spark, tmp_root):
         landing.land(spark.range(n), tmp_root, "again", "r1")
     assert raw.read_runs(spark, tmp_root, "again").count() == 5
     assert [(r.run_id, r.row_count) for r in landing.read_metrics(spark, tmp_root).where("asset = 'again'").collect()] == [("r1", 5)]
+
+
+def test_types_that_change_between_runs_are_widened(spark, tmp_root):
+    runs = {"a": "select 1 as n, cast(1 as decimal(5,2)) as d, named_struct('x', 1) as s, array(1) as l, 1 as t, date'2024-01-02' as w",
+            "b": "select 5000000000L as n, 7 as d, named_struct('x', 'q', 'y', 2) as s, array(2.5D) as l, map('k', 1) as t, "
+                 "timestamp'2024-01-02 03:04:05' as w, 'new' as `odd.name`",
+            "c": "select 2.5D as n, cast(null as decimal(5,2)) as d, cast(null as struct<x: int>) as s, array(3) as l, true as t, "
+                 "date'2024-01-03' as w"}
+    for run, sql in runs.items():
+        landing.land(spark.sql(sql), tmp_root, "cms_w", run)
+    got = raw.read_runs(spark, tmp_root, "cms_w", with_run_id=True)
+    assert got.drop("_run_id").schema.simpleString() == (
+        "struct<n:double,d:decimal(12,2),s:struct<x:string,y:int>,l:array<double>,t:string,w:timestamp,odd.name:string>")
+    rows = {r._run_id: r for r in got.collect()}
+    assert [rows[k].n for k in "abc"] == [1.0, 5e9, 2.5] and [rows[k].t for k in "abc"] == ["1", '{"k":1}', "true"]
+    assert rows["a"].s == ("1", None) and rows["b"].s == ("q", 2) and rows["c"].s is None
+    assert [rows[k].l for k in "abc"] == [[1.0], [2.5], [3.0]] and float(rows["b"].d) == 7.0 and rows["b"]["odd.name"] == "new"
+
+
+def test_widening_does_not_depend_on_the_order():
+    from itertools import permutations
+
+    from pyspark.sql import types as T
+
+    from meridian.sources.widening import wider
+
+    kinds = [T.IntegerType(), T.LongType(), T.DoubleType(), T.DecimalType(38, 10), T.StringType(), T.BooleanType(), T.DateType(), T.NullType()]
+    assert all(wider(a, b) == wider(b, a) for a, b in permutations(kinds, 2))
+    assert wider(T.LongType(), T.DecimalType(38, 30)) == T.DoubleType() and wider(T.BooleanType(), T.LongType()) == T.StringType()
