@@ -63,6 +63,21 @@ def event_pages(
     return stored(pages, "event-pages")
 
 
+def event_documents(spark: SparkSession, sf_dir: str, per_doc: int = 500_000) -> str:
+    """Large static documents, as a pattern of files: ``per_doc`` events each, one bare array a file that holds the events by id and a
+    null at its end. Their number grows with the events, their size does not depend on a task's memory."""
+    ev = table(spark, sf_dir, "events").select(F.expr(f"event_id div {per_doc}").alias("part"), "event_id",
+                                               F.to_json(F.struct(*EVENT_FIELDS)).alias("value"))
+    parts = ev.select("part").distinct()
+    lines = (ev.select("part", "event_id", F.concat("value", F.lit(",")).alias("value"))
+             .unionByName(parts.select("part", F.lit(-1).cast("bigint").alias("event_id"), F.lit("[").alias("value")))
+             .unionByName(parts.select("part", F.lit(2**63 - 1).alias("event_id"), F.lit("null]").alias("value"))))
+    path = fresh_path(spark, "event-documents")
+    (lines.repartition("part").sortWithinPartitions("part", "event_id").select("part", "value")
+     .write.partitionBy("part").text(path))
+    return f"{path}/part=*/*.txt"
+
+
 def _closing_pages(pages: DataFrame, batch: int, body: str) -> DataFrame:
     """The empty page that ends a sequence whose last page is full."""
     last = pages.groupBy("dataset").agg(F.max_by("n", "offset").alias("n"), F.max("offset").alias("offset"))

@@ -26,7 +26,7 @@ from meridian.operators import pages as pg
 from meridian.operators import records as rec
 from meridian.operators import resolution as res
 from meridian.sinks import landing
-from meridian.sources import bulk_csv, sheets, static_json
+from meridian.sources import bulk_csv, json_elements, sheets, static_json
 
 # Page envelope and page size per paged source.
 PAGED = {"socrata": ("array", 1000), "dkan_provider_data": ("results", 1000)}
@@ -58,7 +58,7 @@ def read_source(spark: SparkSession, row, store: str) -> DataFrame:
             pages = pages.where(F.col("dataset") == row["live_id"])
         return rec.to_table(pg.read_paged(pages, envelope, batch), "record")
     if loader == "static_json":
-        return rec.to_table(static_json.static_records(static_json.read_documents(spark, f"{base}/*.json")), "record")
+        return rec.to_table(json_elements.document_records(spark, f"{base}/*.json"), "record")
     name = row["url"].split("?")[0].rstrip("/").rsplit("/", 1)[-1]
     if loader == "bulk_csv":
         return bulk_csv.read_typed_csv(spark, f"{base}/{name}")
@@ -82,7 +82,7 @@ def run_all(spark: SparkSession, specs: DataFrame, store: str, root: str, run_id
         try:
             m = landing.land(read_source(spark, row, store), root, row["asset_name"], run_id, source_url=row["url"],
                              record_metrics=False)
-        except (PySparkException, Py4JJavaError, landing.EmptyExtractError, ValueError) as e:  # errors of the data and of its store
+        except (PySparkException, Py4JJavaError, landing.EmptyExtractError, ValueError, RuntimeError) as e:  # errors of the data and of its store
             return row["key"], row["asset_name"], "failed", None, None, row["url"], f"{type(e).__name__}: {e}"
         done.append(m)
         return row["key"], row["asset_name"], "landed", m.row_count, m.column_count, row["url"], None

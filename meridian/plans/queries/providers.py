@@ -82,6 +82,23 @@ def q_provider_lookup(spark, sf_dir):
     return out.select("o_orderkey", "npi", "valid", "found", F.col("p.basic.last_name").alias("last_name"))
 
 
+_HOT_IDS = ("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '0000000007' WHEN o_orderkey % 7 = 0 THEN NULL "
+            "WHEN o_orderkey % 11 = 0 THEN 'none' ELSE lpad(CAST(o_custkey * 2 AS {text}), 10, '0') END AS npi FROM orders")
+
+
+@query(
+    "provider_lookup_hot",
+    f"WITH r AS ({_HOT_IDS.format(text='VARCHAR')}),\np AS ({fixtures.provider_rows()})\n"
+    "SELECT r.o_orderkey, r.npi, coalesce(length(r.npi) = 10, false) AS valid, "
+    "CASE WHEN length(r.npi) = 10 THEN p.number IS NOT NULL END AS found, p.last_name FROM r LEFT JOIN p ON r.npi = p.number",
+)
+def q_provider_lookup_hot(spark, sf_dir):
+    """I5 where one id holds a third of all rows, and others are missing, malformed or unknown."""
+    register(spark, sf_dir, "orders")
+    out = prov.lookup(spark.sql(_HOT_IDS.format(text="STRING")), "npi", _typed_providers(spark, sf_dir), ["c_custkey"])
+    return out.select("o_orderkey", "npi", "valid", "found", F.col("p.basic.last_name").alias("last_name"))
+
+
 @query(
     "provider_violations",
     _PROV + "SELECT c_custkey, 'number_missing' AS violation FROM p WHERE number IS NULL\n"

@@ -11,6 +11,7 @@ from meridian.operators import query as qop
 from meridian.operators import records as rec
 from meridian.plans import derived, fixtures
 from meridian.plans.registry import query
+from meridian.sources import json_elements
 from meridian.sources.tables import register
 
 
@@ -79,6 +80,14 @@ def q_typed_articles(spark, sf_dir):
     return typed.select("slug", "title", "url", "content", "date", "_extra")
 
 
+@query("large_documents", "SELECT event_id, user_id, event_type, value, props FROM events")
+def q_large_documents(spark, sf_dir):
+    """Documents of half a million records each, cut into their records by many tasks."""
+    found = json_elements.document_records(spark, derived.event_documents(spark, sf_dir))
+    member = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
+    return found.select(*(F.variant_get("record", f"$.{k}", t).alias(k) for k, t in member.items()))
+
+
 @query(
     "record_project",
     "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' "

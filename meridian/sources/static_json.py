@@ -1,7 +1,8 @@
 """Static JSON documents from storage (I6): one document per file, read whole.
 
 Each file is one response (a bare array, or an object wrapping the array under the
-file's stem); files are read in parallel, one row per file.
+file's stem); files are read in parallel, one row per file. Documents too large for one value are
+cut into their records by ``json_elements``.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ def read_documents(spark: SparkSession, pattern: str) -> DataFrame:
     """``(path, body)`` per file via the text source in whole-file mode."""
     # file paths are URIs: percent-decode (keeping a literal '+', which url_decode reads as space)
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return spark.read.option("wholetext", True).text(pattern).select(path.alias("path"), F.col("value").alias("body"))
+    return spark.read.text(pattern, wholetext=True).select(path.alias("path"), F.col("value").alias("body"))
 
 
 def static_records(docs: DataFrame, mode: str = "strict") -> DataFrame:

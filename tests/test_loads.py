@@ -95,3 +95,10 @@ def test_static_documents_with_odd_file_names(spark, tmp_path):
     (tmp_path / "my glossary+1.json").write_text('{"my glossary+1": [{"title": "a"}]}')
     docs = static_json.read_documents(spark, f"{tmp_path}/*.json")
     assert static_json.static_records(docs).count() == 1
+
+
+def test_static_documents_of_several_lines(spark, tmp_path):
+    from meridian.sources import static_json
+
+    (tmp_path / "glossary.json").write_text('{\n  "glossary": [\n    {"title": "a"},\n    {"title": "b"}\n  ]\n}\n')
+    assert static_json.static_records(static_json.read_documents(spark, f"{tmp_path}/*.json")).count() == 2

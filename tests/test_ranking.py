@@ -1,7 +1,8 @@
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from meridian.functions.ranking import first_n, row_index
+from meridian.functions.ranking import first_n, row_index, split_points
 from tests.conftest import SMALL
 
 
@@ -25,3 +26,21 @@ def test_first_n(spark):
     got = first_n(ev, ["event_type"], ["event_id"], 7, salts=4)
     want = ev.withColumn("r", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id"))).where("r <= 7")
     assert sorted(r.event_id for r in got.collect()) == sorted(r.event_id for r in want.collect())
+
+
+def test_split_points_bound_every_bucket(spark):
+    n, buckets = 200_000, 1000
+    # a third of the keys close together, a third spread over many powers, the rest equal steps apart
+    key = F.expr("case when id % 3 = 0 then 5.0D + id * 1e-9D when id % 3 = 1 then pow(2, (id - 100000) / 3000.0D) else id * 1000.0D end")
+    df = spark.range(n).select(key.alias("k"))
+    points = split_points(df, "k", buckets)
+    keys = np.array([r.k for r in df.collect()])
+    counts = np.bincount(np.searchsorted(points, keys, side="right"))
+    assert counts.max() <= n / buckets and len(counts) <= 2 * buckets
+
+
+def test_split_points_of_degenerate_keys(spark):
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),), (3.0,), (3.0,)], "k double")
+    assert split_points(odd, "k", 10) == [] and split_points(odd.limit(0), "k", 10) == []
+    wide = spark.createDataFrame([(-1.7e308,), (0.0,), (5e-324,), (1e-320,), (1.7e308,)], "k double")
+    assert set(split_points(wide, "k", 5)) <= {0.0, 5e-324, 1e-320, 1.7e308}
