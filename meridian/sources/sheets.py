@@ -15,12 +15,15 @@ non-empty header cells; cells are kept as text.
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import zipfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,26 +68,42 @@ def _first_sheet_path(book: zipfile.ZipFile) -> str:
     return candidates[0]
 
 
-def _shared_strings(book: zipfile.ZipFile) -> list[str]:
+def _elements(fh: BinaryIO, tag: str, parent: str) -> Iterator[ET.Element]:
+    """The finished ``tag`` elements of a member, read as a stream; each leaves the tree before the next is read."""
+    holder = None
+    for event, el in ET.iterparse(fh, events=("start", "end")):
+        if event == "start":
+            if el.tag == f"{_NS}{parent}":
+                holder = el
+        elif el.tag == f"{_NS}{tag}":
+            yield el
+            (el if holder is None else holder).clear()
+
+
+class _Strings:
+    """Shared strings, held as Arrow arrays: their bytes and one offset each."""
+
+    def __init__(self, found: Iterator[str]):
+        self._chunks = [pa.array(part) for part in iter(lambda: list(itertools.islice(found, 1 << 16)), [])]
+
+    def __getitem__(self, i: int) -> str:
+        return self._chunks[i >> 16][i & 0xFFFF].as_py()
+
+
+def _shared_strings(book: zipfile.ZipFile) -> _Strings:
     if "xl/sharedStrings.xml" not in book.namelist():
-        return []
-    out = []
-    for _, el in ET.iterparse(io.BytesIO(book.read("xl/sharedStrings.xml"))):
-        if el.tag == f"{_NS}si":
-            out.append("".join(t.text or "" for t in el.iter(f"{_NS}t")))
-            el.clear()
-    return out
+        return _Strings(iter(()))
+    with book.open("xl/sharedStrings.xml") as fh:
+        return _Strings("".join(t.text or "" for t in si.iter(f"{_NS}t")) for si in _elements(fh, "si", "sst"))
 
 
-def _sheet_rows(xlsx_bytes: bytes) -> Iterator[tuple[int, list[str | None]]]:
+def _sheet_rows(workbook: BinaryIO) -> Iterator[tuple[int, list[str | None]]]:
     """Rows in order with explicit empty rows for gaps (so the first empty row is visible)."""
-    with zipfile.ZipFile(io.BytesIO(xlsx_bytes)) as book:
+    with zipfile.ZipFile(workbook) as book:
         strings = _shared_strings(book)
         last = 0
         with book.open(_first_sheet_path(book)) as fh:
-            for _, el in ET.iterparse(fh):
-                if el.tag != f"{_NS}row":
-                    continue
+            for el in _elements(fh, "row", "sheetData"):
                 r = int(el.get("r") or last + 1)
                 for gap in range(last + 1, r):
                     yield gap, []
@@ -104,7 +123,6 @@ def _sheet_rows(xlsx_bytes: bytes) -> Iterator[tuple[int, list[str | None]]]:
                 width = max(cells) if cells else 0
                 yield r, [cells.get(j) for j in range(1, width + 1)]
                 last = r
-                el.clear()
 
 
 def _read_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,15 +136,16 @@ def _read_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         err = NO_SHEET_MEMBER if not members else MANY_SHEET_MEMBERS
                         yield pd.DataFrame([(path, None, None, err)], columns=["path", "row_no", "cells", "error"])
                         continue
-                    sheet = archive.read(members[0])
+                    # the workbook is read as a stream inside its archive
+                    with archive.open(members[0]) as sheet:
+                        for r, cells in _sheet_rows(sheet):
+                            rows.append((path, r, cells, None))
+                            if len(rows) >= 4096:
+                                yield pd.DataFrame(rows, columns=["path", "row_no", "cells", "error"])
+                                rows = []
             except zipfile.BadZipFile:
                 yield pd.DataFrame([(path, None, None, BAD_ARCHIVE)], columns=["path", "row_no", "cells", "error"])
                 continue
-            for r, cells in _sheet_rows(sheet):
-                rows.append((path, r, cells, None))
-                if len(rows) >= 4096:
-                    yield pd.DataFrame(rows, columns=["path", "row_no", "cells", "error"])
-                    rows = []
             if rows:
                 yield pd.DataFrame(rows, columns=["path", "row_no", "cells", "error"])
 
