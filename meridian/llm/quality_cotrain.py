@@ -2,18 +2,20 @@
 
 Two logistic models look at different views of a document: one at statistics of its text,
 one at its metadata (source, language, stated length), which never reads the text. Both
-start from the labelled documents. In every round each model scores a pool of unlabelled
+start from the labelled documents. In every round each model scores the unlabelled
 documents and hands its confident pseudo-labels to the other. At the end each view is
 calibrated (Platt scaling) on a fold of labelled documents that no round has seen, a last
 logistic model combines the calibrated views, and the threshold is the highest one up to
 0.5 that keeps ``KEEP`` of that fold's good documents.
 
-Only fitting uses a sample: about ``MAX_LABELLED`` labelled and ``MAX_POOL`` other documents,
-drawn by a hash of the id. Every document is scored, on its whole text.
+Models, calibration and threshold come from all documents: every labelled one is fitted on or
+calibrates, every other one is in the pool, and every document is scored, on its whole text. The
+statistics of a text are counted once for fitting and written (13 numbers a document, no texts);
+rounds are expressions over that table.
 
 Defined results: a null text counts as empty; null metadata is a value of its own; several
-labels of one id count as their majority (a tie is good); of documents with one id the fitting
-sample holds one; without labels of both classes
+labels of one id count as their majority (a tie is good); documents with one id are one row of the
+fit; without labels of both classes
 in both folds every document is accepted with score 1; repeated rows get equal scores.
 """
 
@@ -31,10 +33,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridian.functions.ranking import row_index
 from meridian.llm.common import written
 
-MAX_LABELLED = 20_000
-MAX_POOL = 20_000
 ROUNDS = 3
 CONFIDENT = 0.98
 KEEP = 0.997
@@ -71,18 +72,18 @@ def meta_view(source: str | None, lang: str | None, n_chars: int | None) -> list
 
 
 def _views(docs: DataFrame) -> DataFrame:
-    """``doc_id, label, text_view, meta_view`` of the sampled documents."""
+    """``doc_id, text_view, meta_view`` of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, source, lang, size = (batch.column(n).to_pylist() for n in ("text", "source", "lang", "n_chars"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(map(text_view, text), pa.list_(pa.float64())),
+                [batch.column("doc_id"), pa.array(map(text_view, text), pa.list_(pa.float64())),
                  pa.array(map(meta_view, source, lang, size), pa.list_(pa.float64()))],
-                names=["doc_id", "label", "text_view", "meta_view"])
+                names=["doc_id", "text_view", "meta_view"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, label double, text_view array<double>, meta_view array<double>")
+    return docs.mapInArrow(run, f"doc_id {kind}, text_view array<double>, meta_view array<double>")
 
 
 def _fit(rows: DataFrame, view: str, label: str) -> tuple[list[float], float]:
@@ -103,26 +104,23 @@ def _chance(margin: Column) -> Column:
 
 
 def _sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: Column) -> DataFrame:
-    """The bounded fitting sample with its views. Ids are drawn first, so only their texts are read on."""
+    """The rows of the fit: every document with an id, its views and its label, if it has one. Views are taken before anything
+    is grouped or joined, so no text moves."""
     known = labels.where(label.isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.avg(label.cast("double")) >= 0.5).cast("double").alias("label"))
-    known = written(spark, known, "cotrain-labels")
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
-
-    def share(most: int, of: int) -> int:
-        return int((1 << 32) * min(1.0, most / max(of, 1)))
-
-    few = known.where(draw < share(MAX_LABELLED, known.count()))
-    ids = docs.select("doc_id").where("doc_id is not null")
-    pool = ids.where(draw < share(MAX_POOL, docs.count())).join(known, "doc_id", "left_anti").distinct()
-    drawn = few.unionByName(pool.select("doc_id", F.lit(None).cast("double").alias("label")))
-    drawn = written(spark, drawn, "cotrain-drawn")  # about MAX_LABELLED + MAX_POOL narrow rows: safe to broadcast
-    chosen = docs.join(F.broadcast(drawn), "doc_id").select("doc_id", "label", "text", "source", "lang", "n_chars")
+    chosen = docs.where("doc_id is not null").select("doc_id", "text", "source", "lang", "n_chars")
+    # one row an id, however often an id repeats (the smallest)
+    single = _views(chosen).groupBy("doc_id").agg(F.min(F.struct("text_view", "meta_view")).alias("r"))
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS == CALIBRATION
-    # one row an id keeps the bound on rows, however often an id repeats (the smallest; only views move, no texts)
-    single = _views(chosen).groupBy("doc_id").agg(F.min(F.struct("label", "text_view", "meta_view")).alias("r"))
-    rows = single.select("doc_id", "r.*").select("*", (fold & F.col("label").isNotNull()).alias("calibrates"))
-    return written(spark, rows, "cotrain-sample")
+    rows = single.join(known, "doc_id", "left").select("doc_id", "label", "r.*")
+    return written(spark, rows.select("*", (fold & F.col("label").isNotNull()).alias("calibrates")), "cotrain-rows")
+
+
+def _lowest(values: DataFrame, share: float) -> float:
+    """The smallest value of the one column that at least ``share`` of the values do not exceed (exact: by rank)."""
+    (name,) = values.columns
+    rank = max(math.ceil(share * values.count()), 1) - 1
+    return row_index(values, [], name, "rank").where(F.col("rank") == rank).first()[name]
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: Column) -> dict | None:
@@ -139,16 +137,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: Column)
                 for n, v, m in (("for_meta", "text_view", text), ("for_text", "meta_view", meta))}
         # each view's confident labels go to the other; a label given once stays until the giver is sure of the opposite
         rows = rows.select("doc_id", "label", "text_view", "meta_view", "calibrates",
-                           *(F.when(free, F.coalesce(sure[n], F.col(n))).otherwise(F.col(n)).alias(n)
-                             for n in ("for_text", "for_meta")))
-        rows = written(spark, rows, "cotrain-round")
+                           *(F.coalesce(F.when(free, sure[n]), F.col(n)).alias(n) for n in ("for_text", "for_meta")))
     text, meta = _fit(rows, "text_view", "for_text"), _fit(rows, "meta_view", "for_meta")
     held = written(spark, rows.where("calibrates").select(
         "label", F.array(_margin("text_view", text)).alias("t"), F.array(_margin("meta_view", meta)).alias("m")), "cotrain-held")
     scales = {v: _fit(held, v, "label") for v in ("t", "m")}
     both = held.select("label", F.array(_margin("t", scales["t"]), _margin("m", scales["m"])).alias("z"))
     mix = _fit(both, "z", "label")
-    low = both.where("label = 1").agg(F.percentile_approx(_chance(_margin("z", mix)), F.lit(1 - KEEP), F.lit(100_000))).first()[0]
+    low = _lowest(written(spark, both.where("label = 1").select(_chance(_margin("z", mix)).alias("chance")), "cotrain-good"), 1 - KEEP)
     return {"text": text, "meta": meta, "t": scales["t"], "m": scales["m"], "mix": mix, "threshold": min(0.5, low)}
 
 

@@ -53,3 +53,19 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark, docs_of):
     docs = docs_of([(1, f"text {i}") for i in range(500)] + [(2, "b"), (3, "c")])
     rows = Q._sample(spark, docs, _labels(spark, [(1, 1), (2, 0)]), Q.F.col("quality") == 1).collect()
     assert sorted((r.doc_id, r.label) for r in rows if r.label is not None) == [(1, 1.0), (2, 0.0)] and len(rows) == 3
+
+
+def test_every_document_is_fitted_on(spark, docs_of):
+    n = 50_000  # more than any bound on labelled or other documents that fitting ever had
+    docs = spark.range(2 * n).selectExpr("id as doc_id", "concat('t', id) as text", "'en' as lang", "'s' as source", "3L as n_chars")
+    labels = spark.range(n).selectExpr("id as doc_id", "id % 2 as quality")
+    rows = Q._sample(spark, docs, labels, Q.F.col("quality"))
+    got = rows.groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in got} == {None: n, 0.0: n // 2, 1.0: n // 2}
+
+
+def test_threshold_is_the_exact_rank(spark):
+    values = spark.range(200_001).selectExpr("pmod(id * 7919, 200001) / 200001 as x")
+    assert Q._lowest(values, 0.003) == 600 / 200_001  # the 601st: 600.003 values are too few
+    assert Q._lowest(spark.sql("select 0.5D as x union all select 0.5D union all select 0.25D"), 0.5) == 0.5
+    assert Q._lowest(spark.sql("select 0.5D as x"), 0.003) == 0.5
