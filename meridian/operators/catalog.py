@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.functions.joins import measured
 from meridian.functions.text import year_prefix
 from meridian.functions.variants import is_object as _is_obj
 from meridian.functions.variants import json_kind, str_member
@@ -150,7 +151,8 @@ def match_specs(specs: DataFrame, entries: DataFrame) -> DataFrame:
     Exact and without a theta join: a needle matches exactly when ``dataset_id``
     equals a prefix of the text after some occurrence of the marker, so each entry
     emits the prefixes of that text whose length some spec id has, and the match is an
-    equi-join on them.
+    equi-join on them. Entries are reduced to the first one of each id that is asked for before
+    specs meet them, so that rows grow with entries and specs, not with their product.
     """
     lengths = sorted(r.n for r in specs.select(F.length("dataset_id").alias("n")).where("n > 0").distinct().collect())
     wanted = F.array(*(F.lit(n) for n in lengths)).cast("array<int>")
@@ -162,10 +164,11 @@ def match_specs(specs: DataFrame, entries: DataFrame) -> DataFrame:
         "doc_seq", "pos", "identifier",
         F.explode(F.transform(F.filter(wanted, lambda n: n <= F.length("_tail")),
                               lambda n: F.substring(F.col("_tail"), F.lit(1), n))).alias("dataset_id"),
-    ).distinct()
-    hits = prefixes.join(specs.select("key", "dataset_id"), "dataset_id")
+    )
+    asked = measured(specs.select("dataset_id").distinct(), "spec-ids")
     first = F.min_by(F.struct("doc_seq", "pos", "identifier"), F.struct("doc_seq", "pos"))
-    return hits.groupBy("key", "dataset_id").agg(first.alias("_m")).select(
+    found = measured(prefixes.join(asked, "dataset_id", "left_semi").groupBy("dataset_id").agg(first.alias("_m")), "spec-entries")
+    return specs.select("key", "dataset_id").distinct().join(found, "dataset_id").select(
         "key", "dataset_id", F.col("_m.doc_seq").alias("doc_seq"), F.col("_m.pos").alias("pos"),
         F.col("_m.identifier").alias("identifier"))
 
