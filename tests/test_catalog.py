@@ -107,3 +107,15 @@ def test_live_ids(spark):
         "first_str": (None, "first_not_object"), "no_id": (None, "identifier_missing"),
         "num_id": (None, "identifier_missing"), "array": (None, "metastore_not_object"),
     }
+
+
+def test_specs_meet_only_the_first_entry_of_their_id(spark):
+    # 20,000 specs of one id and 20,000 entries that it matches: 400 million pairs if all of them were joined
+    entries = spark.range(20_000).selectExpr("id as doc_seq", "0 as pos", f"'{NEEDLE.format('1')}' as identifier")
+    specs = spark.range(20_000).selectExpr("concat('k', id) as key", "'1' as dataset_id")
+    specs = specs.unionByName(specs.limit(5)).unionByName(spark.sql("select 'none' as key, '2' as dataset_id"))
+    got = cat.match_specs(specs, entries)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")  # nothing is grouped after the join with the specs
+    rows = got.collect()
+    assert len(rows) == 20_000 and {(r.doc_seq, r.pos, r.dataset_id) for r in rows} == {(0, 0, "1")}
