@@ -33,6 +33,8 @@ PROVIDER_SCHEMA = (
     f"struct<number:string, enumeration_type:string, basic:{BASIC_SCHEMA}, addresses:array<{ADDRESS_SCHEMA}>, "
     f"taxonomies:array<{TAXONOMY_SCHEMA}>>"
 )
+#: what is cast in one piece; the lists are cast element by element
+PROVIDER_MEMBERS = f"struct<number:string, enumeration_type:string, basic:{BASIC_SCHEMA}>"
 ENUMERATION_TYPES = ("NPI-1", "NPI-2")
 
 
@@ -43,9 +45,14 @@ def _top_fields(schema: str) -> list[str]:
 
 def with_extras(record: Column, schema: str) -> Column:
     """JSON text of the members not in ``schema`` (extras are kept, as ``extra="allow"``)."""
+    return _extras(record.cast("map<string,variant>"), schema)
+
+
+def _extras(members: Column, schema: str) -> Column:
     names = _top_fields(schema)
-    rest = F.map_filter(record.cast("map<string,variant>"), lambda k, v: ~k.isin(*names))
-    return F.when(F.size(rest) > 0, F.to_json(rest))
+    rest = F.map_filter(members, lambda k, v: ~k.isin(*names))
+    # bound to a variable: the members are read once, not for the test and again for the text
+    return F.get(F.transform(F.array(rest), lambda m: F.when(F.size(m) > 0, F.to_json(m))), F.lit(0))
 
 
 def typed(records: DataFrame, record_col: str, schema: str, keep_extra: bool = True) -> DataFrame:
@@ -118,22 +125,24 @@ def _member(record: Column, name: str) -> Column:
 
 def _nested_extra(parent: Column, schema: str) -> Column:
     """Extras of one nested member; a member that is no object has none."""
-    return F.when(F.startswith(F.schema_of_variant(parent), F.lit("OBJECT")), with_extras(parent, schema))
+    return _extras(parent.try_cast("map<string,variant>"), schema)
 
 
 def providers(records: DataFrame, record_col: str = "record") -> DataFrame:
     """D4 for provider records: nested struct, empty-list defaults, extras of every level in an
-    ``_extra`` member of that level (JSON text)."""
+    ``_extra`` member of that level (JSON text). Every element of a list is cast once: fields are taken from the
+    cast value, as ``withField`` on the cast itself would repeat it for each field."""
     rec = F.col(record_col)
     cols = [c for c in records.columns if c != record_col]
     lists = {"addresses": ADDRESS_SCHEMA, "taxonomies": TAXONOMY_SCHEMA}
     staged = records.select(
-        *cols, rec.try_cast(PROVIDER_SCHEMA).alias("_t"), with_extras(rec, PROVIDER_SCHEMA).alias("_extra"),
+        *cols, rec.try_cast(PROVIDER_MEMBERS).alias("_t"), with_extras(rec, PROVIDER_SCHEMA).alias("_extra"),
         F.try_variant_get(rec, "$.basic", "variant").alias("_b"),
         *(F.try_variant_get(rec, f"$.{n}", "array<variant>").alias(f"_{n}") for n in lists))
 
     def listed(name: str, schema: str) -> Column:
-        return F.coalesce(F.transform(f"_{name}", lambda v: v.try_cast(schema).withField("_extra", _nested_extra(v, schema))),
+        cast = F.transform(f"_{name}", lambda v: F.struct(v.try_cast(schema).alias("t"), _nested_extra(v, schema).alias("e")))
+        return F.coalesce(F.transform(cast, lambda x: x["t"].withField("_extra", x["e"])),
                           F.array().cast(f"array<{schema[:-1]}, _extra:string>>"))
 
     basic = F.when(F.col("_t.basic").isNotNull(), F.col("_t.basic").withField("_extra", _nested_extra(F.col("_b"), BASIC_SCHEMA)))
@@ -143,11 +152,7 @@ def providers(records: DataFrame, record_col: str = "record") -> DataFrame:
 
 def _is(v: Column, *kinds: str) -> Column:
     """Whether a member is absent, JSON null or of one of the kinds."""
-    kind = F.schema_of_variant(v)
-    ok = v.isNull() | (kind == "VOID")
-    for k in kinds:
-        ok = ok | F.startswith(kind, F.lit(k))
-    return F.coalesce(ok, F.lit(True))
+    return F.coalesce(F.schema_of_variant(v).rlike(f"\\A(VOID\\z|{'|'.join(kinds)})"), F.lit(True))
 
 
 def _texts_are_strings(parent: Column, names: list[str]) -> Column:

@@ -98,3 +98,22 @@ def test_widening_of_landed_types():
              ("string", "int"): "string", ("boolean", "int"): "string", ("decimal(10,2)", "decimal(12,4)"): "decimal(12,4)",
              ("decimal(10,2)", "int"): "double", ("void", "date"): "date", ("date", "int"): "string"}
     assert all(widened(a, b) == t and widened(b, a) == t for (a, b), t in pairs.items())
+
+
+def test_list_elements_are_cast_once(spark):
+    df = _records(spark, [{"number": "1", "addresses": [{"city": "a", "x": 1}, 5, None], "taxonomies": "none"}])
+    out = rec.providers(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # an element was cast again for every one of its fields
+    assert plan.lower().count("as struct<address_purpose") == 1 and plan.lower().count("as struct<code") == 1
+    row = out.first()
+    assert [a and (a.city, a["_extra"]) for a in row.addresses] == [("a", '{"x":1}'), None, None] and row.taxonomies == []
+
+
+def test_member_kinds_are_read_once(spark):
+    df = _records(spark, [{"a": "t"}, {"a": None}, {}, {"a": 5}, {"a": {"b": 1}}, {"a": [1]}, {"a": True}])
+    member = F.try_variant_get("record", "$.a", "variant")
+    out = df.select("i", rec._is(member, "STRING").alias("text"), rec._is(member, "OBJECT", "ARRAY").alias("nested"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("$.a") == 2  # once for each question
+    assert [(r.text, r.nested) for r in out.orderBy("i").collect()] == [
+        (True, False), (True, True), (True, True), (False, False), (False, True), (False, True), (False, False)]
