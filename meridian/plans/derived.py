@@ -174,7 +174,9 @@ def provider_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for t in ("customer", "nation"):
         table(spark, sf_dir, t).createOrReplaceTempView(t)
-    return stored(spark.sql(fixtures.provider_rows()).select(
+    # a table may be one file of one row group, which one task would write as one file, for one task to read
+    rows = spark.sql(fixtures.provider_rows()).repartition("c_custkey", "c_name")
+    return stored(rows.select(
         "c_custkey", "state", "enumeration_type", F.col("number").isNotNull().alias("has_number"),
         F.to_json(F.struct(
             F.col("number"), F.col("enumeration_type"),
